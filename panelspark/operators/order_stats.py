@@ -23,9 +23,8 @@ SMALLEST_SCALE = 1e6
 
 def value_slice(v: Column) -> Column:
     """Increasing integer function of the value."""
-    return F.floor(
-        F.signum(v) * F.log1p(F.abs(v) * F.lit(SMALLEST_SCALE)) * F.lit(SLICES_PER_E_FOLD)
-    ).cast("long")
+    scaled = F.signum(v) * F.log1p(F.abs(v) * F.lit(SMALLEST_SCALE)) * F.lit(SLICES_PER_E_FOLD)
+    return F.floor(scaled).cast("long")
 
 
 def _offsets(counts: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -65,32 +64,20 @@ def group_quantiles(
     """
     by = list(by)
     keys = [*by, "_c"]
-    pairs = F.array(
-        *[F.struct(F.lit(i).alias("_c"), F.col(v).cast("double").alias("_v")) for i, v in enumerate(values)]
-    )
+    pairs = ", ".join(f"struct({i} as _c, cast({v} as double) as _v)" for i, v in enumerate(values))
     rows = (
-        df.select(*by, F.explode(pairs).alias("_e"))
-        .select(*by, "_e._c", "_e._v")
-        .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+        df.select(*by, F.expr(f"inline(array({pairs}))"))
+        .where("_v is not null and not isnan(_v)")
         .withColumn("_s", value_slice(F.col("_v")))
     )
     hist = _offsets(rows.groupBy(*keys, "_s").agg(F.count("*").alias("_cnt")), keys)
 
-    def low(i: int) -> Column:
-        a, b = probs[i]
-        return F.expr(f"((_n - 1) * {a}L) div {b}L")
-
-    def rest(i: int) -> Column:
-        a, b = probs[i]
-        return F.expr(f"((_n - 1) * {a}L) % {b}L")
-
-    def high(i: int) -> Column:
-        return low(i) + F.when(rest(i) > 0, F.lit(1)).otherwise(F.lit(0))
-
-    wanted = F.lit(False)
-    for i in range(len(probs)):
-        for position in (low(i), high(i)):
-            wanted = wanted | ((F.col("_below") <= position) & (position < F.col("_below") + F.col("_cnt")))
+    # Zero-based positions around each quantile, in whole numbers.
+    low = [f"(((_n - 1) * {a}L) div {b}L)" for a, b in probs]
+    rest = [f"(((_n - 1) * {a}L) % {b}L)" for a, b in probs]
+    high = [f"({lo} + if({re} > 0, 1, 0))" for lo, re in zip(low, rest)]
+    positions = dict.fromkeys([*low, *high])
+    wanted = " or ".join(f"({p} >= _below and {p} < _below + _cnt)" for p in positions)
     targets = hist.where(wanted).select(*keys, "_s", "_below", "_n")
     picked = rows.join(F.broadcast(targets) if few_groups else targets, [*keys, "_s"])
     ties = picked.groupBy(*keys, "_s", "_v", "_below", "_n").agg(F.count("*").alias("_ties"))
@@ -99,18 +86,14 @@ def group_quantiles(
 
     aggs, outputs = [], []
     for c, v in enumerate(values):
-        here = F.col("_c") == c
-        aggs.append(F.max(F.when(here, F.col("_n"))).alias(f"{v}_n"))
-        outputs.append(F.col(f"{v}_n"))
+        aggs.append(f"max(if(_c = {c}, _n, null)) as {v}_n")
+        outputs.append(f"{v}_n")
         for i, (_, b) in enumerate(probs):
-            for tag, position in (("lo", low(i)), ("hi", high(i))):
-                hit = here & (F.col("_less") <= position) & (position < F.col("_less") + F.col("_ties"))
-                aggs.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{c}_{i}_{tag}"))
-            aggs.append(F.max(F.when(here, rest(i))).alias(f"_{c}_{i}_rest"))
-            lo, hi = F.col(f"_{c}_{i}_lo"), F.col(f"_{c}_{i}_hi")
-            part = F.col(f"_{c}_{i}_rest").cast("double") / F.lit(float(b))
-            outputs.append((lo + (hi - lo) * part).alias(f"{v}_q{i}"))
-    return ranked.groupBy(*by).agg(*aggs).select(*by, *outputs)
+            for tag, p in (("lo", low[i]), ("hi", high[i])):
+                aggs.append(f"max(if(_c = {c} and {p} >= _less and {p} < _less + _ties, _v, null)) as _{c}_{i}_{tag}")
+            aggs.append(f"max(if(_c = {c}, {rest[i]}, null)) as _{c}_{i}_r")
+            outputs.append(f"_{c}_{i}_lo + (_{c}_{i}_hi - _{c}_{i}_lo) * (_{c}_{i}_r / {float(b)}D) as {v}_q{i}")
+    return ranked.groupBy(*by).agg(*[F.expr(a) for a in aggs]).selectExpr(*by, *outputs)
 
 
 def value_ranks(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:

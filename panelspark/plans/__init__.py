@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["flagship"]
+MODULES = ["flagship", "calendar_queries", "join_queries"]
 
 
 def load_all():
