@@ -8,7 +8,7 @@ the key is the date alone, because a calendar bounds the number of dates.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,14 @@ from panelspark.operators.order_stats import attach, group_quantiles, with_avera
 
 MEDIAN = [(1, 2)]
 
+# Several passes read the same rows. A stage may store them and read them back
+# (``sources.sinks.staged``), so that the passes do not repeat the work before.
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
 
 def percentile_rank(df: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
     """Average rank / count of non-null values."""
@@ -59,11 +67,12 @@ def winsorize_mad(
     n: float = 5.0,
     suffix: str = "_clean",
     few_groups: bool = False,
+    stage: Stage = as_is,
 ) -> DataFrame:
     """Clip to median +- n * MAD; a MAD of 0 leaves the values as they are."""
     centre = group_quantiles(df, by, values, MEDIAN, few_groups=few_groups)
     centre = centre.select(*by, *[F.col(f"{v}_q0").alias(f"_med_{v}") for v in values])
-    centred = attach(df, centre, by, few_groups)
+    centred = stage(attach(df, centre, by, few_groups), "centred")
     gaps = centred.select(*by, *[F.abs(F.col(v) - F.col(f"_med_{v}")).alias(f"_gap_{v}") for v in values])
     spread = group_quantiles(gaps, by, [f"_gap_{v}" for v in values], MEDIAN, few_groups=few_groups)
     spread = spread.select(*by, *[F.col(f"_gap_{v}_q0").alias(f"_mad_{v}") for v in values])
@@ -194,13 +203,14 @@ def neutralize(
     feature: str = "log1p",
     n: float = 5.0,
     min_rows: int = 10,
+    stage: Stage = as_is,
 ) -> DataFrame:
     """Residual of a weighted regression on size and group dummies, z-scored per date.
 
     The dummies are removed by weighted demeaning inside (date, group), which
     leaves one slope per date; both come from sums, without a design matrix.
     """
-    clean = winsorize_mad(df, [period], [factor, size], n=n, few_groups=True)
+    clean = winsorize_mad(df, [period], [factor, size], n=n, few_groups=True, stage=stage)
     y, mv = F.col(f"{factor}_clean"), F.col(f"{size}_clean")
     x = SIZE_FEATURES[feature](mv)
     weights = {"equal": F.lit(1.0), "mv": mv, "log_mv": x, "sqrt_mv": F.sqrt(mv)}
@@ -208,7 +218,7 @@ def neutralize(
     used = F.col("_y").isNotNull() & F.col("_x").isNotNull() & F.col("_w").isNotNull()
     if group:
         used = used & F.col(group).isNotNull()
-    rows = rows.withColumn("_g", F.when(used, F.col(group) if group else F.lit(0)))
+    rows = stage(rows.withColumn("_g", F.when(used, F.col(group) if group else F.lit(0))), "regression")
     w, wx, wy = F.col("_w"), F.col("_w") * F.col("_x"), F.col("_w") * F.col("_y")
     cells = (
         rows.where(F.col("_g").isNotNull())
@@ -261,6 +271,7 @@ def orthogonalize(
     method: str = "linear",
     residual: bool = True,
     intercept: bool = True,
+    stage: Stage = as_is,
 ) -> DataFrame:
     """Remove the controls from the target per date.
 
@@ -286,6 +297,7 @@ def orthogonalize(
     rows = attach(rows, counts, [period], True)
     for i in range(len(controls)):
         k = f"_k{i}"
+        rows = stage(rows, f"control{i}") if i else rows
         others = ["_t"] if method == "partial" else ["_t", *[f"_k{j}" for j in range(i + 1, len(controls))]]
         aggs = [F.var_pop(k).alias("_var") if intercept else F.avg(F.col(k) * F.col(k)).alias("_var")]
         aggs.append(F.avg(F.col(k) * F.col(k)).alias("_size"))

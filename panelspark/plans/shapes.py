@@ -16,13 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _off_tie(digits: int) -> float:
+    """Shift applied before rounding: short decimals that end in 5 would round by their last bit."""
+    return 1.7 * 10.0 ** -(digits + 2)
+
+
 def r(c: Column | str, digits: int = 6) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, digits)
+    return F.round((F.col(c) if isinstance(c, str) else c) + F.lit(_off_tie(digits)), digits)
 
 
 def rnd(expr: str, digits: int = 6) -> str:
     """SQL text of a rounded double without negative zero."""
-    return f"(round({expr}, {digits}) + 0.0)"
+    return f"(round(({expr}) + {_off_tie(digits):.1e}, {digits}) + 0.0)"
 
 
 def rcols(df: DataFrame, keys: list[str], values: list[str], digits: int = 6) -> DataFrame:
