@@ -40,7 +40,6 @@ class Config:
 
 def signals(prices: DataFrame, entity: str, period: str, price: str, configs: Sequence[Config]) -> DataFrame:
     """Momentum and annualised volatility per config for every row, long over configs."""
-    w = by_time(entity, period)
     rows = prices.select(F.col(entity).alias("entity"), F.col(period).alias("period"), F.col(price).alias("price"))
     w = by_time("entity", "period")
     rows = rows.withColumn("ret", change("price", w))
@@ -66,14 +65,18 @@ def capped_equal_weight(n: Column, cap: Column) -> Column:
     return F.round(start + F.least(rest / n, cap - start), 4)
 
 
-def select_top(signal: DataFrame) -> DataFrame:
-    """Volatility filter, then the strongest ``positions`` per config and date, equally weighted up to the cap."""
+def select_top(signal: DataFrame, most: int) -> DataFrame:
+    """Volatility filter, then the strongest ``positions`` per config and date, equally weighted up to the cap.
+
+    ``most`` is the largest number of positions of all configs: as a literal
+    limit it lets every task drop all but ``most`` rows per date before the shuffle.
+    """
     ok = signal.where("momentum is not null and volatility is not null and volatility <= vol_limit")
     w = Window.partitionBy("config", "period").orderBy(F.desc("momentum"), "entity")
-    # rank against the largest position count first, so each task keeps few rows per date
-    most = ok.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.col("positions"))
+    best = ok.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= most)
+    best = best.where(F.col("_rn") <= F.col("positions"))
     n = F.count("*").over(Window.partitionBy("config", "period"))
-    return most.withColumn("weight", capped_equal_weight(n, F.col("cap"))).select("config", "period", "entity", "weight")
+    return best.withColumn("weight", capped_equal_weight(n, F.col("cap"))).select("config", "period", "entity", "weight")
 
 
 def renormalize(weights: DataFrame, cap: float | None = None) -> DataFrame:

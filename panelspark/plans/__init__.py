@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["flagship", "calendar_queries", "join_queries", "window_queries", "section_queries"]
+MODULES = ["flagship", "calendar_queries", "join_queries", "window_queries", "section_queries", "aggregate_queries"]
 
 
 def load_all():
