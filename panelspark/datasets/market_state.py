@@ -83,13 +83,9 @@ def index_measures(index: DataFrame) -> DataFrame:
         (F.year("month") * 12 + F.month("month")).alias("_m"),
     )
     number = Window.partitionBy("index_key").orderBy("_m")
-
-    def share(n: int) -> Column:
-        history = F.collect_list("idx_amount").over(number.rangeBetween(-(n - 1), 0))
-        below = F.size(F.filter(history, lambda x: x < F.col("idx_amount")))
-        return F.when(F.size(history) >= 3, ratio(below, F.size(history)))
-
-    out = out.withColumns({"_h3": F.collect_list("idx_amount").over(number.rangeBetween(-2, 0)), "_h12": F.collect_list("idx_amount").over(number.rangeBetween(-11, 0))})
+    out = out.withColumns(
+        {f"_h{n}": F.collect_list("idx_amount").over(number.rangeBetween(1 - n, 0)) for n in (3, 12)}
+    )
     cols = {f"idx_ret_{k}m": ratio("idx_close", F.lag("idx_close", k).over(m)) - 1 for k in (1, 3, 12)}
     for n, name in ((3, "amount_pct_3m"), (12, "amount_pct_1y")):
         cols[name] = F.expr(f"if(size(_h{n}) >= 3, size(filter(_h{n}, x -> x < idx_amount)) / cast(size(_h{n}) as double), null)")

@@ -59,11 +59,14 @@ def stack_factors(
 
 
 def information_coefficients(long: DataFrame) -> DataFrame:
-    """Rank correlation of value and return per case and date."""
+    """Rank correlation of value and return per case and date.
+
+    Rounded at the 12th digit: the sign is counted later, and a true zero must not get one from the last bit.
+    """
     keys = [*CASE, "period"]
     ranked = with_average_rank(long, keys, "value", "_a")
     ranked = with_average_rank(ranked, keys, "y", "_b")
-    return ranked.groupBy(*keys).agg(safe_corr("_a", "_b").alias("ic"))
+    return ranked.groupBy(*keys).agg(F.round(safe_corr("_a", "_b"), 12).alias("ic"))
 
 
 def ic_summary(ic: DataFrame, periods_per_year: int = 12) -> DataFrame:

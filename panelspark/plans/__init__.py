@@ -2,7 +2,18 @@
 
 from importlib import import_module
 
-MODULES = ["flagship", "calendar_queries", "join_queries", "window_queries", "section_queries", "aggregate_queries"]
+MODULES = [
+    "flagship",
+    "calendar_queries",
+    "join_queries",
+    "window_queries",
+    "section_queries",
+    "aggregate_queries",
+    "evaluation_queries",
+    "quality_queries",
+    "source_queries",
+    "streaming_queries",
+]
 
 
 def load_all():

@@ -423,14 +423,14 @@ def scalar_math(spark, sf_dir):
 
 @query(
     "B4 J3",
-    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS d FROM orders""",
+    """SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS d FROM orders""",
 )
 def scalar_tolerant_dates(spark, sf_dir):
     d = F.col("o_orderdate").cast("date")
     text = (
-        F.when(F.col("o_orderkey") % 3 == 0, F.date_format(d, "yyyyMMdd"))
-        .when(F.col("o_orderkey") % 3 == 1, F.date_format(d, "yyyy-MM-dd"))
-        .otherwise(F.concat(F.date_format(d, "yyyy"), F.lit("-99-99")))
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.date_format(d, "yyyyMMdd"))
+        .when(F.col("o_orderpriority") == "5-LOW", F.concat(F.date_format(d, "yyyy"), F.lit("-99-99")))
+        .otherwise(F.date_format(d, "yyyy-MM-dd"))
     )
     return table(spark, sf_dir, "orders").select("o_orderkey", parse_date(text).alias("d"))
 
