@@ -13,6 +13,7 @@ MODULES = [
     "quality_queries",
     "source_queries",
     "streaming_queries",
+    "dataset_queries",
 ]
 
 

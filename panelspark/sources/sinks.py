@@ -104,7 +104,10 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], partition: Sequence[st
     new = df.withColumn("_source", F.lit(1))
     if table_exists(spark, path):
         touched = df.select(*partition).distinct()
-        old = spark.read.parquet(path).join(touched, list(partition), "left_semi").withColumn("_source", F.lit(0))
+        stored = spark.read.parquet(path)
+        # partition values are parsed from folder names, so they take the type of the new rows
+        stored = stored.withColumns({p: F.col(p).cast(df.schema[p].dataType) for p in partition})
+        old = stored.join(touched, list(partition), "left_semi").withColumn("_source", F.lit(0))
         rows = new.unionByName(old, allowMissingColumns=True)
     else:
         rows = new
