@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.numeric import nullify_non_finite, ratio
-from panelspark.operators.cross_section import as_is, neutralize, orthogonalize, rank_factor, winsorize_mad
+from panelspark.operators.cross_section import as_is, neutralize, orthogonalize_pairs, rank_factor, winsorize_mad
 from panelspark.operators.slices import enough_history, nth_columns, slice_columns, with_sorted_frame
 from panelspark.operators.windows import by_time, trailing
 
@@ -92,13 +92,9 @@ def price_volume_pack(df: DataFrame, *, stage=None) -> DataFrame:
     w = by_time("entity", "period")
     rows = bar_features(df).withColumn("tvr_chg", ratio("turnover", F.lag("turnover").over(w)) - 1)
     rows = stage(nullify_non_finite(rows), "features")
-    rows = neutralize(rows, "period", "turnover", "size", "grp", "tvr_ne", stage=stage)
-    rows = neutralize(stage(rows, "first"), "period", "plus", "size", "grp", "plus_ne", stage=stage)
-    rows = stage(rows, "neutral")
+    rows = neutralize(rows, "period", {"turnover": "tvr_ne", "plus": "plus_ne"}, "size", "grp", stage=stage)
     rows = stage(winsorize_mad(rows, ["period"], ["turnover", "plus"], few_groups=True, stage=stage), "clean")
-    for out, (target, control) in PURE.items():
-        rows = orthogonalize(rows, "period", target, [control], out)
-    rows = stage(rows, "pure")
+    rows = orthogonalize_pairs(rows, "period", PURE)
     f = trailing(w, WINDOW)
     cols = {
         "_rows": F.count("*").over(f),
@@ -122,9 +118,11 @@ def price_volume_pack(df: DataFrame, *, stage=None) -> DataFrame:
     out = rows.select("entity", "period", *[c.alias(n) for n, c in cols.items()]).where(F.col("_rows") == WINDOW).drop("_rows")
     out = stage(out, "windows")
     out = u_turn(out, "period", "tvr_std_20", "tvr_mean_20", "utr")
+    pairs = {}
     for side in ("sm", "elg"):
-        out = orthogonalize(out, "period", f"{side}_imba_norm", ["ret_20"], f"{side}_imba_deret")
-        out = orthogonalize(out, "period", "ret_20", [f"{side}_imba_norm"], f"ret_de_{side}_imba")
+        pairs[f"{side}_imba_deret"] = (f"{side}_imba_norm", "ret_20")
+        pairs[f"ret_de_{side}_imba"] = ("ret_20", f"{side}_imba_norm")
+    out = orthogonalize_pairs(stage(out, "packed"), "period", pairs)
     return nullify_non_finite(out)
 
 

@@ -194,10 +194,9 @@ SIZE_FEATURES = {
 def neutralize(
     df: DataFrame,
     period: str,
-    factor: str,
+    factors: dict[str, str],
     size: str,
     group: str | None,
-    out: str,
     *,
     weight: str = "log_mv",
     feature: str = "log1p",
@@ -205,60 +204,76 @@ def neutralize(
     min_rows: int = 10,
     stage: Stage = as_is,
 ) -> DataFrame:
-    """Residual of a weighted regression on size and group dummies, z-scored per date.
+    """Residuals of weighted regressions on size and group dummies, z-scored per date.
 
-    The dummies are removed by weighted demeaning inside (date, group), which
-    leaves one slope per date; both come from sums, without a design matrix.
+    factors maps each factor to its output column; all of them share the
+    passes. The dummies are removed by weighted demeaning inside (date, group),
+    which leaves one slope per date; both come from sums, without a design
+    matrix. A date with fewer than min_rows usable rows keeps the cleaned value.
     """
-    clean = winsorize_mad(df, [period], [factor, size], n=n, few_groups=True, stage=stage)
-    y, mv = F.col(f"{factor}_clean"), F.col(f"{size}_clean")
+    clean = winsorize_mad(df, [period], [*factors, size], n=n, few_groups=True, stage=stage)
+    mv = F.col(f"{size}_clean")
     x = SIZE_FEATURES[feature](mv)
     weights = {"equal": F.lit(1.0), "mv": mv, "log_mv": x, "sqrt_mv": F.sqrt(mv)}
-    rows = clean.withColumns({"_y": y, "_x": x, "_w": weights[weight].cast("double")})
-    used = F.col("_y").isNotNull() & F.col("_x").isNotNull() & F.col("_w").isNotNull()
-    if group:
-        used = used & F.col(group).isNotNull()
-    rows = stage(rows.withColumn("_g", F.when(used, F.col(group) if group else F.lit(0))), "regression")
-    w, wx, wy = F.col("_w"), F.col("_w") * F.col("_x"), F.col("_w") * F.col("_y")
-    cells = (
-        rows.where(F.col("_g").isNotNull())
-        .groupBy(period, "_g")
-        .agg(
-            F.count("*").alias("_n"),
-            F.sum(w).alias("_sw"),
-            F.sum(wx).alias("_swx"),
-            F.sum(wy).alias("_swy"),
-            F.sum(wx * F.col("_x")).alias("_swxx"),
-            F.sum(wx * F.col("_y")).alias("_swxy"),
-        )
-    )
-    dates = cells.groupBy(period).agg(
-        F.sum("_n").alias("_rows"),
-        F.sum(F.col("_swxy") - ratio(F.col("_swx") * F.col("_swy"), F.col("_sw"))).alias("_cxy"),
-        F.sum(F.col("_swxx") - ratio(F.col("_swx") * F.col("_swx"), F.col("_sw"))).alias("_cxx"),
-        F.sum("_swxx").alias("_scale"),
-    )
-    flat = F.col("_cxx") <= F.col("_scale") * F.lit(1e-12)
-    slopes = dates.select(
-        period, "_rows", F.when(flat, F.lit(0.0)).otherwise(ratio("_cxy", "_cxx")).alias("_slope")
-    )
-    centres = cells.select(
-        period, "_g", ratio("_swx", "_sw").alias("_mx"), ratio("_swy", "_sw").alias("_my")
-    )
-    joined = attach(attach(rows, slopes, [period], True), centres, [period, "_g"], False)
-    residual = (F.col("_y") - F.col("_my")) - F.col("_slope") * (F.col("_x") - F.col("_mx"))
-    joined = joined.withColumn("_e", F.when(F.col("_g").isNotNull(), residual))
-    scale = joined.groupBy(period).agg(F.avg("_e").alias("_em"), F.stddev_samp("_e").alias("_es"))
-    scaled = ratio(F.col("_e") - F.col("_em"), F.col("_es"))
-    result = F.when(F.col("_g").isNull(), F.lit(None).cast("double")).when(
-        F.col("_rows") < min_rows, F.col("_y")
-    ).otherwise(scaled)
-    helper = ["_y", "_x", "_w", "_g", "_rows", "_slope", "_mx", "_my", "_e", "_em", "_es"]
-    return (
-        attach(joined, scale, [period], True)
-        .withColumn(out, result)
-        .drop(*helper, f"{factor}_clean", f"{size}_clean")
-    )
+    base = {"_x": x, "_w": weights[weight].cast("double"), "_g": F.col(group) if group else F.lit(0)}
+    rows = clean.withColumns(base)
+    sound = F.col("_x").isNotNull() & F.col("_w").isNotNull() & F.col("_g").isNotNull()
+    rows = rows.withColumns({f"_y{i}": F.when(sound, F.col(f"{f}_clean")) for i, f in enumerate(factors)})
+    rows = stage(rows.drop(*[f"{c}_clean" for c in [*factors, size]]), "regression")
+    many = range(len(factors))
+    sums, centres, totals, slopes, scales = [], [], [], [], []
+    for i in many:
+        w = f"if(_y{i} is null, null, _w)"
+        sums += [
+            f"count(_y{i}) as _n{i}", f"sum({w}) as _sw{i}", f"sum({w} * _x) as _sx{i}", f"sum(_w * _y{i}) as _sy{i}",
+            f"sum({w} * _x * _x) as _sxx{i}", f"sum(_w * _x * _y{i}) as _sxy{i}",
+        ]
+        centres += [f"try_divide(_sx{i}, _sw{i}) as _mx{i}", f"try_divide(_sy{i}, _sw{i}) as _my{i}"]
+        totals += [
+            f"sum(_n{i}) as _rows{i}", f"sum(_sxy{i} - try_divide(_sx{i} * _sy{i}, _sw{i})) as _cxy{i}",
+            f"sum(_sxx{i} - try_divide(_sx{i} * _sx{i}, _sw{i})) as _cxx{i}", f"sum(_sxx{i}) as _scale{i}",
+        ]
+        # size that does not vary inside the groups leaves nothing to fit
+        slopes += [f"_rows{i}", f"if(_cxx{i} <= _scale{i} * 1e-12D, 0D, try_divide(_cxy{i}, _cxx{i})) as _slope{i}"]
+        scales += [f"avg(_e{i}) as _em{i}", f"stddev_samp(_e{i}) as _es{i}"]
+    cells = rows.where("_g is not null").groupBy(period, "_g").agg(*[F.expr(e) for e in sums])
+    dates = cells.groupBy(period).agg(*[F.expr(e) for e in totals]).selectExpr(period, *slopes)
+    joined = attach(attach(rows, dates, [period], True), cells.selectExpr(period, "_g", *centres), [period, "_g"], False)
+    residuals = {f"_e{i}": F.expr(f"(_y{i} - _my{i}) - _slope{i} * (_x - _mx{i})") for i in many}
+    joined = stage(joined.withColumns(residuals), "residual")
+    scale = joined.groupBy(period).agg(*[F.expr(e) for e in scales])
+    outputs = {
+        out: F.expr(f"case when _y{i} is null then null when _rows{i} < {min_rows} then _y{i} else try_divide(_e{i} - _em{i}, _es{i}) end")
+        for i, out in enumerate(factors.values())
+    }
+    helper = [f"_{c}{i}" for i in many for c in ("y", "rows", "slope", "mx", "my", "e", "em", "es")]
+    return attach(joined, scale, [period], True).withColumns(outputs).drop("_x", "_w", "_g", *helper)
+
+
+def orthogonalize_pairs(
+    df: DataFrame, period: str, pairs: dict[str, tuple[str, str]], *, residual: bool = True, intercept: bool = True
+) -> DataFrame:
+    """Several one-control regressions per date in one pass: out -> (target, control).
+
+    Rows with a NULL in the pair keep the raw target.
+    """
+    aggs, outputs = [], {}
+    for i, (out, (t, k)) in enumerate(pairs.items()):
+        used = F.col(t).isNotNull() & F.col(k).isNotNull()
+        y, x = F.when(used, F.col(t)), F.when(used, F.col(k))
+        aggs += [
+            F.count(y).alias(f"_n{i}"),
+            (F.var_pop(x) if intercept else F.avg(x * x)).alias(f"_v{i}"),
+            F.avg(x * x).alias(f"_q{i}"),
+            (F.covar_pop(y, x) if intercept else F.avg(y * x)).alias(f"_c{i}"),
+            (F.avg(x) if intercept else F.lit(0.0)).alias(f"_mx{i}"),
+            (F.avg(y) if intercept else F.lit(0.0)).alias(f"_my{i}"),
+        ]
+        fitted = F.expr(f"if(_v{i} <= _q{i} * 1e-20D, 0D, try_divide(_c{i}, _v{i})) * ({k} - _mx{i}) + _my{i}")
+        value = F.col(t) - fitted if residual else fitted
+        outputs[out] = F.when(used & (F.col(f"_n{i}") >= 2), value).otherwise(F.col(t))
+    helper = [f"_{c}{i}" for i in range(len(pairs)) for c in ("n", "v", "q", "c", "mx", "my")]
+    return attach(df, df.groupBy(period).agg(*aggs), [period], True).withColumns(outputs).drop(*helper)
 
 
 def orthogonalize(

@@ -120,14 +120,13 @@ def dataset_rotation_speed(spark, sf_dir):
     with_ctes(
         "ibars",
         f"""SELECT entity, period, {rnd('wap', 3)} AS wap, {sql_rcols([], ['wap_deviation', 'vol_ratio'])},
- {rnd('wap_deviation * least(vol_ratio, 2)')} AS score FROM (SELECT *, (close - wap) / wap AS wap_deviation FROM (
+ CASE WHEN vol_ratio IS NOT NULL THEN {rnd('wap_deviation * least(vol_ratio, 2)')} END AS score FROM (SELECT *, (close - wap) / wap AS wap_deviation FROM (
  SELECT entity, period, close, amount / vol AS wap, CASE WHEN count(vol) {over(20)} = 20 THEN vol / avg(vol) {over(20)} END AS vol_ratio FROM ibars))
  """,
     ),
 )
 def dataset_price_volume_deviation(spark, sf_dir):
     out = IX.price_volume_deviation(index_bars(spark, sf_dir))
-    out = out.withColumn("score", F.when(F.col("vol_ratio").isNotNull(), F.col("score")))
     return out.select("entity", "period", r("wap", 3).alias("wap"), *[r(c).alias(c) for c in ("wap_deviation", "vol_ratio", "score")])
 
 
@@ -263,7 +262,7 @@ NAMES = ["华夏上证50ETF", "易方达医药ETF", "南方中证500ETF(QDII)",
 WANTED = [
     ("", "", "large", "blend", ""),
     ("801150.SI", "医药生物", "mid", "blend", "消费"),
-    ("", "other", "unknown", "unknown", "other"),
+    ("", "", "mid", "blend", ""),
     ("801080.SI", "电子", "mid", "growth", "成长"),
     ("", "", "large", "dividend", ""),
 ]

@@ -174,7 +174,7 @@ SQL_NEUTRAL = {
 )
 def section_neutralize(spark, sf_dir):
     f = factors(spark, sf_dir).select("entity", "grp", "period", "mom", "amount")
-    out = X.neutralize(f, "period", "mom", "amount", "grp", "neutral", stage=staged)
+    out = X.neutralize(f, "period", {"mom": "neutral"}, "amount", "grp", stage=staged)
     return rcols(out, ["entity", "period"], ["neutral"], 5)
 
 
@@ -197,9 +197,9 @@ def section_neutralize(spark, sf_dir):
 def section_orthogonalize(spark, sf_dir):
     f = factors(spark, sf_dir).select("entity", "period", "mom", "volchg", "spread")
     f = f.withColumn("only", F.when(F.col("spread").isNotNull(), F.col("volchg")))
-    out = X.orthogonalize(f, "period", "mom", ["only"], "one")
-    out = X.orthogonalize(out, "period", "mom", ["volchg", "spread"], "two")
-    out = X.orthogonalize(out, "period", "mom", ["volchg", "spread"], "part", method="partial")
+    out = X.orthogonalize_pairs(f, "period", {"one": ("mom", "only")})
+    out = X.orthogonalize(out, "period", "mom", ["volchg", "spread"], "two", stage=staged)
+    out = X.orthogonalize(staged(out, "two"), "period", "mom", ["volchg", "spread"], "part", method="partial", stage=staged)
     return rcols(out, ["entity", "period"], ["one", "two", "part"])
 
 
