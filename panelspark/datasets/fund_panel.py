@@ -36,7 +36,7 @@ def fund_panel(
             "vwap": F.when(lots > 1, ratio(F.coalesce("amount", F.lit(0.0)) * 1000, lots)).otherwise(F.coalesce("close", F.lit(0.0))),
         }
     )
-    out = asof_join(out, nav, ["entity"], "period", "nav_date", ["unit_nav", "accum_nav", "adj_nav"])
+    out = stage(asof_join(out, nav, ["entity"], "period", "nav_date", ["unit_nav", "accum_nav", "adj_nav"]), "nav")
     out = asof_join(out, shares, ["entity"], "period", "share_date", ["fd_share"])
     labelled = basic.withColumn("_l", fund_labels(index_name(F.col("name")))).select(
         "entity", "name", "fund_type", "invest_type", "list_date", "_l.*"

@@ -14,6 +14,7 @@ MODULES = [
     "source_queries",
     "streaming_queries",
     "dataset_queries",
+    "market_queries",
 ]
 
 
