@@ -315,7 +315,9 @@ def orthogonalize(
         rows = stage(rows, f"control{i}") if i else rows
         others = ["_t"] if method == "partial" else ["_t", *[f"_k{j}" for j in range(i + 1, len(controls))]]
         aggs = [F.var_pop(k).alias("_var") if intercept else F.avg(F.col(k) * F.col(k)).alias("_var")]
-        aggs.append(F.avg(F.col(k) * F.col(k)).alias("_size"))
+        # measured against the control as given: what is left of a collinear control is rounding noise
+        raw = F.when(F.col("_t").isNotNull(), F.col(controls[i]).cast("double"))
+        aggs.append(F.avg(raw * raw).alias("_size"))
         if intercept:
             aggs.append(F.avg(k).alias("_mk"))
         for o in others:
