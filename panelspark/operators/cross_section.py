@@ -101,9 +101,8 @@ def standardize(
         gaps = centred.select(*by, F.abs(F.col(value) - F.col("_mid")).alias("_gap"))
         dev = group_quantiles(gaps, by, ["_gap"], MEDIAN, few_groups=few_groups)
         rows = df.groupBy(*by).agg(F.count("*").alias("_rows"))
-        joined = attach(
-            attach(centred, dev.select(*by, F.col("_gap_q0").alias("_dev")), by, few_groups), rows, by, few_groups
-        )
+        stats = rows.join(dev.select(*by, F.col("_gap_q0").alias("_dev")), list(by), "left")
+        joined = attach(centred, stats, by, few_groups)
     else:
         raise ValueError("method must be 'zscore' or 'mad'")
     degenerate = (F.col("_dev") == 0) | (F.col("_rows") < 2)
@@ -138,8 +137,9 @@ def quantile_bucket(
     v = value if ascending else "_neg"
     edges = group_quantiles(source, by, [v], [(i, buckets) for i in range(buckets + 1)], few_groups=few_groups)
     edges = edges.select(*by, F.array(*[f"{v}_q{i}" for i in range(buckets + 1)]).alias("_edges"))
-    rows = source.groupBy(*by).agg(F.count("*").alias("_rows"))
-    joined = attach(attach(source, edges, by, few_groups), rows, by, few_groups)
+    # both tables have one row per group; the rows are joined once
+    stats = source.groupBy(*by).agg(F.count("*").alias("_rows")).join(edges, list(by), "left")
+    joined = attach(source, stats, by, few_groups)
     bucket = F.when(F.col("_rows") >= buckets, edge_bucket(F.col(v), F.col("_edges")))
     return joined.withColumn(out, bucket).drop("_edges", "_rows", "_neg")
 

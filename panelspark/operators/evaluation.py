@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from panelspark.functions.numeric import ratio, safe_corr
 from panelspark.operators.aggregates import median_margins
 from panelspark.operators.cross_section import (
+    Stage,
+    as_is,
     excess_over_mean,
     fixed_bucket,
     quantile_bucket,
@@ -156,10 +158,14 @@ SCAN_COLUMNS = [
 ]
 
 
-def factor_scan(long: DataFrame, *, buckets: int = 10, periods_per_year: int = 12) -> DataFrame:
-    """One row per factor, return and scope with every measure above."""
-    summary = ic_summary(information_coefficients(long), periods_per_year)
-    cells = bucket_returns(long, buckets)
+def factor_scan(long: DataFrame, *, buckets: int = 10, periods_per_year: int = 12, stage: Stage = as_is) -> DataFrame:
+    """One row per factor, return and scope with every measure above.
+
+    The tables per (case, date) are read several times; ``stage`` stores these
+    two small tables so that ranks and buckets of the rows are made once.
+    """
+    summary = ic_summary(stage(information_coefficients(long), "ic"), periods_per_year)
+    cells = stage(bucket_returns(long, buckets), "cells")
     return (
         summary.join(monotonicity(cells, summary), CASE, "left")
         .join(return_metrics(direction_series(cells, summary), periods_per_year), CASE, "left")

@@ -25,18 +25,6 @@ def exponential_weights(n: int) -> list[float]:
     return [2.0 ** (-i / (n - 1)) for i in range(n)]
 
 
-def _weighted(items: Column, value: str, weights: Sequence[float]) -> Column:
-    """Dot product; any missing value makes it NULL."""
-    w = F.array(*[F.lit(float(x)) for x in weights])
-    products = F.zip_with(items, w, lambda s, k: s[value] * k)
-    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
-
-
-def _plain_sum(items: Column, value: str) -> Column:
-    """Sum over the slice; missing values are skipped."""
-    return F.aggregate(items, F.lit(0.0), lambda acc, s: acc + F.coalesce(s[value], F.lit(0.0)))
-
-
 def with_sorted_frame(
     df: DataFrame, entity: str, period: str, key: str, values: Sequence[str], out: str, *, window: int = 20
 ) -> DataFrame:
@@ -62,23 +50,20 @@ def slice_columns(
     values maps the column inside the array to a name with ``{slice}``. Only
     complete windows give a result.
     """
-    full = F.size(arr) == window
     out = {}
     for v, name in values.items():
         for n in tops:
-            parts = {
-                "top": (F.slice(arr, 1, n), linear_weights(n), exponential_weights(n)),
-                "bottom": (
-                    F.slice(arr, window - n + 1, n),
-                    linear_weights(n)[::-1],
-                    exponential_weights(n)[::-1],
-                ),
-            }
-            for side, (items, lin, exp) in parts.items():
+            for side, start in (("top", 0), ("bottom", window - n)):
+                weights = {"_ld": linear_weights(n), "_exp": exponential_weights(n)}
+                items = [f"get({arr}, {start + i}).{v}" for i in range(n)]
                 base = name.format(slice=f"{side}{n}")
-                out[base] = F.when(full, _plain_sum(items, v))
-                out[base + "_ld"] = F.when(full, _weighted(items, v, lin))
-                out[base + "_exp"] = F.when(full, _weighted(items, v, exp))
+                # a missing value is skipped in the sum and makes a weighted sum NULL
+                sums = {"": " + ".join(f"coalesce({x}, 0D)" for x in items)}
+                for tag, w in weights.items():
+                    w = w if side == "top" else w[::-1]
+                    sums[tag] = " + ".join(f"{x} * {k!r}D" for x, k in zip(items, w))
+                for tag, text in sums.items():
+                    out[base + tag] = F.expr(f"if(size({arr}) = {window}, {text}, null)")
     return out
 
 

@@ -81,7 +81,7 @@ def evaluate_ic_series(spark, sf_dir):
     with_ctes("bars", f"SELECT {sql_rcols(KEYS.split(', '), E.SCAN_COLUMNS)} FROM scan", **sql_evaluation(SINGLE, 5, True)),
 )
 def evaluate_factor_scan(spark, sf_dir):
-    scan = E.factor_scan(long_rows(spark, sf_dir, "grp"), buckets=5)
+    scan = E.factor_scan(long_rows(spark, sf_dir, "grp"), buckets=5, stage=staged)
     return rcols(scan, E.CASE, E.SCAN_COLUMNS)
 
 
@@ -109,7 +109,7 @@ def evaluate_bucket_returns(spark, sf_dir):
     ),
 )
 def evaluate_factor_screen(spark, sf_dir):
-    return E.factor_screen(E.factor_scan(long_rows(spark, sf_dir), buckets=5)).select("factor")
+    return E.factor_screen(E.factor_scan(long_rows(spark, sf_dir), buckets=5, stage=staged)).select("factor")
 
 
 def _sql_cells(first_cte: dict[str, str], last: str) -> str:
@@ -187,7 +187,7 @@ COMBOS = {
 
 def combo_scan(spark, sf_dir):
     long = E.combine_factors(factors(spark, sf_dir), "period", "entity", FACTORS, ["fwd"], 2)
-    return E.factor_scan(staged(long, "combos"), buckets=5)
+    return E.factor_scan(staged(long, "combos"), buckets=5, stage=staged)
 
 
 @query(

@@ -38,17 +38,22 @@ def sql_rcols(keys: list[str], values: list[str], digits: int = 6) -> str:
     return ", ".join([*keys, *[f"{rnd(v, digits)} AS {v}" for v in values]])
 
 
-def tick_order(*parts: Column) -> Column:
-    """One fixed-width number that orders rows by the parts and then by price.
+def tick_order(key: Column, price: Column) -> Column:
+    """One fixed-width number that orders rows by a whole-number key and then by price in cents.
 
     A fixed-width key keeps min_by/max_by in a hash aggregation; a struct key
     would make Spark sort every task's input first.
     """
-    *keys, price = parts
-    out = F.lit(0).cast("decimal(38,2)")
-    for k in keys:
-        out = (out * F.lit(1000) + k.cast("decimal(20,0)")).cast("decimal(38,2)")
-    return (out * F.lit(100000000) + price.cast("decimal(14,2)")).cast("decimal(38,2)")
+    cents = (price * 100).cast("bigint").cast("decimal(18,0)")
+    return (key.cast("decimal(19,0)") * F.expr("10000000000BD") + cents).cast("decimal(38,0)")
+
+
+def day_order(day: Column, price: Column) -> Column:
+    """The same for a day number, which fits into a long."""
+    return day.cast("bigint") * F.lit(10_000_000_000) + (price * 100).cast("bigint")
+
+
+LINE_KEY = "l_orderkey * 10 + l_linenumber"
 
 
 def _flow_aggs() -> list[Column]:
@@ -68,13 +73,13 @@ FLOW_VOLS = [f"{s}_{b}_vol" for s in ("buy", "sell") for b in ("sm", "md", "lg",
 FLOW_AMOUNTS = [f"{s}_{b}_amount" for s in ("buy", "sell") for b in ("sm", "md", "lg", "elg")]
 
 
-def _bars(lines: DataFrame, keys: list[str], order: Column, flow: bool = False) -> DataFrame:
+def _bars(lines: DataFrame, keys: list[str], flow: bool = False) -> DataFrame:
     p = F.col("l_extendedprice")
     return lines.groupBy(*keys).agg(
-        F.min_by(p, order).alias("open"),
+        F.min_by(p, F.col("_order")).alias("open"),
         F.max(p).alias("high"),
         F.min(p).alias("low"),
-        F.max_by(p, order).alias("close"),
+        F.max_by(p, F.col("_order")).alias("close"),
         F.sum("l_quantity").alias("vol"),
         F.sum(p).alias("amount"),
         *(_flow_aggs() if flow else []),
@@ -99,11 +104,10 @@ def bars(spark: SparkSession, sf_dir: str, *, flow: bool = False) -> DataFrame:
         month_start(day).alias("period"),
         "l_quantity",
         "l_extendedprice",
-        F.unix_date(day).alias("_day"),
+        day_order(F.unix_date(day), F.col("l_extendedprice")).alias("_order"),
         *(["l_returnflag"] if flow else []),
     )
-    order = tick_order(F.col("_day"), F.col("l_extendedprice"))
-    return _bars(lines, ["entity", "period"], order, flow).join(supplier_region(spark, sf_dir), "entity")
+    return _bars(lines, ["entity", "period"], flow).join(supplier_region(spark, sf_dir), "entity")
 
 
 def daily_bars(spark: SparkSession, sf_dir: str, *, flow: bool = False) -> DataFrame:
@@ -113,12 +117,10 @@ def daily_bars(spark: SparkSession, sf_dir: str, *, flow: bool = False) -> DataF
         F.col("l_shipdate").cast("date").alias("period"),
         "l_quantity",
         "l_extendedprice",
-        "l_orderkey",
-        "l_linenumber",
+        tick_order(F.expr(LINE_KEY), F.col("l_extendedprice")).alias("_order"),
         *(["l_returnflag"] if flow else []),
     )
-    order = tick_order(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_extendedprice"))
-    return _bars(lines, ["entity", "period"], order, flow)
+    return _bars(lines, ["entity", "period"], flow)
 
 
 def index_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,15 +132,13 @@ def index_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_shipdate").cast("date").alias("period"),
             "l_quantity",
             "l_extendedprice",
-            "l_orderkey",
-            "l_linenumber",
+            tick_order(F.expr(LINE_KEY), F.col("l_extendedprice")).alias("_order"),
         )
         .join(supplier_region(spark, sf_dir), "entity")
         .drop("entity")
         .withColumnRenamed("grp", "entity")
     )
-    order = tick_order(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_extendedprice"))
-    return _bars(lines, ["entity", "period"], order)
+    return _bars(lines, ["entity", "period"])
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:

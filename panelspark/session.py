@@ -14,6 +14,8 @@ def local_session(app: str = "panelspark", cores: int | str = 8) -> SparkSession
         .appName(app)
         .config("spark.sql.shuffle.partitions", os.environ.get("PANELSPARK_SHUFFLE", "8"))
         .config("spark.sql.adaptive.enabled", "true")
+        # small local data: keep all cores busy instead of merging partitions up to 1 MB
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "20g")
         .config("spark.ui.enabled", "false")
