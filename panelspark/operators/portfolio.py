@@ -105,7 +105,9 @@ def portfolio_returns(weights: DataFrame, returns: DataFrame) -> DataFrame:
     days = returns.select("period").distinct()
     dates = weights.select("config", F.col("period").alias("_r")).distinct()
     first = dates.groupBy("config").agg(F.min("_r").alias("_first"))
-    grid = F.broadcast(first).join(days, F.col("period") >= F.col("_first")).select("config", "period")
+    names = weights.agg(F.sort_array(F.collect_set("config"))).scalar()
+    grid = days.withColumn("_names", names).select("period", F.explode("_names").alias("config"))
+    grid = grid.join(F.broadcast(first), "config").where(F.col("period") >= F.col("_first")).select("config", "period")
     w = Window.partitionBy("config").orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
     active = (
         grid.join(dates.withColumnRenamed("_r", "period").withColumn("_is", F.lit(1)), ["config", "period"], "left")

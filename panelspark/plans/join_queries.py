@@ -198,19 +198,18 @@ def join_membership_flags(spark, sf_dir):
     with_ctes(
         "bars",
         f"""SELECT o_orderkey, b.entity, {rnd('b.amount', 2)} AS amount FROM orders JOIN lineitem ON o_orderkey = l_orderkey
- JOIN bars b ON b.entity = l_suppkey AND b.period = CAST(date_trunc('month', o_orderdate) AS DATE)
- WHERE l_linenumber = 1""",
+ JOIN bars b ON b.entity = l_suppkey AND b.period = CAST(date_trunc('month', o_orderdate) AS DATE)""",
     ),
 )
 def join_on_derived_month(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", month_start(F.col("o_orderdate").cast("date")).alias("period")
     )
-    first = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(
+    lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("entity")
     )
     return (
-        orders.join(first, "o_orderkey")
+        orders.join(lines, "o_orderkey")
         .join(bars(spark, sf_dir).select("entity", "period", "amount"), ["entity", "period"])
         .select("o_orderkey", "entity", r("amount", 2).alias("amount"))
     )
