@@ -34,7 +34,11 @@ def asof_join(
     facts = right.where(F.col(right_time).isNotNull()).select(
         *keys, F.col(right_time).alias("_t"), F.trunc(right_time, bucket).alias("_b"), payload.alias("_v")
     )
-    closing = facts.groupBy(*keys, "_b").agg(F.max_by("_v", "_t").alias("_v"))
+    # column by column, so that fixed-width values stay in a hash aggregation
+    last = [F.max_by(F.col(f"_v.{v}"), "_t").alias(f"_last{i}") for i, v in enumerate(values)]
+    closing = facts.groupBy(*keys, "_b").agg(F.max("_t").alias("_rt"), *last)
+    rebuilt = F.struct("_rt", *[F.col(f"_last{i}").alias(v) for i, v in enumerate(values)])
+    closing = closing.select(*keys, "_b", rebuilt.alias("_v"))
     opened = left.select(*keys, F.trunc(left_time, bucket).alias("_b")).distinct()
     earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     marks = (
