@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from panelspark.llm import sharding
+from panelspark.llm import decontamination, sharding
 from panelspark.llm.stage import whole_documents
 
 QUERIES: dict = {}
@@ -23,3 +23,29 @@ def query(sql: str | None = None):
 def op7_sharding(spark, sf_dir):
     """Forty shards in a tree of regions and racks; grown_shard adds one shard."""
     return sharding.manifest(whole_documents(spark, sf_dir), sharding.tree(40), grown=sharding.tree(41))
+
+
+def _words_sql(table: str, key: str) -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"select {key}, regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from {table}"
+
+
+@query(
+    f"""with d as ({_words_sql("documents", "doc_id")}), i as ({_words_sql("benchmark", "item_id")}),
+p as (select distinct item_id, k, array_to_string(w[j:j + k - 1], ' ') as win
+  from (select item_id, w, least(10, len(w)) as k, unnest(range(1, len(w) - least(10, len(w)) + 2)) as j from i where len(w) > 0)),
+lens as (select distinct k from p),
+dw as (select doc_id, k, j, array_to_string(w[j:j + k - 1], ' ') as win
+  from (select doc_id, k, w, unnest(range(1, len(w) - k + 2)) as j from d, lens where len(w) >= k)),
+hit as (select dw.doc_id, p.item_id, dw.j, p.k from dw join p on p.k = dw.k and p.win = dw.win),
+pos as (select doc_id, count(distinct x) as n_hit from (select doc_id, unnest(range(j, j + k)) as x from hit) group by doc_id),
+it as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as item from hit) group by doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join pos on pos.doc_id = d.doc_id left join it on it.doc_id = d.doc_id"""
+)
+def op5_decontamination(spark, sf_dir):
+    """Benchmark windows of ten words in all documents."""
+    found = decontamination.find_items(whole_documents(spark, sf_dir), whole_documents(spark, sf_dir, "benchmark"))
+    return found.drop("spans")
