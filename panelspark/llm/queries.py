@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from panelspark.llm import decontamination, sharding
+from pyspark.sql import functions as F
+
+from panelspark.llm import decontamination, mixing, sharding
 from panelspark.llm.stage import whole_documents
 
 QUERIES: dict = {}
@@ -49,3 +51,11 @@ def op5_decontamination(spark, sf_dir):
     """Benchmark windows of ten words in all documents."""
     found = decontamination.find_items(whole_documents(spark, sf_dir), whole_documents(spark, sf_dir, "benchmark"))
     return found.drop("spans")
+
+
+@query(mixing.sql())
+def op6_mixing(spark, sf_dir):
+    """Raked sampling probabilities of all documents and which are kept."""
+    mixed = mixing.mix(whole_documents(spark, sf_dir))
+    probability = F.round("_probability", 6).alias("probability")
+    return mixed.select("doc_id", "source", "lang", F.col("_topic_name").alias("topic"), F.col("_tokens").alias("tokens"), probability, F.col("_kept").alias("kept"))
