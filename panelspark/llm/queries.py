@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontamination, mixing, sharding
+from panelspark.llm import decontamination, jaccard, mixing, sharding
 from panelspark.llm.stage import whole_documents
 
 QUERIES: dict = {}
@@ -59,3 +59,19 @@ def op6_mixing(spark, sf_dir):
     mixed = mixing.mix(whole_documents(spark, sf_dir))
     probability = F.round("_probability", 6).alias("probability")
     return mixed.select("doc_id", "source", "lang", F.col("_topic_name").alias("topic"), F.col("_tokens").alias("tokens"), probability, F.col("_kept").alias("kept"))
+
+
+@query(
+    """with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (select distinct doc_id, array_to_string(w[j:j + least(5, len(w)) - 1], ' ') as g
+  from (select doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) as j from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+c as (select a.doc_id as x, b.doc_id as y, count(*) as o from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id),
+l as (select x, y from c join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * o >= 75 * (nx.n + ny.n - o)),
+r(x, k) as (select doc_id, doc_id from d union select l.y, r.k from r join l on l.x = r.x where r.k < l.y)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, min(r.k) as component_id
+from d left join n on n.doc_id = d.doc_id join r on r.x = d.doc_id group by d.doc_id, n.n"""
+)
+def op3_jaccard_join(spark, sf_dir):
+    """Components of all documents under a Jaccard similarity of 3/4 of five-word shingles."""
+    return jaccard.near_duplicates(whole_documents(spark, sf_dir))
