@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontamination, jaccard, mixing, sharding
+from panelspark.llm import decontamination, jaccard, mixing, pii, sharding
 from panelspark.llm.stage import whole_documents
 
 QUERIES: dict = {}
@@ -75,3 +75,13 @@ from d left join n on n.doc_id = d.doc_id join r on r.x = d.doc_id group by d.do
 def op3_jaccard_join(spark, sf_dir):
     """Components of all documents under a Jaccard similarity of 3/4 of five-word shingles."""
     return jaccard.near_duplicates(whole_documents(spark, sf_dir))
+
+
+@query()
+def op9_pii(spark, sf_dir):
+    """Plain and disguised personal data in all documents."""
+    found = pii.find(whole_documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["plain"])
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    added = (F.size("spans") - F.size(base)).cast("long").alias("n_disguised")
+    return found.select("doc_id", *counts, F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"), added)
