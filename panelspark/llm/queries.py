@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontamination, jaccard, mixing, pii, sharding
+from panelspark.llm import decontamination, jaccard, licenses, mixing, pii, sharding
 from panelspark.llm.stage import whole_documents
 
 QUERIES: dict = {}
@@ -85,3 +85,12 @@ def op9_pii(spark, sf_dir):
     counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     added = (F.size("spans") - F.size(base)).cast("long").alias("n_disguised")
     return found.select("doc_id", *counts, F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"), added)
+
+
+@query()
+def op4_licenses(spark, sf_dir):
+    """Licences named or quoted in all documents."""
+    found = licenses.find_licenses(whole_documents(spark, sf_dir))
+    names = F.array_join(F.array_sort(F.array_distinct(F.transform("licenses", lambda s: s["license"]))), ",")
+    best = F.array_max(F.transform("licenses", lambda s: s["dice"]))
+    return found.select("doc_id", F.size("licenses").cast("long").alias("n_found"), names.alias("license_ids"), F.round(F.coalesce(best, F.lit(0.0)), 6).alias("best_dice"))
