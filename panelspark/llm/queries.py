@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontamination, jaccard, licenses, mixing, pii, sharding
+from panelspark.llm import decontamination, jaccard, licenses, mixing, pii, quality_model, sharding
 from panelspark.llm.stage import whole_documents
 
 QUERIES: dict = {}
@@ -94,3 +94,10 @@ def op4_licenses(spark, sf_dir):
     names = F.array_join(F.array_sort(F.array_distinct(F.transform("licenses", lambda s: s["license"]))), ",")
     best = F.array_max(F.transform("licenses", lambda s: s["dice"]))
     return found.select("doc_id", F.size("licenses").cast("long").alias("n_found"), names.alias("license_ids"), F.round(F.coalesce(best, F.lit(0.0)), 6).alias("best_dice"))
+
+
+@query()
+def op2_quality(spark, sf_dir):
+    """Quality score of all documents and which are kept."""
+    scored = quality_model.score(whole_documents(spark, sf_dir))
+    return scored.select("doc_id", F.round("score", 6).alias("score"), F.round("weak_score", 6).alias("weak_score"), (F.col("score") >= quality_model.KEEP).alias("kept"))
