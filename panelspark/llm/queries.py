@@ -77,12 +77,16 @@ def op3_jaccard_join(spark, sf_dir):
     return jaccard.near_duplicates(whole_documents(spark, sf_dir))
 
 
+def _equal_to(value: str):
+    return lambda x: x == value
+
+
 @query()
 def op9_pii(spark, sf_dir):
     """Plain and disguised personal data in all documents."""
     found = pii.find(whole_documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["plain"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    counts = [F.size(F.filter(F.transform(base, lambda s: s["kind"]), _equal_to(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     added = (F.size("spans") - F.size(base)).cast("long").alias("n_disguised")
     return found.select("doc_id", *counts, F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"), added)
 
