@@ -26,7 +26,7 @@ def token_count(text: Column) -> Column:
 
 def _marks(text: Column, characters: str) -> Column:
     text = F.coalesce(text, F.lit(""))
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+    return sum((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit("")))) for c in characters)
 
 
 def form_topic(text: Column, tokens: Column) -> Column:
