@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontamination, jaccard, licenses, mixing, pii, quality_model, sharding
+from panelspark.llm import decontamination, html_text, jaccard, licenses, mixing, pii, quality_model, sharding
 from panelspark.llm.stage import whole_documents
 
 QUERIES: dict = {}
@@ -105,3 +105,9 @@ def op2_quality(spark, sf_dir):
     """Quality score of all documents and which are kept."""
     scored = quality_model.score(whole_documents(spark, sf_dir))
     return scored.select("doc_id", F.round("score", 6).alias("score"), F.round("weak_score", 6).alias("weak_score"), (F.col("score") >= quality_model.KEEP).alias("kept"))
+
+
+@query()
+def op1_html_text(spark, sf_dir):
+    """Main text of all pages."""
+    return html_text.extract(whole_documents(spark, sf_dir, "pages"))
