@@ -67,12 +67,13 @@ class _Maker:
 
     def head(self) -> str:
         tag = self.r.choice(("header", "header", "div"))
-        inner = f'<a href="/">{self.title()}</a>' + (f"<p>{self.sentence()}</p>" if self.chance(0.4) else "") + (self.menu() if self.chance(0.6) else "")
+        name = self.title()
+        inner = self.r.choice((f'<a href="/">{name}</a>', f'<div class="logo">{name}</div>', f"<h1>{name}</h1>", f"<p>{name}</p>", name)) + (f"<p>{self.sentence()}</p>" if self.chance(0.4) else "") + (self.menu() if self.chance(0.6) else "")
         return f"<{tag}{self.attrs('head', 0.5 if tag == 'header' else 0.1)}>{inner}</{tag}>"
 
     def foot(self) -> str:
         tag = self.r.choice(("footer", "footer", "div"))
-        text = f"&copy; {self.word()} &middot; {self.prose(1, 3)}"
+        text = self.r.choice((f"&copy; {self.word()} &middot; {self.prose(1, 3)}", f"Copyright {self.r.randint(1999, 2025)}.", self.sentence(1, 8), self.prose(1, 3)))
         inner = (f"<p>{text}</p>" if self.chance(0.5) else text) + (self.links() if self.chance(0.4) else "")
         return f"<{tag}{self.attrs('foot', 0.5 if tag == 'footer' else 0.1)}>{inner}</{tag}>"
 
@@ -81,6 +82,9 @@ class _Maker:
         parts = [f"<h3>{self.title()}</h3>{self.links()}" if self.chance(0.6) else f"<h4>{self.title()}</h4><p>{self.prose(1, 3)}</p>" for _ in range(self.r.randint(1, 3))]
         return f"<{tag}{self.attrs('side', 0.5 if tag == 'aside' else 0.1)}>{''.join(parts)}</{tag}>"
 
+    def pull(self) -> str:
+        return f"<aside{self.attrs('side', 0.8)}>{self.sentence() if self.chance(0.5) else f'<p>{self.prose(1, 2)}</p>'}</aside>"
+
     def ad(self) -> str:
         tag = self.r.choice(("div", "div", "section", "aside", "p"))
         text = self.prose(1, 4) if self.chance(0.7) else f'<a href="#">{self.title()}</a>'
@@ -89,6 +93,8 @@ class _Maker:
     def notice(self) -> str:
         tag = self.r.choice(("div", "div", "section", "dialog", "p"))
         text = self.prose(1, 3)
+        if tag != "p" and self.chance(0.25):
+            text += self.form()
         inner = (f"<p>{text}</p>" if tag != "p" and self.chance(0.6) else text) + (f"<button>{self.word()}</button>" if self.chance(0.5) else "")
         return f"<{tag}{self.attrs('notice', 0 if tag == 'p' else 0.05)}>{inner}</{tag}>"
 
@@ -133,8 +139,8 @@ class _Maker:
             if self.chance(0.12):
                 parts.append(f"<h2>{self.title()}{MARK}</h2>")
             parts.append(self.body_text())
-            if self.chance(0.08):
-                parts.append(self.r.choice((self.ad, self.share, self.form, self.notice, self.side, self.menu))())
+            if self.chance(0.15):
+                parts.append(self.r.choice((self.ad, self.share, self.form, self.notice, self.side, self.pull, self.menu))())
         inner = "".join(parts)
         last = self.comments() if self.chance(0.2) else ""
         wrap = self.r.random()
@@ -143,7 +149,8 @@ class _Maker:
         elif wrap < 0.5:
             return f"<main><article>{inner}</article>{last}</main>"
         elif wrap < 0.85:
-            out = f"<{(t := self.r.choice(('div', 'div', 'section', 'main')))}{self.attrs('content', 0.25)}>{inner}{last}</{t}>"
+            beside = self.side() if self.chance(0.15) else ""
+            out = f"{beside}<{(t := self.r.choice(('div', 'div', 'section', 'main')))}{self.attrs('content', 0.25)}>{inner}{last}</{t}>"
         elif wrap < 0.93:
             out = f"<table><tr><td>{inner}</td></tr></table>{last}"
         else:
@@ -154,7 +161,7 @@ class _Maker:
         top = [f for f, p in ((self.notice, 0.3), (self.head, 0.5), (self.menu, 0.6), (self.ad, 0.4), (self.form, 0.15)) if self.chance(p)]
         self.r.shuffle(top)
         end = [f for f, p in ((self.share, 0.2), (self.side, 0.4), (self.comments, 0.25), (self.ad, 0.2), (self.form, 0.15), (self.notice, 0.15), (self.foot, 0.8)) if self.chance(p)]
-        sides = self.side() if self.chance(0.2) else ""
+        sides = self.side() if self.chance(0.3) else ""
         inner = "".join(f() for f in top) + sides + self.article() + "".join(f() for f in end)
         if self.chance(0.2):
             inner = f'<div class="{self.r.choice(NOISE)}">{inner}</div>'

@@ -20,7 +20,7 @@ from panelspark.llm import boosting, html_nodes
 from panelspark.llm.html_pages import MARK, made_pages
 
 #: Made pages on which the trees are trained.
-TRAINING_PAGES = 800
+TRAINING_PAGES = 1200
 #: Pages whose nodes are judged together.
 BATCH = 200
 
@@ -42,7 +42,7 @@ def _training(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
 @cache
 def trained(count: int = TRAINING_PAGES, seed: int = 11) -> boosting.Model:
     x, y = _training(count, seed)
-    return boosting.fit(x, y, trees=160, depth=4, rate=0.25, share=0.4)
+    return boosting.fit(x, y, trees=160, depth=4, rate=0.25, share=0.3)
 
 
 def decode(p: html_nodes.Page, margin: np.ndarray) -> list[bool]:

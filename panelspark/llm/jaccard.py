@@ -40,6 +40,8 @@ COUNTERS = 1 << 16
 REGION = 64
 PIVOTS = 8
 LEVELS = 6
+#: Rows of (class, id) that are broadcast at most; more are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
 
 
 def _sets(words: tokens.Words, size: int) -> Iterator[np.ndarray]:
@@ -107,12 +109,14 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, counts: np.ndarray)
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Class and shingles of the rows whose class is the wanted one."""
+    """Class and shingles, once for each class and task, of the rows whose class is the wanted one."""
+    seen: set[int] = set()
     for batch, data, offsets in tokens.blocks(batches, "_text"):
         wanted = batch.column(batch.schema.get_field_index("c")).to_pylist()
         c, sets = [], []
         for want, s in zip(wanted, _sets(tokens.hashed_words(data, offsets, tokens.space_separated()), size), strict=True):
-            if _digest(s) == want:
+            if want not in seen and _digest(s) == want:
+                seen.add(want)
                 c.append(want)
                 sets.append(s.view(np.int64))
         lengths = np.cumsum([0, *map(len, sets)])
@@ -134,12 +138,31 @@ def _link(common: Column, n: Column, m: Column) -> Column:
     return common * 100 >= (n + m - common) * 75
 
 
-def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+class _Sets:
+    """The whole shingle sets of classes, made from their texts when they are asked for."""
+
+    def __init__(self, texts: DataFrame, classes: DataFrame, words: int):
+        self.texts, self.classes, self.words = texts, classes, words
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+        named = staged(self.classes.join(wanted, "c", "left_semi").groupBy("c").agg(F.min("_id").alias("_id")), "jaccard-wanted")
+        if named.count() <= BROADCAST_ROWS:
+            named = F.broadcast(named)
+        whole = self.texts.join(named, self.texts["_id"].eqNullSafe(named["_id"])).select("_text", "c")
+        words = self.words
+        return staged(whole.mapInArrow(lambda b: _whole_sets(b, words), "c bigint, shingles array<bigint>"), "jaccard-sets")
+
+
+def _distances(pairs: DataFrame, source: _Sets) -> DataFrame:
     """(a, b, common, n, m) of distinct class pairs, from their whole sets."""
+    pairs = staged(pairs, "jaccard-pairs")
+    sets = source.of(pairs)
     left = sets.select(F.col("c").alias("a"), F.col("shingles").alias("_x"))
     right = sets.select(F.col("c").alias("b"), F.col("shingles").alias("_y"))
     both = pairs.join(left, "a").join(right, "b")
-    return both.select("a", "b", F.size(F.array_intersect("_x", "_y")).cast("long").alias("common"), F.size("_x").cast("long").alias("n"), F.size("_y").cast("long").alias("m"))
+    common = F.size(F.array_intersect("_x", "_y")).cast("long").alias("common")
+    return both.select("a", "b", common, F.size("_x").cast("long").alias("n"), F.size("_y").cast("long").alias("m")).distinct()
 
 
 def _with_distance(distances: DataFrame) -> DataFrame:
@@ -148,7 +171,7 @@ def _with_distance(distances: DataFrame) -> DataFrame:
 
 def _mixed_regions(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The members of regions that hold more than one component, with their component and the region's size."""
-    out = members.drop("k", "members").join(labels.select(F.col("node").alias("c"), F.col("component").alias("k")), "c", "left")
+    out = members.join(labels.select(F.col("node").alias("c"), F.col("component").alias("k")), "c", "left")
     out = out.withColumn("k", F.coalesce("k", "c"))
     w = Window.partitionBy("s")
     out = out.withColumns({"_lo": F.min("k").over(w), "_hi": F.max("k").over(w), "members": F.count("*").over(w)})
@@ -179,7 +202,7 @@ def _pairs_of(rows: DataFrame, x: str, y: str) -> DataFrame:
     return rows.where(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
-def _cut(large: DataFrame, sets: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+def _cut(large: DataFrame, sets: _Sets, level: int) -> tuple[DataFrame, DataFrame]:
     """Voronoi cells of large regions, and the links found on the way.
 
     A region's pivots are the PIVOTS members with the smallest hashes, so regions
@@ -199,7 +222,7 @@ def _cut(large: DataFrame, sets: DataFrame, level: int) -> tuple[DataFrame, Data
     return staged(cells.select("s", "c", "n", "p", "d", "_parent"), "jaccard-cells"), links
 
 
-def _all_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _all_links(members: DataFrame, sets: _Sets) -> DataFrame:
     """Links (u, v) that join all classes within r into the right components."""
     pivot = F.min(F.struct(F.xxhash64("c").alias("h"), "c", "n", "p")).over(Window.partitionBy("s"))
     star = members.withColumn("_v", pivot).select("s", "c", "n", "p", F.col("_v.c").alias("v"), F.col("_v.n").alias("vn"), F.col("_v.p").alias("vp"))
@@ -210,7 +233,8 @@ def _all_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     labels = staged(components(links), "jaccard-labels")
     keyed = star.withColumns({"a": F.least("c", "v"), "b": F.greatest("c", "v")})
     rows = keyed.join(known.select("a", "b", "d"), ["a", "b"], "left").withColumn("d", F.when(F.col("c") == F.col("v"), 0.0).otherwise(F.col("d")))
-    left = staged(_mixed_regions(rows.select("s", "c", "n", "p", "d"), labels), "jaccard-left")
+    # the one pair of a region of two has been compared
+    left = staged(_mixed_regions(rows.select("s", "c", "n", "p", "d"), labels).where("members > 2"), "jaccard-left")
     small, large = left.where(F.col("members") <= REGION), left.where(F.col("members") > REGION)
     pairs = [_block_pairs(small)]
     for level in range(LEVELS):
@@ -254,13 +278,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = texts.select("_text").mapInArrow(lambda b: _prefixes(b, words, shared.value), "n bigint, c bigint, first array<bigint>")
     postings = firsts.select("n", "c", F.posexplode("first").alias("p", "s"))
     by_shingle = Window.partitionBy("s")
-    met = postings.withColumns({"_lo": F.min("c").over(by_shingle), "_hi": F.max("c").over(by_shingle)}).where("_lo < _hi")
+    edge = F.min(F.col("p") * 7 - F.col("n"))  # the smaller set of a pair has its first common shingle in the first seventh
+    over = {"_lo": F.min("c").over(by_shingle), "_hi": F.max("c").over(by_shingle), "_edge": edge.over(by_shingle)}
+    met = postings.withColumns(over).where("_lo < _hi and _edge <= 0")
     members = staged(met.select("s", "c", "n", F.col("p").cast("long").alias("p")).dropDuplicates(["s", "c"]), "jaccard-regions")
-    classes = base.where("n > 0")
-    wanted = members.select("c").distinct()
-    named = classes.join(wanted, "c", "left_semi").groupBy("c").agg(F.min("_id").alias("_id"))
-    whole = texts.join(named, texts["_id"].eqNullSafe(named["_id"])).select("_text", "c")
-    sets = staged(whole.mapInArrow(lambda b: _whole_sets(b, words), "c bigint, shingles array<bigint>").dropDuplicates(["c"]), "jaccard-sets")
+    sets = _Sets(texts, base.where("n > 0"), words)
     labels = staged(components(_all_links(members, sets)), "jaccard-components")
     rows = base.where("n is not null").select("_id", "n", F.when(F.col("n") > 0, F.col("c")).alias("c"))
     rows = rows.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("_k", F.coalesce("component", "c")).select("_id", "n", "_k")
