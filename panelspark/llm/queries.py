@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontamination, html_text, jaccard, licenses, mixing, pii, quality_model, sharding
+from panelspark.llm import decontamination, html_text, jaccard, licenses, mixing, neighbours, pii, quality_model, sharding
 from panelspark.llm.stage import whole_documents
 
 QUERIES: dict = {}
@@ -111,3 +111,9 @@ def op2_quality(spark, sf_dir):
 def op1_html_text(spark, sf_dir):
     """Main text of all pages."""
     return html_text.extract(whole_documents(spark, sf_dir, "pages"))
+
+
+@query()
+def op8_neighbours(spark, sf_dir):
+    """The twenty nearest of every twentieth vector."""
+    return neighbours.nearest(whole_documents(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
