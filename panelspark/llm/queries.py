@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontamination, html_text, jaccard, licenses, mixing, neighbours, pii, quality_model, sharding
+from panelspark.llm import decontamination, html_text, jaccard, language_model, licenses, mixing, neighbours, pii, quality_model, sharding
 from panelspark.llm.stage import whole_documents
 
 QUERIES: dict = {}
@@ -117,3 +117,9 @@ def op1_html_text(spark, sf_dir):
 def op8_neighbours(spark, sf_dir):
     """The twenty nearest of every twentieth vector."""
     return neighbours.nearest(whole_documents(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+
+
+@query()
+def op10_language_model(spark, sf_dir):
+    """Log probabilities of all documents by word counts and by the trained model."""
+    return language_model.score(whole_documents(spark, sf_dir))
