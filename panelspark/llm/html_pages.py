@@ -31,6 +31,7 @@ _SYLLABLES = "an ar be co da de el en er es fi ha in ka la li lo ma mi na ne no
 class _Maker:
     def __init__(self, seed: int):
         self.r = random.Random(seed)
+        self.brief = self.r.random() < 0.25  # a page of few words
 
     def chance(self, p: float) -> bool:
         return self.r.random() < p
@@ -39,13 +40,13 @@ class _Maker:
         return "".join(self.r.choice(_SYLLABLES) for _ in range(self.r.randint(1, 4)))
 
     def sentence(self, low: int = 3, high: int = 22) -> str:
-        words = [self.word() for _ in range(self.r.randint(low, high))]
+        words = [self.word() for _ in range(self.r.randint(1, 5) if self.brief else self.r.randint(low, high))]
         if len(words) > 6 and self.chance(0.6):
             words[len(words) // 2] += ","
         return " ".join(words).capitalize() + "."
 
     def prose(self, low: int = 1, high: int = 6) -> str:
-        return " ".join(self.sentence() for _ in range(self.r.randint(low, high)))
+        return " ".join(self.sentence() for _ in range(self.r.randint(1, 2) if self.brief else self.r.randint(low, high)))
 
     def title(self) -> str:
         return " ".join(self.word() for _ in range(self.r.randint(1, 9))).capitalize()

@@ -186,6 +186,7 @@ def _search(starts: list[tuple[int, bytes]], nodes: DataFrame, adjacent: DataFra
     """(q, c, s): the best nodes of a block of queries, which start at their own nodes."""
     spark = nodes.sparkSession
     x = _unpacked(pa.array([b for _, b in starts], pa.binary()))
+    x[:, -1] = 0  # a query has no part in the component that makes norms equal
     best = spark.createDataFrame([(i, int(c), float(x[i] @ x[i]), False) for i, (c, _) in enumerate(starts)], "q bigint, c bigint, s float, done boolean")
     least = np.full(len(starts), -np.inf, np.float32)
     shared = spark.sparkContext.broadcast(x)
