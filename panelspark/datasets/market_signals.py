@@ -125,13 +125,15 @@ def alarms(signals: DataFrame, *, outflow: float = 100.0, lookbacks: dict[str, i
 
 
 def regime_labels(
-    signals: DataFrame, alarm: DataFrame, *, band: float = 0.02, broad: float = 0.5, hysteresis: float = 0.04,
+    signals: DataFrame, alarm: DataFrame, *, band: float = 0.02, broad: float = 0.5, hysteresis: float = 0.02,
     lookbacks: dict[str, int] = YEARS,
 ) -> DataFrame:
     """Direction x breadth per month end, three overrides, and a band that keeps the last direction near its border.
 
     UP+BROAD BULL, UP+NARROW CHAOS, DOWN+BROAD BEAR, DOWN+NARROW SIDEWAYS, FLAT SIDEWAYS.
     """
+    if hysteresis >= 2 * band:
+        raise ValueError("the hysteresis has to be narrower than both sides of the band, or FLAT could not be entered")
     d = _daily()
     erp_high = F.expr("percentile(erp_5y, 0.9)").over(trailing(d, lookbacks["5y"]))
     vol_high = F.expr("percentile(index_vol_20d, 0.95)").over(trailing(d, lookbacks["3y"]))

@@ -2,6 +2,8 @@
 
 A calendar has one row per natural day (about 36 500 per century), so it is the
 one table here that is always safe to broadcast and to order in one task.
+Functions that match dates with a calendar use one exchange: the named one, or
+the first by name.
 """
 
 from __future__ import annotations
@@ -33,6 +35,11 @@ def day_table(calendar: DataFrame) -> DataFrame:
     )
 
 
+def of_exchange(calendar: DataFrame, exchange: str | None = None) -> DataFrame:
+    """The days of one exchange: the named one, or the first by name."""
+    return calendar.where(F.col("exchange") == (F.lit(exchange) if exchange else calendar.agg(F.min("exchange")).scalar()))
+
+
 def trading_index(calendar: DataFrame) -> DataFrame:
     """Open days with a dense index from 1."""
     w = Window.partitionBy("exchange").orderBy("cal_date")
@@ -41,8 +48,9 @@ def trading_index(calendar: DataFrame) -> DataFrame:
     )
 
 
-def is_trading_day(dates: DataFrame, calendar: DataFrame, col: str = "d", out: str = "is_trading") -> DataFrame:
+def is_trading_day(dates: DataFrame, calendar: DataFrame, col: str = "d", out: str = "is_trading", *, exchange: str | None = None) -> DataFrame:
     """Calendar flag; a day outside the calendar counts as open from Monday to Friday."""
+    calendar = of_exchange(calendar, exchange)
     known = calendar.select(F.col("cal_date").alias(col), F.col("is_open").alias("_open"))
     return (
         dates.join(F.broadcast(known), col, "left")
@@ -51,7 +59,8 @@ def is_trading_day(dates: DataFrame, calendar: DataFrame, col: str = "d", out: s
     )
 
 
-def trading_days_between(calendar: DataFrame, start, end) -> DataFrame:
+def trading_days_between(calendar: DataFrame, start, end, *, exchange: str | None = None) -> DataFrame:
+    calendar = of_exchange(calendar, exchange)
     return (
         calendar.where((F.col("is_open") == 1) & F.col("cal_date").between(F.lit(start), F.lit(end)))
         .select("cal_date")
@@ -76,20 +85,24 @@ _HELPERS = ["_d", "_early", "_late", "_first", "_last"]
 
 
 def nearest_trading_day(
-    dates: DataFrame, calendar: DataFrame, col: str = "d", out: str = "trading_day", *, backward: bool = True
+    dates: DataFrame, calendar: DataFrame, col: str = "d", out: str = "trading_day", *, backward: bool = True, exchange: str | None = None
 ) -> DataFrame:
     """Latest open day up to the date (or first one from it), clamped to the calendar."""
+    calendar = of_exchange(calendar, exchange)
     days = day_table(calendar).select(
         F.col("cal_date").alias("_d"), F.col("prev_open" if backward else "next_open").alias(out)
     )
     return _clamped(dates, calendar, col).join(F.broadcast(days), "_d", "left").drop(*_HELPERS)
 
 
-def shift_trading_days(dates: DataFrame, calendar: DataFrame, n: int, col: str = "d", out: str = "shifted") -> DataFrame:
+def shift_trading_days(
+    dates: DataFrame, calendar: DataFrame, n: int, col: str = "d", out: str = "shifted", *, exchange: str | None = None
+) -> DataFrame:
     """n open days earlier (n < 0) or later (n > 0), clamped to the calendar ends.
 
     From a closed day the first step lands on the neighbouring open day.
     """
+    calendar = of_exchange(calendar, exchange)
     k = abs(n)
     days = day_table(calendar).where("prev_open is not null").select(
         F.col("cal_date").alias("_d"), F.col("n_before").alias("_i"), F.col("is_open").alias("_is")
@@ -113,14 +126,18 @@ def shift_trading_days(dates: DataFrame, calendar: DataFrame, n: int, col: str =
     )
 
 
-def period_last_days(calendar: DataFrame, grain: str) -> DataFrame:
+def period_last_days(calendar: DataFrame, grain: str, *, exchange: str | None = None) -> DataFrame:
     """Last open day of every week or month: columns grain_start, last_day."""
+    calendar = of_exchange(calendar, exchange)
     key = F.trunc("cal_date", grain)
     return calendar.where("is_open = 1").groupBy(key.alias("grain_start")).agg(F.max("cal_date").alias("last_day"))
 
 
-def last_day_of_period(dates: DataFrame, calendar: DataFrame, grain: str, col: str = "d", out: str = "last_day") -> DataFrame:
+def last_day_of_period(
+    dates: DataFrame, calendar: DataFrame, grain: str, col: str = "d", out: str = "last_day", *, exchange: str | None = None
+) -> DataFrame:
     """Last open day of the week or month, if not after the date; otherwise of an earlier period."""
+    calendar = of_exchange(calendar, exchange)
     ends = period_last_days(calendar, grain).select(F.col("last_day").alias("cal_date"), F.lit(1).alias("_end"))
     back = Window.partitionBy("exchange").orderBy("cal_date").rowsBetween(Window.unboundedPreceding, 0)
     days = (
@@ -151,8 +168,9 @@ def recent_quarter_ends(date: Column, n: int) -> Column:
     return F.slice(quarter_ends_between(F.add_months(date, -3 * n - 3), date), -n, n)
 
 
-def expected_dates(calendar: DataFrame, grain: str, start, end) -> DataFrame:
+def expected_dates(calendar: DataFrame, grain: str, start, end, *, exchange: str | None = None) -> DataFrame:
     """Days on which a source should have rows: trade_day, week_end, month_end or quarter_end."""
+    calendar = of_exchange(calendar, exchange)
     start, end = F.lit(start).cast("date"), F.lit(end).cast("date")
     if grain == "quarter_end":
         one = calendar.select("exchange").distinct()
@@ -164,8 +182,9 @@ def expected_dates(calendar: DataFrame, grain: str, start, end) -> DataFrame:
     return period_last_days(opened, unit).select(F.col("last_day").alias("biz_date"))
 
 
-def rebalance_days(calendar: DataFrame, frequency: str) -> DataFrame:
+def rebalance_days(calendar: DataFrame, frequency: str, *, exchange: str | None = None) -> DataFrame:
     """Open days with a flag: first day, or a new week / month; D flags every day."""
+    calendar = of_exchange(calendar, exchange)
     w = Window.partitionBy("exchange").orderBy("cal_date")
     part = {"W": F.weekofyear("cal_date"), "M": F.month("cal_date"), "D": F.unix_date("cal_date")}[frequency]
     opened = calendar.where("is_open = 1").withColumn("_p", part)

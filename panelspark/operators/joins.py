@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from panelspark.functions.dates import quarter_end
 
 
+def _bucket(time: str, bucket: str) -> Column:
+    """The start of the calendar bucket."""
+    if bucket in ("year", "quarter", "month", "week"):
+        return F.trunc(time, bucket)
+    if bucket in ("day", "hour"):
+        return F.date_trunc(bucket, time)
+    raise ValueError(f"bucket {bucket!r} is not one of year, quarter, month, week, day, hour")
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -21,8 +30,12 @@ def asof_join(
     bucket: str = "month",
     max_days: int | None = None,
     keep_time: str | None = None,
+    tied: bool = False,
 ) -> DataFrame:
-    """Latest right row per key with right_time <= left_time; one right row per key and time.
+    """Latest right row per key with right_time <= left_time.
+
+    The right side has one row per key and time, or `tied` is set: then equal
+    times are decided by the largest values, in the order of `values`.
 
     Rows are split by (key, time bucket), so a key that holds a large share of
     all rows is spread over its buckets. A bucket starts from the last right
@@ -32,14 +45,15 @@ def asof_join(
     keys = list(keys)
     payload = F.struct(F.col(right_time).alias("_rt"), *[F.col(v).alias(v) for v in values])
     facts = right.where(F.col(right_time).isNotNull()).select(
-        *keys, F.col(right_time).alias("_t"), F.trunc(right_time, bucket).alias("_b"), payload.alias("_v")
+        *keys, F.col(right_time).alias("_t"), _bucket(right_time, bucket).alias("_b"), payload.alias("_v")
     )
+    order = F.col("_v") if tied else F.col("_t")
     # column by column, so that fixed-width values stay in a hash aggregation
-    last = [F.max_by(F.col(f"_v.{v}"), "_t").alias(f"_last{i}") for i, v in enumerate(values)]
+    last = [F.max_by(F.col(f"_v.{v}"), order).alias(f"_last{i}") for i, v in enumerate(values)]
     closing = facts.groupBy(*keys, "_b").agg(F.max("_t").alias("_rt"), *last)
     rebuilt = F.struct("_rt", *[F.col(f"_last{i}").alias(v) for i, v in enumerate(values)])
     closing = closing.select(*keys, "_b", rebuilt.alias("_v"))
-    opened = left.select(*keys, F.trunc(left_time, bucket).alias("_b")).distinct()
+    opened = left.select(*keys, _bucket(left_time, bucket).alias("_b")).distinct()
     earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     marks = (
         closing.withColumn("_left", F.lit(0))
@@ -56,12 +70,12 @@ def asof_join(
     asked = left.withColumns(
         {
             "_t": F.col(left_time),
-            "_b": F.trunc(left_time, bucket),
+            "_b": _bucket(left_time, bucket),
             "_side": F.lit(2),
         }
     )
     everything = asked.unionByName(carried, allowMissingColumns=True).unionByName(here, allowMissingColumns=True)
-    order = Window.partitionBy(*keys, "_b").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy(*keys, "_b").orderBy("_t", "_side", *(["_v"] if tied else [])).rowsBetween(Window.unboundedPreceding, 0)
     matched = everything.withColumn("_v", F.last("_v", ignorenulls=True).over(order)).where("_side = 2")
     hit = F.col("_v")
     if max_days is not None:
@@ -118,11 +132,11 @@ def interval_join(
             "_until",
             *values,
             F.explode(
-                F.sequence(F.trunc(start, bucket), F.trunc("_until", bucket), F.expr(f"interval 1 {bucket}"))
+                F.sequence(_bucket(start, bucket), _bucket("_until", bucket), F.expr(f"interval 1 {bucket}"))
             ).alias("_b"),
         )
     )
-    rows = left.withColumn("_b", F.trunc(left_time, bucket))
+    rows = left.withColumn("_b", _bucket(left_time, bucket))
     l, s = rows.alias("l"), spans.alias("s")
     on = [F.col(f"l.{k}") == F.col(f"s.{k}") for k in [*keys, "_b"]]
     on += [F.col(f"l.{left_time}") >= F.col("s._from"), F.col(f"l.{left_time}") <= F.col("s._until")]

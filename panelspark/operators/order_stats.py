@@ -42,11 +42,10 @@ def _offsets(counts: DataFrame, by: Sequence[str]) -> DataFrame:
 def attach(df: DataFrame, stats: DataFrame, by: Sequence[str], few_groups: bool) -> DataFrame:
     """Left join per-group values to rows.
 
-    few_groups says that the group key is the time key alone: then the table
-    has one row per calendar period and is broadcast. Otherwise the join is
-    left to adaptive execution, which checks the real size.
+    The join is left to adaptive execution, which checks the real size; few_groups
+    only tells the reader that the table has one row per calendar period.
     """
-    return df.join(F.broadcast(stats) if few_groups else stats, list(by), "left")
+    return df.join(stats, list(by), "left")
 
 
 def group_quantiles(
@@ -79,7 +78,7 @@ def group_quantiles(
     positions = dict.fromkeys([*low, *high])
     wanted = " or ".join(f"({p} >= _below and {p} < _below + _cnt)" for p in positions)
     targets = hist.where(wanted).select(*keys, "_s", "_below", "_n")
-    picked = rows.join(F.broadcast(targets) if few_groups else targets, [*keys, "_s"])
+    picked = rows.join(targets, [*keys, "_s"])
     ties = picked.groupBy(*keys, "_s", "_v", "_below", "_n").agg(F.count("*").alias("_ties"))
     before = Window.partitionBy(*keys, "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     ranked = ties.withColumn("_less", F.col("_below") + F.coalesce(F.sum("_ties").over(before), F.lit(0)))

@@ -241,7 +241,7 @@ def dataset_alarms(spark, sf_dir):
  SELECT *, CASE WHEN s IS NOT NULL THEN coalesce(last_value(sure IGNORE NULLS) OVER (ORDER BY month ROWS UNBOUNDED PRECEDING),
    CASE WHEN s > 0.02 THEN 'UP' WHEN s < -0.02 THEN 'DOWN' ELSE 'FLAT' END) END AS dl,
   CASE WHEN b >= 0.5 THEN 'BROAD' WHEN b IS NOT NULL THEN 'NARROW' END AS bl FROM (
- SELECT *, CASE WHEN s > 0.04 THEN 'UP' WHEN s < -0.04 THEN 'DOWN' WHEN abs(s) < 0.0 THEN 'FLAT' END AS sure FROM (
+ SELECT *, CASE WHEN s > 0.03 THEN 'UP' WHEN s < -0.03 THEN 'DOWN' WHEN abs(s) < 0.01 THEN 'FLAT' END AS sure FROM (
  SELECT month, period, c / lag(c) OVER (ORDER BY month) - 1 AS s, b, coalesce(cheap, false) AS cheap, coalesce(wild, false) AS wild, alarms FROM (
  SELECT date_trunc('month', period)::DATE AS month, max(period) AS period, arg_max(index_close, period) AS c,
   last(above_ma_20d_pct ORDER BY period) AS b, last(cheap ORDER BY period) AS cheap, last(wild ORDER BY period) AS wild, max(alarm_count) AS alarms FROM (

@@ -44,13 +44,13 @@ def tick_order(key: Column, price: Column) -> Column:
     A fixed-width key keeps min_by/max_by in a hash aggregation; a struct key
     would make Spark sort every task's input first.
     """
-    cents = (price * 100).cast("bigint").cast("decimal(18,0)")
-    return (key.cast("decimal(19,0)") * F.expr("10000000000BD") + cents).cast("decimal(38,0)")
+    cents = F.round(price * 100).cast("decimal(18,0)")
+    return (key.cast("decimal(19,0)") * F.expr("1000000000000000000BD") + cents).cast("decimal(38,0)")
 
 
 def day_order(day: Column, price: Column) -> Column:
-    """The same for a day number, which fits into a long."""
-    return day.cast("bigint") * F.lit(10_000_000_000) + (price * 100).cast("bigint")
+    """The same for a day number; prices below 10^12 and days up to 92 000 fit into a long."""
+    return day.cast("bigint") * F.lit(100_000_000_000_000) + F.round(price * 100).cast("bigint")
 
 
 LINE_KEY = "l_orderkey * 10 + l_linenumber"

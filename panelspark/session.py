@@ -17,7 +17,7 @@ def local_session(app: str = "panelspark", cores: int | str = 8) -> SparkSession
         # small local data: keep all cores busy instead of merging partitions up to 1 MB
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "20g")
+        .config("spark.driver.memory", os.environ.get("PANELSPARK_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
@@ -29,12 +29,14 @@ def local_session(app: str = "panelspark", cores: int | str = 8) -> SparkSession
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's spark.checkpoint.dir.
 
-    Only where the session names none (tests on one machine) a temporary
-    folder is created and remembered in the session.
+    Only a local session that names none (tests on one machine) gets a temporary
+    folder, remembered in the session; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("panelspark.local.scratch", None)
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="panelspark-")
         spark.conf.set("panelspark.local.scratch", base)

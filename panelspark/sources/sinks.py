@@ -61,9 +61,11 @@ def _spread(df: DataFrame, partition: Sequence[str]) -> DataFrame:
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition: Sequence[str], *, keys: Sequence[str] = ()) -> None:
-    """Replace exactly the partitions present in the rows; others stay."""
+    """Replace exactly the partitions present in the rows; others stay.
+
+    Rows without a partition value are kept in the partition of NULL.
+    """
     rows = dedupe_by_key(df, keys) if keys else df
-    rows = rows.where(" and ".join(f"{p} is not null" for p in partition))
     (
         _spread(rows, partition)
         .write.mode("overwrite")
@@ -94,25 +96,53 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def _partition_values(df: DataFrame, partition: Sequence[str]) -> list[tuple]:
+    """The different partition values of a table: as many as it has folders."""
+    return [tuple(r) for r in df.select(*partition).distinct().collect()]
+
+
+def _in_partitions(df: DataFrame, partition: Sequence[str], values: Sequence[tuple]) -> Column:
+    """A filter of literals, which reaches the scan's partition filters."""
+    found = F.lit(False)
+    for i, p in enumerate(partition):
+        mine = {v[i] for v in values}
+        some = F.col(p).isin(sorted(v for v in mine if v is not None))
+        some = some | F.col(p).isNull() if None in mine else some
+        found = some if i == 0 else found & some
+    return found
+
+
 def upsert(df: DataFrame, path: str, keys: Sequence[str], partition: Sequence[str]) -> None:
-    """New rows win over stored rows with the same key.
+    """New rows win over stored rows with the same key, also where the key has moved to another partition.
 
-    A key has to stay in its partition. Only partitions touched by the new rows
-    are read and rewritten.
+    Only partitions that the new rows or the old rows of their keys are in are
+    read and rewritten; where partition columns are not part of the key, the old
+    places are looked up in a read of keys and partition columns alone. If a
+    partition loses its last row, the other partitions are written anew as well,
+    because a partition overwrite leaves folders without new rows alone.
     """
     spark = df.sparkSession
-    new = df.withColumn("_source", F.lit(1))
-    if table_exists(spark, path):
-        touched = df.select(*partition).distinct()
-        stored = spark.read.parquet(path)
-        # partition values are parsed from folder names, so they take the type of the new rows
-        stored = stored.withColumns({p: F.col(p).cast(df.schema[p].dataType) for p in partition})
-        old = stored.join(touched, list(partition), "left_semi").withColumn("_source", F.lit(0))
-        rows = new.unionByName(old, allowMissingColumns=True)
+    if not table_exists(spark, path):
+        first = dedupe_by_key(df, keys, flag=None)
+        overwrite_partitions(first, path, partition)
+        return
+    # partition values are parsed from folder names, so they take the type of the new rows
+    stored = spark.read.parquet(path).withColumns({p: F.col(p).cast(df.schema[p].dataType) for p in partition})
+    touched = set(_partition_values(df, partition))
+    if not set(partition) <= set(keys):
+        places = stored.select(*dict.fromkeys([*keys, *partition]))
+        new_keys = df.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct()
+        same = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys]
+        touched |= set(_partition_values(places.join(new_keys, same, "left_semi"), partition))
+    old = stored.where(_in_partitions(stored, partition, sorted(touched, key=str))).withColumn("_source", F.lit(0))
+    rows = df.withColumn("_source", F.lit(1)).unionByName(old, allowMissingColumns=True)
+    merged = staged(dedupe_by_key(rows, keys, flag=None, order=[F.desc("_source")]).drop("_source"), "upsert")
+    emptied = set(_partition_values(old, partition)) - set(_partition_values(merged, partition))
+    if emptied:
+        rest = stored.where(~_in_partitions(stored, partition, sorted(touched, key=str)))
+        truncate_write(staged(merged.unionByName(rest, allowMissingColumns=True), "upsert-all"), path, partition)
     else:
-        rows = new
-    merged = dedupe_by_key(rows, keys, flag=None, order=[F.desc("_source")]).drop("_source")
-    overwrite_partitions(staged(merged, "upsert"), path, partition)
+        overwrite_partitions(merged, path, partition)
 
 
 def month_replace(df: DataFrame, path: str, date_col: str, month_col: str = "month") -> None:

@@ -18,8 +18,8 @@ from panelspark.sources.sinks import scratch_path, write_csv
 @pytest.mark.parametrize(
     "name,index,labels",
     [
-        ("华泰柏瑞沪深300ETF", "沪深300", ("", "", "large", "blend", "")),
-        ("华夏上证科创板50成份ETF", "上证科创板50成份", ("801080.SI", "电子", "mid", "growth", "成长")),
+        ("广发沪深300ETF", "沪深300", ("", "", "large", "blend", "")),
+        ("南方上证科创板50成份ETF", "上证科创板50成份", ("801080.SI", "电子", "mid", "growth", "成长")),
         ("易方达银行LOF", "银行", ("801780.SI", "银行", "large", "dividend", "金融")),
         ("南方中证1000ETF(QDII)", "中证1000", ("", "", "large", "blend", "")),
         ("广发中证2000价值", "中证2000价值", ("", "", "small", "value", "")),
@@ -76,7 +76,7 @@ def test_landing_cleans_and_dedupes(spark, rows):
     spec = RAW_DATASETS["stock_daily"]
     R.land(spark, raw, target, schema, keys=spec.keys, partition=spec.partition)
     got = {(r.ts_code, r.trade_date): r.close for r in spark.read.parquet(target).collect()}
-    assert got == {("a", date(2020, 1, 31)): 2.5, ("b", date(2020, 2, 1)): None, ("d", date(2020, 2, 2)): None}
+    assert got == {("a", date(2020, 1, 31)): 2.5, ("b", date(2020, 2, 1)): None, ("c", None): 1.0, ("d", date(2020, 2, 2)): None}
 
 
 def test_date_range_with_entities(rows):
