@@ -4,9 +4,11 @@ A group (usually one date) may hold a large share of all rows. Values are cut
 into slices by a fixed increasing function, so slice order is value order, and
 rows are counted per (group, slice) with map-side combine. The running count
 over slices gives every slice its offset; only the slices that contain a wanted
-position are looked at in detail. A tie, however large, is one counted row.
-The slice function depends on the value alone, so a recomputed task always
-finds the same slice, and it only steers the split: results are exact.
+position are looked at in detail. A slice with many values (narrow data: times,
+ids, prices around one level) is cut again, evenly between its own least and
+largest value. A tie, however large, is one counted row.
+Slices depend on the values alone, so a recomputed task always finds the same
+ones, and they only steer the split: results are exact.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 # About 0.1 percent of relative width per slice; at most ~100k slices a group.
 SLICES_PER_E_FOLD = 1024.0
 SMALLEST_SCALE = 1e6
+# Values of a slice above which it is cut again into pieces of about so many.
+FEW = 2000
 
 
 def value_slice(v: Column) -> Column:
@@ -27,10 +31,17 @@ def value_slice(v: Column) -> Column:
     return F.floor(scaled).cast("long")
 
 
-def _offsets(counts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """counts(by, _s, _cnt) -> + _below (rows in lower slices) and _n (rows in the group)."""
+def _piece(v: Column, lo: Column, hi: Column, n: Column) -> Column:
+    """Increasing number of the piece of a slice [lo, hi] of n values; 0 where the slice is not cut."""
+    pieces = F.ceil(n / F.lit(FEW))
+    at = F.least(F.floor((v - lo) / (hi - lo) * pieces), pieces - 1)
+    return F.coalesce(F.when((n > FEW) & (hi > lo), at), F.lit(0)).cast("long")
+
+
+def _offsets(counts: DataFrame, by: Sequence[str], order: Sequence[str] = ("_s",)) -> DataFrame:
+    """counts(by, order, _cnt) -> + _below (rows in lower slices) and _n (rows in the group)."""
     group = Window.partitionBy(*by)
-    before = group.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    before = group.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumns(
         {
             "_below": F.coalesce(F.sum("_cnt").over(before), F.lit(0)),
@@ -69,7 +80,8 @@ def group_quantiles(
         .where("_v is not null and not isnan(_v)")
         .withColumn("_s", value_slice(F.col("_v")))
     )
-    hist = _offsets(rows.groupBy(*keys, "_s").agg(F.count("*").alias("_cnt")), keys)
+    sizes = [F.count("*").alias("_cnt"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    hist = _offsets(rows.groupBy(*keys, "_s").agg(*sizes), keys)
 
     # Zero-based positions around each quantile, in whole numbers.
     low = [f"(((_n - 1) * {a}L) div {b}L)" for a, b in probs]
@@ -77,10 +89,15 @@ def group_quantiles(
     high = [f"({lo} + if({re} > 0, 1, 0))" for lo, re in zip(low, rest)]
     positions = dict.fromkeys([*low, *high])
     wanted = " or ".join(f"({p} >= _below and {p} < _below + _cnt)" for p in positions)
-    targets = hist.where(wanted).select(*keys, "_s", "_below", "_n")
-    picked = rows.join(targets, [*keys, "_s"])
-    ties = picked.groupBy(*keys, "_s", "_v", "_below", "_n").agg(F.count("*").alias("_ties"))
-    before = Window.partitionBy(*keys, "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    targets = hist.where(wanted).select(*keys, "_s", "_below", "_n", "_lo", "_hi", F.col("_cnt").alias("_k"))
+    picked = rows.join(targets, [*keys, "_s"]).withColumn("_f", _piece(F.col("_v"), F.col("_lo"), F.col("_hi"), F.col("_k")))
+    ties = picked.groupBy(*keys, "_s", "_f", "_v", "_below", "_n").agg(F.count("*").alias("_ties"))
+    # pieces that hold a wanted position, with the rows below them
+    pieces = picked.groupBy(*keys, "_s", "_f", "_n", F.col("_below").alias("_start")).agg(F.count("*").alias("_cnt"))
+    lower = Window.partitionBy(*keys, "_s").orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("_below", F.col("_start") + F.coalesce(F.sum("_cnt").over(lower), F.lit(0))).where(wanted)
+    ties = ties.drop("_below", "_n").join(pieces.drop("_start", "_cnt"), [*keys, "_s", "_f"])
+    before = Window.partitionBy(*keys, "_s", "_f").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     ranked = ties.withColumn("_less", F.col("_below") + F.coalesce(F.sum("_ties").over(before), F.lit(0)))
 
     aggs, outputs = [], []
@@ -104,11 +121,16 @@ def value_ranks(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
         .agg(F.count("*").alias("_ties"))
         .withColumn("_s", value_slice(F.col(value)))
     )
-    offsets = _offsets(counts.groupBy(*by, "_s").agg(F.sum("_ties").alias("_cnt")), by).drop("_cnt")
-    before = Window.partitionBy(*by, "_s").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    v = F.col(value)
+    full = counts.groupBy(*by, "_s").agg(F.count("*").alias("_k"), F.min(v).alias("_lo"), F.max(v).alias("_hi")).where(F.col("_k") > FEW)
+    counts = counts.join(full, [*by, "_s"], "left").withColumn("_f", _piece(v, F.col("_lo"), F.col("_hi"), F.col("_k"))).drop("_k", "_lo", "_hi")
+    place = [*by, "_s", "_f"]
+    offsets = _offsets(counts.groupBy(*place).agg(F.sum("_ties").alias("_cnt")), by, ("_s", "_f")).drop("_cnt")
+    before = Window.partitionBy(*place).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        counts.withColumn("_in", F.coalesce(F.sum("_ties").over(before), F.lit(0)))
-        .join(offsets, [*by, "_s"])
+        counts.repartition(*place)  # the pieces of a slice go to different tasks
+        .withColumn("_in", F.coalesce(F.sum("_ties").over(before), F.lit(0)))
+        .join(offsets, place)
         .select(
             *by,
             value,

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from panelspark.operators import joins as J
@@ -71,3 +72,24 @@ def test_dedupe_limits_copies_before_the_shuffle(spark):
     assert out.first().v == 19999
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("kind", ["epoch", "id", "level"])
+def test_narrow_values_are_cut_again(spark, kind, monkeypatch):
+    """A hot group of values that share one relative slice: exact ranks and quantiles from many small pieces."""
+    import panelspark.operators.order_stats as O
+
+    monkeypatch.setattr(O, "FEW", 100)
+    rng = np.random.default_rng(11)
+    base = {"epoch": 1.7e9 + rng.integers(0, 40_000, 12_000), "id": 5e8 + rng.permutation(12_000), "level": np.round(1e6 * (1 + 1e-5 * rng.standard_normal(12_000)), 3)}[kind]
+    pdf = pd.DataFrame({"d": np.where(np.arange(12_000) % 10 == 0, 1, 0), "v": base.astype(float), "i": range(12_000)})
+    df = spark.createDataFrame(pdf)
+    ranks = with_average_rank(df, ["d"], "v", "r").select("i", "r").toPandas().sort_values("i")
+    np.testing.assert_allclose(ranks["r"], pdf.groupby("d")["v"].rank())
+    q = group_quantiles(df, ["d"], ["v"], [(1, 2), (9, 10), (0, 1), (1, 1)]).toPandas().set_index("d").sort_index()
+    for k, p in enumerate((0.5, 0.9, 0.0, 1.0)):
+        np.testing.assert_allclose(q[f"v_q{k}"], pdf.groupby("d")["v"].quantile(p), rtol=1e-12)
+    sizes = df.where("d = 0").select("v").distinct().withColumn("s", value_slice(F.col("v")))
+    sizes = sizes.join(sizes.groupBy("s").agg(F.count("*").alias("k"), F.min("v").alias("lo"), F.max("v").alias("hi")), "s")
+    most = sizes.groupBy("s", O._piece(F.col("v"), F.col("lo"), F.col("hi"), F.col("k")).alias("f")).count().agg(F.max("count")).first()[0]
+    assert most < 1500  # of about 10 000 different values
