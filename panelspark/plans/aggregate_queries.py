@@ -300,10 +300,10 @@ def agg_year_median(spark, sf_dir):
     return q.select("entity", "year", F.bround("vol_q0", 0).cast("long").alias("year_median"))
 
 
-@query("H1 H5", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P' ORDER BY o_totalprice DESC, o_orderkey")
+@query("H1 H5", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey")
 def sort_global(spark, sf_dir):
     return (
-        table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select("o_orderkey", "o_totalprice")
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
         .orderBy(F.desc("o_totalprice"), "o_orderkey")
     )
 

@@ -23,8 +23,7 @@ from panelspark.plans.shapes import calendar, r, rcols, rnd, table, with_ctes
  CASE WHEN e.row_count = 0 THEN 'MISSING' WHEN coalesce(m.med, 0) > 0 AND e.row_count < m.med * 0.5 THEN 'PARTIAL' ELSE 'OK' END
  AS status FROM e LEFT JOIN (SELECT source, year(biz_date) AS y, CAST(round_even(median(row_count), 0) AS BIGINT) AS med
   FROM e WHERE row_count > 0 GROUP BY 1, 2) m ON m.source = e.source AND m.y = year(e.biz_date)""",
-        counts="""SELECT 'orders' AS source, CAST(o_orderdate AS DATE) AS biz_date, count(*) AS row_count FROM orders
-  WHERE o_orderstatus = 'P' GROUP BY 2 UNION ALL SELECT 'lineitem', CAST(l_shipdate AS DATE), count(*) FROM lineitem GROUP BY 2""",
+        counts="""SELECT 'orders' AS source, CAST(o_orderdate AS DATE) AS biz_date, count(*) AS row_count FROM orders GROUP BY 2 UNION ALL SELECT 'lineitem', CAST(l_shipdate AS DATE), count(*) FROM lineitem GROUP BY 2""",
         e="""SELECT s.source, c.cal_date AS biz_date, coalesce(n.row_count, 0) AS row_count FROM cal c
   JOIN (SELECT 'orders' AS source UNION ALL SELECT 'lineitem') s ON c.is_open = 1
   LEFT JOIN counts n ON n.source = s.source AND n.biz_date = c.cal_date""",
@@ -35,10 +34,9 @@ def quality_coverage(spark, sf_dir):
     expected = days.withColumn("source", F.explode(F.array(F.lit("orders"), F.lit("lineitem"))))
     counts = [
         table(spark, sf_dir, t)
-        .where(cond)
         .groupBy(F.lit(t).alias("source"), F.col(c).cast("date").alias("biz_date"))
         .agg(F.count("*").alias("row_count"))
-        for t, c, cond in (("orders", "o_orderdate", "o_orderstatus = 'P'"), ("lineitem", "l_shipdate", "true"))
+        for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
     ]
     return Q.coverage(expected, counts[0].unionByName(counts[1])).select(
         "source", "biz_date", "row_count", "year_median", "status"

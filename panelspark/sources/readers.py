@@ -59,9 +59,11 @@ def buffered_range(df: DataFrame, col: str, start: date, end: date, *, days: int
 
 
 def on_dates(df: DataFrame, col: str, dates: DataFrame, date_col: str) -> DataFrame:
-    """Only the listed dates; the list is calendar-sized and broadcast, which also prunes partitions."""
-    wanted = dates.select(F.col(date_col).alias(col)).distinct()
-    return df.join(F.broadcast(wanted), col, "left_semi")
+    """Only the listed dates. The list is calendar-sized and becomes literals, which reach partition and scan filters."""
+    wanted = sorted(r[0] for r in dates.select(date_col).where(F.col(date_col).isNotNull()).distinct().collect())
+    if not wanted:
+        return df.where(F.lit(False))
+    return df.where(F.col(col).between(wanted[0], wanted[-1]) & F.col(col).isin(wanted))
 
 
 def slices(start: date, end: date, grain: str, calendar: DataFrame) -> DataFrame:
