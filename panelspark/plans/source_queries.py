@@ -168,15 +168,19 @@ def sink_dedupe_by_key(spark, sf_dir):
     f"""WITH o AS ({OLD}) SELECT o_orderkey, d, price FROM o""",
 )
 def sink_watermark_increment(spark, sf_dir):
-    """First run up to a day, second run from the stored date on; together they hold every row once."""
+    """First run up to a day, second run from the stored date on, done twice as after a failure before its mark was kept.
+
+    Increments are upserts, so a repeated one leaves every row once.
+    """
     path, state = K.scratch_path(spark, "increment"), K.scratch_path(spark, "state")
     o = monthly_orders(spark, sf_dir)
     first = o.where(F.col("d") <= F.lit(STOP))
-    K.append(first, path, ["month"])
+    K.upsert(first, path, ["o_orderkey", "month"], ["month"])
     K.write_watermark(first, state, "orders", "d")
     start = K.increment_start(K.read_watermark(spark, state, "orders"), STOP)
     rest = R.date_range(o, "d", start)
-    K.append(rest, path, ["month"])
+    for _ in range(2):
+        K.upsert(rest, path, ["o_orderkey", "month"], ["month"])
     K.write_watermark(rest, state, "orders", "d")
     return spark.read.parquet(path).select("o_orderkey", "d", "price")
 
