@@ -90,6 +90,8 @@ def _nodes(vectors: DataFrame) -> DataFrame:
 
 def _offers(ids: np.ndarray, x: np.ndarray, least: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(u, v, s): for each of the nodes the best others above its least score."""
+    _, first = np.unique(ids, return_index=True)  # a neighbour both ways is there twice
+    ids, x, least = ids[first], x[first], least[first]
     s = x @ x.T
     s[ids[:, None] == ids[None, :]] = -np.inf
     s[s <= least[:, None]] = -np.inf
@@ -118,9 +120,16 @@ _EDGE = "u bigint, v bigint, s float"
 
 
 def _best(edges: DataFrame, degree: int) -> DataFrame:
+    """(u, near, least): the best neighbours of each node, and the score that a better one has to beat."""
     w = Window.partitionBy("u").orderBy(F.desc("s"), "v")
-    once = edges.groupBy("u", "v").agg(F.max("s").alias("s"))
-    return once.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= degree).drop("_r")
+    once = edges.repartition("u").groupBy("u", "v").agg(F.max("s").alias("s"))  # one shuffle for all three steps
+    top = once.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= degree)
+    rows = top.groupBy("u").agg(F.collect_list(F.struct("v", "s")).alias("near"), F.min("s").alias("_s"))
+    return rows.select("u", "near", F.when(F.size("near") >= degree, F.col("_s")).otherwise(F.lit(float("-inf"))).cast("float").alias("least"))
+
+
+def _edges(graph: DataFrame) -> DataFrame:
+    return graph.select("u", F.explode("near").alias("e")).select("u", "e.v", "e.s")
 
 
 def _leaves(nodes: DataFrame, n: int) -> DataFrame:
@@ -146,23 +155,27 @@ def _leaves(nodes: DataFrame, n: int) -> DataFrame:
 def _both_ways(graph: DataFrame, salt: int) -> DataFrame:
     """(u, v): the neighbours of each node and a fixed number of the nodes that have it as neighbour."""
     w = Window.partitionBy("u").orderBy(F.xxhash64("u", "v", F.lit(salt)), "v")
-    back = graph.select(F.col("v").alias("u"), F.col("u").alias("v")).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= BACK).drop("_r")
-    return graph.select("u", "v").unionByName(back).distinct()
+    there = _edges(graph)
+    back = there.select(F.col("v").alias("u"), F.col("u").alias("v")).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= BACK).drop("_r")
+    return there.select("u", "v").unionByName(back)
 
 
 def build_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
-    """(u, v, s): the neighbours of every node by NN-descent. Stops early when few neighbours change."""
+    """(u, near, least): the neighbours of every node by NN-descent. Stops early when few neighbours change.
+
+    `nodes` is kept in memory, dealt by c, so that the joins need not move it.
+    """
     n = nodes.count()
     graph = staged(_best(_leaves(nodes, n).mapInArrow(lambda b: _compare(b, degree), _EDGE), degree), "ann-graph")
-    total = graph.agg(F.sum("s").alias("s")).first()["s"]
+    total = None
     for r in range(rounds):
-        least = graph.groupBy("u").agg(F.when(F.count("*") >= degree, F.min("s")).otherwise(F.lit(float("-inf")).cast("float")).alias("least")).withColumnRenamed("u", "c")
+        least = graph.select(F.col("u").alias("c"), "least")
         known = nodes.join(least, "c", "left").select(F.col("c").alias("v"), F.struct("c", F.coalesce("least", F.lit(float("-inf")).cast("float")).alias("least"), "b").alias("m"))
         near = _both_ways(graph, r).join(known, "v").groupBy("u").agg(F.collect_list("m").alias("members"))  # degree + BACK members at most
         offers = near.select("members").mapInArrow(lambda b: _compare(b, OFFERS), _EDGE)
-        graph = staged(_best(graph.unionByName(offers), degree), "ann-graph")
-        now = graph.agg(F.sum("s").alias("s")).first()["s"]
-        if total is None or now - total <= 0.002 * abs(total):
+        graph = staged(_best(_edges(graph).unionByName(offers), degree), "ann-graph")
+        now = graph.select(F.explode("near.s").alias("s")).agg(F.sum("s").alias("s")).first()["s"]
+        if total is not None and now - total <= 0.004 * abs(total):
             break
         total = now
     return graph
@@ -182,29 +195,47 @@ def _scored(batches: Iterator[pa.RecordBatch], x: np.ndarray, least: np.ndarray)
         yield pa.RecordBatch.from_arrays([pa.array(qs[keep]), pa.array(c[keep]), pa.array(out[keep])], names=["q", "c", "s"])
 
 
-def _search(starts: list[tuple[int, bytes]], nodes: DataFrame, adjacent: DataFrame, beam: int, steps: int) -> DataFrame:
-    """(q, c, s): the best nodes of a block of queries, which start at their own nodes."""
-    spark = nodes.sparkSession
+def _state(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Per query of this task: how many nodes it holds, the least score, and whether all are expanded."""
+    n, least, done = np.zeros(size, np.int64), np.full(size, np.inf), np.ones(size, bool)
+    for batch in batches:
+        q = batch.column(0).to_numpy()
+        n += np.bincount(q, minlength=size)
+        np.minimum.at(least, q, batch.column(1).to_numpy())
+        done[q[~batch.column(2).to_numpy(zero_copy_only=False)]] = False
+    at = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at]), pa.array(least[at]), pa.array(done[at])], names=["q", "n", "s", "done"])
+
+
+def _search(starts: list[tuple[int, bytes]], wide: DataFrame, beam: int, steps: int) -> DataFrame:
+    """(q, c, s): the best nodes of a block of queries, which start at their own nodes.
+
+    `wide` holds each node's bytes and neighbours, kept in memory and dealt by c.
+    """
+    spark = wide.sparkSession
     x = _unpacked(pa.array([b for _, b in starts], pa.binary()))
     x[:, -1] = 0  # a query has no part in the component that makes norms equal
     best = spark.createDataFrame([(i, int(c), float(x[i] @ x[i]), False) for i, (c, _) in enumerate(starts)], "q bigint, c bigint, s float, done boolean")
     least = np.full(len(starts), -np.inf, np.float32)
     shared = spark.sparkContext.broadcast(x)
+    size = len(starts)
     w = Window.partitionBy("q").orderBy(F.desc("s"), "c")
     for _ in range(steps):
         bound = spark.sparkContext.broadcast(least)
-        reached = best.where("not done").join(adjacent, "c").select("q", F.explode("near").alias("c")).distinct()
-        asked = reached.groupBy("c").agg(F.collect_list("q").alias("queries"))  # QUERY_BLOCK queries at most
-        seen = asked.join(nodes, "c").select("c", "queries", "b").mapInArrow(lambda b, bound=bound: _scored(b, shared.value, bound.value), "q bigint, c bigint, s float")
+        reached = best.where("not done").join(wide, "c").select("q", F.explode("near").alias("c"))
+        asked = reached.groupBy("c").agg(F.collect_set("q").alias("queries"))  # QUERY_BLOCK queries at most
+        seen = asked.join(wide, "c").select("c", "queries", "b").mapInArrow(lambda b, bound=bound: _scored(b, shared.value, bound.value), "q bigint, c bigint, s float")
         all_seen = best.withColumn("done", F.lit(True)).unionByName(seen.withColumn("done", F.lit(False)))
-        once = all_seen.groupBy("q", "c").agg(F.max("s").alias("s"), F.max("done").alias("done"))
+        once = all_seen.repartition("q").groupBy("q", "c").agg(F.max("s").alias("s"), F.max("done").alias("done"))
         best = staged(once.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= beam).drop("_r"), "ann-beam")
-        state = best.groupBy("q").agg(F.count("*").alias("n"), F.min("s").alias("s"), F.min("done").alias("done")).collect()  # a row for each query of the block
-        if all(r["done"] for r in state):
+        # a few rows for each query of the block
+        parts = best.select("q", "s", "done").mapInArrow(lambda b: _state(b, size), "q bigint, n bigint, s double, done boolean").toArrow()
+        q, count, lowest = parts["q"].to_numpy(), np.zeros(size, np.int64), np.full(size, np.inf)
+        np.add.at(count, q, parts["n"].to_numpy())
+        np.minimum.at(lowest, q, parts["s"].to_numpy())
+        if parts["done"].to_numpy().all():
             break
-        for r in state:
-            if r["n"] >= beam:
-                least[r["q"]] = r["s"]
+        least = np.where(count >= beam, lowest, -np.inf).astype(np.float32)
     return best.select("q", "c", "s")
 
 
@@ -221,12 +252,13 @@ def nearest(
     """
     spark = table.sparkSession
     vectors = staged(valid_vectors(table, id_col, vector_col).dropDuplicates(["id", "x"]), "ann-vectors")
-    nodes = _nodes(vectors)
+    nodes = _nodes(vectors).repartition("c").persist()
     by_class = Window.partitionBy("c").orderBy("id")
     named = staged(vectors.join(_classes_of(vectors), "x").select("id", "c"), "ann-named")
     members = named.withColumn("_r", F.row_number().over(by_class)).where(F.col("_r") <= k + 1).drop("_r")
     graph = build_graph(nodes, degree, rounds)
-    adjacent = staged(_both_ways(graph, -1).groupBy("u").agg(F.collect_list("v").alias("near")).withColumnRenamed("u", "c"), "ann-adjacent")
+    near = staged(_both_ways(graph, -1).groupBy("u").agg(F.collect_set("v").alias("near")).withColumnRenamed("u", "c"), "ann-adjacent")
+    wide = nodes.join(near, "c", "left").withColumn("near", F.coalesce("near", F.array().cast("array<bigint>"))).persist()
     queries = staged(named.where(is_query(F.col("id"))), "ann-queries")
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     out = None
@@ -235,7 +267,7 @@ def nearest(
         starts = [(r["c"], bytes(r["b"])) for r in block.select("c").distinct().join(nodes, "c").orderBy("c").collect()]  # about QUERY_BLOCK queries
         if not starts:
             continue
-        found = _search(starts, nodes, adjacent, beam, steps)
+        found = _search(starts, wide, beam, steps)
         numbered = spark.createDataFrame([(j, int(c)) for j, (c, _) in enumerate(starts)], "q bigint, qc bigint")
         w = Window.partitionBy("q").orderBy(F.desc("s"), "c")
         top = found.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= RESCORED).select("q", "c")
@@ -248,6 +280,8 @@ def nearest(
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
         part = staged(scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "ann-result")
         out = part if out is None else out.unionByName(part)
+    wide.unpersist()
+    nodes.unpersist()
     return out if out is not None else spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
 
 
