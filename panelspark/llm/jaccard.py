@@ -35,9 +35,14 @@ from panelspark.llm.components import components
 from panelspark.llm.stage import staged
 
 SHINGLE = 5
-COUNTERS = 1 << 16
-#: Members of a region that are compared pair by pair.
+COUNTERS = 1 << 20
+#: Bins of a set's profile; sets beyond the size have none and are always compared.
+BINS = 128
+PROFILED = 10_000
+#: Members outside a region's largest component that are compared with all members.
 REGION = 64
+#: Members of a region that a block of the others meets at once.
+WIDE = 512
 PIVOTS = 8
 LEVELS = 6
 #: Rows of (class, id) that are broadcast at most; more are joined by a shuffle.
@@ -57,6 +62,18 @@ def _sets(words: tokens.Words, size: int) -> Iterator[np.ndarray]:
             yield w[:0]
 
 
+def _slot(s: np.ndarray) -> np.ndarray:
+    """The counter of each shingle."""
+    return (s >> np.uint64(44)).astype(np.int64)
+
+
+def _profile(s: np.ndarray) -> bytes | None:
+    """How many shingles of a set fall into each bin. Two sets have at most the sum of the bins' smaller counts in common."""
+    if len(s) > PROFILED:
+        return None
+    return np.minimum(np.bincount((s & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
 def _digest(s: np.ndarray) -> int:
     """A 64-bit name of a set."""
     if not len(s):
@@ -66,22 +83,20 @@ def _digest(s: np.ndarray) -> int:
 
 
 def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Per row: id, n, class; at the end one row with this task's shingle counters."""
-    counts, id_type = np.zeros(COUNTERS, np.int64), None
-    names = ["_id", "n", "c", "counts"]
+    """Per row: id, n, class and profile; at the end one row with this task's shingle counters."""
+    counts, id_type = np.zeros(COUNTERS, np.int32), None
+    names = ["_id", "n", "c", "profile", "counts"]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32())]
     for batch, data, offsets in tokens.blocks(batches, "_text"):
-        n, c = [], []
-        for s in _sets(tokens.hashed_words(data, offsets, tokens.space_separated()), size):
-            counts += np.bincount((s >> np.uint64(48)).astype(np.int64), minlength=COUNTERS) if len(s) > 2000 else 0
-            if len(s) <= 2000:
-                np.add.at(counts, (s >> np.uint64(48)).astype(np.int64), 1)
-            n.append(len(s))
-            c.append(_digest(s))
+        sets = list(_sets(tokens.hashed_words(data, offsets, tokens.space_separated()), size))
+        slots, n = np.unique(_slot(np.concatenate(sets)), return_counts=True)
+        counts[slots] += n.astype(np.int32)
         ids = batch.column(batch.schema.get_field_index("_id"))
         id_type = ids.type
-        yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.nulls(len(n), pa.list_(pa.int64()))], names=names)
+        columns = ([len(s) for s in sets], [_digest(s) for s in sets], [_profile(s) for s in sets], [None] * len(sets))
+        yield pa.RecordBatch.from_arrays([ids, *map(pa.array, columns, kinds)], names=names)
     if id_type is not None:
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([counts], pa.list_(pa.int64()))], names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), *(pa.nulls(1, k) for k in kinds[:3]), pa.array([counts], kinds[3])], names=names)
 
 
 def prefix_length(n: int) -> int:
@@ -99,7 +114,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, counts: np.ndarray)
             if not len(s) or name in seen:
                 continue
             seen.add(name)
-            order = np.argsort(counts[(s >> np.uint64(48)).astype(np.int64)], kind="stable")
+            order = np.argsort(counts[_slot(s)], kind="stable")
             n.append(len(s))
             c.append(name)
             firsts.append(s[order[: prefix_length(len(s))]].view(np.int64))
@@ -138,12 +153,31 @@ def _link(common: Column, n: Column, m: Column) -> Column:
     return common * 100 >= (n + m - common) * 75
 
 
+def _may_reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b, p, q, n, m = (batch.column(batch.schema.get_field_index(x)) for x in ("a", "b", "_pa", "_pb", "_na", "_nb"))
+        keep = np.ones(batch.num_rows, bool)
+        both = np.flatnonzero(np.array([x and y for x, y in zip(p.is_valid().to_pylist(), q.is_valid().to_pylist(), strict=True)], bool))
+        if len(both):
+            x, y = (np.frombuffer(b"".join(v.take(pa.array(both)).to_pylist()), np.uint8).reshape(-1, BINS) for v in (p, q))
+            most = np.where((x == 255) | (y == 255), 1 << 20, np.minimum(x, y)).sum(axis=1)
+            size = n.to_numpy()[both] + m.to_numpy()[both]
+            keep[both] = most * 175 >= size * 75
+        yield pa.RecordBatch.from_arrays([a.filter(pa.array(keep)), b.filter(pa.array(keep))], names=["a", "b"])
+
+
 class _Sets:
     """The whole shingle sets of classes, made from their texts when they are asked for."""
 
     def __init__(self, texts: DataFrame, classes: DataFrame, words: int):
         self.texts, self.classes, self.words = texts, classes, words
 
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that can be within r by their profiles."""
+        profiles = self.classes.join(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "c", "left_semi").select("c", "profile", "n").dropDuplicates(["c"])
+        left, right = (profiles.select(F.col("c").alias(x), F.col("profile").alias(f"_p{x}"), F.col("n").alias(f"_n{x}")) for x in "ab")
+        return pairs.join(left, "a").join(right, "b").select("a", "b", "_pa", "_pb", "_na", "_nb").mapInArrow(_may_reach, "a bigint, b bigint")
+
     def of(self, pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
         named = staged(self.classes.join(wanted, "c", "left_semi").groupBy("c").agg(F.min("_id").alias("_id")), "jaccard-wanted")
@@ -156,7 +190,7 @@ class _Sets:
 
 def _distances(pairs: DataFrame, source: _Sets) -> DataFrame:
     """(a, b, common, n, m) of distinct class pairs, from their whole sets."""
-    pairs = staged(pairs, "jaccard-pairs")
+    pairs = staged(source.possible(staged(pairs, "jaccard-tried")), "jaccard-pairs")
     sets = source.of(pairs)
     left = sets.select(F.col("c").alias("a"), F.col("shingles").alias("_x"))
     right = sets.select(F.col("c").alias("b"), F.col("shingles").alias("_y"))
@@ -170,29 +204,38 @@ def _with_distance(distances: DataFrame) -> DataFrame:
 
 
 def _mixed_regions(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members of regions that hold more than one component, with their component and the region's size."""
+    """The members of regions that hold more than one component.
+
+    Each with its component k, whether it stands outside the region's largest
+    component, the region's members and how many of them stand outside.
+    """
     out = members.join(labels.select(F.col("node").alias("c"), F.col("component").alias("k")), "c", "left")
     out = out.withColumn("k", F.coalesce("k", "c"))
     w = Window.partitionBy("s")
-    out = out.withColumns({"_lo": F.min("k").over(w), "_hi": F.max("k").over(w), "members": F.count("*").over(w)})
-    return out.where("_lo < _hi").drop("_lo", "_hi")
+    out = out.withColumns({"_lo": F.min("k").over(w), "_hi": F.max("k").over(w), "members": F.count("*").over(w)}).where("_lo < _hi")
+    largest = F.max(F.struct(F.col("_same"), F.col("k"))).over(w)
+    out = out.withColumn("_same", F.count("*").over(Window.partitionBy("s", "k"))).withColumn("outside", F.col("k") != largest["k"])
+    return out.withColumn("outsiders", F.sum(F.col("outside").cast("long")).over(w)).drop("_lo", "_hi", "_same")
 
 
 def _block_pairs(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of the members of each region that may link, made in blocks of about REGION members."""
-    blocks = F.ceil(F.col("members") / REGION).cast("int")
-    own = F.pmod(F.xxhash64("c"), blocks.cast("long")).cast("int")
+    """Pairs (a, b) of different components of each region that may link.
+
+    One of them stands outside the largest component. Outsiders come in blocks of
+    about REGION, all members in blocks of about WIDE; each block of the one meets
+    each of the other.
+    """
     row = F.struct("c", "n", "p", "d", "k")
-    placed = members.withColumns({"_b": own, "_of": blocks, "_row": row})
-    cells = placed.select("s", "_row", "_b", F.explode(F.sequence(F.lit(0), F.col("_of") - 1)).alias("_o"))
-    cells = cells.select("s", F.least("_b", "_o").alias("_i"), F.greatest("_b", "_o").alias("_j"), "_b", "_row")
-    grouped = cells.groupBy("s", "_i", "_j").agg(
-        F.collect_list(F.when(F.col("_b") == F.col("_i"), F.col("_row"))).alias("_left"), F.collect_list(F.when(F.col("_b") == F.col("_j"), F.col("_row"))).alias("_right")
-    )
+    tall, wide = F.ceil(F.col("outsiders") / REGION).cast("int"), F.ceil(F.col("members") / WIDE).cast("int")
+    part = lambda n, salt: F.pmod(F.xxhash64("c", F.lit(salt)), n.cast("long")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    right = members.withColumns({"_j": part(wide, 1), "_row": row}).select("s", every(tall).alias("_i"), "_j", F.lit(False).alias("_one"), "_row")
+    left = members.where("outside").withColumns({"_i": part(tall, 2), "_row": row}).select("s", "_i", every(wide).alias("_j"), F.lit(True).alias("_one"), "_row")
+    grouped = left.unionByName(right).groupBy("s", "_i", "_j").agg(F.collect_list(F.when(F.col("_one"), F.col("_row"))).alias("_left"), F.collect_list(F.when(~F.col("_one"), F.col("_row"))).alias("_right"))
 
     def fits(x: Column, y: Column) -> Column:
         window = F.coalesce(F.abs(x["d"] - y["d"]) <= 0.25 + 1e-9, F.lit(True))
-        return (x["k"] != y["k"]) & _may_link(x["n"], x["p"], y["n"], y["p"]) & window & ((F.col("_i") != F.col("_j")) | (x["c"] < y["c"]))
+        return (x["k"] != y["k"]) & _may_link(x["n"], x["p"], y["n"], y["p"]) & window
 
     pairs = F.flatten(F.transform("_left", lambda x: F.transform(F.filter("_right", lambda y: fits(x, y)), lambda y: F.struct(F.least(x["c"], y["c"]).alias("a"), F.greatest(x["c"], y["c"]).alias("b")))))
     return grouped.select(F.explode(pairs).alias("e")).select("e.a", "e.b").distinct()
@@ -205,12 +248,13 @@ def _pairs_of(rows: DataFrame, x: str, y: str) -> DataFrame:
 def _cut(large: DataFrame, sets: _Sets, level: int) -> tuple[DataFrame, DataFrame]:
     """Voronoi cells of large regions, and the links found on the way.
 
-    A region's pivots are the PIVOTS members with the smallest hashes, so regions
-    that overlap share pivots and their comparisons.
+    A region's pivots are half its most connected members, half members with the
+    smallest hashes, so regions that overlap share pivots and their comparisons.
     """
     pick = F.xxhash64("c", F.lit(level))
-    rank = F.row_number().over(Window.partitionBy("s").orderBy(pick, "c"))
-    pivots = large.select("s", "c", rank.alias("_r")).where(F.col("_r") <= PIVOTS).select("s", F.col("c").alias("v"))
+    drawn = large.withColumn("_x", F.when(F.pmod(pick, F.lit(2)) == 0, F.col("weight")).otherwise(0))
+    rank = F.row_number().over(Window.partitionBy("s").orderBy(F.desc("_x"), pick, "c"))
+    pivots = drawn.select("s", "c", rank.alias("_r")).where(F.col("_r") <= PIVOTS).select("s", F.col("c").alias("v"))
     met = large.join(pivots, "s")  # PIVOTS rows for each member
     known = staged(_with_distance(_distances(_pairs_of(met, "c", "v"), sets)), "jaccard-pivots")
     links = known.where(_link(F.col("common"), F.col("n"), F.col("m"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -219,13 +263,15 @@ def _cut(large: DataFrame, sets: _Sets, level: int) -> tuple[DataFrame, DataFram
     nearest = F.min("d").over(Window.partitionBy("s", "c"))
     cells = far.withColumn("_near", nearest).where("d <= _near + 0.5 + 1e-9")
     cells = cells.withColumn("_parent", F.col("members")).withColumn("s", F.xxhash64("s", "v"))
-    return staged(cells.select("s", "c", "n", "p", "d", "_parent"), "jaccard-cells"), links
+    return staged(cells.select("s", "c", "n", "p", "d", "weight", "_parent"), "jaccard-cells"), links
 
 
 def _all_links(members: DataFrame, sets: _Sets) -> DataFrame:
     """Links (u, v) that join all classes within r into the right components."""
-    pivot = F.min(F.struct(F.xxhash64("c").alias("h"), "c", "n", "p")).over(Window.partitionBy("s"))
-    star = members.withColumn("_v", pivot).select("s", "c", "n", "p", F.col("_v.c").alias("v"), F.col("_v.n").alias("vn"), F.col("_v.p").alias("vp"))
+    weight = members.groupBy("c").agg(F.sum("met").alias("weight"))  # in how many regions with how many others
+    members = members.join(weight, "c")
+    pivot = F.max(F.struct("weight", F.xxhash64("c").alias("h"), "c", "n", "p")).over(Window.partitionBy("s"))
+    star = members.withColumn("_v", pivot).select("s", "c", "n", "p", "weight", F.col("_v.c").alias("v"), F.col("_v.n").alias("vn"), F.col("_v.p").alias("vp"))
     tried = star.where(_may_link(F.col("n"), F.col("p"), F.col("vn"), F.col("vp")))
     known = staged(_with_distance(_distances(_pairs_of(tried, "c", "v"), sets)), "jaccard-stars")
     link = _link(F.col("common"), F.col("n"), F.col("m"))
@@ -234,8 +280,8 @@ def _all_links(members: DataFrame, sets: _Sets) -> DataFrame:
     keyed = star.withColumns({"a": F.least("c", "v"), "b": F.greatest("c", "v")})
     rows = keyed.join(known.select("a", "b", "d"), ["a", "b"], "left").withColumn("d", F.when(F.col("c") == F.col("v"), 0.0).otherwise(F.col("d")))
     # the one pair of a region of two has been compared
-    left = staged(_mixed_regions(rows.select("s", "c", "n", "p", "d"), labels).where("members > 2"), "jaccard-left")
-    small, large = left.where(F.col("members") <= REGION), left.where(F.col("members") > REGION)
+    left = staged(_mixed_regions(rows.select("s", "c", "n", "p", "d", "weight"), labels).where("members > 2"), "jaccard-left")
+    small, large = left.where(F.col("outsiders") <= REGION), left.where(F.col("outsiders") > REGION)
     pairs = [_block_pairs(small)]
     for level in range(LEVELS):
         if large.isEmpty():
@@ -244,9 +290,9 @@ def _all_links(members: DataFrame, sets: _Sets) -> DataFrame:
         links = staged(links.unionByName(more).distinct(), "jaccard-links")
         labels = staged(components(links), "jaccard-labels")
         parents = cells.select("s", "_parent").distinct()
-        left = staged(_mixed_regions(cells.select("s", "c", "n", "p", "d"), labels).join(parents, "s"), "jaccard-left")
+        left = staged(_mixed_regions(cells.select("s", "c", "n", "p", "d", "weight"), labels).join(parents, "s"), "jaccard-left")
         stuck = (F.col("members") * 10 > F.col("_parent") * 9) | F.lit(level + 1 == LEVELS)
-        done = (F.col("members") <= REGION) | stuck
+        done = (F.col("outsiders") <= REGION) | stuck
         pairs.append(_block_pairs(left.where(done)))
         large = left.where(~done)
     rest = pairs[0]
@@ -269,11 +315,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     id_type = texts.schema["_id"].dataType.simpleString()
-    base = staged(texts.mapInArrow(lambda b: _describe(b, words), f"_id {id_type}, n bigint, c bigint, counts array<bigint>"), "jaccard-classes")
+    base = staged(texts.mapInArrow(lambda b: _describe(b, words), f"_id {id_type}, n bigint, c bigint, profile binary, counts array<int>"), "jaccard-classes")
     counters = base.where("counts is not null").select(F.posexplode("counts").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"))
+    table = counters.toArrow()  # COUNTERS rows at most, whatever the input
     counts = np.zeros(COUNTERS, np.int64)
-    for r in counters.collect():  # COUNTERS rows at most, whatever the input
-        counts[r["i"]] = r["x"]
+    counts[table["i"].to_numpy()] = table["x"].to_numpy()
     shared = spark.sparkContext.broadcast(counts)
     firsts = texts.select("_text").mapInArrow(lambda b: _prefixes(b, words, shared.value), "n bigint, c bigint, first array<bigint>")
     postings = firsts.select("n", "c", F.posexplode("first").alias("p", "s"))
@@ -281,7 +327,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edge = F.min(F.col("p") * 7 - F.col("n"))  # the smaller set of a pair has its first common shingle in the first seventh
     over = {"_lo": F.min("c").over(by_shingle), "_hi": F.max("c").over(by_shingle), "_edge": edge.over(by_shingle)}
     met = postings.withColumns(over).where("_lo < _hi and _edge <= 0")
-    members = staged(met.select("s", "c", "n", F.col("p").cast("long").alias("p")).dropDuplicates(["s", "c"]), "jaccard-regions")
+    once = met.select("s", "c", "n", F.col("p").cast("long").alias("p")).dropDuplicates(["s", "c"])
+    members = staged(once.withColumn("met", F.count("*").over(by_shingle) - 1), "jaccard-regions")
     sets = _Sets(texts, base.where("n > 0"), words)
     labels = staged(components(_all_links(members, sets)), "jaccard-components")
     rows = base.where("n is not null").select("_id", "n", F.when(F.col("n") > 0, F.col("c")).alias("c"))
