@@ -171,11 +171,11 @@ class _Sets:
 
     def __init__(self, texts: DataFrame, classes: DataFrame, words: int):
         self.texts, self.classes, self.words = texts, classes, words
+        self.profiles = staged(classes.groupBy("c").agg(F.first("profile").alias("profile"), F.first("n").alias("n")), "jaccard-profiles")
 
     def possible(self, pairs: DataFrame) -> DataFrame:
         """The pairs that can be within r by their profiles."""
-        profiles = self.classes.join(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "c", "left_semi").select("c", "profile", "n").dropDuplicates(["c"])
-        left, right = (profiles.select(F.col("c").alias(x), F.col("profile").alias(f"_p{x}"), F.col("n").alias(f"_n{x}")) for x in "ab")
+        left, right = (self.profiles.select(F.col("c").alias(x), F.col("profile").alias(f"_p{x}"), F.col("n").alias(f"_n{x}")) for x in "ab")
         return pairs.join(left, "a").join(right, "b").select("a", "b", "_pa", "_pb", "_na", "_nb").mapInArrow(_may_reach, "a bigint, b bigint")
 
     def of(self, pairs: DataFrame) -> DataFrame:
