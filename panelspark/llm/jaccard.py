@@ -188,9 +188,14 @@ class _Sets:
         return staged(whole.mapInArrow(lambda b: _whole_sets(b, words), "c bigint, shingles array<bigint>"), "jaccard-sets")
 
 
-def _distances(pairs: DataFrame, source: _Sets) -> DataFrame:
-    """(a, b, common, n, m) of distinct class pairs, from their whole sets."""
-    pairs = staged(source.possible(staged(pairs, "jaccard-tried")), "jaccard-pairs")
+def _distances(pairs: DataFrame, source: _Sets, far: bool = False) -> DataFrame:
+    """(a, b, common, n, m) of distinct class pairs, from their whole sets.
+
+    Pairs that cannot be within r have no row unless `far` asks for them.
+    """
+    pairs = staged(pairs, "jaccard-tried")
+    if not far:
+        pairs = staged(source.possible(pairs), "jaccard-pairs")
     sets = source.of(pairs)
     left = sets.select(F.col("c").alias("a"), F.col("shingles").alias("_x"))
     right = sets.select(F.col("c").alias("b"), F.col("shingles").alias("_y"))
@@ -256,10 +261,11 @@ def _cut(large: DataFrame, sets: _Sets, level: int) -> tuple[DataFrame, DataFram
     rank = F.row_number().over(Window.partitionBy("s").orderBy(F.desc("_x"), pick, "c"))
     pivots = drawn.select("s", "c", rank.alias("_r")).where(F.col("_r") <= PIVOTS).select("s", F.col("c").alias("v"))
     met = large.join(pivots, "s")  # PIVOTS rows for each member
-    known = staged(_with_distance(_distances(_pairs_of(met, "c", "v"), sets)), "jaccard-pivots")
+    # cells and windows need the distances beyond r as well
+    known = staged(_with_distance(_distances(_pairs_of(met, "c", "v"), sets, far=True)), "jaccard-pivots")
     links = known.where(_link(F.col("common"), F.col("n"), F.col("m"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
     keyed = met.withColumns({"a": F.least("c", "v"), "b": F.greatest("c", "v")}).drop("d")
-    far = keyed.join(known.select("a", "b", "d"), ["a", "b"], "left").withColumn("d", F.when(F.col("c") == F.col("v"), 0.0).otherwise(F.coalesce("d", F.lit(1.0))))
+    far = keyed.join(known.select("a", "b", "d"), ["a", "b"], "left").withColumn("d", F.when(F.col("c") == F.col("v"), 0.0).otherwise(F.col("d")))
     nearest = F.min("d").over(Window.partitionBy("s", "c"))
     cells = far.withColumn("_near", nearest).where("d <= _near + 0.5 + 1e-9")
     cells = cells.withColumn("_parent", F.col("members")).withColumn("s", F.xxhash64("s", "v"))

@@ -191,6 +191,45 @@ def test_jaccard_edges(spark, rows):
     assert jaccard.near_duplicates(docs(rows, ODD).limit(0)).count() == 0
 
 
+def drifting(count=300, seed=11, blocks=12):
+    """Variants of one text, each with one block of another's exchanged for the block's other wording; every wording is frequent."""
+    r = np.random.default_rng(seed)
+    wording = [(prose(20_000 + i, 8), prose(30_000 + i, 8)) for i in range(blocks)]
+    made = [tuple(int(x) for x in r.integers(0, 2, blocks))]
+    while len(made) < count:
+        v = list(made[max(0, len(made) - 1 - int(r.integers(0, 40)))])
+        v[int(r.integers(0, blocks))] ^= 1
+        if tuple(v) not in made:
+            made.append(tuple(v))
+    made = [v for i, v in enumerate(made) if i % 5]
+    return [(i, " ".join(wording[k][x] for k, x in enumerate(v))) for i, v in enumerate(made)]
+
+
+def test_jaccard_drifting_variants_equal_brute_force(spark, rows):
+    """Distances to pivots above the limit are needed as they are: neighbours on both sides of one lie in its cell."""
+    texts = drifting()
+    got = jaccard.near_duplicates(docs(rows, texts))
+    assert sorted(map(tuple, got.collect())) == classes_by_brute_force(texts)
+
+
+def test_jaccard_cells_hold_true_distances(spark, rows):
+    """Members beyond the limit from a pivot keep their distance, so pairs within it share a cell and pass its window."""
+    texts = drifting(40)
+    table = docs(rows, texts).selectExpr("doc_id as _id", "text as _text").localCheckpoint()
+    base = table.mapInArrow(lambda b: jaccard._describe(b, 5), "_id bigint, n bigint, c bigint, profile binary, counts array<int>").where("n > 0").localCheckpoint()
+    text_of = {r["c"]: shingles(dict(texts)[r["_id"]]) for r in base.collect()}
+    away = lambda a, b: 1 - len(text_of[a] & text_of[b]) / len(text_of[a] | text_of[b])
+    large = base.selectExpr("1L as s", "c", "n", "0L as p", "0D as d", "1L as weight", f"{len(texts)}L as members")
+    cells = collections.defaultdict(dict)
+    for r in jaccard._cut(large, jaccard._Sets(table, base, 5), 0)[0].collect():
+        cells[r["s"]][r["c"]] = r["d"]
+    for cell in cells.values():
+        (pivot,) = [c for c, d in cell.items() if d == 0]
+        assert all(d == pytest.approx(away(c, pivot)) for c, d in cell.items())
+    near = [(a, b) for a in text_of for b in text_of if a < b and away(a, b) <= 0.25]
+    assert near and all(any({a, b} <= set(cell) and abs(cell[a] - cell[b]) <= 0.25 + 1e-9 for cell in cells.values()) for a, b in near)
+
+
 def test_jaccard_limit_is_exact(spark, rows):
     """24 of 32 shingles in common link, 23 of 32 do not; the profile bound never prunes a link."""
     a = [f"w{i}" for i in range(32)]
