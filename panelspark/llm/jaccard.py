@@ -83,20 +83,20 @@ def _digest(s: np.ndarray) -> int:
 
 
 def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Per row: id, n, class and profile; at the end one row with this task's shingle counters."""
+    """Per row: id, hash of the text, n, class and profile; at the end one row with this task's shingle counters."""
     counts, id_type = np.zeros(COUNTERS, np.int32), None
-    names = ["_id", "n", "c", "profile", "counts"]
+    names = ["_id", "_hash", "n", "c", "profile", "counts"]
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32())]
     for batch, data, offsets in tokens.blocks(batches, "_text"):
         sets = list(_sets(tokens.hashed_words(data, offsets, tokens.space_separated()), size))
         slots, n = np.unique(_slot(np.concatenate(sets)), return_counts=True)
         counts[slots] += n.astype(np.int32)
-        ids = batch.column(batch.schema.get_field_index("_id"))
+        ids, texts = (batch.column(batch.schema.get_field_index(x)) for x in ("_id", "_hash"))
         id_type = ids.type
         columns = ([len(s) for s in sets], [_digest(s) for s in sets], [_profile(s) for s in sets], [None] * len(sets))
-        yield pa.RecordBatch.from_arrays([ids, *map(pa.array, columns, kinds)], names=names)
+        yield pa.RecordBatch.from_arrays([ids, texts, *map(pa.array, columns, kinds)], names=names)
     if id_type is not None:
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), *(pa.nulls(1, k) for k in kinds[:3]), pa.array([counts], kinds[3])], names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.nulls(1, pa.int64()), *(pa.nulls(1, k) for k in kinds[:3]), pa.array([counts], kinds[3])], names=names)
 
 
 def prefix_length(n: int) -> int:
@@ -309,19 +309,13 @@ def _all_links(members: DataFrame, sets: _Sets) -> DataFrame:
     return links.unionByName(last)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE) -> DataFrame:
-    """Per row: id, n_shingles and component_id, the smallest id reachable over links of J >= 3/4.
-
-    NULL or empty text has no shingles, links with nothing and is its own
-    component; a text of fewer than `words` words is one shingle; repeated rows
-    and copies are one class and share their component; a NULL id stays NULL and
-    does not name a component unless all its ids are NULL; an empty table gives an
-    empty result. Other columns are not read.
-    """
+def _rows(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """Per row: _id, _hash of its text, n and the component _k, which is NULL without shingles."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     id_type = texts.schema["_id"].dataType.simpleString()
-    base = staged(texts.mapInArrow(lambda b: _describe(b, words), f"_id {id_type}, n bigint, c bigint, profile binary, counts array<int>"), "jaccard-classes")
+    hashed = texts.withColumn("_hash", F.xxhash64("_text"))
+    base = staged(hashed.mapInArrow(lambda b: _describe(b, words), f"_id {id_type}, _hash bigint, n bigint, c bigint, profile binary, counts array<int>"), "jaccard-classes")
     counters = base.where("counts is not null").select(F.posexplode("counts").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"))
     table = counters.toArrow()  # COUNTERS rows at most, whatever the input
     counts = np.zeros(COUNTERS, np.int64)
@@ -337,23 +331,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = staged(once.withColumn("met", F.count("*").over(by_shingle) - 1), "jaccard-regions")
     sets = _Sets(texts, base.where("n > 0"), words)
     labels = staged(components(_all_links(members, sets)), "jaccard-components")
-    rows = base.where("n is not null").select("_id", "n", F.when(F.col("n") > 0, F.col("c")).alias("c"))
-    rows = rows.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("_k", F.coalesce("component", "c")).select("_id", "n", "_k")
-    rows = staged(rows, "jaccard-rows")
+    rows = base.where("n is not null").select("_id", "_hash", "n", F.when(F.col("n") > 0, F.col("c")).alias("c"))
+    rows = rows.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("_k", F.coalesce("component", "c")).select("_id", "_hash", "n", "_k")
+    return staged(rows, "jaccard-rows")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE) -> DataFrame:
+    """Per row: id, n_shingles and component_id, the smallest id reachable over links of J >= 3/4.
+
+    NULL or empty text has no shingles, links with nothing and is its own
+    component; a text of fewer than `words` words is one shingle; repeated rows
+    and copies are one class and share their component; a NULL id stays NULL and
+    does not name a component unless all its ids are NULL; an empty table gives an
+    empty result. Other columns are not read.
+    """
+    rows = _rows(docs, id_col, text_col, words)
     least = rows.where("_k is not null").groupBy("_k").agg(F.min("_id").alias("_least"))
     out = rows.join(least, "_k", "left")
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("_k").isNull(), F.col("_id")).otherwise(F.col("_least")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with one of each component left, the one with the smallest id; all own columns.
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE) -> DataFrame:
+    """The documents with one row of each component left, the one with the smallest id; all own columns.
 
-    Rows of one id count as one document: one of them stays.
+    A row is named by its id and its text's hash, so rows of one id, or without
+    id, are told apart; rows alike in both are one. A NULL id comes after all
+    others. Rows without shingles stay, one of each id and text.
     """
-    found = staged(near_duplicates(docs, id_col, text_col), "jaccard-found")
-    gone = found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone")).distinct()
-    again = found.groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("_again"))
-    kept = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
-    once = kept.join(again, F.col(id_col).eqNullSafe(F.col("_again")), "left_anti")
-    more = kept.join(again, F.col(id_col).eqNullSafe(F.col("_again")), "left_semi").dropDuplicates([id_col])
+    rows = _rows(docs, id_col, text_col, words)
+    first = rows.where("_k is not null").groupBy("_k").agg(F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_hash")).alias("_first"))
+    copies = rows.join(first, "_k").where(~(F.col("_id").eqNullSafe(F.col("_first._id")) & (F.col("_hash") == F.col("_first._hash"))))
+    row_is = lambda names: F.col(id_col).eqNullSafe(F.col(names[0])) & (F.xxhash64(text_col) == F.col(names[1]))
+    gone = copies.select(F.col("_id").alias("_gone"), F.col("_hash").alias("_gone_text")).distinct()
+    again = rows.groupBy("_id", "_hash").count().where("count > 1").select(F.col("_id").alias("_again"), F.col("_hash").alias("_again_text"))
+    kept = docs.join(gone, row_is(["_gone", "_gone_text"]), "left_anti")
+    once = kept.join(again, row_is(["_again", "_again_text"]), "left_anti")
+    more = kept.join(again, row_is(["_again", "_again_text"]), "left_semi").dropDuplicates([id_col, text_col])
     return once.unionByName(more)

@@ -191,6 +191,13 @@ def test_jaccard_edges(spark, rows):
     assert jaccard.near_duplicates(docs(rows, ODD).limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_stays_whatever_the_ids(spark, rows):
+    a, b, c, d = (prose(60_000 + i, 20) for i in range(4))
+    table = [(None, a), (None, b), (None, b), (None, c), (1, c), (1, d), (2, d.upper()), (2, None), (2, None), (2, ""), (None, None), (None, None)]
+    got = [(r["doc_id"], r["text"]) for r in jaccard.one_of_each(docs(rows, table)).collect()]
+    assert sorted(got, key=str) == sorted([(None, a), (None, b), (1, c), (1, d), (2, None), (2, ""), (None, None)], key=str)
+
+
 def drifting(count=300, seed=11, blocks=12):
     """Variants of one text, each with one block of another's exchanged for the block's other wording; every wording is frequent."""
     r = np.random.default_rng(seed)
@@ -215,8 +222,8 @@ def test_jaccard_drifting_variants_equal_brute_force(spark, rows):
 def test_jaccard_cells_hold_true_distances(spark, rows):
     """Members beyond the limit from a pivot keep their distance, so pairs within it share a cell and pass its window."""
     texts = drifting(40)
-    table = docs(rows, texts).selectExpr("doc_id as _id", "text as _text").localCheckpoint()
-    base = table.mapInArrow(lambda b: jaccard._describe(b, 5), "_id bigint, n bigint, c bigint, profile binary, counts array<int>").where("n > 0").localCheckpoint()
+    table = docs(rows, texts).selectExpr("doc_id as _id", "xxhash64(text) as _hash", "text as _text").localCheckpoint()
+    base = table.mapInArrow(lambda b: jaccard._describe(b, 5), "_id bigint, _hash bigint, n bigint, c bigint, profile binary, counts array<int>").where("n > 0").localCheckpoint()
     text_of = {r["c"]: shingles(dict(texts)[r["_id"]]) for r in base.collect()}
     away = lambda a, b: 1 - len(text_of[a] & text_of[b]) / len(text_of[a] | text_of[b])
     large = base.selectExpr("1L as s", "c", "n", "0L as p", "0D as d", "1L as weight", f"{len(texts)}L as members")
