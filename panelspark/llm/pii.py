@@ -56,10 +56,26 @@ _AT = r"(?:\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|\s+(?:at|@)\s+|\s+@|@\s+|[_-]at[_-
 _DOT = r"(?:\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|\s+dot\s+|[_-]dot[_-]|\s+\.\s+|\.)"
 _ADDRESS = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-]){_NAME}(?:{_DOT}{_NAME}){{0,4}}?(?P<at>{_AT})[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+){{1,5}}")
 _AT_ONLY, _DOT_ONLY = re.compile(rf"(?i){_AT}"), re.compile(rf"(?i){_DOT}")
-_HINTS = (" dot ", "dot)", "dot]", "dot}", "dot>", "dot )", "dot ]", "_dot_", "-dot-", "(at", "[at", "{at", "<at", "( at", "[ at", "{ at", " @", "@ ", "(@", "[@", "{@", "_at_", "-at-")
-_AT_DOMAIN = re.compile(r" at [a-z0-9-]+\.[a-z0-9-]")
-# Endings of domain names that are accepted after a bare "at" or a spaced @.
+_HINT = re.compile(r"\sdot\s|[_-]dot[_-]|[\[({<]\s*(?:dot|at|\.|@)\s*[\])}>]|\s@|@\s|[_-]at[_-]|\s\.\s|\s+at\s+[a-z0-9-]+\.[a-z0-9-]")
+_VISIBLE_DOT = re.compile(r"(?i)[\[({<]|[_-]dot[_-]")
+# Endings of domain names that are accepted where every disguise is a bare word or a space. All endings of
+# countries, and general ones in use; a text with a bracketed or joined at or dot may have any ending of two or more letters.
 ENDINGS = frozenset("com org net edu gov mil int info biz name io dev app ai co tv example test invalid uk de fr es eu us ca au jp cn ru br nl pl se ch".split())
+MORE_ENDINGS = frozenset((
+    "ac ad ae af ag al am ao aq ar as at aw ax az ba bb bd be bf bg bh bi bj bm bn bo bs bt bw by bz cc cd cf cg ci ck cl cm cr cu cv cw cx cy cz "
+    "dj dk dm do dz ec ee eg er et fi fj fk fm fo ga gd ge gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in iq ir is it "
+    "je jm jo ke kg kh ki km kn kp kr kw ky kz la lb lc li lk lr ls lt lu lv ly ma mc md me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my mz "
+    "na nc ne nf ng ni no np nr nu nz om pa pe pf pg ph pk pm pn pr ps pt pw py qa re ro rs rw sa sb sc sd sg sh si sj sk sl sm sn so sr ss st su sv sx sy sz "
+    "tc td tf tg th tj tk tl tm tn to tr tt tw tz ua ug uy uz va vc ve vg vi vn vu wf ws ye yt za zm zw aero agency arpa art asia bank bar berlin best "
+    "bio blog cafe cat center chat city click cloud club coop company consulting cool design digital email energy events expert express "
+    "family fashion finance fit foundation fun fund gallery games global group guide guru health help host house inc ink institute jobs "
+    "land law legal life link live llc local localhost london ltd market marketing media mobi money museum network news ngo nyc one onion online page paris partners "
+    "photo photography photos pizza plus post press pro productions pub rocks sale school science security services shop site social software solutions space "
+    "store studio style support systems team tech technology tel tips today tools top tours town toys trade training travel university video vip "
+    "website wiki win wine work works world wtf xxx xyz zone"
+).split())
+# Words that are no domain before a bare "dot" and an ending that is a word itself: "looked at the dot in it".
+_ARTICLES = frozenset("a an the this that these those his her its my your our their each every one some any no at dot".split())
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -167,39 +183,47 @@ def _spelled_ips(text: str) -> Iterator[tuple[int, int, str]]:
         yield m.start(), m.end(), ".".join(digits)
 
 
-def _addresses(text: str) -> Iterator[tuple[int, int, str]]:
-    """@ and . for their disguises where a whole address stands.
+def _accepted(at: str, local: str, labels: list[str], dots: list[str]) -> bool:
+    """Whether local, at and these labels with these dots between them are an address in disguise.
 
-    A bare word "at" counts only if the domain's dots are disguised as well:
-    "look at example.com" is left alone.
+    A bare word "at" with plain dots counts only if the local part has marks of
+    an address: "look at example.com" is left alone.
     """
+    ending, visible = labels[-1].lower(), _VISIBLE_DOT.search("".join(dots)) is not None
+    if re.search(r"[\[({<]", at):
+        return True
+    if not (len(ending) >= 2 and ending.isalpha()) and not ending.startswith("xn--"):
+        return False
+    disguised = any(d != "." for d in dots)
+    bare = at.strip().lower() == "at"
+    if bare and not disguised and not re.search(r"[0-9._+]", local):
+        return False
+    spoken = any(d.strip().lower() == "dot" for d in dots)
+    if visible or "_" in at or (at == "@" and (spoken or not disguised)) or (bare and disguised and re.search(r"(?i)\sdot\s|[0-9._+]", local)):
+        return True
+    return ending in ENDINGS or (ending in MORE_ENDINGS and not (bare and labels[0].lower() in _ARTICLES))
+
+
+def _addresses(text: str) -> Iterator[tuple[int, int, str]]:
+    """@ and . for their disguises where a whole address stands, with as many labels as its ending allows."""
     for m in _ADDRESS.finditer(text):
         local, domain_from = text[m.start() : m.start("at")], m.end("at")
-        domain = text[domain_from : m.end()]
-        bracketed = re.search(r"[\[({<]", m["at"]) is not None
-        dots = [domain_from + d.start() for d in _DOT_ONLY.finditer(domain) if d[0] != "."]
-        if not bracketed:
-            if re.split(r"(?i)[^a-z0-9]", domain)[-1].lower() not in ENDINGS:
-                continue
-            if m["at"].strip().lower() == "at" and not dots and not re.search(r"[0-9._+]", local):
-                continue
+        between = list(_DOT_ONLY.finditer(text[domain_from : m.end()]))
+        edges = [0, *(x for d in between for x in d.span()), m.end() - domain_from]
+        labels = [text[domain_from + a : domain_from + b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
+        n = next((n for n in range(len(between), 0, -1) if _accepted(m["at"], local, labels[: n + 1], [d[0] for d in between[:n]])), 0)
+        if not n:
+            continue
         disguised_local = re.search(r"(?i)[\[({<]|[_-]dot[_-]|\sdot\s", local)
-        if m["at"] == "@" and not dots and not disguised_local:
+        if m["at"] == "@" and all(d[0] == "." for d in between[:n]) and not disguised_local:
             continue
         if disguised_local:
             yield from ((m.start() + d.start(), m.start() + d.end(), ".") for d in _DOT_ONLY.finditer(local))
         yield m.start("at"), domain_from, "@"
-        for d in _DOT_ONLY.finditer(domain):
+        for d in between[:n]:
             yield domain_from + d.start(), domain_from + d.end(), "."
 
 
-def _spells(low: str) -> bool:
-    """Whether at least three words are spelled digits."""
-    if sum(low.count(w) for w in DIGIT_WORDS) < 3:
-        return False
-    return sum(w in DIGIT_WORDS for w in low.replace("-", " ").replace(",", " ").split()) >= 3
-
-
 def disguised(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) in `text` of identifiers that show after rewriting."""
     foreign = not text.isascii() and _FOREIGN.search(text) is not None
@@ -207,11 +231,13 @@ def disguised(text: str) -> list[tuple[int, int, int]]:
     if foreign:
         out.rewrite(_homoglyphs(out.text))
     low = out.text.lower()
-    if _spells(low):
+    if low.count(" dot ") + low.count(" point ") >= 3:
         out.rewrite(_spelled_ips(out.text))
+    if sum(low.count(w) for w in DIGIT_WORDS) >= 3:
         out.rewrite(_spelled_digits(out.text))
+    if "plus" in low:
         out.rewrite((m.start(), m.end(), "+") for m in _PLUS.finditer(out.text))
-    if any(h in low for h in _HINTS) or _AT_DOMAIN.search(low):
+    if _HINT.search(low) or _DOT_NUMBER.search(out.text):
         out.rewrite((m.start(), m.end(), ".") for m in _DOT_NUMBER.finditer(out.text))
         out.rewrite(_addresses(out.text))
     if out.start is None:

@@ -475,6 +475,30 @@ def test_disguises_map_back_to_the_source(text, kind, shown):
     assert [(pii.KINDS[k], text[a:b], p) for k, a, b, p in pii.spans(text)] == [(kind, shown, False)]
 
 
+@pytest.mark.parametrize(
+    "text,kind,shown",
+    [
+        ("mail anna at firma dot it", "email", "anna at firma dot it"),
+        ("mail anna@firma [dot] it", "email", "anna@firma [dot] it"),
+        ("x_at_y_dot_be!", "email", "x_at_y_dot_be"),
+        ("anna@firma[.]quebec", "email", "anna@firma[.]quebec"),
+        ("anna at firma dot co dot za and so on", "email", "anna at firma dot co dot za"),
+        ("anna at firma\ndot\nxyz", "email", "anna at firma\ndot\nxyz"),
+        ("host 10 dot zero dot zero dot 5 up", "ip", "10 dot zero dot zero dot 5"),
+        ("call plus 44 20 7946 0958", "phone", "plus 44 20 7946 0958"),
+        ("(four one one one one one one one one one one one one one one one.)", "card", "four one one one one one one one one one one one one one one one"),
+        ("plus four four two zero seven nine four six zero.", "phone", "plus four four two zero seven nine four six zero"),
+    ],
+)
+def test_disguises_of_any_ending_and_few_digit_words(text, kind, shown):
+    assert [(pii.KINDS[k], text[a:b], p) for k, a, b, p in pii.spans(text)] == [(kind, shown, False)]
+
+
+@pytest.mark.parametrize("text", ["look at the dot in it", "see you at noon. It was at 5.30 in the morning", "aim at a dot or at the dot is it", "2 plus 3 is 5", "meet @ noon . Then go", "a stay-at-home.The end"])
+def test_more_clean_texts_stay_clean(text):
+    assert pii.spans(text) == []
+
+
 @pytest.mark.parametrize("text", ["look at example.com now", "he looked at the dot on it", "one two three four", "meet me at noon. dot com era", "a @ b", "привет мир", "at at at dot dot dot"])
 def test_clean_texts_stay_clean(text):
     assert pii.spans(text) == []
