@@ -36,14 +36,19 @@ class Tables:
     length: int
     words: np.ndarray  # patterns x length, word hashes
     text: list[bytes]  # the words of each pattern, joined by a space
-    items: list[list[str]]  # the items of each pattern
+    items: list[list[str | None]]  # the items of each pattern
     blocks: np.ndarray  # sorted hashes of the blocks in patterns
     shift: np.ndarray  # by block; 0 where it ends a pattern
     bucket: np.ndarray  # by block: where its patterns begin in `order`
     order: np.ndarray
 
 
-def tables(items: list[tuple[str, bytes]], window: int = WINDOW) -> list[Tables]:
+def _sorted(items: set) -> list[str | None]:
+    """Item ids in order, that of items without id last."""
+    return sorted(items, key=lambda i: (i is None, i or ""))
+
+
+def tables(items: list[tuple[str | None, bytes]], window: int = WINDOW) -> list[Tables]:
     """Search tables from (item id, text) pairs, one for each pattern length."""
     by_length: dict[int, dict[bytes, tuple[np.ndarray, set]]] = {}
     for item, raw in items:
@@ -77,7 +82,7 @@ def _tables(m: int, found: dict) -> Tables:
     last = blocks[-1]
     by_last = np.argsort(last, kind="stable")
     bucket = np.append(np.searchsorted(last[by_last], unique), len(text))
-    return Tables(m, words, text, [sorted(found[t][1]) for t in text], unique, shift[order][first], bucket, by_last)
+    return Tables(m, words, text, [_sorted(found[t][1]) for t in text], unique, shift[order][first], bucket, by_last)
 
 
 def search(words: tokens.Words, t: Tables) -> Iterator[tuple[int, int]]:
@@ -107,9 +112,9 @@ def search(words: tokens.Words, t: Tables) -> Iterator[tuple[int, int]]:
         at, stop = at[live], stop[live]
 
 
-def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> list[list[tuple[str, bytes]]]:
+def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> list[list[tuple[str | None, bytes]]]:
     """The items in blocks of a bounded number of bytes, fetched block by block."""
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where("item is not null and text is not null")
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where("text is not null")
     size = items.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = int(size // (6 * block_words)) + 1
     if blocks == 1:
@@ -128,9 +133,10 @@ def find_items(
     handled where they are read; there is no shuffle. The tables of one block of
     items are broadcast, `block_words` words at most. A benchmark beyond that is
     searched for block after block, each pass adding to the found ranges.
-    NULL or empty text has no words and no hits; NULL items are left out; items
-    of fewer words than `window` are one window, items without words none;
-    repeated rows are each reported; an empty benchmark finds nothing.
+    NULL or empty text has no words and no hits; items with text and a NULL id
+    are searched for and count as one item in `n_items`, which `items_sha256`
+    leaves out; items of fewer words than `window` are one window, items without
+    words none; repeated rows are each reported; an empty benchmark finds nothing.
     """
     spark = docs.sparkSession
     names = list(dict.fromkeys([id_col, *keep]))
@@ -179,7 +185,7 @@ def _search_batches(batches: Iterator[pa.RecordBatch], all_tables: list[Tables])
                     at.append([a, a + t.length])
                 names.update(t.items[p])
         for d, (at, names) in found.items():
-            spans[d], items[d] = _union(at), sorted(names)
+            spans[d], items[d] = _union(at), _sorted(names)
         columns = {"_spans": pa.array(spans, pa.list_(pa.list_(pa.int64()))), "_items": pa.array(items, pa.list_(pa.string())), "n_words": pa.array(np.diff(words.first), pa.int64())}
         yield pa.RecordBatch.from_arrays([columns.get(f.name, batch.column(i)) for i, f in enumerate(batch.schema)], names=batch.schema.names)
 

@@ -319,6 +319,24 @@ def test_wu_manber_equals_brute_force(spark, rows, block_words):
     assert sorted(map(str, map(tuple, got.drop("spans").collect()))) == sorted(map(str, contamination(texts, items)))
 
 
+@pytest.mark.parametrize("block_words", [2_000_000, 5])
+def test_items_without_id_are_found_as_in_sql(spark, rows, block_words):
+    import duckdb
+
+    from panelspark.llm import queries
+
+    texts = [(1, "x " + prose(1, 30) + " y"), (2, prose(2, 12)), (3, prose(1, 15) + " " + prose(2, 12)), (4, prose(4, 20)), (5, None)]
+    items = [(None, prose(1, 30)), (None, prose(2, 12)), (7, prose(2, 12)), (None, None), (8, prose(9, 12))]
+    table, bench = docs(rows, texts), rows(items, "item_id bigint, text string")
+    db = duckdb.connect()
+    db.register("documents", table.toArrow())
+    db.register("benchmark", bench.toArrow())
+    got = decontamination.find_items(table, bench, block_words=block_words).drop("spans")
+    want = db.execute(queries.SQL["op5_decontamination"]).fetchall()
+    assert [tuple(r) for r in got.orderBy("doc_id").collect()] == sorted(want)
+    assert {r["doc_id"] for r in decontamination.clean_documents(table, bench, block_words=block_words).collect()} == {4, 5}
+
+
 def test_decontamination_edges(spark, rows):
     none = rows([], "item_id bigint, text string")
     assert all(not r["contaminated"] for r in decontamination.find_items(docs(rows, ODD), none).collect())
