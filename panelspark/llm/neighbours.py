@@ -11,7 +11,9 @@ original vectors.
 
 The measure is the inner product. One more component makes all norms equal, so
 that near in the graph means a large inner product also for vectors of
-different length.
+different length. It is kept as a double beside the bytes, which it would
+otherwise flatten where one vector is much longer than the others. A search
+starts at the longest vectors too, as these have the largest products.
 """
 
 from __future__ import annotations
@@ -37,25 +39,31 @@ LEAF = 128
 BEAM = 160
 RESCORED = 60
 STEPS = 12
+#: Longest vectors at which every search starts.
+LONGEST = 64
+#: Descent ends when at most this share of the neighbours is new.
+CHANGED = 0.01
 #: Queries searched together; their vectors are broadcast.
 QUERY_BLOCK = 4096
 
 
-def _packed(x: np.ndarray) -> list[bytes]:
-    """Rows of bytes with the scale in front."""
-    scale = (np.abs(x).max(axis=1, keepdims=True) / 127).astype(np.float32)
-    q = np.rint(x / np.maximum(scale, 1e-30)).astype(np.int8)
-    return [a + b for a, b in zip(map(bytes, scale.view(np.uint8)), map(bytes, q.view(np.uint8)), strict=True)]
+def _packed(x: np.ndarray, last: np.ndarray) -> list[bytes]:
+    """Rows of the components as bytes, with their scale and the component that makes norms equal in front, both doubles."""
+    scale = np.abs(x).max(axis=1, keepdims=True) / 127
+    q = np.rint(x / np.maximum(scale, 1e-300)).astype(np.int8)
+    head = np.concatenate([scale, last[:, None]], axis=1)
+    return [a + b for a, b in zip(map(bytes, head.view(np.uint8)), map(bytes, q.view(np.uint8)), strict=True)]
 
 
 def _unpacked(column: pa.Array) -> np.ndarray:
     column = column.cast(pa.large_binary())
     if not len(column):
-        return np.zeros((0, 1), np.float32)
+        return np.zeros((0, 1))
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].reshape(len(column), -1)
-    return raw[:, 4:].copy().view(np.int8).astype(np.float32) * raw[:, :4].copy().view(np.float32)
+    head = raw[:, :16].copy().view(np.float64)
+    return np.concatenate([raw[:, 16:].copy().view(np.int8) * head[:, :1], head[:, 1:]], axis=1)
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
@@ -81,9 +89,8 @@ def _nodes(vectors: DataFrame) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _vectors(batch.column(1)) / largest
-            if len(x):
-                x = np.concatenate([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1, keepdims=True)))], axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_packed(x) if len(x) else [], pa.binary())], names=["c", "b"])
+            last = np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_packed(x, last) if len(x) else [], pa.binary())], names=["c", "b"])
 
     return staged(distinct.select("c", "x").mapInArrow(pack, "c bigint, b binary"), "ann-nodes")
 
@@ -104,7 +111,7 @@ def _offers(ids: np.ndarray, x: np.ndarray, least: np.ndarray, count: int) -> tu
 
 def _compare(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.RecordBatch]:
     """Offers among the members of each group."""
-    names = ["u", "v", "s"]
+    names = ["u", "v", "s", "old"]
     for batch in batches:
         groups = batch.column(batch.schema.get_field_index("members"))
         flat = groups.flatten()
@@ -113,23 +120,23 @@ def _compare(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.Recor
         at = np.concatenate(([0], np.cumsum(groups.value_lengths().to_numpy(zero_copy_only=False))))
         found = [_offers(ids[i:j], x[i:j], least[i:j], count) for i, j in zip(at[:-1], at[1:], strict=True) if j - i > 1]
         cols = [np.concatenate([f[k] for f in found]) if found else np.zeros(0) for k in range(3)]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0].astype(np.int64)), pa.array(cols[1].astype(np.int64)), pa.array(cols[2].astype(np.float32))], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0].astype(np.int64)), pa.array(cols[1].astype(np.int64)), pa.array(cols[2].astype(np.float64)), pa.array(np.zeros(len(cols[0]), bool))], names=names)
 
 
-_EDGE = "u bigint, v bigint, s float"
+_EDGE = "u bigint, v bigint, s double, old boolean"
 
 
 def _best(edges: DataFrame, degree: int) -> DataFrame:
     """(u, near, least): the best neighbours of each node, and the score that a better one has to beat."""
     w = Window.partitionBy("u").orderBy(F.desc("s"), "v")
-    once = edges.repartition("u").groupBy("u", "v").agg(F.max("s").alias("s"))  # one shuffle for all three steps
+    once = edges.repartition("u").groupBy("u", "v").agg(F.max("s").alias("s"), F.max("old").alias("old"))  # one shuffle for all three steps
     top = once.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= degree)
-    rows = top.groupBy("u").agg(F.collect_list(F.struct("v", "s")).alias("near"), F.min("s").alias("_s"))
-    return rows.select("u", "near", F.when(F.size("near") >= degree, F.col("_s")).otherwise(F.lit(float("-inf"))).cast("float").alias("least"))
+    rows = top.groupBy("u").agg(F.collect_list(F.struct("v", "s", "old")).alias("near"), F.min("s").alias("_s"))
+    return rows.select("u", "near", F.when(F.size("near") >= degree, F.col("_s")).otherwise(F.lit(float("-inf"))).alias("least"))
 
 
 def _edges(graph: DataFrame) -> DataFrame:
-    return graph.select("u", F.explode("near").alias("e")).select("u", "e.v", "e.s")
+    return graph.select("u", F.explode("near").alias("e")).select("u", "e.v", "e.s", F.lit(True).alias("old"))
 
 
 def _leaves(nodes: DataFrame, n: int) -> DataFrame:
@@ -148,7 +155,7 @@ def _leaves(nodes: DataFrame, n: int) -> DataFrame:
     rows = staged(coded.select("c", "b", F.posexplode("codes").alias("tree", "leaf")), "ann-leaves")
     sizes = rows.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / (2 * LEAF)).alias("parts"))
     part = F.pmod(F.xxhash64("c", "tree"), F.col("parts")).alias("part")  # an overfull leaf is dealt into several
-    dealt = rows.join(sizes, ["tree", "leaf"]).select("tree", "leaf", part, F.struct("c", F.lit(float("-inf")).cast("float").alias("least"), "b").alias("m"))
+    dealt = rows.join(sizes, ["tree", "leaf"]).select("tree", "leaf", part, F.struct("c", F.lit(float("-inf")).alias("least"), "b").alias("m"))
     return dealt.groupBy("tree", "leaf", "part").agg(F.collect_list("m").alias("members")).select("members")
 
 
@@ -161,23 +168,21 @@ def _both_ways(graph: DataFrame, salt: int) -> DataFrame:
 
 
 def build_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
-    """(u, near, least): the neighbours of every node by NN-descent. Stops early when few neighbours change.
+    """(u, near, least): the neighbours of every node by NN-descent. Ends early when few neighbours are new.
 
     `nodes` is kept in memory, dealt by c, so that the joins need not move it.
     """
     n = nodes.count()
     graph = staged(_best(_leaves(nodes, n).mapInArrow(lambda b: _compare(b, degree), _EDGE), degree), "ann-graph")
-    total = None
     for r in range(rounds):
         least = graph.select(F.col("u").alias("c"), "least")
-        known = nodes.join(least, "c", "left").select(F.col("c").alias("v"), F.struct("c", F.coalesce("least", F.lit(float("-inf")).cast("float")).alias("least"), "b").alias("m"))
+        known = nodes.join(least, "c", "left").select(F.col("c").alias("v"), F.struct("c", F.coalesce("least", F.lit(float("-inf"))).alias("least"), "b").alias("m"))
         near = _both_ways(graph, r).join(known, "v").groupBy("u").agg(F.collect_list("m").alias("members"))  # degree + BACK members at most
         offers = near.select("members").mapInArrow(lambda b: _compare(b, OFFERS), _EDGE)
         graph = staged(_best(_edges(graph).unionByName(offers), degree), "ann-graph")
-        now = graph.select(F.explode("near.s").alias("s")).agg(F.sum("s").alias("s")).first()["s"]
-        if total is not None and now - total <= 0.004 * abs(total):
+        now = graph.agg(F.sum(F.size("near")).alias("n"), F.sum(F.size(F.filter("near", lambda e: ~e["old"]))).alias("new")).first()
+        if (now["new"] or 0) <= CHANGED * (now["n"] or 0):
             break
-        total = now
     return graph
 
 
@@ -188,7 +193,7 @@ def _scored(batches: Iterator[pa.RecordBatch], x: np.ndarray, least: np.ndarray)
         c = np.repeat(batch.column(batch.schema.get_field_index("c")).to_numpy(), lengths)
         b = _unpacked(batch.column(batch.schema.get_field_index("b")))
         qs = q.flatten().to_numpy(zero_copy_only=False)
-        at, out = np.concatenate(([0], np.cumsum(lengths))), np.zeros(len(qs), np.float32)
+        at, out = np.concatenate(([0], np.cumsum(lengths))), np.zeros(len(qs))
         for i in range(len(lengths)):
             out[at[i] : at[i + 1]] = x[qs[at[i] : at[i + 1]]] @ b[i]
         keep = out > least[qs]
@@ -207,16 +212,18 @@ def _state(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at]), pa.array(least[at]), pa.array(done[at])], names=["q", "n", "s", "done"])
 
 
-def _search(starts: list[tuple[int, bytes]], wide: DataFrame, beam: int, steps: int) -> DataFrame:
-    """(q, c, s): the best nodes of a block of queries, which start at their own nodes.
+def _search(starts: list[tuple[int, bytes]], longest: list[tuple[int, bytes]], wide: DataFrame, beam: int, steps: int) -> DataFrame:
+    """(q, c, s): the best nodes of a block of queries, which start at their own nodes and the longest ones.
 
     `wide` holds each node's bytes and neighbours, kept in memory and dealt by c.
     """
     spark = wide.sparkSession
     x = _unpacked(pa.array([b for _, b in starts], pa.binary()))
     x[:, -1] = 0  # a query has no part in the component that makes norms equal
-    best = spark.createDataFrame([(i, int(c), float(x[i] @ x[i]), False) for i, (c, _) in enumerate(starts)], "q bigint, c bigint, s float, done boolean")
-    least = np.full(len(starts), -np.inf, np.float32)
+    far = x @ _unpacked(pa.array([b for _, b in longest], pa.binary())).T
+    own = [{int(c): float(s) for (c, _), s in zip(longest, row, strict=True)} | {int(starts[i][0]): float(x[i] @ x[i])} for i, row in enumerate(far)]
+    best = spark.createDataFrame([(i, c, s, False) for i, scores in enumerate(own) for c, s in scores.items()], "q bigint, c bigint, s double, done boolean")
+    least = np.full(len(starts), -np.inf)
     shared = spark.sparkContext.broadcast(x)
     size = len(starts)
     w = Window.partitionBy("q").orderBy(F.desc("s"), "c")
@@ -224,7 +231,7 @@ def _search(starts: list[tuple[int, bytes]], wide: DataFrame, beam: int, steps:
         bound = spark.sparkContext.broadcast(least)
         reached = best.where("not done").join(wide, "c").select("q", F.explode("near").alias("c"))
         asked = reached.groupBy("c").agg(F.collect_set("q").alias("queries"))  # QUERY_BLOCK queries at most
-        seen = asked.join(wide, "c").select("c", "queries", "b").mapInArrow(lambda b, bound=bound: _scored(b, shared.value, bound.value), "q bigint, c bigint, s float")
+        seen = asked.join(wide, "c").select("c", "queries", "b").mapInArrow(lambda b, bound=bound: _scored(b, shared.value, bound.value), "q bigint, c bigint, s double")
         all_seen = best.withColumn("done", F.lit(True)).unionByName(seen.withColumn("done", F.lit(False)))
         once = all_seen.repartition("q").groupBy("q", "c").agg(F.max("s").alias("s"), F.max("done").alias("done"))
         best = staged(once.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= beam).drop("_r"), "ann-beam")
@@ -235,7 +242,7 @@ def _search(starts: list[tuple[int, bytes]], wide: DataFrame, beam: int, steps:
         np.minimum.at(lowest, q, parts["s"].to_numpy())
         if parts["done"].to_numpy().all():
             break
-        least = np.where(count >= beam, lowest, -np.inf).astype(np.float32)
+        least = np.where(count >= beam, lowest, -np.inf)
     return best.select("q", "c", "s")
 
 
@@ -259,6 +266,9 @@ def nearest(
     graph = build_graph(nodes, degree, rounds)
     near = staged(_both_ways(graph, -1).groupBy("u").agg(F.collect_set("v").alias("near")).withColumnRenamed("u", "c"), "ann-adjacent")
     wide = nodes.join(near, "c", "left").withColumn("near", F.coalesce("near", F.array().cast("array<bigint>"))).persist()
+    by_norm = F.aggregate("x", F.lit(0.0), lambda a, e: a + e * e)
+    ends = vectors.join(named, "id").select("c", by_norm.alias("_n")).distinct().orderBy(F.desc("_n"), "c").limit(LONGEST).select("c")
+    longest = [(r["c"], bytes(r["b"])) for r in nodes.join(F.broadcast(ends), "c").select("c", "b").collect()]  # LONGEST rows
     queries = staged(named.where(is_query(F.col("id"))), "ann-queries")
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     out = None
@@ -267,7 +277,7 @@ def nearest(
         starts = [(r["c"], bytes(r["b"])) for r in block.select("c").distinct().join(nodes, "c").orderBy("c").collect()]  # about QUERY_BLOCK queries
         if not starts:
             continue
-        found = _search(starts, wide, beam, steps)
+        found = _search(starts, longest, wide, beam, steps)
         numbered = spark.createDataFrame([(j, int(c)) for j, (c, _) in enumerate(starts)], "q bigint, qc bigint")
         w = Window.partitionBy("q").orderBy(F.desc("s"), "c")
         top = found.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= RESCORED).select("q", "c")

@@ -448,6 +448,24 @@ def test_neighbours_recall_and_edges(spark, rows):
     assert neighbours.nearest(rows([], "vec_id bigint, embedding array<double>"), lambda i: i == 0).count() == 0
 
 
+@pytest.mark.parametrize("spread", [0.0, 1.0, 2.0])
+def test_neighbours_recall_with_norms_over_orders_of_magnitude(spark, rows, spread):
+    """Norms of 1 with one of 100 among them, or spread log-normally over two and four orders."""
+    r = np.random.default_rng(18)
+    x = r.normal(size=(1500, 32))
+    norm = np.exp(r.normal(size=1500) * spread) if spread else np.where(np.arange(1500) == 777, 100.0, 1.0)
+    x *= (norm / np.linalg.norm(x, axis=1))[:, None]
+    got = neighbours.nearest(rows([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>"), lambda i: i % 20 == 0).collect()
+    by, hits = collections.defaultdict(set), 0
+    for q in got:
+        by[q["query_id"]].add(q["vec_id"])
+    for q in range(0, 1500, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(by[q] & set(np.argsort(-s)[:20].tolist()))
+    assert hits >= 0.9 * 20 * 75, hits / 1500
+
+
 # ---- op9
 
 
