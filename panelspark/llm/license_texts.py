@@ -1,4 +1,4 @@
-"""Licence templates: short statements and notices of well-known public licences."""
+"""Licence templates: short statements and notices of well-known public licences, neighbouring versions apart."""
 
 from __future__ import annotations
 
@@ -22,7 +22,26 @@ NAMES = {
     "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal Public Domain Dedication"],
     "EPL-2.0": ["Eclipse Public License, version 2.0"],
     "BSL-1.0": ["Boost Software License, Version 1.0"],
+    # neighbouring versions, so that a statement of one is not taken for another
+    "Apache-1.0": ["Apache License, Version 1.0", "Apache License 1.0", "Apache 1.0"],
+    "Apache-1.1": ["Apache License, Version 1.1", "Apache License 1.1", "Apache 1.1", "Apache Software License, Version 1.1"],
+    "GPL-1.0": ["GNU General Public License, version 1", "GNU GPL v1", "GPL version 1"],
+    "LGPL-2.0": ["GNU Library General Public License, version 2", "GNU Lesser General Public License, version 2"],
+    "AGPL-1.0": ["Affero General Public License, version 1"],
+    "MPL-1.0": ["Mozilla Public License, version 1.0"],
+    "MPL-1.1": ["Mozilla Public License, version 1.1"],
+    "EPL-1.0": ["Eclipse Public License, version 1.0"],
 }
+# Creative Commons licences by their short and long names, their versions and what follows the number.
+_CC = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+_CC_VERSIONS = {"1.0": [" Generic", ""], "2.0": [" Generic", ""], "2.5": [" Generic", ""], "3.0": [" Unported", " International", ""], "4.0": [" International", ""]}
+for _short, _long in _CC.items():
+    for _version, _after in _CC_VERSIONS.items():
+        _names = NAMES.setdefault(f"CC-{_short}-{_version}", [])
+        _names += [n for n in (f"CC {_short} {_version}", *(f"Creative Commons {_long} {_version}{a} License" for a in _after)) if n not in _names]
 # Wordings of a short statement.
 STATEMENTS = [
     "Licensed under {}.", "Licensed under the {}.", "Released under the {}.", "Released under {}.", "Distributed under the {}.",
@@ -87,6 +106,55 @@ NOTICES = {
         "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
         "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
     ],
+    "LGPL-2.0": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by "
+        "the Free Software Foundation; either version 2 of the License, or (at your option) any later version. "
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Library General Public License for more details.",
+    ],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by "
+        "the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. "
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by "
+        "the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. "
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    ],
+    "LGPL-3.0": [
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version. "
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version. "
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    ],
+    "AGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version. "
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.",
+    ],
+    "MPL-1.1": [
+        "The contents of this file are subject to the Mozilla Public License Version 1.1 (the "
+        '"License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/ '
+        'Software distributed under the License is distributed on an "AS IS" basis, WITHOUT WARRANTY OF ANY KIND, either express or implied. '
+        "See the License for the specific language governing rights and limitations under the License."
+    ],
+    "EPL-1.0": [
+        "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 "
+        "which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"
+    ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)"
+    ],
     "WTFPL": ["Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed."],
 }
 

@@ -280,6 +280,23 @@ def test_licences_found_and_pruning_is_exact():
         assert (max([x["dice"] for x in found[i]], default=0.0) if best >= licenses.THRESHOLD else 0.0) == pytest.approx(best if best >= licenses.THRESHOLD else 0.0)
 
 
+def test_neighbouring_licences_are_told_apart():
+    notice = license_texts.NOTICES["GPL-3.0"][0]
+    texts = {
+        "AGPL-3.0": notice.replace("GNU General", "GNU Affero General"),
+        "LGPL-3.0": notice.replace("GNU General", "GNU Lesser General"),
+        "GPL-3.0": notice,
+        "CC-BY-3.0": "This work is licensed under a Creative Commons Attribution 3.0 International License.",
+        "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        "Apache-1.1": "Licensed under the Apache License, Version 1.1.",
+        "LGPL-2.1": license_texts.NOTICES["GPL-2.0"][0].replace("program", "library").replace("GNU General", "GNU Lesser General").replace("version 2 ", "version 2.1 "),
+        "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    }
+    data = [x.encode() for x in texts.values()]
+    found = licenses.scan(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]), licenses.prepared(license_texts.templates()))
+    assert [sorted({f["license"] for f in x}) for x in found] == [[k] for k in texts]
+
+
 def test_licences_edges(spark, rows):
     got = licenses.find_licenses(docs(rows, [*ODD, (9, "This work is licensed under the GNU General Public License, version 3.")]), keep=("c", "count"))
     by = collections.Counter((r["doc_id"], tuple(x["license"] for x in r["licenses"])) for r in got.collect())
