@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontamination, html_text, jaccard, language_model, licenses, mixing, neighbours, pii, quality_model, sharding
+from panelspark.llm import decontamination, html_text, jaccard, language_model, licenses, mixing, neighbours, pii, quality_model, sharding, token_counts
 from panelspark.llm.stage import whole_documents
 
 QUERIES: dict = {}
@@ -123,3 +124,9 @@ def op8_neighbours(spark, sf_dir):
 def op10_language_model(spark, sf_dir):
     """Log probabilities of all documents by word counts and by the trained model."""
     return language_model.score(whole_documents(spark, sf_dir))
+
+
+@query()
+def op12_token_counts(spark, sf_dir):
+    """Tokens of all documents as the byte-level BPE of the file counts them."""
+    return token_counts.count_tokens(whole_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
