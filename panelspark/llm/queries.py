@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontamination, html_text, jaccard, language_model, licenses, mixing, neighbours, pii, quality_model, sharding, token_counts
+from panelspark.llm import decontamination, html_text, jaccard, language_model, licenses, mixing, neighbours, phrases, pii, quality_model, sharding, token_counts
 from panelspark.llm.stage import whole_documents
 
 QUERIES: dict = {}
@@ -130,3 +130,28 @@ def op10_language_model(spark, sf_dir):
 def op12_token_counts(spark, sf_dir):
     """Tokens of all documents as the byte-level BPE of the file counts them."""
     return token_counts.count_tokens(whole_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query(
+    """with d as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+p as (select lang, row_number() over () as pid, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from d),
+w as (select lang, pid, unnest(w) as x, unnest(range(1, len(w) + 1)) as j from p),
+g as (select lang, x, lead(x, 1) over (partition by pid order by j) as y, lead(x, 2) over (partition by pid order by j) as z from w),
+f as (select lang, x as phrase, 1 as k, count(*) as f from g group by all
+  union all select lang, x || ' ' || y, 2, count(*) from g where y is not null group by all
+  union all select lang, x || ' ' || y || ' ' || z, 3, count(*) from g where z is not null group by all),
+n as (select lang, cast(sum(f) as bigint) as n from f where k = 1 group by lang),
+c as (select *, string_split(phrase, ' ') as p from f where k >= 2 and f >= 10),
+cuts as (select lang, phrase, k, f, cut, array_to_string(p[:cut], ' ') as lp, array_to_string(p[cut + 1:], ' ') as rp from c, (values (1), (2)) as cs(cut) where cut < k),
+scored as (select cuts.lang, cuts.phrase, cuts.k, cuts.f as a, cut, fl.f as l, fr.f as r,
+  cast((1000000::hugeint * cuts.f * cuts.f) // (fl.f::hugeint * fr.f) as bigint) as score
+  from cuts join f fl on fl.lang = cuts.lang and fl.phrase = lp and fl.k = cut join f fr on fr.lang = cuts.lang and fr.phrase = rp and fr.k = cuts.k - cut),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+longer as (select lang, phrase, max(f) as f from (select lang, f, unnest([array_to_string(p[1:2], ' '), array_to_string(p[2:3], ' ')]) as phrase from c where k = 3) group by all),
+kept as (select best.* from best left join longer on longer.lang = best.lang and longer.phrase = best.phrase and best.k = 2 where not coalesce(100 * longer.f >= 50 * a, false)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select ranked.lang, rank, phrase, a, l, r, n, score from ranked join n on n.lang = ranked.lang where rank <= 2000"""
+)
+def op13_phrases(spark, sf_dir):
+    """The first phrases of two and three words of each language."""
+    return phrases.mine(whole_documents(spark, sf_dir))
