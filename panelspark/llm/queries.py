@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontamination, html_text, jaccard, language_model, licenses, mixing, neighbours, phrases, pii, quality_model, sharding, token_counts
+from panelspark.llm import decontamination, hard_negatives, html_text, jaccard, language_model, licenses, mixing, neighbours, phrases, pii, quality_model, sharding, token_counts
 from panelspark.llm.stage import whole_documents
 
 QUERIES: dict = {}
@@ -155,3 +155,24 @@ select ranked.lang, rank, phrase, a, l, r, n, score from ranked join n on n.lang
 def op13_phrases(spark, sf_dir):
     """The first phrases of two and three words of each language."""
     return phrases.mine(whole_documents(spark, sf_dir))
+
+
+@query(
+    """with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+  [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as v from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(cast(x as double))]) = 0),
+r as (select *, row_number() over () as row from e),
+s as (select a.row as anchor, a.vec_id as anchor_id, b.vec_id, b.label = a.label as same,
+  cast(coalesce(list_sum([z[1] * z[2] for z in list_zip(a.v, b.v)]), 0) as bigint) as score
+  from r a join r b on a.row <> b.row where a.vec_id % 50 = 0),
+p as (select anchor, anchor_id, vec_id as positive_id, score as positive_score, k from
+  (select *, row_number() over (partition by anchor order by score desc, vec_id) as k from s where same) where k <= 5),
+n as (select p.*, s.vec_id as negative_id, s.score as negative_score, row_number() over (partition by p.anchor, p.k order by s.score desc, s.vec_id) as rank
+  from p join s on s.anchor = p.anchor and not s.same and 50 * p.positive_score <= 100 * s.score and 100 * s.score <= 95 * p.positive_score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from n where rank <= 3"""
+)
+def op11_hard_negatives(spark, sf_dir):
+    """Hard negatives of every fiftieth vector below its five positives."""
+    vectors = whole_documents(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), lambda i: i % 50 == 0)
