@@ -7,11 +7,14 @@ merges small partitions and splits a large one over several tasks.
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.operators.windows import latest_per_key
@@ -51,6 +54,67 @@ def dedupe_by_key(
     return latest_per_key(df, keys, [*by, *rest])
 
 
+@dataclass(frozen=True)
+class WriteReport:
+    """What a write with keys has seen, measured while it ran.
+
+    rows_in and rows_out count rows before and after, repeated_rows the rows of keys
+    that came more than once, repeated_keys these keys. sample holds at most SAMPLE
+    of them in key order: the smallest and the largest of each of sixteen classes
+    of keys by hash, so it is bounded however many there are. Dates are shown as text.
+    """
+
+    rows_in: int
+    rows_out: int
+    repeated_rows: int
+    repeated_keys: int
+    sample: list[dict]
+
+
+SAMPLE = 20
+_CLASSES = "0123456789abcdef"
+
+
+def watched_dedupe(df: DataFrame, keys: Sequence[str], *, flag: str | None = "update_flag") -> tuple[DataFrame, Callable[[], WriteReport]]:
+    """The rows that `dedupe_by_key` keeps, and a function that gives the report after they have been written.
+
+    One aggregate per key, combined in every task before the shuffle, chooses the
+    row and counts its copies; the report is observed on its result, so nothing is
+    read a second time and many copies of one key stay apart.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    by = [F.coalesce(F.col(flag).try_cast("double"), F.lit(0.0))] if flag and flag in df.columns else []
+    by += [F.col(f.name) for f in df.schema.fields if f.name in rest and f.dataType.simpleString()[:3] not in ("map", "var")]
+    row = [F.max_by(F.struct(*rest), F.struct(*by)).alias("_row")] if rest else []
+    once = df.groupBy(*keys).agg(*row, F.count("*").alias("_copies"))
+    repeated = F.col("_copies") > 1
+    key = F.struct(*keys)
+    kind = F.when(repeated, F.substring(F.md5(F.to_json(key)), 1, 1))
+    shown = {"ignoreNullFields": "false"}
+    ends = [F.to_json(f(F.when(kind == c, key)), shown).alias(f"{name}_{c}") for c in _CLASSES for name, f in (("low", F.min), ("high", F.max))]
+    seen = Observation()
+    once = once.observe(
+        seen,
+        F.sum("_copies").alias("rows_in"),
+        F.count("*").alias("rows_out"),
+        F.sum(F.when(repeated, F.col("_copies"))).alias("repeated_rows"),
+        F.count_if(repeated).alias("repeated_keys"),
+        *ends,
+    )
+
+    def report() -> WriteReport:
+        try:
+            got = seen.get
+        except Py4JJavaError:  # an empty input is planned away together with what observes it
+            got = {}
+        found = {v for name in ("low", "high") for c in _CLASSES if (v := got.get(f"{name}_{c}")) is not None}
+        sample = sorted(map(json.loads, found), key=lambda k: [(x is not None, x) for x in k.values()])[:SAMPLE]
+        counts = {n: got.get(n) or 0 for n in ("rows_in", "rows_out", "repeated_rows", "repeated_keys")}
+        return WriteReport(**counts, sample=sample)
+
+    return once.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns]), report
+
+
 def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of copies."""
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
@@ -60,31 +124,30 @@ def _spread(df: DataFrame, partition: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(p) for p in partition]) if partition else df
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition: Sequence[str], *, keys: Sequence[str] = ()) -> None:
+def _write(df: DataFrame, path: str, partition: Sequence[str], keys: Sequence[str], mode: str, overwrite: str) -> WriteReport | None:
+    rows, report = watched_dedupe(df, keys) if keys else (df, lambda: None)
+    writer = _spread(rows, partition).write.mode(mode).option("partitionOverwriteMode", overwrite)
+    (writer.partitionBy(*partition) if partition else writer).parquet(path)
+    return report()
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition: Sequence[str], *, keys: Sequence[str] = ()) -> WriteReport | None:
     """Replace exactly the partitions present in the rows; others stay.
 
-    Rows without a partition value are kept in the partition of NULL.
+    Rows without a partition value are kept in the partition of NULL. With keys one
+    row of each stays, and the write returns what it has seen of repeated ones.
     """
-    rows = dedupe_by_key(df, keys) if keys else df
-    (
-        _spread(rows, partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition)
-        .parquet(path)
-    )
+    return _write(df, path, partition, keys, "overwrite", "dynamic")
 
 
-def truncate_write(df: DataFrame, path: str, partition: Sequence[str] = (), *, keys: Sequence[str] = ()) -> None:
+def truncate_write(df: DataFrame, path: str, partition: Sequence[str] = (), *, keys: Sequence[str] = ()) -> WriteReport | None:
     """Replace the whole table."""
-    rows = dedupe_by_key(df, keys) if keys else df
-    writer = _spread(rows, partition).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition) if partition else writer).parquet(path)
+    return _write(df, path, partition, keys, "overwrite", "static")
 
 
-def append(df: DataFrame, path: str, partition: Sequence[str] = ()) -> None:
-    writer = _spread(df, partition).write.mode("append")
-    (writer.partitionBy(*partition) if partition else writer).parquet(path)
+def append(df: DataFrame, path: str, partition: Sequence[str] = (), *, keys: Sequence[str] = ()) -> WriteReport | None:
+    """Add rows; keys are made unique among the new rows only."""
+    return _write(df, path, partition, keys, "append", "dynamic")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -101,15 +164,99 @@ def _partition_values(df: DataFrame, partition: Sequence[str]) -> list[tuple]:
     return [tuple(r) for r in df.select(*partition).distinct().collect()]
 
 
-def _in_partitions(df: DataFrame, partition: Sequence[str], values: Sequence[tuple]) -> Column:
-    """A filter of literals, which reaches the scan's partition filters."""
-    found = F.lit(False)
-    for i, p in enumerate(partition):
-        mine = {v[i] for v in values}
-        some = F.col(p).isin(sorted(v for v in mine if v is not None))
-        some = some | F.col(p).isNull() if None in mine else some
-        found = some if i == 0 else found & some
-    return found
+def _in_partitions(df: DataFrame, partition: Sequence[str], values: Iterable[tuple]) -> Column:
+    """A filter of literals on the partition columns of a table, which prunes folders. Never NULL, so it can be negated."""
+    name, rest = partition[0], partition[1:]
+    value = lambda v: F.lit(v).cast(df.schema[name].dataType)
+    first: dict = {}
+    for v in values:
+        first.setdefault(v[0], []).append(v[1:])
+    if rest:
+        found = F.lit(False)
+        for v, more in first.items():
+            found = found | (F.col(name).eqNullSafe(value(v)) & _in_partitions(df, rest, more))
+        return found
+    plain = sorted(v for v in first if v is not None)
+    found = F.coalesce(F.col(name).isin([value(v) for v in plain]), F.lit(False)) if plain else F.lit(False)
+    return found | F.col(name).isNull() if None in first else found
+
+
+PENDING = "_pending-"
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path for it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, p = _files(spark, path)
+    files.delete(p, True)
+
+
+def _stage_change(rows: DataFrame, path: str) -> str:
+    """Write the new rows beside the table, in a folder that readers skip."""
+    pending = f"{path}/{PENDING}{uuid.uuid4().hex}"
+    rows.write.parquet(f"{pending}/rows")
+    return pending
+
+
+def _decide_change(spark: SparkSession, pending: str, partition: Sequence[str], emptied: Sequence[str]) -> None:
+    """From here on the change happens: a run that dies is finished by the next one."""
+    plan = spark.createDataFrame([(list(partition), list(emptied))], "partition array<string>, emptied array<string>")
+    plan.coalesce(1).write.parquet(f"{pending}/plan")
+
+
+def _finish_change(spark: SparkSession, path: str, pending: str) -> None:
+    """Overwrite the partitions of the new rows, then remove the folders that lost all theirs. Can be repeated."""
+    plan = spark.read.parquet(f"{pending}/plan").first()
+    overwrite_partitions(spark.read.parquet(f"{pending}/rows"), path, plan["partition"])
+    for folder in plan["emptied"]:
+        _delete(spark, spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder)).toString())
+    _delete(spark, pending)
+
+
+def recover(spark: SparkSession, path: str) -> int:
+    """Finish changes that a lost driver has decided on, drop those it has not; how many were finished.
+
+    A table has one writer at a time, which calls this before it changes anything.
+    """
+    files, root = _files(spark, path)
+    if not files.exists(root):
+        return 0
+    done = 0
+    for f in files.listStatus(root):
+        pending = f.getPath().toString()
+        if not f.getPath().getName().startswith(PENDING):
+            continue
+        if files.exists(_files(spark, f"{pending}/plan/_SUCCESS")[1]):
+            _finish_change(spark, path, pending)
+            done += 1
+        else:
+            _delete(spark, pending)
+    return done
+
+
+def _folders(rows: DataFrame) -> list[str]:
+    """The folders that rows are stored in, as URIs."""
+    return [r[0] for r in rows.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("f")).distinct().collect()]
+
+
+def _publish(stored: DataFrame, path: str, old: DataFrame, merged: DataFrame, partition: Sequence[str]) -> None:
+    """Put the merged rows in the place of the old ones, which are whole partitions of the stored table."""
+    spark = stored.sparkSession
+    pending = _stage_change(merged, path)
+    left = set(_partition_values(spark.read.schema(merged.schema).parquet(f"{pending}/rows"), partition))
+    emptied = set(_partition_values(old, partition)) - left
+    gone = _folders(stored.where(_in_partitions(stored, partition, emptied))) if emptied else []
+    _decide_change(spark, pending, partition, gone)
+    _finish_change(spark, path, pending)
+
+
+def _stored(spark: SparkSession, path: str, like: DataFrame, partition: Sequence[str]) -> DataFrame:
+    """The table; partition values are parsed from folder names, so they take the type of the new rows."""
+    return spark.read.parquet(path).withColumns({p: F.col(p).cast(like.schema[p].dataType) for p in partition})
 
 
 def upsert(df: DataFrame, path: str, keys: Sequence[str], partition: Sequence[str]) -> None:
@@ -117,32 +264,48 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], partition: Sequence[st
 
     Only partitions that the new rows or the old rows of their keys are in are
     read and rewritten; where partition columns are not part of the key, the old
-    places are looked up in a read of keys and partition columns alone. If a
-    partition loses its last row, the other partitions are written anew as well,
-    because a partition overwrite leaves folders without new rows alone.
+    places are looked up in a read of keys and partition columns alone. A partition
+    that loses its last row loses its folder; nothing else is touched. The change is
+    written beside the table first: if the driver is lost on the way, the next
+    write (or `recover`) finishes it, and before that the table is as it was, or
+    holds some partitions of the change.
     """
     spark = df.sparkSession
+    recover(spark, path)
     if not table_exists(spark, path):
         first = dedupe_by_key(df, keys, flag=None)
         overwrite_partitions(first, path, partition)
         return
-    # partition values are parsed from folder names, so they take the type of the new rows
-    stored = spark.read.parquet(path).withColumns({p: F.col(p).cast(df.schema[p].dataType) for p in partition})
+    stored = _stored(spark, path, df, partition)
     touched = set(_partition_values(df, partition))
     if not set(partition) <= set(keys):
         places = stored.select(*dict.fromkeys([*keys, *partition]))
         new_keys = df.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct()
         same = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys]
         touched |= set(_partition_values(places.join(new_keys, same, "left_semi"), partition))
-    old = stored.where(_in_partitions(stored, partition, sorted(touched, key=str))).withColumn("_source", F.lit(0))
-    rows = df.withColumn("_source", F.lit(1)).unionByName(old, allowMissingColumns=True)
-    merged = staged(dedupe_by_key(rows, keys, flag=None, order=[F.desc("_source")]).drop("_source"), "upsert")
-    emptied = set(_partition_values(old, partition)) - set(_partition_values(merged, partition))
-    if emptied:
-        rest = stored.where(~_in_partitions(stored, partition, sorted(touched, key=str)))
-        truncate_write(staged(merged.unionByName(rest, allowMissingColumns=True), "upsert-all"), path, partition)
-    else:
-        overwrite_partitions(merged, path, partition)
+    old = stored.where(_in_partitions(stored, partition, touched))
+    rows = df.withColumn("_source", F.lit(1)).unionByName(old.withColumn("_source", F.lit(0)), allowMissingColumns=True)
+    _publish(stored, path, old, dedupe_by_key(rows, keys, flag=None, order=[F.desc("_source")]).drop("_source"), partition)
+
+
+def replace_dates(df: DataFrame, path: str, date_col: str, partition: Sequence[str], *, keys: Sequence[str] = ()) -> WriteReport | None:
+    """Replace the rows of exactly the dates in the new rows; other dates stay, also in the same partition.
+
+    The partition is coarser than the date and follows from it (a month). Rows
+    without a date replace the stored rows without one.
+    """
+    spark = df.sparkSession
+    recover(spark, path)
+    if not table_exists(spark, path):
+        return overwrite_partitions(df, path, partition, keys=keys)
+    rows, report = watched_dedupe(df, keys) if keys else (df, lambda: None)
+    rows = staged(rows, "replace-dates")
+    stored = _stored(spark, path, rows, partition)
+    old = stored.where(_in_partitions(stored, partition, _partition_values(rows, partition)))
+    dates = rows.select(F.col(date_col).alias("_date")).distinct()
+    rest = old.join(dates, F.col(date_col).eqNullSafe(F.col("_date")), "left_anti")
+    _publish(stored, path, old, rows.unionByName(rest, allowMissingColumns=True), partition)
+    return report()
 
 
 def month_replace(df: DataFrame, path: str, date_col: str, month_col: str = "month") -> None:
