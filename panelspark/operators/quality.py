@@ -4,23 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelspark.operators.calendar import expected_dates
 from panelspark.operators.order_stats import group_quantiles
 from panelspark.operators.windows import by_time
 
 PARTIAL_RATIO = 0.5
 
 
-def coverage(expected: DataFrame, counts: DataFrame, *, check_partial: bool = True) -> DataFrame:
+GRAINS = ("trade_day", "week_end", "month_end", "quarter_end")
+
+
+def expected_by_source(calendar: DataFrame, sources: DataFrame, start: date, end: date) -> DataFrame:
+    """The days on which each source should have rows, beside the source's own columns.
+
+    sources: source, grain (one of GRAINS), first_date, check_partial, one row each.
+    A source begins at its first date and not before `start`; all end at `end`. The
+    days of a grain are made once, whatever the number of sources.
+    """
+    days = [expected_dates(calendar, g, start, end).select(F.lit(g).alias("grain"), "biz_date") for g in GRAINS]
+    grid = reduce(DataFrame.unionByName, days)
+    return sources.join(grid, "grain").where(F.col("biz_date") >= F.coalesce("first_date", F.lit(start)))
+
+
+def coverage(expected: DataFrame, counts: DataFrame, *, check_partial: bool | str = True) -> DataFrame:
     """Expected days (source, biz_date) against counted rows: OK, MISSING or PARTIAL.
 
-    A day is PARTIAL below half of the year's median of non-empty days.
+    A day is PARTIAL below half of the year's median of non-empty days, where
+    partial days are looked for: everywhere, nowhere, or where a column of the
+    expected days says so. Other columns of the expected days are kept.
     """
+    by_source = isinstance(check_partial, str)
+    looked_for = F.coalesce(F.col(check_partial), F.lit(False)) if by_source else F.lit(check_partial)
+    more = [c for c in expected.columns if c not in ("source", "biz_date", "row_count")]
     rows = expected.join(counts, ["source", "biz_date"], "left").select(
-        "source", "biz_date", F.coalesce("row_count", F.lit(0)).alias("row_count"), F.year("biz_date").alias("_year")
+        "source", "biz_date", *more, F.coalesce("row_count", F.lit(0)).alias("row_count"), F.year("biz_date").alias("_year")
     )
     filled = rows.where("row_count > 0")
     median = group_quantiles(filled, ["source", "_year"], ["row_count"], [(1, 2)])
@@ -28,7 +50,7 @@ def coverage(expected: DataFrame, counts: DataFrame, *, check_partial: bool = Tr
     joined = rows.join(median, ["source", "_year"], "left").withColumn(
         "year_median", F.coalesce("year_median", F.lit(0))
     )
-    partial = F.lit(check_partial) & (F.col("year_median") > 0) & (
+    partial = looked_for & (F.col("year_median") > 0) & (
         F.col("row_count") < F.col("year_median") * F.lit(PARTIAL_RATIO)
     )
     status = F.when(F.col("row_count") == 0, "MISSING").when(partial, "PARTIAL").otherwise("OK")

@@ -43,13 +43,18 @@ def is_text_name(name: str) -> bool:
 
 @dataclass(frozen=True)
 class DatasetSpec:
-    """What a dataset promises: key columns, time column, partition column and declared types."""
+    """What a dataset promises: key columns, time column, partition column and declared types in order.
+
+    `partition_format` says how the partition follows from the time (yyyy-MM);
+    without it any partition value is right that is not NULL.
+    """
 
     name: str
     keys: tuple[str, ...]
     time: str
     partition: str
     columns: dict[str, str] = field(default_factory=dict)
+    partition_format: str | None = None
 
     @property
     def schema(self) -> T.StructType:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +45,52 @@ def quality_coverage(spark, sf_dir):
     )
 
 
+SOURCES = (
+    ("order_days", "trade_day", date(1995, 3, 1), True),
+    ("ship_days", "trade_day", date(1996, 1, 1), False),
+    ("order_weeks", "week_end", date(1997, 6, 4), True),
+    ("ship_months", "month_end", date(1995, 1, 15), False),
+    ("order_quarters", "quarter_end", date(1998, 5, 5), True),
+)
+COVERED = (date(1995, 1, 1), date(2000, 11, 20))
+_SOURCES_SQL = ", ".join(f"('{s}', '{g}', DATE '{d}', {str(p).lower()})" for s, g, d, p in SOURCES)
+_OPEN_SQL = f"SELECT cal_date AS d FROM cal WHERE is_open = 1 AND cal_date BETWEEN DATE '{COVERED[0]}' AND DATE '{COVERED[1]}'"
+
+
+@query(
+    "O1",
+    with_ctes(
+        "cal",
+        """SELECT e.source, e.grain, e.biz_date, e.row_count, coalesce(m.med, 0) AS year_median,
+ CASE WHEN e.row_count = 0 THEN 'MISSING' WHEN e.check_partial AND coalesce(m.med, 0) > 0 AND e.row_count < m.med * 0.5 THEN 'PARTIAL' ELSE 'OK' END
+ AS status FROM e LEFT JOIN (SELECT source, year(biz_date) AS y, CAST(round_even(median(row_count), 0) AS BIGINT) AS med
+  FROM e WHERE row_count > 0 GROUP BY 1, 2) m ON m.source = e.source AND m.y = year(e.biz_date)""",
+        counts="""SELECT s.source, x.d AS biz_date, count(*) AS row_count FROM (
+  SELECT 'orders' AS t, CAST(o_orderdate AS DATE) AS d FROM orders UNION ALL SELECT 'lineitem', CAST(l_shipdate AS DATE) FROM lineitem
+  UNION ALL SELECT 'quarters', CAST(date_trunc('quarter', o_orderdate) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) FROM orders) x
+  JOIN (VALUES ('orders', 'order_days'), ('orders', 'order_weeks'), ('lineitem', 'ship_days'), ('lineitem', 'ship_months'), ('quarters', 'order_quarters')) s(t, source)
+  ON s.t = x.t GROUP BY 1, 2""",
+        grid=f"""SELECT 'trade_day' AS grain, d FROM ({_OPEN_SQL}) UNION ALL SELECT 'week_end', max(d) FROM ({_OPEN_SQL}) GROUP BY date_trunc('week', d)
+  UNION ALL SELECT 'month_end', max(d) FROM ({_OPEN_SQL}) GROUP BY date_trunc('month', d)
+  UNION ALL SELECT 'quarter_end', CAST(q + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) FROM range(DATE '{COVERED[0]}', DATE '{COVERED[1]}', INTERVAL 3 MONTH) r(q)
+   WHERE q + INTERVAL 3 MONTH - INTERVAL 1 DAY <= DATE '{COVERED[1]}'""",
+        e=f"""SELECT s.source, s.grain, s.check_partial, g.d AS biz_date, coalesce(n.row_count, 0) AS row_count
+  FROM (VALUES {_SOURCES_SQL}) s(source, grain, first_date, check_partial) JOIN grid g ON g.grain = s.grain AND g.d >= s.first_date
+  LEFT JOIN counts n ON n.source = s.source AND n.biz_date = g.d""",
+    ),
+)
+def quality_coverage_by_source(spark, sf_dir):
+    """Daily, weekly, monthly and quarterly sources, each with its own start and its own partial flag."""
+    sources = spark.createDataFrame(SOURCES, "source string, grain string, first_date date, check_partial boolean")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("biz_date"))
+    ships = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("biz_date"))
+    by = lambda df, *names: df.groupBy("biz_date").agg(F.count("*").alias("row_count")).withColumn("source", F.explode(F.array(*map(F.lit, names))))
+    quarters = orders.select(quarter_end("biz_date").alias("biz_date"))
+    counts = reduce(DataFrame.unionByName, [by(orders, "order_days", "order_weeks"), by(ships, "ship_days", "ship_months"), by(quarters, "order_quarters")])
+    expected = Q.expected_by_source(calendar(spark, sf_dir), sources, *COVERED)
+    return Q.coverage(expected, counts, check_partial="check_partial").select("source", "grain", "biz_date", "row_count", "year_median", "status")
+
+
 @query(
     "O2",
     f"""SELECT year(d) AS year, count(*) AS days, CAST(sum(n) AS BIGINT) AS rows, {rnd('avg(n)', 4)} AS rows_per_day,

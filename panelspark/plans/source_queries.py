@@ -10,10 +10,13 @@ from pyspark.sql import types as T
 from panelspark.functions.dates import revision_start
 from panelspark.operators import windows as W
 from panelspark.operators.calendar import period_last_days
+from panelspark.operators.schema import DatasetSpec
 from panelspark.plans.registry import query
 from panelspark.plans.shapes import bars, calendar, daily_bars, index_bars, r, rcols, rnd, table, with_ctes
+from panelspark.sources import landing as L
 from panelspark.sources import readers as R
 from panelspark.sources import sinks as K
+from panelspark.sources.contract import ContractViolation, write_dataset
 
 START, STOP = date(1997, 3, 10), date(1999, 8, 20)
 BETWEEN = f"BETWEEN DATE '{START}' AND DATE '{STOP}'"
@@ -266,3 +269,117 @@ def sink_csv(spark, sf_dir):
 def scan_table_info(spark, sf_dir):
     out = K.table_info(table(spark, sf_dir, "orders"))
     return out.select(F.col("position").cast("long").alias("position"), "column", "type", "row_count")
+
+
+_DAY_KEYS = f"""SELECT l_suppkey, CAST(l_shipdate AS DATE) AS d, count(*) AS n, {rnd('max(l_extendedprice)', 2)} AS price FROM lineitem GROUP BY 1, 2"""
+
+
+@query(
+    "A11 H5",
+    f"""WITH g AS (SELECT *, substr(md5('{{"l_suppkey":' || l_suppkey || ',"d":"' || d || '"}}'), 1, 1) AS c FROM ({_DAY_KEYS})),
+ ends AS (SELECT c, unnest([min((l_suppkey, d)), max((l_suppkey, d))]) AS k FROM g WHERE n > 1 GROUP BY c),
+ sample AS (SELECT k, row_number() OVER (ORDER BY k) AS i FROM (SELECT DISTINCT k FROM ends))
+SELECT 'rows_in' AS name, NULL::BIGINT AS l_suppkey, NULL::VARCHAR AS d, CAST(sum(n) AS BIGINT) AS n FROM g
+UNION ALL SELECT 'rows_out', NULL, NULL, count(*) FROM g
+UNION ALL SELECT 'repeated_rows', NULL, NULL, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) FROM g
+UNION ALL SELECT 'repeated_keys', NULL, NULL, count(*) FILTER (WHERE n > 1) FROM g
+UNION ALL SELECT 'sample', k[1], CAST(k[2] AS VARCHAR), i FROM sample WHERE i <= 20""",
+)
+def sink_duplicate_report(spark, sf_dir):
+    """What a write with keys reports of repeated ones, measured while it runs: counts and twenty keys."""
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_shipdate").cast("date").alias("d"), "l_extendedprice")
+    report = K.truncate_write(lines, K.scratch_path(spark, "reported"), keys=["l_suppkey", "d"])
+    counts = [(n, None, None, getattr(report, n)) for n in ("rows_in", "rows_out", "repeated_rows", "repeated_keys")]
+    sample = [("sample", k["l_suppkey"], k["d"], i) for i, k in enumerate(report.sample, 1)]
+    return spark.createDataFrame(counts + sample, "name string, l_suppkey bigint, d string, n bigint")
+
+
+@query(
+    "A16 I2",
+    f"""WITH s AS (SELECT s_suppkey, s_suppkey % 29 = 0 AS no_key, s_suppkey % 17 = 0 AS no_date, DATE '1990-01-01' + CAST(s_suppkey AS INTEGER) AS listed,
+  {rnd('s_acctbal', 2)} AS weight, f.part FROM supplier JOIN (VALUES ('L'), ('D')) f(part)
+  ON (s_acctbal >= 4000 AND f.part = 'L') OR (s_acctbal < 4000 AND f.part = 'D') OR (s_suppkey % 10 = 0)),
+ b AS ({_DAY_KEYS}), bad AS (SELECT *, l_suppkey % 13 = 0 AND day(d) = 1 AS no_number FROM b),
+ kept AS (SELECT l_suppkey, d, price, FALSE AS again FROM bad WHERE NOT no_number AND d < DATE '1999-01-01'
+  UNION ALL SELECT l_suppkey, d, {rnd('price + 1', 2)}, TRUE FROM bad WHERE NOT no_number AND d >= DATE '1999-01-01' AND l_suppkey % 2 = 0)
+SELECT 'stock_basic' AS dataset, 'rows_read' AS name, count(*) AS n, NULL::DOUBLE AS total FROM s
+UNION ALL SELECT 'stock_basic', 'rejected', count(*) FILTER (WHERE no_key OR no_date), NULL FROM s
+UNION ALL SELECT 'stock_basic', 'no key: ts_code', count(*) FILTER (WHERE no_key), NULL FROM s
+UNION ALL SELECT 'stock_basic', 'no date: list_date', count(*) FILTER (WHERE no_date), NULL FROM s
+UNION ALL SELECT 'stock_basic', 'repeated_keys', count(*), NULL FROM (SELECT s_suppkey FROM s WHERE NOT (no_key OR no_date) GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'stock_basic', 'stored', count(*), {rnd('sum(weight)', 2)} FROM (SELECT s_suppkey, max(weight) AS weight FROM s WHERE NOT (no_key OR no_date) GROUP BY 1)
+UNION ALL SELECT 'stock_daily', 'rows_read', count(*) FILTER (WHERE d >= DATE '1999-01-01' AND l_suppkey % 2 = 0), NULL FROM bad
+UNION ALL SELECT 'stock_daily', 'rejected', count(*) FILTER (WHERE d >= DATE '1999-01-01' AND l_suppkey % 2 = 0 AND no_number), NULL FROM bad
+UNION ALL SELECT 'stock_daily', 'no double: close', count(*) FILTER (WHERE d >= DATE '1999-01-01' AND l_suppkey % 2 = 0 AND no_number), NULL FROM bad
+UNION ALL SELECT 'stock_daily', 'repeated_keys', 0, NULL
+UNION ALL SELECT 'stock_daily', 'stored', count(*), {rnd('sum(price)', 2)} FROM kept k WHERE again
+  OR d NOT IN (SELECT d FROM kept WHERE again)
+  """,
+)
+def land_catalogue(spark, sf_dir):
+    """Two datasets of the catalogue from text files: a union of two fetches, and a daily one whose dates from 1999 on come again.
+
+    Of both the rows read, the rejects by reason, the repeated keys and what is stored in the end.
+    """
+    root = K.scratch_path(spark, "catalogue")
+
+    def file(rows):
+        path = K.scratch_path(spark, "fetch")
+        K.write_csv(rows, path)
+        return path
+
+    key = F.col("s_suppkey")
+    listed = F.when(key % 17 == 0, "1990-13-01").otherwise(F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), key.cast("int")), "yyyyMMdd"))
+    basic = table(spark, sf_dir, "supplier").select(
+        F.when(key % 29 != 0, key.cast("string")).alias("ts_code"), "s_name", listed.alias("list_date"), r("s_acctbal", 2).alias("weight"), "s_acctbal", key
+    )
+    both = key % 10 == 0
+    fetches = {n: file(basic.where(c | both).select("ts_code", "s_name", "list_date", "weight")) for n, c in (("L", F.col("s_acctbal") >= 4000), ("D", F.col("s_acctbal") < 4000))}
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_shipdate").cast("date").alias("d"), "l_extendedprice")
+    days = lines.groupBy("l_suppkey", "d").agg(r(F.max("l_extendedprice"), 2).alias("price"))
+    shown = lambda c: F.when((F.col("l_suppkey") % 13 == 0) & (F.dayofmonth("d") == 1), "n/a").otherwise(c.cast("string")).alias("close")
+    daily = lambda df, c: file(df.select(F.col("l_suppkey").alias("ts_code"), F.date_format("d", "yyyyMMdd").alias("trade_date"), shown(c)))
+    late = (F.col("d") >= F.lit("1999-01-01").cast("date")) & (F.col("l_suppkey") % 2 == 0)
+    schemas = {
+        "stock_basic": R.landing_schema(["ts_code", "s_name", "list_date", "weight"], numbers=["weight"]),
+        "stock_daily": R.landing_schema(["ts_code", "trade_date", "close"], numbers=["close"]),
+    }
+    L.land_dataset(spark, "stock_daily", {"all": daily(days, F.col("price"))}, root, schemas["stock_daily"])
+    files = {"stock_basic": fetches, "stock_daily": {"late": daily(days.where(late), r(F.col("price") + 1, 2))}}
+    counts, parts = [], []
+    for report in L.land_catalogue(spark, files, root, schemas):
+        found = {"rows_read": report.rows_read, "rejected": report.rejected, "repeated_keys": report.written.repeated_keys} | report.reasons
+        counts += [(report.dataset, name, n, None) for name, n in found.items()]
+        value = {"stock_basic": "weight", "stock_daily": "close"}[report.dataset]
+        stored = spark.read.parquet(f"{root}/{report.dataset}").agg(F.count("*").alias("n"), r(F.sum(value), 2).alias("total"))
+        parts.append(stored.select(F.lit(report.dataset).alias("dataset"), F.lit("stored").alias("name"), "n", "total"))
+    return spark.createDataFrame(counts, "dataset string, name string, n bigint, total double").unionByName(parts[0]).unionByName(parts[1])
+
+
+@query(
+    "L1 B8",
+    """WITH o AS (SELECT o_custkey AS entity, CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1, 2)
+SELECT 'NULL in entity' AS rule, count(*) FILTER (WHERE o_custkey % 50 = 0) AS n FROM orders
+UNION ALL SELECT 'month does not follow from day', count(*) FILTER (WHERE day(o_orderdate) = 31) FROM orders
+UNION ALL SELECT 'repeated keys', count(*) FILTER (WHERE n > 1) FROM (SELECT CASE WHEN entity % 50 <> 0 THEN entity END AS entity, day, sum(n) AS n FROM o GROUP BY 1, 2)
+UNION ALL SELECT 'undeclared column priority', 1
+UNION ALL SELECT 'stored', count(*) FROM (SELECT DISTINCT CASE WHEN entity % 50 <> 0 THEN entity END, day FROM o)
+UNION ALL SELECT 'refused', 0""",
+)
+def dataset_contract(spark, sf_dir):
+    """What a write by contract finds in orders that break it; the same rows are refused by a strict write."""
+    spec = DatasetSpec("orders", ("entity", "day"), "day", "month", {"entity": "int", "day": "date", "price": "double", "month": "string"}, "yyyy-MM")
+    day = F.col("o_orderdate").cast("date")
+    month = F.date_format(F.when(F.dayofmonth(day) == 31, F.date_add(day, 1)).otherwise(day), "yyyy-MM")
+    orders = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_custkey") % 50 != 0, F.col("o_custkey")).cast("bigint").alias("entity"), day.alias("day"),
+        F.col("o_totalprice").alias("price"), month.alias("month"), F.col("o_orderpriority").alias("priority"),
+    )
+    path, strict = K.scratch_path(spark, "contract"), K.scratch_path(spark, "contract")
+    found = write_dataset(orders, path, spec, strict=False).violations
+    try:
+        write_dataset(orders.drop("priority"), strict, spec)
+    except ContractViolation:
+        refused = int(K.table_exists(spark, strict))
+    counts = spark.createDataFrame([*found.items(), ("refused", refused)], "rule string, n bigint")
+    return counts.unionByName(spark.read.parquet(path).agg(F.count("*").alias("n")).select(F.lit("stored").alias("rule"), "n"))

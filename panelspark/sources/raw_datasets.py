@@ -14,6 +14,8 @@ class RawDataset:
     strategy: str
     keys: tuple[str, ...]
     partition: str | None
+    #: The fetches whose union is the dataset; empty where any number of them may come.
+    fetches: tuple[str, ...] = ()
 
 
 # Dataset, strategy, key columns, partition column.
@@ -52,11 +54,15 @@ fund_nav             day        ts_code,nav_date
 """
 
 
+# Datasets that are the union of several fetches.
+UNIONS = {"stock_basic": ("L", "D"), "index_member_all": ("Y", "N")}
+
+
 def _parse() -> dict[str, RawDataset]:
     out = {}
     for line in _TEXT.strip().splitlines():
         name, strategy, keys, partition = line.split()
-        out[name] = RawDataset(name, strategy, tuple(keys.split(",")), None if partition == "-" else partition)
+        out[name] = RawDataset(name, strategy, tuple(keys.split(",")), None if partition == "-" else partition, UNIONS.get(name, ()))
     return out
 
 

@@ -151,12 +151,9 @@ def append(df: DataFrame, path: str, partition: Sequence[str] = (), *, keys: Seq
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return len(spark.read.parquet(path).columns) > 0
-    except Exception as e:  # the folder or its files are missing
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return False
-        raise
+    """Whether the folder holds files or partitions that readers see."""
+    files, root = _files(spark, path)
+    return files.exists(root) and any(not f.getPath().getName().startswith(("_", ".")) for f in files.listStatus(root))
 
 
 def _partition_values(df: DataFrame, partition: Sequence[str]) -> list[tuple]:
