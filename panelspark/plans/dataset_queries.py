@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from panelspark.datasets import statements as FS
 from panelspark.datasets import stock_factors as SF
 from panelspark.datasets.fund_panel import fund_panel
 from panelspark.datasets.fund_rules import LABELS
-from panelspark.datasets.labels import forward_labels
+from panelspark.datasets.labels import HORIZONS, forward_labels
 from panelspark.datasets.valuation import valuation_history
 from panelspark.functions.dates import month_start
 from panelspark.functions.numeric import ratio
@@ -576,3 +578,41 @@ def dataset_forward_labels(spark, sf_dir):
     )
     out = forward_labels({"stock": stock, "index": index.withColumnRenamed("month", "period")}, horizons=[1, 5])
     return out.select("entity", "period", "asset_type", r("fwd_ret_1d").alias("fwd_ret_1d"), r("fwd_ret_5d").alias("fwd_ret_5d"))
+
+
+def _sql_labels() -> str:
+    picked, joins, cols = [], [], []
+    for n in [0, *HORIZONS]:
+        joins.append(f"ASOF LEFT JOIN placed x{n} ON x{n}.entity = b.entity AND b.i + {n + 1} >= x{n}.i")
+        picked += [f"CASE WHEN b.i + {n + 1} <= b.last_i THEN x{n}.price END AS p{n}", f"CASE WHEN b.i + {n + 1} <= b.last_i THEN x{n}.halted END AS h{n}"]
+    cols += [f"{rnd(f'p{n} / nullif(p0, 0) - 1')} AS fwd_ret_{n}d" for n in HORIZONS]
+    cols += [f"CAST(coalesce(h0, 1) = 1 OR coalesce(h{n}, 1) = 1 AS INTEGER) AS is_suspend_{n}d" for n in HORIZONS]
+    return f"SELECT entity, period, asset_type, {', '.join(cols)} FROM (SELECT b.entity, b.period, b.asset_type, {', '.join(picked)} FROM placed b {' '.join(joins)}) WHERE period BETWEEN DATE '{LABELLED[0]}' AND DATE '{LABELLED[1]}'"
+
+
+LABELLED = (date(1996, 2, 1), date(2001, 6, 30))
+
+
+@query(
+    "P13 G15",
+    with_ctes(
+        "dbars ibars",
+        _sql_labels(),
+        assets="""SELECT 's' || entity AS entity, period, 'stock' AS asset_type, close * (1 + entity % 5) AS price, CAST(vol <= 3 AS INTEGER) AS halted FROM dbars
+ UNION ALL SELECT 'f' || o_custkey, CAST(o_orderdate AS DATE), 'fund', max(o_totalprice) * 0.5, CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE CAST(min(o_orderstatus) = 'P' AS INTEGER) END
+  FROM orders GROUP BY o_custkey, CAST(o_orderdate AS DATE)
+ UNION ALL SELECT 'i' || entity, period, 'index', close, 0 FROM ibars""",
+        days="SELECT period, row_number() OVER (ORDER BY period) AS i, count(*) OVER () AS last_i FROM (SELECT DISTINCT period FROM assets)",
+        placed="SELECT a.*, d.i, d.last_i FROM assets a JOIN days d USING (period)",
+    ),
+)
+def dataset_label_table(spark, sf_dir):
+    """Labels of stocks (adjusted, halted by volume), funds (halted by status, unknown counts as open) and indices, on the calendar of all."""
+    name = lambda kind: F.concat(F.lit(kind), F.col("entity").cast("string")).alias("entity")
+    stock = daily_bars(spark, sf_dir).select(name("s"), "period", "close", (F.lit(1) + F.col("entity") % 5).cast("double").alias("adj_factor"), (F.col("vol") <= 3).cast("int").alias("is_suspend"))
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("entity"), F.col("o_orderdate").cast("date").alias("period"))
+    fund = orders.agg(F.max("o_totalprice").alias("close"), F.lit(0.5).alias("adj_factor"), (F.min("o_orderstatus") == "P").cast("int").alias("_halted"))
+    fund = fund.select(name("f"), "period", "close", "adj_factor", F.when(F.col("entity") % 3 != 0, F.col("_halted")).alias("is_suspend"))
+    index = index_bars(spark, sf_dir).select(name("i"), "period", "close")
+    out = forward_labels({"stock": stock, "fund": fund, "index": index}, start=LABELLED[0], end=LABELLED[1])
+    return out.select("entity", "period", "asset_type", *[r(f"fwd_ret_{n}d").alias(f"fwd_ret_{n}d") for n in HORIZONS], *[f"is_suspend_{n}d" for n in HORIZONS])
