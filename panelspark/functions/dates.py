@@ -30,10 +30,6 @@ def quarter_end(c: Column | str) -> Column:
     return F.last_day(F.add_months(F.trunc(as_col(c), "quarter"), 2))
 
 
-def iso_week_start(c: Column | str) -> Column:
-    return F.trunc(as_col(c), "week")
-
-
 def is_weekday(c: Column | str) -> Column:
     return F.weekday(as_col(c)) < F.lit(5)
 

@@ -165,15 +165,27 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def year_profile(df: DataFrame, period: str, value: str) -> DataFrame:
-    """Mean, min, max and last value per year."""
-    return df.groupBy(F.year(period).alias("year")).agg(
+def year_profile(df: DataFrame, period: str, value: str, by: Sequence[str] = (), *, recent: int = 3) -> DataFrame:
+    """Mean, min, max and last value per year, with flags: the best and the worst year by mean, and the last years.
+
+    NULL values count in no measure; years without a value have no row. Years of
+    equal mean are all best, or all worst.
+    """
+    rows = df.where(F.col(value).isNotNull())
+    years = rows.groupBy(*by, F.year(period).alias("year")).agg(
         F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"), F.max_by(value, period).alias("last")
     )
+    w = Window.partitionBy(*(by or [F.lit(1)]))  # the years of the calendar
+    flags = {
+        "is_best": F.col("mean") == F.max("mean").over(w),
+        "is_worst": F.col("mean") == F.min("mean").over(w),
+        "is_recent": F.col("year") > F.max("year").over(w) - recent,
+    }
+    return years.withColumns({k: v.cast("int") for k, v in flags.items()})
 
 
-def year_month_table(df: DataFrame, period: str, value: str) -> DataFrame:
+def year_month_table(df: DataFrame, period: str, value: str, by: Sequence[str] = ()) -> DataFrame:
     """One row per year, one column per month, the last value in the month."""
-    rows = df.select(F.year(period).alias("year"), F.month(period).alias("month"), period, value)
-    out = rows.groupBy("year").pivot("month", list(range(1, 13))).agg(F.max_by(value, period))
-    return out.select("year", *[F.col(f"`{m}`").alias(f"m{m:02d}") for m in range(1, 13)])
+    rows = df.select(*by, F.year(period).alias("year"), F.month(period).alias("_month"), F.col(period).alias("_at"), F.col(value).alias("_v"))
+    out = rows.groupBy(*by, "year").pivot("_month", list(range(1, 13))).agg(F.max_by("_v", "_at"))
+    return out.select(*by, "year", *[F.col(f"`{m}`").alias(f"m{m:02d}") for m in range(1, 13)])

@@ -187,15 +187,40 @@ def agg_margins(spark, sf_dir):
     ),
 )
 def agg_year_profile(spark, sf_dir):
+    out = A.year_profile(index_bars(spark, sf_dir), "period", "close", ["entity"])
+    shown = {"min": "lo", "max": "hi", "last": "last"}
+    return out.select("entity", "year", r("mean", 3).alias("mean"), *[r(c, 2).alias(n) for c, n in shown.items()], "is_best")
+
+
+@query(
+    "F18",
+    with_ctes(
+        "ibars",
+        f"""SELECT entity, year, {rnd('mean', 3)} AS mean, CAST(mean = max(mean) OVER w AS INTEGER) AS is_best, CAST(mean = min(mean) OVER w AS INTEGER) AS is_worst,
+ CAST(year > max(year) OVER w - 3 AS INTEGER) AS is_recent FROM (SELECT entity, year(period) AS year, avg(vol) AS mean FROM ibars WHERE vol > 20 GROUP BY 1, 2)
+ WINDOW w AS (PARTITION BY entity)
+ UNION ALL SELECT NULL, year, {rnd('mean', 3)}, CAST(mean = max(mean) OVER () AS INTEGER), CAST(mean = min(mean) OVER () AS INTEGER), CAST(year > max(year) OVER () - 3 AS INTEGER)
+ FROM (SELECT year(period) AS year, avg(vol) AS mean FROM ibars GROUP BY 1)""",
+    ),
+)
+def agg_year_marks(spark, sf_dir):
+    """Best, worst and last three years of each entity's larger volumes, and of all volumes."""
     b = index_bars(spark, sf_dir)
-    years = b.groupBy("entity", F.year("period").alias("year")).agg(
-        F.avg("close").alias("mean"), F.min("close").alias("lo"), F.max("close").alias("hi"), F.max_by("close", "period").alias("last")
-    )
-    best = years.groupBy("entity").agg(F.max("mean").alias("_b"))
-    return years.join(best, "entity").select(
-        "entity", "year", r("mean", 3).alias("mean"), *[r(c, 2).alias(c) for c in ("lo", "hi", "last")],
-        (F.col("mean") == F.col("_b")).cast("int").alias("is_best"),
-    )
+    columns = ["year", r("mean", 3).alias("mean"), "is_best", "is_worst", "is_recent"]
+    each = A.year_profile(b.withColumn("large", F.when(F.col("vol") > 20, F.col("vol"))), "period", "large", ["entity"])
+    whole = A.year_profile(b, "period", "vol").withColumn("entity", F.lit(None).cast(each.schema["entity"].dataType))
+    return each.select("entity", *columns).unionByName(whole.select("entity", *columns))
+
+
+@query(
+    "F9",
+    f"""SELECT l_suppkey, CASE WHEN count(*) >= 10 THEN {rnd('quantile_cont(l_extendedprice, 0.75) / nullif(quantile_cont(l_extendedprice, 0.25), 0)')} END AS dispersion
+ FROM lineitem GROUP BY 1""",
+)
+def agg_quantile_dispersion(spark, sf_dir):
+    """Upper over lower quartile of prices, where there are ten of them."""
+    out = A.quantile_dispersion(table(spark, sf_dir, "lineitem"), ["l_suppkey"], "l_extendedprice", "dispersion")
+    return out.select("l_suppkey", r("dispersion").alias("dispersion"))
 
 
 @query(
@@ -281,9 +306,8 @@ def agg_correlation_matrix(spark, sf_dir):
     ),
 )
 def agg_year_month_table(spark, sf_dir):
-    b = index_bars(spark, sf_dir).select("entity", F.year("period").alias("year"), F.month("period").alias("m"), "period", "close")
-    out = b.groupBy("entity", "year").pivot("m", list(range(1, 13))).agg(F.max_by("close", "period"))
-    return out.select("entity", "year", *[r(F.col(f"`{m}`"), 2).alias(f"m{m:02d}") for m in range(1, 13)])
+    out = A.year_month_table(index_bars(spark, sf_dir), "period", "close", ["entity"])
+    return out.select("entity", "year", *[r(f"m{m:02d}", 2).alias(f"m{m:02d}") for m in range(1, 13)])
 
 
 @query(

@@ -439,6 +439,20 @@ def window_scale_jumps(spark, sf_dir):
     return out.select("entity", "period", r("amount", 2).alias("amount"), "jump")
 
 
+@query(
+    "G38",
+    with_ctes(
+        "bars",
+        "SELECT entity, min(period) AS first_period FROM bars WHERE abs(amount) > 400000 GROUP BY 1",
+    ),
+)
+def window_first_above(spark, sf_dir):
+    """First month in which an amount passes the threshold."""
+    from panelspark.operators.quality import first_above
+
+    return first_above(bars(spark, sf_dir), "entity", "period", "amount", 400_000)
+
+
 @query(
     "G39 F3",
     with_ctes(

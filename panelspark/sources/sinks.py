@@ -17,6 +17,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from panelspark.operators.quality import duplicate_keys
 from panelspark.operators.windows import latest_per_key
 from panelspark.session import scratch_dir
 
@@ -116,8 +117,8 @@ def watched_dedupe(df: DataFrame, keys: Sequence[str], *, flag: str | None = "up
 
 
 def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their number of copies."""
-    return df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
+    """Keys that occur more than once, with their number of copies; as a table, for a report of any size."""
+    return duplicate_keys(df, keys)
 
 
 def _spread(df: DataFrame, partition: Sequence[str]) -> DataFrame:
