@@ -16,7 +16,7 @@ from panelspark.datasets import stock_factors as SF
 from panelspark.datasets.fund_panel import fund_panel
 from panelspark.datasets.fund_rules import LABELS
 from panelspark.datasets.labels import HORIZONS, forward_labels
-from panelspark.datasets.valuation import valuation_history
+from panelspark.datasets.valuation import NON_NEGATIVE, SIGNED, valuation_history
 from panelspark.functions.dates import month_start
 from panelspark.functions.numeric import ratio
 from panelspark.operators import windows as W
@@ -616,3 +616,148 @@ def dataset_label_table(spark, sf_dir):
     index = index_bars(spark, sf_dir).select(name("i"), "period", "close")
     out = forward_labels({"stock": stock, "fund": fund, "index": index}, start=LABELLED[0], end=LABELLED[1])
     return out.select("entity", "period", "asset_type", *[r(f"fwd_ret_{n}d").alias(f"fwd_ret_{n}d") for n in HORIZONS], *[f"is_suspend_{n}d" for n in HORIZONS])
+
+
+# ---- the same datasets with every column that has a closed SQL form ---------------------------
+
+RATIOS = {
+    "bp": "vol / amount * 1000", "rep": "open / close", "sp_q": "low / high", "sp_ttm": "close / amount * 100",
+    "divp_ttm": "CASE WHEN vol > 10 THEN high / close END", "gpp_q": "close / open - 1", "ep_q": "(close - open) / high",
+    "ocfp_q": "CASE WHEN vol > 15 THEN low / open - 0.9 END", "ebitp_q": "(high + low - 2 * close) / close", "gpp_ttm": "(open - low) / high - 0.3",
+    "ep_ttm": "close / high - 0.8", "ocfp_ttm": "low / close - 0.7", "ebitp_ttm": "(close - low) / nullif(high - low, 0) - 0.5",
+    "admp_q": "open / high", "rdp_q": "CASE WHEN vol > 12 THEN low / high END", "taxp_q": "CASE WHEN vol > 20 THEN open / close / 10 END",
+}
+PACKED = [*NON_NEGATIVE, *SIGNED, "arp_q", "artp_q"]
+
+
+def _sql_history(c: str) -> str:
+    h, n = f"h_{c}", f"len(h_{c})"
+    enough, flat = f"{n} >= 4", f"list_min({h}) = list_max({h})"
+    stats = {
+        "mean": f"list_avg({h})",
+        "std": f"list_stddev_pop({h})",
+        "zscore": f"CASE WHEN NOT {flat} THEN ({h}[-1] - list_avg({h})) / list_stddev_pop({h}) END",
+        "tsrank": f"len(list_filter({h}[1:{n} - 1], lambda x: x <= {h}[-1])) / nullif({n} - 1, 0)",
+        "momentum": f"CASE WHEN {n} > 12 AND abs({h}[{n} - 12]) > 1e-12 THEN ({h}[-1] - {h}[{n} - 12]) / abs({h}[{n} - 12]) END",
+    }
+    out = [f"{rnd(c)} AS {c}", *[f"{rnd(f'CASE WHEN {enough} THEN {e} END')} AS {c}_{k}" for k, e in stats.items()]]
+    if c in SIGNED:
+        out.append(f"CASE WHEN {enough} THEN CAST(len(list_filter({h}, lambda x: x < 0)) AS INTEGER) END AS {c}_neg_cnt")
+    return ", ".join(out)
+
+
+@query(
+    "P12 G34 D7",
+    with_ctes(
+        "bars",
+        f"""SELECT entity, period AS snapshot_date, report_cnt, {", ".join(map(_sql_history, PACKED))} FROM (
+ SELECT *, count(*) {over(36)} AS report_cnt, {", ".join(f"list({c}) FILTER (WHERE {c} IS NOT NULL) {over(36)} AS h_{c}" for c in PACKED)} FROM r) WHERE report_cnt >= 4""",
+        q=f"SELECT entity, period, {', '.join(f'{e} AS {c}' for c, e in RATIOS.items())} FROM bars",
+        r="SELECT *, coalesce(admp_q, 0) + coalesce(rdp_q, 0) AS arp_q, coalesce(admp_q, 0) + coalesce(rdp_q, 0) + coalesce(taxp_q, 0) AS artp_q FROM q",
+    ),
+)
+def dataset_valuation_pack(spark, sf_dir):
+    """All fifteen ratios with their statistics over 36 snapshots."""
+    b = bars(spark, sf_dir).select("entity", F.col("period").alias("snapshot_date"), F.col("period").alias("end_date"), *[F.expr(e).alias(c) for c, e in RATIOS.items()])
+    out = valuation_history(b)
+    counts = [c for c in out.columns if c.endswith("_neg_cnt")]
+    values = [c for c in out.columns if c not in ("entity", "snapshot_date", "report_cnt", *counts)]
+    return out.select("entity", "snapshot_date", "report_cnt", *[r(c).alias(c) for c in values], *counts)
+
+
+SQL_FLOWS = f"""SELECT *, ret * vol AS vm, buy_elg_vol / vol AS buy_elg, (buy_sm_vol - sell_sm_vol) / nullif(buy_sm_vol + sell_sm_vol, 0) AS sm_imba,
+ close / nullif(open, 0) - 1 AS intra, open / nullif(pre, 0) - 1 AS night, buy_elg_vol - sell_elg_vol AS net_elg, abs(ret) / nullif(amount / 10000, 0) AS illiq,
+ CASE WHEN pre IS NOT NULL THEN greatest(high - low, abs(high - pre), abs(low - pre)) / nullif(pre, 0) END AS tr,
+ tvr / nullif(lag(tvr) OVER ({BY}), 0) - 1 AS tvr_chg FROM ({SQL_PANEL})"""
+
+
+def _mean_std_ratio(out: str, c: str) -> str:
+    m, s = f"avg({c}) {over(20)}", f"stddev_samp({c}) {over(20)}"
+    return f"{_mean_std(out, c)}, {rnd(f'{m} / nullif({s}, 0)', 3)} AS {out}_msr_20"
+
+
+MEASURES = {"ret": "ret", "tvr": "tvr", "tvr_chg": "tvr_chg", "amp": "amp", "shadow_diff": "shadow", "plus": "plus", "illiq": "illiq"}
+MEANS = {"intraday_ret_20": "intra", "overnight_ret_20": "night", "abs_overnight_ret_20": "abs(night)"}
+NORMED = {"sm_imba_norm": "net", "elg_imba_norm": "net_elg"}
+
+
+@query(
+    "P9 G40 F1 F13 F14",
+    with_ctes(
+        "fbars",
+        f"""SELECT * EXCLUDE (c) FROM (SELECT entity, period, count(*) {over(20)} AS c, {rnd(f'exp(sum(ln(1 + ret)) {over(20)}) - 1', 4)} AS ret_20,
+ {", ".join(_mean_std_ratio(n, c) for n, c in MEASURES.items())},
+ {", ".join(f"{rnd(f'avg({e}) {over(20)}')} AS {n}" for n, e in MEANS.items())},
+ {rnd(f'sum(ret * vol) {over(20)} / nullif(sum(vol) {over(20)}, 0)')} AS vw_ret_20, {rnd(f'sum(intra * vol) {over(20)} / nullif(sum(vol) {over(20)}, 0)')} AS vw_intraday_ret_20,
+ {", ".join(f"{rnd(f'sum({e}) {over(20)} / nullif(sum(abs({e})) {over(20)}, 0)')} AS {n}" for n, e in NORMED.items())} FROM p) WHERE c = 20""",
+        p=SQL_FLOWS,
+    ),
+)
+def dataset_price_volume_windows(spark, sf_dir):
+    """All columns of the 20-row pack that are made from one entity's window."""
+    out = SF.price_volume_pack(factor_panel(spark, sf_dir), stage=staged)
+    ratios = [f"{n}_msr_20" for n in MEASURES]
+    names = [*[f"{n}_{k}_20" for n in MEASURES for k in ("mean", "std")], *MEANS, "vw_ret_20", "vw_intraday_ret_20", *NORMED]
+    return out.select("entity", "period", r("ret_20", 4).alias("ret_20"), *[r(c, 3).alias(c) for c in ratios], *[r(c).alias(c) for c in names])
+
+
+_FLOW_NAMES = {"buy_sm": "buy_sm", "buy_elg": "buy_elg", "sm_imba": "sm_imba", "elg_imba": "elg_imba"}
+
+
+@query(
+    "P10 G31",
+    with_ctes(
+        "fbars",
+        _sql_traded(
+            ["ret", "buy_sm_vol"], {"ret": list(_FLOW_NAMES), "vm": list(_FLOW_NAMES)},
+            ", ".join(_sql_slices(f"a_{k}", {v: f"{n}_{{slice}}_{v}" for v in _FLOW_NAMES}, [5, 10]) for k, n in (("ret", "ret"), ("vm", "vm_ret"))),
+        ),
+        p=SQL_FLOWS,
+    ),
+)
+def dataset_flow_imbalance_columns(spark, sf_dir):
+    """All four flow ratios on the days of the highest and lowest returns."""
+    out = SF.flow_imbalance(factor_panel(spark, sf_dir))
+    return rcols(out, ["entity", "period"], [c for c in out.columns if c not in ("entity", "period")])
+
+
+@query(
+    "P10 G32",
+    with_ctes(
+        "fbars",
+        _sql_traded(
+            ["ret", "buy_sm_vol"], {k: ["ret"] for k in _FLOW_NAMES},
+            ", ".join([_sql_slices(f"a_{k}", {"ret": f"{k}_{{slice}}"}, [5, 10]) for k in _FLOW_NAMES] + [f"{rnd(f'a_{k}[{i + 1}].ret')} AS {k}_{i}_ret" for k in _FLOW_NAMES for i in range(20)]),
+        ),
+        p=SQL_FLOWS,
+    ),
+)
+def dataset_trader_structure_columns(spark, sf_dir):
+    """Returns on the days of the highest and lowest values of all four flow ratios."""
+    out = SF.trader_structure(factor_panel(spark, sf_dir))
+    return rcols(out, ["entity", "period"], [c for c in out.columns if c not in ("entity", "period")])
+
+
+_SPREAD = {"tvr": "tvr", "amp": "amp", "tr": "tr", "plus": "plus"}
+
+
+@query(
+    "P10 D11",
+    with_ctes(
+        "fbars",
+        _sql_traded(
+            ["ret"], {"close": list(_SPREAD)},
+            _sql_slices("a_close", {v: f"close_{{slice}}_{v}" for v in _SPREAD}, [5, 10])
+            + ", " + ", ".join(f"{rnd(f'a_close[{i + 1}].{v}')} AS close_{i}_{v}" for v in _SPREAD for i in range(20))
+            + ", " + ", ".join(f"{rnd(f'm_{v}', 5)} AS {v}_mean_20, {rnd(f's_{v}', 5)} AS {v}_std_20" for v in _SPREAD),
+            source=f"(SELECT *, {', '.join(f'avg({v}) {over(20)} AS m_{v}, stddev_samp({v}) {over(20)} AS s_{v}' for v in _SPREAD)} FROM p)",
+        ),
+        p=SQL_FLOWS,
+    ),
+)
+def dataset_high_low_spread_columns(spark, sf_dir):
+    """Turnover, amplitude, range and close location on the highest and lowest closes, with their means and deviations."""
+    out = SF.high_low_spread(factor_panel(spark, sf_dir))
+    wide = [c for c in out.columns if c.endswith(("_mean_20", "_std_20"))]
+    rest = [c for c in out.columns if c not in ("entity", "period", *wide)]
+    return out.select("entity", "period", *[r(c).alias(c) for c in rest], *[r(c, 5).alias(c) for c in wide])
