@@ -8,12 +8,15 @@ rule), and one region is kept for each such shingle. Inside the regions pivots
 and the triangle inequality do the work:
 
 * the first pivot of a region is compared with all its members; members near
-  it form one component and need no further comparison among themselves;
-* |d(x, p) - d(y, p)| > r rules a pair out without comparing it;
+  it form one component, and a region of one component is done;
 * a region that is still large is cut into Voronoi cells of several pivots; a
   member is also copied to every cell whose pivot is at most 2r further than
   its nearest one, so that no pair is lost; cells are cut again in the same way;
-* what a cut does not make smaller is compared in blocks of bounded size.
+* what a cut does not make smaller is dealt into cells for each pair of blocks;
+* a cell of bounded size is joined inside one task: |d(x, p) - d(y, p)| > r, sizes
+  and profiles rule pairs out, members with a pair left get their whole sets, and
+  an inverted index of the cell counts what they have in common. A task returns
+  the links that join components, fewer than the cell has members, never pairs.
 
 The order of shingles puts frequent ones last. Frequencies come from a fixed
 number of counters; a wrong count costs time, not results.
@@ -32,21 +35,24 @@ from pyspark.sql import functions as F
 
 from panelspark.llm import tokens
 from panelspark.llm.components import components
-from panelspark.llm.stage import staged
+from panelspark.llm.stage import packed, staged, unpacked
 
 SHINGLE = 5
 COUNTERS = 1 << 20
 #: Bins of a set's profile; sets beyond the size have none and are always compared.
 BINS = 128
 PROFILED = 10_000
-#: Members outside a region's largest component that are compared with all members.
-REGION = 64
-#: Members of a region that a block of the others meets at once.
-WIDE = 512
+#: Members, and shingles of all of them, that a cell joined in one task has at most (one longer text apart).
+REGION = 2048
+CELL_SHINGLES = 4_000_000
 PIVOTS = 8
 LEVELS = 6
 #: Rows of (class, id) that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
+#: Members of a pivot that are compared with it in one task.
+PART = 4096
+#: Rows of up to four numbers that are broadcast at most.
+SMALL_ROWS = 500_000
 
 
 def _sets(words: tokens.Words, size: int) -> Iterator[np.ndarray]:
@@ -179,7 +185,9 @@ class _Sets:
         return pairs.join(left, "a").join(right, "b").select("a", "b", "_pa", "_pb", "_na", "_nb").mapInArrow(_may_reach, "a bigint, b bigint")
 
     def of(self, pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+        return self.named(pairs.select("a").union(pairs.select("b")).toDF("c").distinct())
+
+    def named(self, wanted: DataFrame) -> DataFrame:
         named = staged(self.classes.join(wanted, "c", "left_semi").groupBy("c").agg(F.min("_id").alias("_id")), "jaccard-wanted")
         if named.count() <= BROADCAST_ROWS:
             named = F.broadcast(named)
@@ -188,66 +196,207 @@ class _Sets:
         return staged(whole.mapInArrow(lambda b: _whole_sets(b, words), "c bigint, shingles array<bigint>"), "jaccard-sets")
 
 
+def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, common, n, m) from rows (b, part, a, shingles) in order, where a pivot's own set comes before its members'."""
+    at, pivot = None, None
+    for batch in batches:
+        b, part, a = (batch.column(batch.schema.get_field_index(x)).to_numpy() for x in ("b", "part", "a"))
+        sets = batch.column(batch.schema.get_field_index("shingles"))
+        offsets, flat = sets.offsets.to_numpy(), sets.values.to_numpy()
+        out = []
+        for i in range(len(a)):
+            mine = flat[offsets[i] : offsets[i + 1]]
+            if at != (b[i], part[i]):
+                at, pivot = (b[i], part[i]), np.sort(mine)
+            else:
+                found = pivot[np.minimum(np.searchsorted(pivot, mine), len(pivot) - 1)] == mine
+                out.append((a[i], b[i], int(found.sum()), len(mine), len(pivot)))
+        columns = np.array(out, np.int64).reshape(-1, 5).T
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "common", "n", "m"])
+
+
 def _distances(pairs: DataFrame, source: _Sets, far: bool = False) -> DataFrame:
-    """(a, b, common, n, m) of distinct class pairs, from their whole sets.
+    """(a, b, common, n, m) with a < b of distinct pairs of a member a and a pivot b, from their whole sets.
 
-    Pairs that cannot be within r have no row unless `far` asks for them.
+    Members' sets go to their pivot, whose own goes to each of its parts of about
+    PART members. Pairs that cannot be within r have no row unless `far` asks for them.
     """
     pairs = staged(pairs, "jaccard-tried")
     if not far:
         pairs = staged(source.possible(pairs), "jaccard-pairs")
     sets = source.of(pairs)
-    left = sets.select(F.col("c").alias("a"), F.col("shingles").alias("_x"))
-    right = sets.select(F.col("c").alias("b"), F.col("shingles").alias("_y"))
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("_x", "_y")).cast("long").alias("common")
-    return both.select("a", "b", common, F.size("_x").cast("long").alias("n"), F.size("_y").cast("long").alias("m")).distinct()
+    parts = staged(pairs.groupBy("b").agg(F.ceil(F.count("*") / PART).cast("long").alias("_parts")), "jaccard-parts")
+    own = parts.select(F.col("b").alias("c"), "b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("part"), F.lit(0).alias("_kind"))
+    met = pairs.join(_sized(parts), "b").select(F.col("a").alias("c"), "b", F.pmod(F.xxhash64("a", F.lit(3)), F.col("_parts")).alias("part"), F.lit(1).alias("_kind"))
+    wanted = staged(own.unionByName(met), "jaccard-met")
+    rows = sets.join(_sized(wanted), "c").withColumnRenamed("c", "a").repartition("b", "part").sortWithinPartitions("b", "part", "_kind", "a")
+    found = rows.select("b", "part", "a", "shingles").mapInArrow(_common, "a bigint, b bigint, common bigint, n bigint, m bigint")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "common", "n", "m").dropDuplicates(["a", "b"])
 
 
 def _with_distance(distances: DataFrame) -> DataFrame:
     return distances.withColumn("d", 1 - F.col("common") / (F.col("n") + F.col("m") - F.col("common")))
 
 
+def _sized(table: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row, broadcast when it has few rows; larger ones are joined by a shuffle."""
+    return F.broadcast(table) if table.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else table
+
+
 def _mixed_regions(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members of regions that hold more than one component.
+    """The members of regions that hold more than one component, each with its component k and the region's size.
 
-    Each with its component k, whether it stands outside the region's largest
-    component, the region's members and how many of them stand outside.
+    The one pair of a region of two has been compared with its pivot.
     """
-    out = members.join(labels.select(F.col("node").alias("c"), F.col("component").alias("k")), "c", "left")
+    out = members.join(_sized(labels.select(F.col("node").alias("c"), F.col("component").alias("k"))), "c", "left")
     out = out.withColumn("k", F.coalesce("k", "c"))
-    w = Window.partitionBy("s")
-    out = out.withColumns({"_lo": F.min("k").over(w), "_hi": F.max("k").over(w), "members": F.count("*").over(w)}).where("_lo < _hi")
-    largest = F.max(F.struct(F.col("_same"), F.col("k"))).over(w)
-    out = out.withColumn("_same", F.count("*").over(Window.partitionBy("s", "k"))).withColumn("outside", F.col("k") != largest["k"])
-    return out.withColumn("outsiders", F.sum(F.col("outside").cast("long")).over(w)).drop("_lo", "_hi", "_same")
-
+    about = out.groupBy("s").agg(F.min("k").alias("_lo"), F.max("k").alias("_hi"), F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    return out.join(_sized(staged(about.where("_lo < _hi and members > 2").drop("_lo", "_hi"), "jaccard-mixed")), "s")
 
-def _block_pairs(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components of each region that may link.
 
-    One of them stands outside the largest component. Outsiders come in blocks of
-    about REGION, all members in blocks of about WIDE; each block of the one meets
-    each of the other.
-    """
-    row = F.struct("c", "n", "p", "d", "k")
-    tall, wide = F.ceil(F.col("outsiders") / REGION).cast("int"), F.ceil(F.col("members") / WIDE).cast("int")
-    part = lambda n, salt: F.pmod(F.xxhash64("c", F.lit(salt)), n.cast("long")).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    right = members.withColumns({"_j": part(wide, 1), "_row": row}).select("s", every(tall).alias("_i"), "_j", F.lit(False).alias("_one"), "_row")
-    left = members.where("outside").withColumns({"_i": part(tall, 2), "_row": row}).select("s", "_i", every(wide).alias("_j"), F.lit(True).alias("_one"), "_row")
-    grouped = left.unionByName(right).groupBy("s", "_i", "_j").agg(F.collect_list(F.when(F.col("_one"), F.col("_row"))).alias("_left"), F.collect_list(F.when(~F.col("_one"), F.col("_row"))).alias("_right"))
+def _fits() -> Column:
+    return (F.col("members") <= REGION) & (F.col("shingles") <= CELL_SHINGLES)
 
-    def fits(x: Column, y: Column) -> Column:
-        window = F.coalesce(F.abs(x["d"] - y["d"]) <= 0.25 + 1e-9, F.lit(True))
-        return (x["k"] != y["k"]) & _may_link(x["n"], x["p"], y["n"], y["p"]) & window
 
-    pairs = F.flatten(F.transform("_left", lambda x: F.transform(F.filter("_right", lambda y: fits(x, y)), lambda y: F.struct(F.least(x["c"], y["c"]).alias("a"), F.greatest(x["c"], y["c"]).alias("b")))))
-    return grouped.select(F.explode(pairs).alias("e")).select("e.a", "e.b").distinct()
+def _cells(regions: DataFrame) -> DataFrame:
+    """Regions that fit as they are; the others as one cell for each pair of their blocks, about REGION members each."""
+    many = F.greatest(F.ceil(F.col("members") * 2 / REGION), F.ceil(F.col("shingles") * 2 / CELL_SHINGLES)).cast("int")
+    blocks = F.when(_fits(), 1).otherwise(F.greatest(many, F.lit(2)))
+    own = F.pmod(F.xxhash64("c", F.lit(7)), F.col("_blocks").cast("long")).cast("int")
+    dealt = regions.withColumn("_blocks", blocks).withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    cell = F.when(F.col("_blocks") == 1, F.col("s")).otherwise(F.xxhash64("s", F.least("_own", "_other"), F.greatest("_own", "_other")))
+    return dealt.select(cell.alias("s"), "c", "n", "p", "d", "k")
 
 
-def _pairs_of(rows: DataFrame, x: str, y: str) -> DataFrame:
-    return rows.where(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
+    """Whole cells from rows sorted by s: a table and the rows of each cell in it."""
+    carried = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if carried is None else pa.concat_tables([carried, table])
+        if not table.num_rows:
+            continue
+        s = table["s"].to_numpy()
+        edges = [0, *(np.flatnonzero(s[1:] != s[:-1]) + 1).tolist()]
+        carried = table.slice(edges[-1])
+        if len(edges) > 1:
+            yield table.slice(0, edges[-1]).combine_chunks(), list(zip(edges[:-1], edges[1:], strict=True))
+    if carried is not None and carried.num_rows:
+        yield carried.combine_chunks(), [(0, carried.num_rows)]
+
+
+def _in_cells(rows: DataFrame, join, schema: str) -> DataFrame:
+    return rows.repartition("s").sortWithinPartitions("s").mapInArrow(join, schema)
+
+
+def _merged(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels of groups after joining the groups of a and b, the smallest label of each."""
+    while True:
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        apart = low != high
+        if not apart.any():
+            return label
+        to = np.arange(len(label))
+        np.minimum.at(to, high[apart], low[apart])
+        label = to[label]
+
+
+def _undecided(n: np.ndarray, p: np.ndarray, d: np.ndarray, k: np.ndarray, profiles: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Groups of a cell's members, such that pairs of two components that nothing rules out are in one group; alone is a member without such a pair."""
+    label = np.arange(len(n))
+    step = max(1, 200_000 // len(n))
+    for at in range(0, len(n), step):
+        x = slice(at, at + step)
+        small, large = np.minimum(n[x, None], n), np.maximum(n[x, None], n)
+        fits = (k[x, None] != k) & (small * 4 >= large * 3) & (np.minimum((n - p)[x, None], n - p) * 7 >= (n[x, None] + n) * 3)
+        fits &= ~(np.abs(d[x, None] - d) > 0.25 + 1e-9)  # an unknown distance rules nothing out
+        i, j = np.nonzero(fits)
+        i, j = i[i + at < j] + at, j[i + at < j]
+        for c in range(0, len(i), 50_000):
+            a, b = i[c : c + 50_000], j[c : c + 50_000]
+            new = label[a] != label[b]
+            a, b = a[new], b[new]
+            u, v = profiles[a], profiles[b]
+            least = np.minimum(u, v).sum(axis=1, dtype=np.int64)
+            open_end = ((u == 255) | (v == 255)).any(axis=1) | ~known[a] | ~known[b]
+            left = open_end | (least * 175 >= (n[a] + n[b]) * 75)
+            label = _merged(label, a[left], b[left])
+    return label
+
+
+def _need_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(s, c, k) of the members that must be compared by their whole sets; s names the group, so regions that leave the same group name it alike."""
+    for table, runs in _runs(batches):
+        n, p, k, c = (table[x].to_numpy() for x in ("n", "p", "k", "c"))
+        d = table["d"].to_numpy(zero_copy_only=False).astype(float)
+        given = table["profile"].to_pylist()
+        known = np.array([x is not None for x in given])
+        profiles = np.frombuffer(b"".join(x if x is not None else bytes(BINS) for x in given), np.uint8).reshape(-1, BINS)
+        label = np.concatenate([a + _undecided(n[a:z], p[a:z], d[a:z], k[a:z], profiles[a:z], known[a:z]) for a, z in runs])
+        size, total = np.bincount(label, minlength=len(c)), np.zeros(len(c), np.uint64)
+        np.add.at(total, label, tokens.mixed(c.view(np.uint64)))
+        name = tokens.folded([total, size.astype(np.uint64)]).view(np.int64)
+        keep = np.flatnonzero(size[label] > 1)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (name[label[keep]], c[keep], k[keep])], names=["s", "c", "k"])
+
+
+def _spanning_links(sets: pa.ListArray, k: np.ndarray) -> list[tuple[int, int]]:
+    """Links within r between members of a cell that join its components, each component once."""
+    n = np.diff(sets.offsets.to_numpy())
+    _, shingle = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+    owner = np.repeat(np.arange(len(n)), n)
+    order = np.argsort(shingle, kind="stable")
+    postings, first = owner[order], np.concatenate([[0], np.cumsum(np.bincount(shingle))])
+    at, links, root = np.concatenate([[0], np.cumsum(n)]), [], np.unique(k, return_inverse=True)[1]
+    for x in range(len(n)):
+        other = root != root[x]
+        other[:x] = False
+        if not other.any():
+            continue
+        mine = shingle[at[x] : at[x + 1]]
+        lengths = first[mine + 1] - first[mine]
+        place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        common = np.bincount(postings[np.repeat(first[mine], lengths) + place], minlength=len(n))
+        for y in np.flatnonzero(other & (common * 100 >= (n[x] + n - common) * 75)).tolist():
+            if root[x] != root[y]:
+                links.append((x, y))
+                root[root == root[y]] = root[x]
+    return links
+
+
+def _join_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for table, runs in _runs(batches):
+        c, k, sets = table["c"].to_numpy(), table["k"].to_numpy(), table["shingles"]
+        found = [(c[a + x], c[a + y]) for a, z in runs for x, y in _spanning_links(sets.slice(a, z - a).combine_chunks(), k[a:z])]
+        u, v = np.array(found, np.int64).reshape(-1, 2).T
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+
+def _cell_links(regions: DataFrame, sets: _Sets) -> DataFrame:
+    """(u, v): links between the components of each region that bring all its classes within r together."""
+    cells = _cells(regions)
+    wanted = staged(cells.select("c").distinct(), "jaccard-undecided")
+    cells = cells.join(sets.profiles.select("c", "profile").join(_sized(wanted), "c", "left_semi"), "c")
+    needed = staged(_in_cells(cells, _need_sets, "s bigint, c bigint, k bigint").distinct(), "jaccard-needed")
+    cells = _joined_groups(needed, sets)
+    whole = sets.named(cells.select("c").distinct()).join(_sized(cells), "c").select("s", "c", "k", "shingles")
+    return _in_cells(whole, _join_cells, "u bigint, v bigint")
+
+
+def _joined_groups(needed: DataFrame, sets: _Sets) -> DataFrame:
+    """(s, c, k) with groups that share members made one cell where it fits, so that a set is sent to one cell and not to every group it is in."""
+    first = needed.groupBy("s").agg(F.min("c").alias("v"))
+    together = staged(components(needed.join(first, "s").select(F.col("c").alias("u"), "v")), "jaccard-together")
+    once = needed.select("c", "k").distinct().join(_sized(together).withColumnRenamed("node", "c"), "c")
+    size = once.join(sets.profiles.select("c", "n"), "c").groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    fits = staged(size.where(_fits()).select("component"), "jaccard-fits")
+    whole = once.join(_sized(fits), "component", "left_semi").select(F.col("component").alias("s"), "c", "k")
+    apart = _sized(together).join(_sized(fits), "component", "left_anti").select(F.col("node").alias("c"))
+    return staged(whole.unionByName(needed.join(apart, "c", "left_semi").select("s", "c", "k")), "jaccard-sent")
+
+
+def _pairs_of(rows: DataFrame, member: str, pivot: str) -> DataFrame:
+    return rows.where(F.col(member) != F.col(pivot)).select(F.col(member).alias("a"), F.col(pivot).alias("b")).distinct()
 
 
 def _cut(large: DataFrame, sets: _Sets, level: int) -> tuple[DataFrame, DataFrame]:
@@ -275,38 +424,32 @@ def _cut(large: DataFrame, sets: _Sets, level: int) -> tuple[DataFrame, DataFram
 def _all_links(members: DataFrame, sets: _Sets) -> DataFrame:
     """Links (u, v) that join all classes within r into the right components."""
     weight = members.groupBy("c").agg(F.sum("met").alias("weight"))  # in how many regions with how many others
-    members = members.join(weight, "c")
     pivot = F.max(F.struct("weight", F.xxhash64("c").alias("h"), "c", "n", "p")).over(Window.partitionBy("s"))
-    star = members.withColumn("_v", pivot).select("s", "c", "n", "p", "weight", F.col("_v.c").alias("v"), F.col("_v.n").alias("vn"), F.col("_v.p").alias("vp"))
+    star = members.join(weight, "c").withColumn("_v", pivot).select("s", "c", "n", "p", "weight", F.col("_v.c").alias("v"), F.col("_v.n").alias("vn"), F.col("_v.p").alias("vp"))
+    star = staged(star, "jaccard-members")
     tried = star.where(_may_link(F.col("n"), F.col("p"), F.col("vn"), F.col("vp")))
     known = staged(_with_distance(_distances(_pairs_of(tried, "c", "v"), sets)), "jaccard-stars")
-    link = _link(F.col("common"), F.col("n"), F.col("m"))
-    links = known.where(link).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    links = known.where(_link(F.col("common"), F.col("n"), F.col("m"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = staged(components(links), "jaccard-labels")
     keyed = star.withColumns({"a": F.least("c", "v"), "b": F.greatest("c", "v")})
-    rows = keyed.join(known.select("a", "b", "d"), ["a", "b"], "left").withColumn("d", F.when(F.col("c") == F.col("v"), 0.0).otherwise(F.col("d")))
-    # the one pair of a region of two has been compared
-    left = staged(_mixed_regions(rows.select("s", "c", "n", "p", "d", "weight"), labels).where("members > 2"), "jaccard-left")
-    small, large = left.where(F.col("outsiders") <= REGION), left.where(F.col("outsiders") > REGION)
-    pairs = [_block_pairs(small)]
+    rows = keyed.join(_sized(known.select("a", "b", "d")), ["a", "b"], "left").withColumn("d", F.when(F.col("c") == F.col("v"), 0.0).otherwise(F.col("d")))
+    left = staged(_mixed_regions(rows.select("s", "c", "n", "p", "d", "weight"), labels), "jaccard-left")
+    done, large = [left.where(_fits())], left.where(~_fits())
     for level in range(LEVELS):
         if large.isEmpty():
             break
         cells, more = _cut(large, sets, level)
         links = staged(links.unionByName(more).distinct(), "jaccard-links")
         labels = staged(components(links), "jaccard-labels")
-        parents = cells.select("s", "_parent").distinct()
+        parents = cells.groupBy("s").agg(F.max("_parent").alias("_parent"))
         left = staged(_mixed_regions(cells.select("s", "c", "n", "p", "d", "weight"), labels).join(parents, "s"), "jaccard-left")
         stuck = (F.col("members") * 10 > F.col("_parent") * 9) | F.lit(level + 1 == LEVELS)
-        done = (F.col("outsiders") <= REGION) | stuck
-        pairs.append(_block_pairs(left.where(done)))
-        large = left.where(~done)
-    rest = pairs[0]
-    for p in pairs[1:]:
-        rest = rest.unionByName(p)
-    rest = rest.distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
-    last = _distances(rest, sets).where(link).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    return links.unionByName(last)
+        done.append(left.where(_fits() | stuck).drop("_parent"))
+        large = left.where(~(_fits() | stuck)).drop("_parent")
+    rest = done[0]
+    for r in done[1:]:
+        rest = rest.unionByName(r)
+    return links.unionByName(_cell_links(rest, sets))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -361,10 +504,11 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = _rows(docs, id_col, text_col, words)
     first = rows.where("_k is not null").groupBy("_k").agg(F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_hash")).alias("_first"))
     copies = rows.join(first, "_k").where(~(F.col("_id").eqNullSafe(F.col("_first._id")) & (F.col("_hash") == F.col("_first._hash"))))
-    row_is = lambda names: F.col(id_col).eqNullSafe(F.col(names[0])) & (F.xxhash64(text_col) == F.col(names[1]))
+    whole = packed(docs, _id=id_col, _text=text_col).withColumn("_hash", F.xxhash64("_text"))
+    row_is = lambda names: F.col("_id").eqNullSafe(F.col(names[0])) & (F.col("_hash") == F.col(names[1]))
     gone = copies.select(F.col("_id").alias("_gone"), F.col("_hash").alias("_gone_text")).distinct()
     again = rows.groupBy("_id", "_hash").count().where("count > 1").select(F.col("_id").alias("_again"), F.col("_hash").alias("_again_text"))
-    kept = docs.join(gone, row_is(["_gone", "_gone_text"]), "left_anti")
+    kept = whole.join(gone, row_is(["_gone", "_gone_text"]), "left_anti")
     once = kept.join(again, row_is(["_again", "_again_text"]), "left_anti")
-    more = kept.join(again, row_is(["_again", "_again_text"]), "left_semi").dropDuplicates([id_col, text_col])
-    return once.unionByName(more)
+    more = kept.join(again, row_is(["_again", "_again_text"]), "left_semi").dropDuplicates(["_id", "_text"])
+    return unpacked(once.unionByName(more), docs)
