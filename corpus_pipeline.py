@@ -8,7 +8,6 @@ trained on the documents that reach the stage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from panelspark.llm import decontamination, jaccard, mixing, quality_model, sharding
 from panelspark.llm.stage import staged, whole_documents
@@ -31,7 +30,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents drawn with the raked probabilities of their source, language and topic."""
-    return mixing.mix(docs).where(F.col("_kept")).select(*docs.columns)
+    return mixing.mixed_documents(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -380,15 +380,27 @@ def test_mixing_edges_and_given_targets(spark, rows):
     odd = mixing.mix(docs(rows, ODD), rounds=2)
     assert odd.count() == len(ODD) and odd.where("_probability < 0 or _probability > 1 or _kept is null").count() == 0
     nulls = rows([(1, "a b", None, None, 3)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    assert mixing.mix(nulls, rounds=1).first()["_kept"] is True
+    assert mixing.mix(nulls, rounds=1, kept=1.0).first()["_kept"] is True and mixing.mix(nulls).first()["_probability"] == pytest.approx(mixing.KEPT)
     many = docs(rows, [(i, prose(i, 20)) for i in range(300)])
     share = rows([("=src0", 0.5), ("=src1", 0.25), ("=src2", 0.25)], "key string, share double")
-    out = mixing.mix(many, targets={"source": share}, rounds=3).groupBy("source").agg({"_probability": "max"}).collect()
+    out = mixing.mix(many, targets={"source": share}, rounds=3, kept=0.5).groupBy("source").agg({"_probability": "max"}).collect()
     p = {r[0]: r[1] for r in out}
     assert p["src0"] > 1.8 * p["src1"] and p["src1"] == pytest.approx(p["src2"], rel=0.1)
     assert mixing.mix(many.limit(0), rounds=1).count() == 0
 
 
+def test_a_rare_cell_does_not_set_the_scale(spark, rows):
+    """The kept share of tokens is the stated one, with and without one row of a group of its own."""
+    many = [(i, prose(i, 30), "en", f"src{int(i > 300)}", 1) for i in range(400)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    for extra in ([], [(1000, "a", None, None, 1)], [(1000, "a", "xx", "rare", 1), (1001, None, "yy", "empty", 0)]):
+        out = mixing.mix(rows(many + extra, schema)).toPandas()
+        assert (out["_tokens"] * out["_probability"]).sum() == pytest.approx(mixing.KEPT * out["_tokens"].sum(), rel=1e-6)
+        assert 240 <= out["_kept"].sum() <= 320 and (not extra or out["_probability"].max() == 1.0)
+    with pytest.raises(ValueError, match="names of results"):
+        mixing.mix(rows(many, schema).withColumnRenamed("n_chars", "_kept"))
+
+
 # ---- op7
 
 

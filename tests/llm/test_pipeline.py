@@ -35,8 +35,8 @@ def folder(tmp_path_factory):
     return str(path), items
 
 
-def raked(docs, rounds=mixing.ROUNDS, power=mixing.POWER):
-    """Probability of each document by plain loops."""
+def raked(docs, rounds=mixing.ROUNDS, power=mixing.POWER, kept=mixing.KEPT):
+    """Probability of each document by plain loops; lambda by bisection."""
     def topic(t, n):
         marks = lambda cs: sum(t.count(c) for c in cs)
         if marks("|") * 5 > n:
@@ -61,13 +61,21 @@ def raked(docs, rounds=mixing.ROUNDS, power=mixing.POWER):
         raised = {g: n**power for g, n in sums.items()}
         target.append({g: r / sum(raised.values()) * total for g, r in raised.items()})
     for _ in range(rounds):
+        moved = 0.0
         for k in range(3):
             now = collections.Counter()
             for c in t:
                 now[c[k]] += t[c] * f[c]
-            f = {c: f[c] * target[k][c[k]] / now[c[k]] for c in f}
-    top = max(f.values())
-    return {d: f[c] / top for d, c in cell_of.items()}
+            ratio = {c: target[k][c[k]] / now[c[k]] for c in f}
+            f = {c: f[c] * ratio[c] for c in f}
+            moved = max(moved, *(abs(r - 1) for r in ratio.values()))
+        if moved <= mixing.TOLERANCE:
+            break
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(n * min(1, mid * f[c]) for c, n in t.items()) < kept * total else (low, mid)
+    return {d: min(1, high * f[c]) for d, c in cell_of.items()}
 
 
 def test_stages_against_brute_force(spark, folder):
@@ -120,6 +128,6 @@ def test_registered_queries():
 
     names = entry.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontaminate", "mix", "shard"]
-    assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+    assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14))
     assert {"op3_jaccard_join", "op5_decontamination", "op6_mixing"} <= set(entry.oracle_sql())
     assert np.all([callable(f) for f in names.values()])
