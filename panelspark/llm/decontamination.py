@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm import tokens
+from panelspark.llm.stage import packed, refuse_clash, staged, unpacked
 
 #: Consecutive words of a window.
 WINDOW = 10
@@ -112,15 +113,14 @@ def search(words: tokens.Words, t: Tables) -> Iterator[tuple[int, int]]:
         at, stop = at[live], stop[live]
 
 
-def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> list[list[tuple[str | None, bytes]]]:
-    """The items in blocks of a bounded number of bytes, fetched block by block."""
+def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str | None, bytes]]]:
+    """The items in blocks of a bounded number of bytes, each fetched when it is asked for."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where("text is not null")
     size = items.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = int(size // (6 * block_words)) + 1
-    if blocks == 1:
-        return [[(r["item"], r["text"].encode()) for r in items.toLocalIterator()]]
     items = items.withColumn("_block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
-    return [[(r["item"], r["text"].encode()) for r in items.where(F.col("_block") == b).toLocalIterator()] for b in range(blocks)]
+    for b in range(blocks):
+        yield [(r["item"], r["text"].encode()) for r in items.where(F.col("_block") == b).toLocalIterator()]
 
 
 def find_items(
@@ -140,9 +140,12 @@ def find_items(
     """
     spark = docs.sparkSession
     names = list(dict.fromkeys([id_col, *keep]))
+    refuse_clash(names, ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "_text", "_spans", "_items", "_ids"))
     base = docs.select(*[F.col(c) for c in names], F.col(text_col).alias("_text"), F.array().cast("array<array<bigint>>").alias("_spans"), F.array().cast("array<string>").alias("_items"), F.lit(0).cast("long").alias("n_words"))
     schema = base.schema
-    for block in _item_blocks(benchmark, item_col, item_text_col, block_words):
+    for k, block in enumerate(_item_blocks(benchmark, item_col, item_text_col, block_words)):
+        if k:  # one block's items and tables at a time
+            base = staged(base, "decontamination-block")
         shared = spark.sparkContext.broadcast(tables(block, window))
         base = base.mapInArrow(lambda batches, shared=shared: _search_batches(batches, shared.value), schema)
     merged = base.withColumn("n_hit", F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0]))
@@ -191,8 +194,10 @@ def _search_batches(batches: Iterator[pa.RecordBatch], all_tables: list[Tables])
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The documents without any occurrence of a benchmark window, with their own columns."""
-    columns = docs.columns
-    ids = "doc_id" if "doc_id" in columns else columns[0]
-    found = find_items(docs, benchmark, id_col=ids, text_col=text_col, keep=tuple(columns), **options)
-    return found.where(~F.col("contaminated")).select(*columns)
+    """The documents without any occurrence of a benchmark window, with their own columns, whatever their names.
+
+    Rows are judged one by one, so repeated rows and rows without id stay or go
+    by their text; NULL or empty text stays; an empty table stays empty.
+    """
+    found = find_items(packed(docs, _doc=text_col), benchmark, id_col="_row", text_col="_doc", **options)
+    return unpacked(found.where(~F.col("contaminated")), docs)

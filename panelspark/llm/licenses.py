@@ -20,8 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark.llm import tokens
+from panelspark.llm.stage import refuse_clash
 from panelspark.llm.license_texts import templates
 
 THRESHOLD = 0.8
@@ -160,7 +162,7 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     t = prepared(texts or templates())
     shared = docs.sparkSession.sparkContext.broadcast(t)
     names = list(dict.fromkeys([id_col, *keep]))
+    refuse_clash(names, ("licenses", "_text"))
     base = docs.select(*names, F.col(text_col).alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields[:-1])
-    schema = f"{fields}, licenses array<struct<license:string,dice:double,start:bigint,end:bigint>>"
+    schema = T.StructType(base.schema.fields[:-1]).add("licenses", T.ArrayType(T.StructType.fromDDL("license string, dice double, start bigint, end bigint")))
     return base.mapInArrow(lambda b: _scan_batches(b, shared.value, threshold), schema)

@@ -17,8 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark.llm import tokens
+from panelspark.llm.stage import packed, refuse_clash, unpacked
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -268,9 +270,10 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     is one row of one task; an empty table gives an empty result.
     """
     names = list(dict.fromkeys([id_col, *keep]))
+    refuse_clash(names, ("spans", "_text"))
     base = docs.select(*names, F.col(text_col).alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields[:-1])
-    return base.mapInArrow(_find, f"{fields}, spans array<struct<kind:string,start:bigint,end:bigint,plain:boolean>>")
+    schema = T.StructType(base.schema.fields[:-1]).add("spans", T.ArrayType(T.StructType.fromDDL("kind string, start bigint, end bigint, plain boolean")))
+    return base.mapInArrow(_find, schema)
 
 
 def digest(spans_col: Column) -> Column:
@@ -278,10 +281,14 @@ def digest(spans_col: Column) -> Column:
     return F.array_join(F.transform(spans_col, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with every span replaced by its kind in brackets; overlapping spans are one. All own columns stay."""
-    others = [c for c in docs.columns if c != id_col]
-    found = find(docs, id_col, text_col, keep=tuple(others))
+def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents with every span replaced by its kind in brackets; overlapping spans are one.
+
+    All own columns stay, whatever their names; NULL or empty text and rows
+    without spans are as before; repeated rows are each redacted; an empty table
+    stays empty.
+    """
+    found = find(packed(docs, _doc=text_col), "_row", "_doc", keep=("_doc",))
 
     def step(acc, s):
         fresh = s["start"] >= acc["at"]
@@ -289,6 +296,6 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         return F.struct(put.alias("out"), F.greatest(acc["at"], s["end"]).alias("at"), acc["text"].alias("text"))
 
     ordered = F.array_sort("spans", lambda x, y: F.when(x["start"] != y["start"], F.signum(x["start"] - y["start"])).otherwise(F.signum(y["end"] - x["end"])).cast("int"))
-    begin = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"), F.col(text_col).alias("text"))
+    begin = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"), F.col("_doc").alias("text"))
     text = F.aggregate(ordered, begin, step, lambda a: F.concat(a["out"], F.substring(a["text"], a["at"] + 1, F.length(a["text"]))))
-    return found.withColumn(text_col, text).select(*docs.columns)
+    return unpacked(found.withColumn("_row", F.col("_row").withField(f"`{text_col}`", text)), docs)

@@ -17,9 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark.llm import tokens
-from panelspark.llm.stage import staged
+from panelspark.llm.stage import packed, refuse_clash, staged, unpacked
 
 #: Documents whose posterior labels train the scorer: those with the smallest hashes, equal ids and texts once.
 SAMPLE = 6000
@@ -272,12 +273,17 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, sample))
     names = list(dict.fromkeys([id_col, *keep]))
+    refuse_clash(names, ("score", "weak_score", "_text"))
     base = docs.select(*names, F.col(text_col).alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields[:-1])
-    return base.mapInArrow(lambda b: _score(b, shared.value[1], shared.value[0]), f"{fields}, score double, weak_score double")
+    schema = T.StructType(base.schema.fields[:-1]).add("score", "double").add("weak_score", "double")
+    return base.mapInArrow(lambda b: _score(b, shared.value[1], shared.value[0]), schema)
 
 
 def good_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = KEEP) -> DataFrame:
-    """The documents that the scorer does not reject, with their own columns."""
-    scored = score(docs, id_col, text_col, keep=tuple(docs.columns))
-    return scored.where(F.col("score") >= threshold).select(*docs.columns)
+    """The documents that the scorer does not reject, with their own columns, whatever their names.
+
+    NULL or empty text, a NULL id and repeated rows are judged like any other row;
+    an empty table stays empty.
+    """
+    scored = score(packed(docs, _id=id_col, _doc=text_col), "_id", "_doc", keep=("_row",))
+    return unpacked(scored.where(F.col("score") >= threshold), docs)

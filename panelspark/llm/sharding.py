@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.stage import staged
+from panelspark.llm.stage import column, free_name, refuse_clash, staged
 
 #: Rows that one numbering bin should hold.
 BIN_ROWS = 50_000
@@ -74,20 +74,20 @@ def _pick(df: DataFrame, key: Column, topology: Sequence[Shard], name: str) -> D
     top = F.array(*[_child(r, below("region", r), i) for i, r in enumerate(regions)])
     of_region = F.array(*[F.array(*[_child(k, below("rack", k), racks.index(k)) for k in sorted({s.rack for s in live if s.region == r})]) for r in regions])
     of_rack = F.array(*[F.array(*[_child(f"{k}/{s.shard}", s.weight, s.shard) for s in live if s.rack == k]) for k in racks])
-    return (
-        df.withColumn("_region", _descend(key, top))
-        .withColumn("_rack", _descend(key, F.get(of_region, F.col("_region"))))
-        .withColumn(name, _descend(key, F.get(of_rack, F.col("_rack"))).cast("int"))
-        .drop("_region", "_rack")
-    )
+    region = free_name(df, "_region")
+    out = df.withColumn(region, _descend(key, top))
+    rack = free_name(out, "_rack")
+    out = out.withColumn(rack, _descend(key, F.get(of_region, column(region))))
+    return out.withColumn(name, _descend(key, F.get(of_rack, column(rack))).cast("int")).drop(region, rack)
 
 
 def place(df: DataFrame, topology: Sequence[Shard], id_col: str = "doc_id", name: str = "shard") -> DataFrame:
     """All rows with their shard in column `name`; no shuffle. A NULL id is a key of its own.
 
-    The result can be written with partitionBy(name). Columns named _region or
-    _rack must not be present.
+    The result can be written with partitionBy(name). A column that has the
+    result's name is an error.
     """
+    refuse_clash(df.columns, [name])
     return _pick(df, F.coalesce(F.col(id_col).cast("string"), F.lit("null")), topology, name)
 
 
