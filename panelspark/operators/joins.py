@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark.functions.dates import quarter_end
 
@@ -19,6 +21,42 @@ def _bucket(time: str, bucket: str) -> Column:
     raise ValueError(f"bucket {bucket!r} is not one of year, quarter, month, week, day, hour")
 
 
+# Cells that an overfull bucket is measured in before it is cut.
+CELLS = 4096
+
+
+def _micros(df: DataFrame, time: str) -> Column:
+    """A time as whole microseconds, in its own order."""
+    if isinstance(df.schema[time].dataType, T.TimestampType):
+        return F.unix_micros(time)
+    zero = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", zero, F.col(time).cast("timestamp_ntz"))
+
+
+def _cut_buckets(sides: Sequence[DataFrame], keys: Sequence[str], split: int) -> list[DataFrame]:
+    """Each side with the piece `_p` of its (key, bucket): 0 where the bucket holds at most `split` rows of all sides.
+
+    An overfull bucket is measured in CELLS equal spans of time; its pieces end where
+    the running count passes a multiple of `split`, so they are cut at quantiles and
+    later pieces hold later times. Counts are combined map-side, and the tables of
+    overfull buckets have CELLS rows a bucket at most, whatever the rows.
+    """
+    place = [*keys, "_b"]
+    timed = [df.withColumn("_at", _micros(df, "_t")) for df in sides]
+    every = reduce(DataFrame.unionByName, [df.select(*place, "_at") for df in timed])
+    sizes = every.groupBy(*place).agg(F.count("*").alias("_rows"), F.min("_at").alias("_from"), F.max("_at").alias("_to"))
+    full = sizes.where((F.col("_rows") > split) & (F.col("_from") < F.col("_to"))).drop("_rows")
+    cell = F.floor((F.col("_at") - F.col("_from")) / (F.col("_to") - F.col("_from")) * (CELLS - 1)).alias("_cell")
+    counts = every.join(full, place).groupBy(*place, cell).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*place).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = counts.select(*place, "_cell", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / split).cast("int").alias("_p"))
+    out = []
+    for df in timed:
+        placed = df.join(full, place, "left").withColumn("_cell", cell).join(pieces, [*place, "_cell"], "left")
+        out.append(placed.withColumn("_p", F.coalesce("_p", F.lit(0))).drop("_at", "_from", "_to", "_cell"))
+    return out
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -31,6 +69,7 @@ def asof_join(
     max_days: int | None = None,
     keep_time: str | None = None,
     tied: bool = False,
+    split: int | None = None,
 ) -> DataFrame:
     """Latest right row per key with right_time <= left_time.
 
@@ -41,41 +80,43 @@ def asof_join(
     all rows is spread over its buckets. A bucket starts from the last right
     row of the buckets before it: one carried row per (key, bucket), found on a
     table with at most one row per calendar bucket and key. No inequality join.
+    With `split`, a bucket of a key with more rows than that is cut again at
+    quantiles of its times, and its pieces carry on like buckets; that costs a
+    count of both sides first.
     """
     keys = list(keys)
     payload = F.struct(F.col(right_time).alias("_rt"), *[F.col(v).alias(v) for v in values])
     facts = right.where(F.col(right_time).isNotNull()).select(
         *keys, F.col(right_time).alias("_t"), _bucket(right_time, bucket).alias("_b"), payload.alias("_v")
     )
+    asked = left.withColumns({"_t": F.col(left_time), "_b": _bucket(left_time, bucket)})
+    part = ["_b"]
+    if split is not None:
+        asked, facts = _cut_buckets([asked, facts], keys, split)
+        part.append("_p")
     order = F.col("_v") if tied else F.col("_t")
     # column by column, so that fixed-width values stay in a hash aggregation
     last = [F.max_by(F.col(f"_v.{v}"), order).alias(f"_last{i}") for i, v in enumerate(values)]
-    closing = facts.groupBy(*keys, "_b").agg(F.max("_t").alias("_rt"), *last)
+    closing = facts.groupBy(*keys, *part).agg(F.max("_t").alias("_rt"), *last)
     rebuilt = F.struct("_rt", *[F.col(f"_last{i}").alias(v) for i, v in enumerate(values)])
-    closing = closing.select(*keys, "_b", rebuilt.alias("_v"))
-    opened = left.select(*keys, _bucket(left_time, bucket).alias("_b")).distinct()
-    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    closing = closing.select(*keys, *part, rebuilt.alias("_v"))
+    opened = asked.select(*keys, *part).distinct()
+    earlier = Window.partitionBy(*keys).orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
     marks = (
         closing.withColumn("_left", F.lit(0))
         .unionByName(opened.withColumn("_left", F.lit(1)), allowMissingColumns=True)
-        .groupBy(*keys, "_b")
+        .groupBy(*keys, *part)
         .agg(F.max("_v").alias("_v"), F.max("_left").alias("_left"))
     )
     carried = (
         marks.withColumn("_v", F.last("_v", ignorenulls=True).over(earlier))
         .where("_left = 1 and _v is not null")
-        .select(*keys, "_b", F.col("_b").alias("_t"), "_v", F.lit(0).alias("_side"))
+        .select(*keys, *part, F.col("_v._rt").alias("_t"), "_v", F.lit(0).alias("_side"))
     )
     here = facts.withColumn("_side", F.lit(1))
-    asked = left.withColumns(
-        {
-            "_t": F.col(left_time),
-            "_b": _bucket(left_time, bucket),
-            "_side": F.lit(2),
-        }
-    )
+    asked = asked.withColumn("_side", F.lit(2))
     everything = asked.unionByName(carried, allowMissingColumns=True).unionByName(here, allowMissingColumns=True)
-    order = Window.partitionBy(*keys, "_b").orderBy("_t", "_side", *(["_v"] if tied else [])).rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy(*keys, *part).orderBy("_t", "_side", *(["_v"] if tied else [])).rowsBetween(Window.unboundedPreceding, 0)
     matched = everything.withColumn("_v", F.last("_v", ignorenulls=True).over(order)).where("_side = 2")
     hit = F.col("_v")
     if max_days is not None:

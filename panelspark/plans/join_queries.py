@@ -426,3 +426,16 @@ def universe_by_category(spark, sf_dir):
         .select(F.col("entity").alias("s_suppkey"), F.coalesce("r_name", F.lit("OTHER")).alias("category"))
         .where(F.col("category").isin("OTHER", "EUROPE", "AFRICA"))
     )
+
+
+@query(
+    "E5 E7",
+    f"""WITH v AS (SELECT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS d, {rnd('max(o_totalprice)', 2)} AS best FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2)
+SELECT o.o_orderkey, v.best, v.d AS known_at FROM (SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders) o ASOF LEFT JOIN v ON v.p = o.o_orderpriority AND o.d >= v.d""",
+)
+def join_asof_hot_keys(spark, sf_dir):
+    """Five keys hold all rows; each year of a key is cut into pieces of some hundred rows."""
+    orders = table(spark, sf_dir, "orders").withColumn("d", F.col("o_orderdate").cast("date"))
+    values = orders.where("o_orderstatus = 'F'").groupBy("o_orderpriority", "d").agg(r(F.max("o_totalprice"), 2).alias("best"))
+    out = J.asof_join(orders.drop("best"), values, ["o_orderpriority"], "d", "d", ["best"], bucket="year", keep_time="known_at", split=300)
+    return out.select("o_orderkey", "best", "known_at")

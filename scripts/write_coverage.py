@@ -14,7 +14,6 @@ from panelspark.plans import load_all
 
 FUNCTIONS_ONLY = {
     "A19": "`sources.readers.read_jdbc` (needs a database driver, so no query)",
-    "L1": "`operators.schema.DatasetSpec` and plain functions in `datasets/`, chained with `DataFrame.transform`",
 }
 
 

@@ -21,6 +21,7 @@ QUICK = (
     "momentum_information_coefficient calendar_nearest_day calendar_previous_n join_asof_with_validity join_interval_containment "
     "join_snapshot_forward_fill window_forward_returns window_ordered_slices section_rank_factor section_neutralize "
     "agg_gini agg_margins evaluate_factor_scan portfolio_equity_curve quality_coverage schema_inference sink_upsert land_text_files "
+    "sink_duplicate_report land_catalogue dataset_contract quality_coverage_by_source agg_year_marks agg_quantile_dispersion dataset_label_table "
     "stream_event_time_bars dataset_entity_panel dataset_fund_panel dataset_statements_snapshot dataset_alarms scalar_math"
 ).split()
 NAMES = list(load_all()) if os.environ.get("PANELSPARK_ALL") else QUICK

@@ -93,3 +93,31 @@ def test_narrow_values_are_cut_again(spark, kind, monkeypatch):
     sizes = sizes.join(sizes.groupBy("s").agg(F.count("*").alias("k"), F.min("v").alias("lo"), F.max("v").alias("hi")), "s")
     most = sizes.groupBy("s", O._piece(F.col("v"), F.col("lo"), F.col("hi"), F.col("k")).alias("f")).count().agg(F.max("count")).first()[0]
     assert most < 1500  # of about 10 000 different values
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_asof_join_of_a_hot_bucket_equals_pandas(spark, kind):
+    """One key holds most rows of one month; its bucket is cut at quantiles, ties and quiet spans included."""
+    from panelspark.operators import joins
+
+    rng = np.random.default_rng(8)
+    start = pd.Timestamp("2024-03-01")
+    clock = np.concatenate([rng.integers(0, 86_400, 1500), rng.integers(86_400, 29 * 86_400, 500), np.full(200, 500_000), rng.integers(-90 * 86_400, 0, 100)])
+    left = pd.DataFrame({"k": np.where(rng.random(len(clock)) < 0.8, 7, rng.integers(0, 5, len(clock))), "t": start + pd.to_timedelta(clock, "s"), "i": range(len(clock))})
+    right = pd.DataFrame({"k": np.where(rng.random(900) < 0.7, 7, rng.integers(0, 5, 900)), "u": start + pd.to_timedelta(rng.integers(-100 * 86_400, 29 * 86_400, 900), "s")})
+    if kind == "date":
+        left["t"], right["u"] = left["t"].dt.normalize(), right["u"].dt.normalize()
+    right = right.drop_duplicates(["k", "u"]).assign(v=lambda d: rng.random(len(d)))
+    want = pd.merge_asof(left.sort_values("t"), right.sort_values("u"), left_on="t", right_on="u", by="k").set_index("i")["v"].sort_index()
+    lt = spark.createDataFrame(left).withColumn("t", F.col("t").cast(kind))
+    rt = spark.createDataFrame(right).withColumn("u", F.col("u").cast(kind))
+    for split in (None, 100, 1):
+        got = joins.asof_join(lt, rt, ["k"], "t", "u", ["v"], split=split).toPandas().set_index("i")["v"].sort_index()
+        pd.testing.assert_series_equal(got, want, check_names=False)
+    asked = lt.withColumns({"_t": F.col("t"), "_b": joins._bucket("t", "month")})
+    (cut,) = joins._cut_buckets([asked], ["k"], 100)
+    sizes = cut.groupBy("k", "_b", "_p").agg(F.count("*").alias("n"), F.min("t").alias("a"), F.max("t").alias("z")).orderBy("k", "_b", "_p").toPandas()
+    hot = sizes[sizes["k"] == 7]
+    assert len(hot) > (5 if kind != "date" else 3)
+    for _, month in hot.groupby("_b"):
+        assert (month["z"].to_numpy()[:-1] < month["a"].to_numpy()[1:]).all()
