@@ -104,7 +104,7 @@ def member_measures(panel: DataFrame, members: DataFrame, *, few_dims: bool = Tr
             "month": F.trunc("period", "month"),
         }
     ).withColumn("ret", F.when(F.col("_same"), F.col("ret"))).drop("_same")
-    held = rows.join(members, ["month", "entity"])
+    held = rows.join(members.hint("merge"), ["month", "entity"])  # stored members look small: their files are packed
     keys = ["month", "dim"]
     total = sum((F.coalesce(c, F.lit(0.0)) for c in FLOW_COLUMNS[1:]), F.coalesce(FLOW_COLUMNS[0], F.lit(0.0)))
     big = sum((F.coalesce(c, F.lit(0.0)) for c in FLOW_COLUMNS[1:4]), F.coalesce(FLOW_COLUMNS[0], F.lit(0.0)))
@@ -160,15 +160,15 @@ def member_measures(panel: DataFrame, members: DataFrame, *, few_dims: bool = Tr
 def valuation_history_share(month_panel: DataFrame, members: DataFrame, current: DataFrame, months: int = 60) -> DataFrame:
     """Share of past month-end medians of today's members below the current median.
 
-    Every month looks back with its own member list, so each member row is
-    copied to the months that use it; medians are taken over those copies.
+    Every month looks back with its own member list, so each member row meets
+    the months of its entity that it uses; medians are taken over those pairs.
+    Members are never broadcast: the size of their files says little about them.
     """
     snaps = month_panel.withColumn("month", F.trunc("period", "month")).groupBy("month", "entity").agg(
         F.max_by("pe", "period").alias("pe"), F.max_by("pb", "period").alias("pb")
     )
     past = snaps.withColumnRenamed("month", "past")
-    asked = members.withColumn("past", F.explode(F.expr(f"sequence(add_months(month, -{months - 1}), month, interval 1 month)")))
-    pairs = asked.join(past, ["past", "entity"])
+    pairs = members.hint("merge").join(past, "entity").where((F.col("past") <= F.col("month")) & (F.col("past") >= F.add_months("month", 1 - months)))
     med = group_quantiles(pairs, ["month", "dim", "past"], ["pe", "pb"], [(1, 2)])
     rows = med.join(current.select("month", "dim", "pe_ttm_median", "pb_median"), ["month", "dim"])
     shares = rows.groupBy("month", "dim").agg(
