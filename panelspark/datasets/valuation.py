@@ -23,12 +23,9 @@ def valuation_history(indicators: DataFrame, *, start=None, end=None, base: list
     w = by_time("entity", "snapshot_date")
     f = trailing(w, LOOKBACK)
     names = base or [*NON_NEGATIVE, *SIGNED, *COMPOSED]
-    rows = rows.withColumns({f"_h_{c}": F.collect_list(c).over(f) for c in names} | {"report_cnt": F.count("*").over(f)})
+    rows = rows.select("snapshot_date", "entity", F.count("*").over(f).alias("report_cnt"), *names)
+    rows = history_pack(rows, "entity", "snapshot_date", names, window=LOOKBACK, min_rows=LEAST, negatives=SIGNED)
     rows = rows.where(F.col("report_cnt") >= LEAST)
     if start is not None and end is not None:
         rows = rows.where(F.col("snapshot_date").between(F.lit(start), F.lit(end)))
-    cols = {}
-    for c in names:
-        cols |= history_pack(c, f"_h_{c}", min_rows=LEAST, negatives=c in SIGNED)
-    out = rows.select("snapshot_date", "entity", "report_cnt", *names, *[x.alias(n) for n, x in cols.items()])
-    return nullify_non_finite(out)
+    return nullify_non_finite(rows)

@@ -7,13 +7,13 @@ slices of one key read the same sorted array.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.functions.numeric import ratio
-
 
 def linear_weights(n: int) -> list[float]:
     """1, 1 - 1/n, ... down to 1/n."""
@@ -83,35 +83,84 @@ def enough_history(df: DataFrame, entity: str, period: str, values: Sequence[str
     return kept.drop(*flags)
 
 
+PACK = ("mean", "std", "zscore", "tsrank", "momentum")
+
+
 def history_pack(
-    value: str, hist: str, *, min_rows: int = 4, momentum_lag: int = 12, negatives: bool = False
-) -> dict[str, Column]:
-    """Mean, population deviation, z, rank share, momentum and negative count of a history array.
+    df: DataFrame, entity: str, period: str, values: Sequence[str], *, window: int, min_rows: int = 4,
+    momentum_lag: int = 12, negatives: Sequence[str] = (),
+) -> DataFrame:
+    """Mean, population deviation, z, rank share, momentum and negative count over the non-null values of a trailing window.
 
-    ``hist`` is the array of non-null values of the trailing window, oldest
-    first, so its size is bounded by the window.
+    df has one row per (entity, period). Spark sorts the rows of each entity; numpy
+    then walks over blocks of them, one step per row of the window, and keeps the
+    last ``window`` - 1 rows of a block for the next one. Columns are named
+    ``{value}_mean`` and so on; all columns of df stay.
     """
-    h = F.col(hist)
-    n = F.size(h)
-    enough = n >= min_rows
-    latest = F.element_at(h, -1)
-    total = F.aggregate(h, F.lit(0.0), lambda a, x: a + x)
+    types = {c: "double" for v in values for c in (f"{v}_{k}" for k in PACK)} | {f"{v}_neg_cnt": "int" for v in values if v in negatives}
+    numbered = df.withColumns({v: F.col(v).cast("double") for v in values}).withColumn(
+        "_i", F.row_number().over(Window.partitionBy(entity).orderBy(period))
+    )
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema.fields if f.name != "_i"]
+    schema = ", ".join([*kept, *[f"`{c}` {t}" for c, t in types.items()]])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = {v: np.zeros(0) for v in values}
+        absent = {v: np.zeros(0, bool) for v in values}
+        for batch in batches:
+            at = {c: i for i, c in enumerate(batch.schema.names)}
+            place = batch.column(at["_i"]).to_numpy()
+            out = {c: batch.column(i) for c, i in at.items() if c != "_i"}
+            for v in values:
+                column = batch.column(at[v])
+                x = np.concatenate([before[v], column.fill_null(0.0).to_numpy(zero_copy_only=False)])
+                null = np.concatenate([absent[v], column.is_null().to_numpy(zero_copy_only=False)])
+                with np.errstate(all="ignore"):
+                    found = _history(x, null, place, window, min_rows, momentum_lag)
+                out |= {f"{v}_{k}": found[k] for k in PACK}
+                if v in negatives:
+                    out[f"{v}_neg_cnt"] = found["neg_cnt"]
+                before[v], absent[v] = x[max(0, len(x) - window + 1) :], null[max(0, len(null) - window + 1) :]
+            names = [c for c in at if c != "_i"] + list(types)
+            yield pa.RecordBatch.from_arrays([out[c] for c in names], names=names)
+
+    return numbered.mapInArrow(packed, schema)
+
+
+def _history(x: np.ndarray, null: np.ndarray, place: np.ndarray, window: int, min_rows: int, lag: int) -> dict[str, pa.Array]:
+    """The pack of the last len(place) values; place is a row's number in its entity, from 1. NaN counts as above every number."""
+    first, steps = len(x) - len(place), []
+    for back in range(window - 1, -1, -1):  # oldest first
+        m = np.flatnonzero(place > back)
+        m = m[~null[first + m - back]]
+        steps.append((m, x[first + m - back]))
+    n, total, latest = np.zeros(len(place), np.int64), np.zeros(len(place)), np.zeros(len(place))
+    low, high = np.full(len(place), np.nan), np.full(len(place), -np.inf)
+    for m, v in steps:
+        n[m] += 1
+        total[m] += v
+        latest[m] = v
+        low[m], high[m] = np.fmin(low[m], v), np.maximum(high[m], v)
     mean = total / n
-    variance = F.aggregate(h, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / n
-    flat = F.array_min(h) == F.array_max(h)
-    std = F.when(flat, F.lit(0.0)).otherwise(F.sqrt(variance))
-    earlier = F.slice(h, 1, F.greatest(n - 1, F.lit(0)))
-    not_above = F.size(F.filter(earlier, lambda x: x <= latest))
-    lagged = F.get(h, n - 1 - momentum_lag)
-    out = {
-        f"{value}_mean": F.when(enough, mean),
-        f"{value}_std": F.when(enough, std),
-        f"{value}_zscore": F.when(enough & ~flat, (latest - mean) / F.nullif(std, F.lit(0.0))),
-        f"{value}_tsrank": F.when(enough, ratio(not_above, n - 1)),
-        f"{value}_momentum": F.when(
-            enough & (n > momentum_lag) & (F.abs(lagged) > F.lit(1e-12)), ratio(latest - lagged, F.abs(lagged))
-        ),
+    squares, not_above, negative, seen, lagged = np.zeros(len(place)), n * 0, n * 0, n * 0, np.zeros(len(place))
+    for m, v in steps:
+        off = v - mean[m]
+        squares[m] += off * off
+        not_above[m] += (v <= latest[m]) | np.isnan(latest[m])
+        negative[m] += v < 0
+        asked = seen[m] == n[m] - 1 - lag
+        lagged[m[asked]] = v[asked]
+        seen[m] += 1
+    enough = n >= min_rows
+    flat = (low == high) | (np.isnan(low) & np.isnan(high))
+    std = np.where(flat, 0.0, np.sqrt(squares / n))
+    moved = enough & (n > lag) & ~(np.abs(lagged) <= 1e-12)
+    columns = {
+        "mean": (mean, enough),
+        "std": (std, enough),
+        "zscore": ((latest - mean) / std, enough & ~flat & (std != 0)),
+        "tsrank": ((not_above - 1) / (n - 1), enough & (n > 1)),
+        "momentum": ((latest - lagged) / np.abs(lagged), moved),
+        "neg_cnt": (negative.astype(np.int32), enough),
     }
-    if negatives:
-        out[f"{value}_neg_cnt"] = F.when(enough, F.size(F.filter(h, lambda x: x < 0)))
-    return out
+    return {k: pa.array(v, mask=~there) for k, (v, there) in columns.items()}

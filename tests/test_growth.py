@@ -2,11 +2,13 @@
 
 import contextlib
 import io
+import math
 from datetime import date
 
 from pyspark.sql import functions as F
 
 from panelspark.datasets import market_state as ST
+from panelspark.datasets.valuation import valuation_history
 from panelspark.sources.sinks import staged
 
 
@@ -27,3 +29,34 @@ def test_members_of_past_months_are_not_broadcast(spark):
     assert found[months[10]] == (1 / 3, 1.0) and len(found) == 24
     joins = plan_of(shares).split("_q0")[0]
     assert "explode" not in joins and "SortMergeJoin [entity" in plan_of(shares)
+
+
+def test_history_pack_keeps_no_window_arrays(spark):
+    nan, inf = math.nan, math.inf
+    series = {1: [float(i * i % 17) - 5 for i in range(90)], 2: [2.0] * 20, 3: [1.0, None, nan, 4.0, inf, 5.0, 1.0, None], None: [3.0, 1.0, 2.0, 5.0, 4.0]}
+    rows = [(e, i, v) for e, vs in series.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "entity long, i int, gpp_q double").select(
+        "entity", F.date_add(F.lit("2020-01-01").cast("date"), F.col("i")).alias("snapshot_date"), F.col("i").alias("end_date"), "gpp_q",
+        *[F.lit(None).cast("double").alias(c) for c in ("admp_q", "rdp_q", "taxp_q")],
+    )
+    out = valuation_history(df, base=["gpp_q"])
+    assert "collect_list" not in plan_of(out)
+    found = {(r["entity"], r["snapshot_date"].timetuple().tm_yday - 1): r for r in out.collect()}
+    assert len(found) == sum(len(v) - 3 for v in series.values())
+    for (e, i), r in found.items():
+        h = [x for x in series[e][max(0, i - 35) : i + 1] if x is not None]
+        assert r["report_cnt"] == min(i + 1, 36)
+        if len(h) < 4:
+            assert r["gpp_q_mean"] is None and r["gpp_q_neg_cnt"] is None
+            continue
+        above = lambda x, y: math.isnan(y) or x <= y
+        assert r["gpp_q_tsrank"] == sum(above(x, h[-1]) for x in h[:-1]) / (len(h) - 1) and r["gpp_q_neg_cnt"] == sum(x < 0 for x in h)
+        if not all(map(math.isfinite, h)):
+            assert r["gpp_q_mean"] is None and r["gpp_q_std"] is None
+            continue
+        mean, flat = sum(h) / len(h), min(h) == max(h)
+        std = 0.0 if flat else math.sqrt(sum((x - mean) ** 2 for x in h) / len(h))
+        assert math.isclose(r["gpp_q_mean"], mean) and math.isclose(r["gpp_q_std"], std)
+        assert r["gpp_q_zscore"] is None if flat else math.isclose(r["gpp_q_zscore"], (h[-1] - mean) / std, abs_tol=1e-12)
+        before = h[-13] if len(h) > 12 else 0.0
+        assert r["gpp_q_momentum"] is None if before == 0 else math.isclose(r["gpp_q_momentum"], (h[-1] - before) / abs(before), abs_tol=1e-12)
