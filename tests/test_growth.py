@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from panelspark.datasets import market_state as ST
+from panelspark.datasets import statements as FS
 from panelspark.datasets.valuation import valuation_history
 from panelspark.sources.sinks import staged
 
@@ -60,3 +61,43 @@ def test_history_pack_keeps_no_window_arrays(spark):
         assert r["gpp_q_zscore"] is None if flat else math.isclose(r["gpp_q_zscore"], (h[-1] - mean) / std, abs_tol=1e-12)
         before = h[-13] if len(h) > 12 else 0.0
         assert r["gpp_q_momentum"] is None if before == 0 else math.isclose(r["gpp_q_momentum"], (h[-1] - before) / abs(before), abs_tol=1e-12)
+
+
+def test_statements_take_one_shuffle(spark):
+    day = date.fromisoformat
+    rows = [
+        (1, day("2019-12-31"), day("2020-03-01"), day("2020-03-01"), "0", 10_000.0),
+        (1, day("2019-12-31"), day("2020-03-01"), day("2020-03-01"), "1", 20_000.0),  # the same day, a later flag
+        (1, day("2019-12-31"), day("2020-05-01"), day("2020-05-01"), "0", 30_000.0),
+        (1, day("2020-03-31"), day("2020-04-20"), day("2020-04-20"), "0", 40_000.0),
+        (1, day("2020-03-31"), day("2020-04-20"), None, "0", 50_000.0),  # known at its end, then replaced
+        (None, day("2019-12-31"), day("2020-03-01"), day("2020-03-01"), "0", 60_000.0),
+    ]
+    kinds = "entity long, end_date date, ann_date date, f_ann_date date, update_flag string"
+    income = spark.createDataFrame(rows, f"{kinds}, revenue double")
+    balance = spark.createDataFrame(rows[3:4], f"{kinds}, cip double")
+    cash = income.where("false").drop("revenue")
+    shown = [(e, d, day(a), day(a), day(a), None) for e, d, a in [(1, rows[0][1], "2020-03-01"), (1, rows[3][1], "2020-04-20"), (None, rows[0][1], "2020-03-01")]]
+    disclosure = spark.createDataFrame(shown, "entity long, end_date date, ann_date date, pre_date date, actual_date date, modify_date date")
+    dividends = spark.createDataFrame([], "entity long, end_date date, ex_date date, div_proc string, update_flag string, cash_div double, base_share double")
+    size = spark.createDataFrame([(1, day("2020-04-30"), 5.0), (1, day("2020-04-15"), 6.0)], "entity long, period date, total_mv double")
+    size = size.withColumns({c: F.col("total_mv") for c in ("total_share", "float_share", "circ_mv")})
+    snaps = spark.createDataFrame([(day("2020-03-31"),), (day("2020-04-30"),), (day("2020-05-29"),)], "snapshot_date date")
+    out = FS.statements_snapshot(disclosure, balance, income, cash, dividends, size, snaps)
+    found = sorted(
+        (r["snapshot_date"].month, r["entity"] or 0, r["end_date"].month, r["has_inc"], r["revenue"], r["cip"], r["total_mv"]) for r in out.collect()
+    )
+    assert found == [
+        (3, 0, 12, 0, None, None, None),
+        (3, 1, 12, 1, 2.0, None, None),
+        (4, 0, 12, 0, None, None, None),
+        (4, 1, 3, 1, 4.0, 4.0, 5.0),
+        (4, 1, 3, 1, 4.0, 4.0, 6.0),
+        (4, 1, 12, 1, 2.0, None, None),
+        (5, 0, 12, 0, None, None, None),
+        (5, 1, 3, 1, 4.0, 4.0, 5.0),
+        (5, 1, 3, 1, 4.0, 4.0, 6.0),
+        (5, 1, 12, 1, 3.0, None, None),
+    ]
+    after = plan_of(out).split("REPARTITION_BY_COL")[0].rpartition("\n")[0]
+    assert "Exchange hashpartitioning" not in after and "SortMergeJoin" not in after
