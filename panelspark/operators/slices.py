@@ -7,13 +7,15 @@ slices of one key read the same sorted array.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelspark.operators.windows import trailing_blocks
+
 
 def linear_weights(n: int) -> list[float]:
     """1, 1 - 1/n, ... down to 1/n."""
@@ -92,39 +94,20 @@ def history_pack(
 ) -> DataFrame:
     """Mean, population deviation, z, rank share, momentum and negative count over the non-null values of a trailing window.
 
-    df has one row per (entity, period). Spark sorts the rows of each entity; numpy
-    then walks over blocks of them, one step per row of the window, and keeps the
-    last ``window`` - 1 rows of a block for the next one. Columns are named
-    ``{value}_mean`` and so on; all columns of df stay.
+    df has one row per (entity, period). Columns are named ``{value}_mean`` and so
+    on; all columns of df stay. Numpy takes one step per row of the window over
+    blocks of rows, see ``trailing_blocks``.
     """
     types = {c: "double" for v in values for c in (f"{v}_{k}" for k in PACK)} | {f"{v}_neg_cnt": "int" for v in values if v in negatives}
-    numbered = df.withColumns({v: F.col(v).cast("double") for v in values}).withColumn(
-        "_i", F.row_number().over(Window.partitionBy(entity).orderBy(period))
-    )
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema.fields if f.name != "_i"]
-    schema = ", ".join([*kept, *[f"`{c}` {t}" for c, t in types.items()]])
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = {v: np.zeros(0) for v in values}
-        absent = {v: np.zeros(0, bool) for v in values}
-        for batch in batches:
-            at = {c: i for i, c in enumerate(batch.schema.names)}
-            place = batch.column(at["_i"]).to_numpy()
-            out = {c: batch.column(i) for c, i in at.items() if c != "_i"}
-            for v in values:
-                column = batch.column(at[v])
-                x = np.concatenate([before[v], column.fill_null(0.0).to_numpy(zero_copy_only=False)])
-                null = np.concatenate([absent[v], column.is_null().to_numpy(zero_copy_only=False)])
-                with np.errstate(all="ignore"):
-                    found = _history(x, null, place, window, min_rows, momentum_lag)
-                out |= {f"{v}_{k}": found[k] for k in PACK}
-                if v in negatives:
-                    out[f"{v}_neg_cnt"] = found["neg_cnt"]
-                before[v], absent[v] = x[max(0, len(x) - window + 1) :], null[max(0, len(null) - window + 1) :]
-            names = [c for c in at if c != "_i"] + list(types)
-            yield pa.RecordBatch.from_arrays([out[c] for c in names], names=names)
-
-    return numbered.mapInArrow(packed, schema)
+
+    def make(x, null, place):
+        out = {}
+        for v in values:
+            found = _history(x[v], null[v], place, window, min_rows, momentum_lag)
+            out |= {f"{v}_{k}": found[k] for k in [*PACK, "neg_cnt"]}
+        return out
+
+    return trailing_blocks(df, entity, period, values, window, types, make)
 
 
 def _history(x: np.ndarray, null: np.ndarray, place: np.ndarray, window: int, min_rows: int, lag: int) -> dict[str, pa.Array]:

@@ -5,8 +5,11 @@ import io
 import math
 from datetime import date
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
+from panelspark.datasets import entity_panel as EP
 from panelspark.datasets import market_state as ST
 from panelspark.datasets import statements as FS
 from panelspark.datasets.valuation import valuation_history
@@ -101,3 +104,30 @@ def test_statements_take_one_shuffle(spark):
     ]
     after = plan_of(out).split("REPARTITION_BY_COL")[0].rpartition("\n")[0]
     assert "Exchange hashpartitioning" not in after and "SortMergeJoin" not in after
+
+
+def test_percentile_panel_is_one_pass(spark):
+    rng = np.random.default_rng(5)
+    frames = []
+    for e, n in ((1, 40), (2, 7), (3, 25)):
+        values = {c: np.round(rng.normal(10, 3, n), 1) for c in ("close", "pe", "pe_ttm", "pb", "turnover_rate", "pct_chg")}
+        frames.append(pd.DataFrame({"entity": e, "period": pd.date_range("2020-01-01", periods=n).date, **values, "adj_factor": 2.0}))
+    frames[0].loc[12, "pe"] = np.inf
+    frames[2].loc[3, "pe"] = np.nan
+    df = spark.createDataFrame(pd.concat(frames)).withColumn("close", F.when(~((F.col("entity") == 3) & (F.col("pb") < 8)), F.col("close")))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = EP.percentile_panel(df, windows=[3, 5], rank_windows={"s": 6, "l": 11}, min_rows=4)
+        plan, found = plan_of(out), out.toPandas().sort_values(["entity", "period"])
+        given = df.toPandas()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "Join" not in plan and "FlatMapGroups" not in plan and len(found) == 72
+    for e, mine in found.groupby("entity"):
+        src = given[given.entity == e].sort_values("period")
+        for c, want in {
+            **{f"ma{n}": src.close.rolling(n).mean() for n in (3, 5)},
+            **{f"volatility_{n}": src.pct_chg.rolling(n).std() for n in (3, 5)},
+            **{f"{v}_tsrank_{k}": (src[c].rolling(n, min_periods=4).rank() - 1) / (src[c].rolling(n, min_periods=4).count() - 1) for v, c in (("price", "close"), ("pe", "pe"), ("pb", "pb")) for k, n in (("s", 6), ("l", 11))},
+        }.items():
+            np.testing.assert_allclose(mine[c].to_numpy(float), want.to_numpy(float), atol=1e-9, err_msg=f"{e} {c}")
