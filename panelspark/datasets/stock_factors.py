@@ -81,6 +81,13 @@ PURE = {
 }
 
 
+# What the windows and the per-date regressions read; every stored copy and shuffle carries these columns only.
+PACKED = (
+    "size grp log_return ret vm_ret vol intraday_ret vm_intraday_ret overnight_ret turnover tvr_chg amplitude shadow_diff plus illiq "
+    "net_sm_vol net_elg_vol"
+).split()
+
+
 def price_volume_pack(df: DataFrame, *, stage=None) -> DataFrame:
     """42 features over the last 20 rows, for every date with a complete window.
 
@@ -91,7 +98,7 @@ def price_volume_pack(df: DataFrame, *, stage=None) -> DataFrame:
     stage = stage or as_is
     w = by_time("entity", "period")
     rows = bar_features(df).withColumn("tvr_chg", ratio("turnover", F.lag("turnover").over(w)) - 1)
-    rows = stage(nullify_non_finite(rows), "features")
+    rows = stage(nullify_non_finite(rows.select("entity", "period", *PACKED)), "features")
     rows = neutralize(rows, "period", {"turnover": "tvr_ne", "plus": "plus_ne"}, "size", "grp", stage=stage)
     rows = stage(winsorize_mad(rows, ["period"], ["turnover", "plus"], few_groups=True, stage=stage), "clean")
     rows = orthogonalize_pairs(rows, "period", PURE)

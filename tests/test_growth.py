@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from panelspark.datasets import entity_panel as EP
 from panelspark.datasets import market_state as ST
 from panelspark.datasets import statements as FS
+from panelspark.datasets import stock_factors as SF
 from panelspark.datasets.valuation import valuation_history
 from panelspark.sources.sinks import staged
 
@@ -131,3 +132,21 @@ def test_percentile_panel_is_one_pass(spark):
             **{f"{v}_tsrank_{k}": (src[c].rolling(n, min_periods=4).rank() - 1) / (src[c].rolling(n, min_periods=4).count() - 1) for v, c in (("price", "close"), ("pe", "pe"), ("pb", "pb")) for k, n in (("s", 6), ("l", 11))},
         }.items():
             np.testing.assert_allclose(mine[c].to_numpy(float), want.to_numpy(float), atol=1e-9, err_msg=f"{e} {c}")
+
+
+def test_price_volume_pack_stores_what_it_reads(spark):
+    rng = np.random.default_rng(3)
+    rows = [(e, date(2020, 1, 1 + i), e % 2, *map(float, rng.uniform(1, 9, 12)), "unused") for e in range(6) for i in range(22)]
+    flows = [f"{s}_{b}_vol" for s in ("buy", "sell") for b in ("sm", "elg")]
+    numbers = ["open", "high", "low", "close", "pre_close", "vol", "amount", "size", *flows]
+    df = spark.createDataFrame(rows, f"entity long, period date, grp int, {', '.join(f'{c} double' for c in numbers)}, note string")
+    df = df.withColumns({"pct_chg": F.col("close") - 5, "log_return": F.log("close"), "turnover": F.col("vol") / 50})
+    stored = {}
+
+    def kept(d, name):
+        stored[name] = d.columns
+        return staged(d, name)
+
+    assert SF.price_volume_pack(df, stage=kept).count() == 6 * 3
+    assert {"entity", "period", "net_sm_vol", "illiq"} <= set(stored["features"])
+    assert all(not {"note", "high", "body", *flows} & set(c) for c in stored.values())
