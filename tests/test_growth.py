@@ -14,6 +14,7 @@ from panelspark.datasets import market_state as ST
 from panelspark.datasets import statements as FS
 from panelspark.datasets import stock_factors as SF
 from panelspark.datasets.valuation import valuation_history
+from panelspark.operators import windows as W
 from panelspark.sources.sinks import staged
 
 
@@ -150,3 +151,10 @@ def test_price_volume_pack_stores_what_it_reads(spark):
     assert SF.price_volume_pack(df, stage=kept).count() == 6 * 3
     assert {"entity", "period", "net_sm_vol", "illiq"} <= set(stored["features"])
     assert all(not {"note", "high", "body", *flows} & set(c) for c in stored.values())
+
+
+def test_rank_share_puts_rows_without_a_period_last(spark):
+    rows = [(1, None, 9.0), *[(1, date(2020, 1, d), float(d)) for d in (1, 2, 3)]]
+    out = W.rolling_rank_share(spark.createDataFrame(rows, "entity long, period date, v double"), "entity", "period", ["v"], {"w": 3}, min_rows=2)
+    found = {r["period"] and r["period"].day: r["v_tsrank_w"] for r in out.collect()}
+    assert found == {1: None, 2: 1.0, 3: 1.0, None: 1.0} and "FlatMapGroups" not in plan_of(out)
