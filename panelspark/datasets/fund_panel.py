@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.datasets.fund_rules import LABELS, fund_labels, index_name
@@ -16,6 +18,26 @@ COLUMNS = [
     "list_date", "list_days", "is_suspend", "fund_type", "invest_type", *LABELS, "amount_rank", "size_rank",
 ]
 
+NAV = ["unit_nav", "accum_nav", "adj_nav"]
+
+
+def last_published(parts: dict[str, tuple[DataFrame, str, list[str]]]) -> DataFrame:
+    """One row per entity and day on which any part was published, with the last values of every part up to it.
+
+    Each part has one row per entity and day, so an entity has no more rows than the calendar. The panel then meets
+    all parts in one as-of join; a published NULL replaces the value before it.
+    """
+    rows = [
+        df.where(F.col(day).isNotNull()).select("entity", F.col(day).alias("_published"), *values, F.lit(1).alias(f"_{name}"))
+        for name, (df, day, values) in parts.items()
+    ]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows).repartition("entity")
+    # column by column, so that fixed-width values stay in a hash aggregation
+    day = every.groupBy("entity", "_published").agg(*[F.max(c).alias(c) for name, (_, _, values) in parts.items() for c in (*values, f"_{name}")])
+    known = Window.partitionBy("entity").orderBy("_published").rowsBetween(Window.unboundedPreceding, 0)
+    last = day.withColumns({f"_{name}": F.last(F.when(F.col(f"_{name}") == 1, F.struct(*values)), ignorenulls=True).over(known) for name, (_, _, values) in parts.items()})
+    return last.select("entity", "_published", *[F.col(f"_{name}.{v}") for name, (_, _, values) in parts.items() for v in values])
+
 
 def fund_panel(
     bars: DataFrame, nav: DataFrame, shares: DataFrame, basic: DataFrame, adjust: DataFrame | None = None, *, stage=None
@@ -36,11 +58,11 @@ def fund_panel(
             "vwap": F.when(lots > 1, ratio(F.coalesce("amount", F.lit(0.0)) * 1000, lots)).otherwise(F.coalesce("close", F.lit(0.0))),
         }
     )
-    out = stage(asof_join(out, nav, ["entity"], "period", "nav_date", ["unit_nav", "accum_nav", "adj_nav"]), "nav")
-    out = asof_join(out, shares, ["entity"], "period", "share_date", ["fd_share"])
-    labelled = basic.withColumn("_l", fund_labels(index_name(F.col("name")))).select(
-        "entity", "name", "fund_type", "invest_type", "list_date", "_l.*"
-    )
+    published = last_published({"nav": (nav, "nav_date", NAV), "shares": (shares, "share_date", ["fd_share"])})
+    out = asof_join(out, published, ["entity"], "period", "_published", [*NAV, "fd_share"])
+    # inline keeps the five labels one expression; fields read from a struct column would each make it again
+    labels = F.inline(F.array(fund_labels(index_name(F.col("name")))))
+    labelled = basic.select("entity", "name", "fund_type", "invest_type", "list_date", labels)
     out = out.join(labelled, "entity", "left")
     priced = F.coalesce("close", F.lit(0.0)) > 0
     out = out.withColumns(

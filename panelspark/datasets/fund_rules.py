@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -112,8 +114,19 @@ def index_name(name: Column) -> Column:
 
 
 def fund_labels(index: Column) -> Column:
-    """Struct of the five labels; rules are tried in the order sector, broad, income, foreign, regional."""
-    hit = first_match(index, _sector_rules())
+    """Struct of the five labels; rules are tried in the order sector, broad, income, foreign, regional.
+
+    The name and the rule it meets are bound to variables: dozens of tests read them, and each would make them anew.
+    """
+    return _once(index, lambda name: _once(first_match(name, _sector_rules()), lambda hit: _labels(name, hit)))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value made a single time."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _labels(index: Column, hit: Column) -> Column:
     sector = hit["_3"]
     growth, value = F.contains(index, F.lit("成长")), F.contains(index, F.lit("价值"))
     own_style = F.when(sector.isin(DIVIDEND_SECTORS), "dividend").when(sector.isin(GROWTH_SECTORS), "growth").otherwise("blend")
