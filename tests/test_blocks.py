@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from panelspark.datasets import entity_panel as EP
 from panelspark.datasets import fund_panel as FP
 from panelspark.datasets import fund_rules as FR
 
@@ -23,3 +24,15 @@ def test_one_as_of_join_gives_the_last_of_every_part(rows):
     shares = rows([(1, day(1), 7.0), (1, day(20), 8.0), (2, day(2), 3.0)], "entity long, share_date date, fd_share double")
     got = FP.last_published({"nav": (nav, "nav_date", FP.NAV), "shares": (shares, "share_date", ["fd_share"])})
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, day(1), 1.0, 1.0, 1.0, 7.0), (1, day(20), 1.0, 1.0, 1.0, 8.0), (1, day(40), None, 2.0, 2.0, 8.0), (2, day(2), None, None, None, 3.0), (None, day(3), 9.0, 9.0, 9.0, None)], key=str)
+
+
+def test_entity_panel_takes_its_number_of_partitions(rows):
+    days = [dt.date(2020, m, 1) for m in range(1, 7)]
+    bars = rows([(e, d, 1.0, 2.0, 1.0, 2.0, 1.0, 1.0, 5.0, 10.0, 100.0) for e in (1, 2, 3, None) for d in days], "entity long, period date, " + ", ".join(f"{c} double" for c in EP.BARS))
+    adjust = rows([(e, d, 2.0) for e in (1, 1, 3) for d in days[:2]], "entity long, period date, adj_factor double")
+    groups = rows([(1, days[1], days[3], *"abcd"), (2, days[0], None, *"efgh")], "entity long, in_date date, out_date date, l1_code string, l1_name string, l2_code string, l2_name string")
+    member = rows([(days[2], 1, "0")], "period date, entity long, index_code string")
+    make = lambda parts: EP.entity_panel(bars, adjust=adjust, groups=groups, membership=member, flags={"is_g0": "0"}, parts=parts)
+    text = plan(make(7))
+    assert text.count("RepartitionByExpression") >= 3 and ", 7" in text
+    assert sorted(map(str, make(7).collect())) == sorted(map(str, make(None).collect()))
