@@ -39,6 +39,8 @@ BUDGET = 2_000_000
 SLOT_BITS = 20
 #: Rows that a task merges before it sends them on.
 MERGED = 1_000_000
+#: Suffixes in one batch that a task sends: 1 MB, which Python, Arrow and the JVM each hold a copy of.
+SENT = 1 << 15
 #: Windows that share the ranking of one language before the last one.
 SALTS = 16
 
@@ -233,24 +235,28 @@ def _count_pieces(batches: Iterator[pa.RecordBatch], groups: Groups) -> Iterator
 
 
 def _deal_out(batches: Iterator[pa.RecordBatch], groups: Groups, room: int) -> Iterator[pa.RecordBatch]:
-    """Per group and task: its suffixes with their counts, four 64-bit numbers each."""
+    """Per group, task and batch: its suffixes with their counts, four 64-bit numbers each."""
     merged = _Merged(room)
 
     def rows(part):
         k1, k2, k3 = (c.to_numpy() for c in part[1])
-        group = groups.of(k1, k2, k3)
+        group, n = groups.of(k1, k2, k3), part[2].astype(np.uint64)
         order = np.argsort(group, kind="stable")
-        block = np.stack([k1, k2, k3, part[2].astype(np.uint64)], axis=1)[order]
-        starts = np.flatnonzero(np.diff(group[order], prepend=-1))
-        data = [block[a:z].tobytes() for a, z in zip(starts, [*starts[1:], len(block)], strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(group[order][starts]), pa.array(data, pa.binary())], names=["g", "suffixes"])
+        for at in range(0, len(order), SENT):
+            these = order[at : at + SENT]
+            block = np.stack([k1[these], k2[these], k3[these], n[these]], axis=1)
+            starts = np.flatnonzero(np.diff(group[these], prepend=-1))
+            data = [block[a:z].tobytes() for a, z in zip(starts, [*starts[1:], len(block)], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(group[these[starts]]), pa.array(data, pa.binary())], names=["g", "suffixes"])
 
     for b in _read(batches):
         if len(b.keys):
             k = _suffixes(b, groups)
             if len(k[0]):
-                yield from map(rows, merged.add(tokens.folded(list(k)), [pa.array(x) for x in k]))
-    yield from map(rows, merged.rest())
+                for part in merged.add(tokens.folded(list(k)), [pa.array(x) for x in k]):
+                    yield from rows(part)
+    for part in merged.rest():
+        yield from rows(part)
 
 
 NODES = "k1 bigint, k2 bigint, k3 bigint, a bigint"

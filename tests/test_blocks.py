@@ -2,11 +2,14 @@
 
 import datetime as dt
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from panelspark.datasets import entity_panel as EP
 from panelspark.datasets import fund_panel as FP
 from panelspark.datasets import fund_rules as FR
+from panelspark.llm import phrases
 
 
 def plan(df):
@@ -36,3 +39,16 @@ def test_entity_panel_takes_its_number_of_partitions(rows):
     text = plan(make(7))
     assert text.count("RepartitionByExpression") >= 3 and ", 7" in text
     assert sorted(map(str, make(7).collect())) == sorted(map(str, make(None).collect()))
+
+
+def test_suffixes_leave_a_task_in_small_batches(rows, monkeypatch):
+    r = np.random.default_rng(3)
+    texts = [" ".join(r.choice(["a", "b", "c", "d"], 60)) for _ in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["x"] * 40), pa.array(texts)], names=["_lang", "_text"])
+    groups = phrases.vertical_partitioning(np.full(1 << 8, 40, np.int64), 100, lambda g: np.zeros(len(g.piece_parts), np.int64))
+    whole = [np.frombuffer(x, np.uint64).reshape(-1, 4) for b in phrases._deal_out(iter([batch]), groups, 1000) for x in b.column(1).to_pylist()]
+    monkeypatch.setattr(phrases, "SENT", 8)
+    sent = list(phrases._deal_out(iter([batch]), groups, 1000))
+    assert all(sum(map(len, b.column(1).to_pylist())) <= 8 * 32 for b in sent) and len(sent) > 1
+    small = [np.frombuffer(x, np.uint64).reshape(-1, 4) for b in sent for x in b.column(1).to_pylist()]
+    assert sorted(map(tuple, np.concatenate(whole))) == sorted(map(tuple, np.concatenate(small)))
