@@ -1,15 +1,21 @@
 """Steps whose time or memory grew faster than the input: labels made once, indicators in blocks, parts by size, small batches."""
 
 import datetime as dt
+import math
+import operator
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from panelspark.datasets import entity_panel as EP
 from panelspark.datasets import fund_panel as FP
 from panelspark.datasets import fund_rules as FR
+from panelspark.datasets import statements as FS
 from panelspark.llm import phrases
+from panelspark.plans.shapes import half_up
 
 
 def plan(df):
@@ -52,3 +58,64 @@ def test_suffixes_leave_a_task_in_small_batches(rows, monkeypatch):
     assert all(sum(map(len, b.column(1).to_pylist())) <= 8 * 32 for b in sent) and len(sent) > 1
     small = [np.frombuffer(x, np.uint64).reshape(-1, 4) for b in sent for x in b.column(1).to_pylist()]
     assert sorted(map(tuple, np.concatenate(whole))) == sorted(map(tuple, np.concatenate(small)))
+
+
+def test_indicators_over_blocks_equal_row_by_row(spark, rows):
+    r = np.random.default_rng(5)
+    used = {c for pair in FS.valuation_ratios().values() for c in pair} | {c for pair in (FS._ratios(FS.PROFIT) | FS._ratios(FS.QUALITY)).values() for c in pair}
+    made = {f"{c}_{s}" for c in FS.FLOW_ITEMS for s in ("q", "ttm")} | {f"{c}_ttm_avg" for c in FS.LEVEL_ITEMS} | {"total_div_ttm"}
+    items = sorted((used | set(FS.FLOW_ITEMS) | set(FS.LEVEL_ITEMS) | {"total_mv", "total_div"}) - made)
+    quarters = [d.date() for d in pd.date_range("2015-03-31", periods=11, freq="QE")]
+    data, day = [], dt.date(2020, 1, 1)
+    for entity, n in ((1, 11), (2, 3), (None, 6), (3, 9)):
+        for i, q in enumerate(quarters[:n]):
+            values = [None if r.random() < 0.1 else math.inf if r.random() < 0.01 else float(r.normal() * 10.0 ** r.integers(1, 5)) for _ in items]
+            data.append((day, entity, q, day, day, day, day, i % 4 + 1, *values))
+    keys = "snapshot_date date, entity long, end_date date, ann_date date, pre_date date, actual_date date, modify_date date, report_type int"
+    df = rows(data, ", ".join([keys, *[f"{c} double" for c in items]]))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        out = FS.indicators_snapshot(df)
+        assert "lag(" not in plan(out) and "MapInArrow" in plan(out)
+        got = {(x["entity"], x["end_date"]): x for x in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    table = {}
+    for row in data:
+        table.setdefault(row[1], []).append(dict(zip(items, row[8:], strict=True)) | {"rt": row[7], "end": row[2]})
+
+    def add(values):  # one after the other; sum() of Python 3.12 and later corrects its rounding
+        return reduce(operator.add, values, 0.0)
+
+    def sane(x):
+        return x if x is not None and math.isfinite(x) else None
+
+    def quarter(h, i, c):
+        now, before = h[i][c], h[i - 1][c] if i else None
+        return now if h[i]["rt"] == 1 else None if now is None or before is None else now - before
+
+    def share(a, b, guard):
+        return None if a is None or b is None or not abs(b) > guard else a / b
+
+    assert len(got) == len(data)
+    for entity, h in table.items():
+        for i, now in enumerate(h):
+            x = got[entity, now["end"]]
+            q = [quarter(h, j, "revenue") for j in range(max(0, i - 3), i + 1)]
+            ttm = add(q) if len(q) == 4 and None not in q else None
+            assert x["revenue_q"] == sane(q[-1]) and x["revenue_ttm"] == sane(ttm)
+            assert x["divp_ttm"] == sane(share(add(h[j]["total_div"] or 0.0 for j in range(max(0, i - 3), i + 1)), now["total_mv"], FS.LEVEL_GUARD))
+            seen = [h[j]["inventories"] for j in range(max(0, i - 3), i + 1) if h[j]["inventories"] is not None]
+            assert x["inv_tvr_ttm2"] == sane(share(ttm, add(seen) / len(seen) if seen else None, FS.LEVEL_GUARD))
+            cash = [share(h[j]["cash_assets"], h[j]["total_assets"], FS.LEVEL_GUARD) for j in (i, i - 4)] if i >= 4 else [None, None]
+            assert x["cash2a_yoy"] == sane(None if None in cash else share(cash[0] - cash[1], abs(cash[1]), FS.RATIO_GUARD))
+
+
+def test_half_up_equals_round(rows):
+    r = np.random.default_rng(2)
+    values = [*map(float, r.normal(size=3000) * 10.0 ** r.integers(-9, 17, 3000)), *[(2 * i + 1) / 2000 for i in range(-500, 500)], 0.0, -0.0, 1.005, 2.675, -0.004, 5e-324, 1e308, math.inf, -math.inf, math.nan, None]
+    df = rows([(v,) for v in values], "x double")
+    for digits in (0, 2, 3, 6):
+        a, b = half_up(F.col("x"), digits).cast("string"), F.round("x", digits).cast("string")
+        assert df.where(~a.eqNullSafe(b)).count() == 0
