@@ -1,12 +1,21 @@
 """Log probabilities of whole texts under a hashed maximum-entropy model, and under smoothed word counts.
 
-A word's probability is that of its class after the classes before it, times the
-word's share in its class. Frequent words are classes of their own, the others
-fall into classes by their last two bytes. The class softmax has hashed features:
-the class before, n-grams of the two and three before, and skips over one and two.
-All training words enter through the counts of classes after each context, from
-which every gradient step is summed over Spark tasks. Scoring is numpy over
-blocks of texts; equal contexts of a block are computed once.
+A word's probability is that of its class after the words before it, times that
+of the word in its class after them. Frequent words are classes of their own, the
+others fall into classes by their last two bytes. A reference comes first. For
+classes it is a softmax with hashed features of the classes before: one, n-grams
+of two and three, skips over one and two. All training words enter through the
+counts of classes after each context, from which every gradient step is summed
+over Spark tasks. In a class it is the smoothed counts.
+
+The features of the words themselves stand on top, in both factors. Class and word
+are one path of choices among eight: two lead to the class, the others to the
+word's cell in its class, with about as many cells as words. Every choice is a
+softmax of the reference plus the weights of the word before and of the two words
+before at that choice, in hashed rows. Weights come from iterative scaling: a
+step adds a share of the log ratio of observed to expected counts. Those counts
+are sparse rows, summed by row over all training texts. Scoring is numpy over
+blocks of texts.
 
 Word counts cover every training word. The most frequent words, a bounded
 number, go to every task; all other words of a text are joined with their counts.
@@ -15,7 +24,7 @@ number, go to every task; all other words of a text are joined with their counts
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +51,16 @@ HEAD = 500_000
 #: Words that a task counts before it hands them on.
 COUNTED = 400_000
 LOG10 = np.log(10.0)
+#: Choices at each step of a path, the most steps inside a class, and hashed weight rows of the words before.
+WAYS = 8
+DEEPEST = 5
+ROWS = 1 << 18
+#: Steps of iterative scaling; features of words that stand at every choice; count added on both sides of a ratio.
+ROUNDS = 1
+WORD_FEATURES = 2
+PSEUDO = 1.0
+#: Words whose paths are worked on at once.
+AT_ONCE = 1 << 15
 
 
 def _with_ends(words: tokens.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -174,13 +193,151 @@ class Model:
     frequent: np.ndarray
     rank: np.ndarray
     w: np.ndarray
-    #: by class: natural log of the sum that word shares are divided by
+    #: steps inside a class
+    depth: int
+    #: by step inside a class: nodes x WAYS, natural logs of the smoothed shares
+    shares: list[np.ndarray]
+    #: by class, and by class and cell: natural log of the sum that word shares are divided by
     class_log: np.ndarray
+    cell_log: np.ndarray
+    #: weight rows x WAYS
+    u: np.ndarray
     total_log10: float
     head: np.ndarray
     head_log: np.ndarray
     train_tokens: int
     distinct: int
+    #: class shares by context, as far as a process needed them
+    tables: list[np.ndarray] = field(default_factory=list)
+
+    def known(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each word among the broadcast ones, and whether it is one."""
+        if not len(self.head):
+            return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+        i = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
+        return i, self.head[i] == h
+
+    def reference(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By context: logs of the shares of eight groups of classes, and those of each class inside its group; filled as contexts are met."""
+        if not self.tables:
+            size = CLASSES**3
+            self.tables = [np.zeros(size, bool), np.zeros((size, WAYS), np.float32), np.zeros((size, WAYS, WAYS), np.float32)]
+        filled, group, inside = self.tables
+        new = np.unique(context[~filled[context]])
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            shares = class_logs(some, self.w).reshape(-1, WAYS, WAYS)
+            group[some] = np.log(np.exp(shares).sum(axis=2))
+            inside[some] = shares - group[some][:, :, None]
+        filled[new] = True
+        return group, inside
+
+
+def cells(h: np.ndarray, found: np.ndarray, depth: int) -> np.ndarray:
+    """Cell of each word in its class; words that are not broadcast share cell 0, which no other has."""
+    return np.where(found, np.maximum((h >> np.uint64(64 - 3 * depth)).astype(np.int64), 1), 0)
+
+
+def _before(h: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the features of each place: the word before, and the two words before; before a text stand ends."""
+    place = np.arange(len(h)) - np.repeat(first[:-1], np.diff(first))
+    one, two = np.full(len(h), END), np.full(len(h), END)
+    one[1:], two[2:] = h[:-1], h[:-2]
+    one[place < 1], two[place < 2] = END, END
+    return [tokens.folded([one]), tokens.folded([one, two])]
+
+
+def _rows(feature: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Weight rows of a feature at nodes."""
+    with np.errstate(over="ignore"):
+        x = (feature ^ (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
+    return (x >> np.uint64(64 - ROWS.bit_length() + 1)).astype(np.int64)
+
+
+def choices(model: Model, c: np.ndarray, cell: np.ndarray, context: np.ndarray):
+    """The steps of each word's path: places that take the step, their node, the way taken, and logs of the reference."""
+    every = np.arange(len(c))
+    group, inside = model.reference(context)
+    yield every, np.zeros(len(c), np.int64), c // WAYS, np.take(group, context, axis=0)
+    yield every, 1 + c // WAYS, c % WAYS, np.take(inside.reshape(-1, WAYS), context * WAYS + c // WAYS, axis=0)
+    deep = np.flatnonzero(c > FREQUENT)
+    at, base, cell = c[deep] - 1 - FREQUENT, 1 + WAYS, cell[deep]
+    for step, shares in enumerate(model.shares):
+        way = cell >> 3 * (model.depth - 1 - step) & (WAYS - 1)
+        yield deep, base + at, way, np.take(shares, at, axis=0)
+        base, at = base + len(shares), at * WAYS + way
+
+
+def _weighted(z: np.ndarray, u: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Reference logs with the weights of all features; ways without words stay at minus infinity."""
+    for r in rows:
+        z += np.take(u, r, axis=0)
+    return z
+
+
+def _places(model: Model, batches: Iterator[pa.RecordBatch]):
+    """Blocks of texts, with the words, their classes, cells, contexts and features, and whether a word is broadcast."""
+    for batch, data, offsets in tokens.blocks(batches, "_text"):
+        h, ending, first = _with_ends(tokens.hashed_words(data, offsets, tokens.space_separated()))
+        c = _classes(h, ending, model.frequent, model.rank)
+        i, found = model.known(h)
+        yield batch, h, first, c, i, found, cells(h, found, model.depth), _contexts(c, first), _before(h, first)
+
+
+def word_logs(model: Model, c: np.ndarray, cell: np.ndarray, context: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+    """Natural logs of the probability of each word's class and cell after the words before it."""
+    out = np.zeros(len(c))
+    one = np.ones(WAYS, np.float32)
+    for at in range(0, len(c), AT_ONCE):
+        some = slice(at, at + AT_ONCE)
+        for places, node, way, z in choices(model, c[some], cell[some], context[some]):
+            z = _weighted(z, model.u, [_rows(f[some][places], node) for f in features])
+            out[at + places] += z.reshape(-1)[np.arange(len(z)) * WAYS + way] - np.log(np.exp(z) @ one)
+    return out
+
+
+def _expected(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Weight rows met by a task, with the observed and expected counts of each way."""
+    seen, expected = np.zeros(ROWS * WAYS), np.zeros(ROWS * WAYS)
+    sums = np.zeros(ROWS * WAYS // 2, np.complex64)  # of a block; two ways in one number, for speed
+    one, pairs, plain = np.ones(WAYS, np.float32), np.arange(WAYS // 2), not model.u.any()
+    for _, _, _, c, _, _, cell, context, features in _places(model, batches):
+        for at in range(0, len(c), AT_ONCE):
+            some = slice(at, at + AT_ONCE)
+            for places, node, way, z in choices(model, c[some], cell[some], context[some]):
+                rows = [_rows(f[some][places], node) for f in features]
+                p = np.exp(z if plain else _weighted(z, model.u, rows))
+                if not plain:
+                    p /= (p @ one)[:, None]
+                p = p.view(np.complex64).ravel()
+                for r in rows:
+                    np.add.at(seen, r * WAYS + way, 1.0)
+                    np.add.at(sums, ((r * (WAYS // 2))[:, None] + pairs).ravel(), p)
+        expected += sums.view(np.float32)
+        sums[:] = 0
+    seen, expected = seen.reshape(ROWS, WAYS), expected.reshape(ROWS, WAYS)
+    met = np.flatnonzero(expected.sum(axis=1))
+    for at in range(0, len(met), 10_000):
+        some = met[at : at + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(x[some, k].astype(np.float32)) for x in (seen, expected) for k in range(WAYS)]], names=["row", *[f"{x}{k}" for x in "oe" for k in range(WAYS)]])
+
+
+def _scaled(training: DataFrame, model: Model, rounds: int) -> Model:
+    """The model with weights of words after so many steps of iterative scaling over all training texts."""
+    context = training.sparkSession.sparkContext
+    names = [f"{x}{k}" for x in "oe" for k in range(WAYS)]
+    schema = "row bigint, " + ", ".join(f"{n} float" for n in names)
+    for _ in range(rounds):
+        shared = context.broadcast(model)
+        counts = training.mapInArrow(lambda b, shared=shared: _expected(b, shared.value), schema).groupBy("row").agg(*[F.sum(n).alias(n) for n in names])
+        ratios = [(F.ln((F.col(f"o{k}") + PSEUDO) / (F.col(f"e{k}") + PSEUDO)) / WORD_FEATURES).cast("float").alias(f"s{k}") for k in range(WAYS)]
+        steps = staged(counts.select("row", *ratios), "lm-steps").toArrow()  # ROWS at most
+        u = model.u.copy()
+        for k in range(WAYS):
+            u[steps["row"].to_numpy(), k] += steps[f"s{k}"].to_numpy()
+        shared.unpersist()
+        model = replace(model, u=u)
+    return model
 
 
 def _trained(statistics: DataFrame, prior: np.ndarray, steps: int) -> np.ndarray:
@@ -193,7 +350,7 @@ def _trained(statistics: DataFrame, prior: np.ndarray, steps: int) -> np.ndarray
         shared = context.broadcast(w)
         parts = statistics.mapInArrow(lambda b, shared=shared: _gradient(b, shared.value), "g binary, total double")
         g = np.zeros(w.shape)
-        for r in parts.toLocalIterator():  # a few tasks' sums, one at a time; the contexts are CLASSES ** 3 at most
+        for r in parts.collect():  # the sums of a few tasks; the contexts are CLASSES ** 3 at most
             g += np.frombuffer(r["g"], np.float32).reshape(w.shape)
         shared.unpersist()
         g = g - PRIOR * w
@@ -209,7 +366,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("_id"), held, F.xxhash64(F.col(id_col), F.col(text_col)).alias("_key"), text)
 
 
-def fit(texts: DataFrame, head: int = HEAD, steps: int = STEPS) -> tuple[Model, DataFrame]:
+def fit(texts: DataFrame, head: int = HEAD, steps: int = STEPS, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
     """The model and the table (h, n) of all training words."""
     spark = texts.sparkSession
     training = texts.where(~F.col("held_out")).select("_text")
@@ -245,31 +402,39 @@ def fit(texts: DataFrame, head: int = HEAD, steps: int = STEPS) -> tuple[Model,
     grouped = stats.groupBy("context").agg(F.collect_list(F.struct("c", "n")).alias("after"))  # CLASSES entries at most
     statistics = staged(grouped.repartition(3), "lm-contexts")  # each step sends a table of weights for each part
     w = _trained(statistics, (n + 0.5) / (n + 0.5).sum(), steps)
-    model = Model(frequent, rank, w, np.log(of_class), float(np.log10(total + 0.5 * (distinct + 1))), known[by_hash], np.log10(common["n"].to_numpy()[by_hash] + 0.5), total, distinct)
-    return model, words.where(F.col("n") < least).select("h", "n")
+    depth = 1
+    while depth < DEEPEST and ENDINGS * WAYS**depth < len(known):
+        depth += 1
+    # sums of the words of each cell; cell 0 has those that are not broadcast and one unseen word
+    is_known = F.col("n") >= least
+    of_cell = F.when(is_known, F.greatest(F.shiftrightunsigned("h", 64 - 3 * depth), F.lit(1))).otherwise(0)
+    placed = words.where(~is_top & (F.col("h") != int(END))).groupBy("ending", of_cell.cast("bigint").alias("cell")).agg(F.sum(F.col("n") + 0.5).alias("mass")).toArrow()  # as many rows as cells
+    mass = np.zeros((ENDINGS, WAYS**depth))
+    mass[placed["ending"].to_numpy() - 1 - FREQUENT, placed["cell"].to_numpy()] = placed["mass"].to_numpy()
+    mass[:, 0] += 0.5
+    shares = []
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for step in range(depth):
+            level = mass.reshape(ENDINGS * WAYS**step, WAYS, -1).sum(axis=2)
+            # nobody goes through a node without words
+            shares.append(np.where(level.sum(axis=1, keepdims=True) > 0, np.log(level) - np.log(level.sum(axis=1, keepdims=True)), -np.log(WAYS)).astype(np.float32))
+        cell_log = np.log(mass)
+    known, counts = known[by_hash], np.log10(common["n"].to_numpy()[by_hash] + 0.5)
+    u = np.zeros((ROWS, WAYS), np.float32)
+    model = Model(frequent, rank, w, depth, shares, np.log(of_class), cell_log, u, float(np.log10(total + 0.5 * (distinct + 1))), known, counts, total, distinct)
+    return _scaled(training, model, rounds), words.where(F.col("n") < least).select("h", "n")
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Per text: its tokens, known words and log sums as far as the frequent words go, and the words still to look up."""
-    for batch, data, offsets in tokens.blocks(batches, "_text"):
-        h, ending, first = _with_ends(tokens.hashed_words(data, offsets, tokens.space_separated()))
-        c = _classes(h, ending, model.frequent, model.rank)
-        context, inverse = np.unique(_contexts(c, first), return_inverse=True)
-        logs = np.empty(len(h))
-        step = 1 << 15
-        by_context = np.argsort(inverse, kind="stable")
-        at = np.searchsorted(inverse[by_context], np.arange(0, len(context) + step, step))
-        for k in range(len(at) - 1):
-            rows = by_context[at[k] : at[k + 1]]
-            if len(rows):
-                logs[rows] = class_logs(context[k * step : (k + 1) * step], model.w)[inverse[rows] - k * step, c[rows]]
-        i = np.minimum(np.searchsorted(model.head, h), max(0, len(model.head) - 1))
-        found = model.head[i] == h if len(model.head) else np.zeros(len(h), bool)
+    for batch, h, first, c, i, found, cell, context, features in _places(model, batches):
+        logs = word_logs(model, c, cell, context, features)
+        among = np.where(c > FREQUENT, model.cell_log[np.maximum(c - 1 - FREQUENT, 0), cell], model.class_log[c])
         count_log = np.where(found, model.head_log[i], 0.0) if len(model.head) else np.zeros(len(h))
         per_text = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731  every text has its end
         n = np.diff(first)
         base = per_text(count_log) - n * model.total_log10
-        score = per_text(logs - model.class_log[c]) / LOG10 + per_text(count_log)
+        score = per_text(logs - among) / LOG10 + per_text(count_log)
         text_of = np.repeat(np.arange(len(n), dtype=np.int64), n)[~found]
         rest = h[~found]
         order = np.lexsort((rest, text_of))
@@ -283,7 +448,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([*own, pa.array(n), pa.array(per_text(found.astype(np.int64))), pa.array(base), pa.array(score), *lists], names=["_id", "held_out", "_key", "n_tokens", "n_known", "base_score", "score", "rest", "times"])
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD, steps: int = STEPS) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD, steps: int = STEPS, rounds: int = ROUNDS) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score and score, both log10.
 
     Training takes the rows whose crc32 of the id as text leaves another remainder
@@ -294,7 +459,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head:
     """
     spark = docs.sparkSession
     texts = _texts(docs, id_col, text_col)
-    model, rare = fit(texts, head, steps)
+    model, rare = fit(texts, head, steps, rounds)
     shared = spark.sparkContext.broadcast(model)
     id_type = texts.schema["_id"].dataType.simpleString()
     schema = f"_id {id_type}, held_out boolean, _key bigint, n_tokens bigint, n_known bigint, base_score double, score double, rest array<bigint>, times array<bigint>"

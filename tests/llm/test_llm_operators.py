@@ -613,3 +613,69 @@ def test_gradient_equals_differences():
         up[i, j] += 1e-4
         (more,) = language_model._gradient(iter([batch]), up)
         assert (more.column(1)[0].as_py() - out.column(1)[0].as_py()) / 1e-4 == pytest.approx(g[i, j], rel=0.05, abs=0.02)
+
+
+def test_words_before_decide_among_words_of_one_class(spark, rows):
+    """Words of one class swap places: only features of the words themselves tell the texts apart."""
+    fill = " ".join(f"f{i:02d}xx " * 8 for i in range(31))
+    pairs = [("baring", "coring"), ("during", "string")]
+    texts = [(i, fill + " " + " ".join(f"{a} {b}" for a, b in pairs) + " q1 q2") for i in range(200)]
+    swapped = " ".join(f"{a} {b}" for a, b in [("baring", "string"), ("during", "coring")])
+    held = [i for i in range(200, 400) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    texts += [(held[0], fill + " baring coring during string q1 q2"), (held[1], fill + " " + swapped + " q1 q2")]
+    run = lambda rounds: {r["doc_id"]: r["score"] for r in language_model.score(docs(rows, texts), steps=1, rounds=rounds).collect()}
+    plain, got = run(0), run(1)
+    assert plain[held[0]] == pytest.approx(plain[held[1]])
+    assert got[held[0]] > got[held[1]] + 0.2
+
+
+def test_words_of_all_classes_sum_to_one(spark, rows):
+    """All known words and one unseen word of each class share a probability of one, after any words before."""
+    vocabulary = [f"w{i}" for i in range(300)]
+    r = np.random.default_rng(5)
+    texts = [(i, " ".join(r.choice(vocabulary, 40))) for i in range(40)]
+    table = language_model._texts(docs(rows, texts), "doc_id", "text")
+    for head in (40, 10_000):
+        model, rare = language_model.fit(table, head, steps=2)
+        seen = {w for i, t in texts if zlib.crc32(str(i).encode()) % 5 != 1 for w in t.split()}
+        counts = {x["h"]: x["n"] for x in rare.collect()}
+        column = pa.array([f"w1 w2 {w}" for w in sorted(seen)] + ["w1 w2"])
+        data, offsets = language_model.tokens.utf8(column)
+        h, ending, first = language_model._with_ends(language_model.tokens.hashed_words(data, offsets, language_model.tokens.space_separated()))
+        c = language_model._classes(h, ending, model.frequent, model.rank)
+        i, found = model.known(h)
+        cell = language_model.cells(h, found, model.depth)
+        logs = language_model.word_logs(model, c, cell, language_model._contexts(c, first), language_model._before(h, first))
+        at = np.append(first[1:-1] - 2, len(h) - 1)  # the third word of a text, and the end after two
+        among = np.where(c > language_model.FREQUENT, model.cell_log[np.maximum(c - 1 - language_model.FREQUENT, 0), cell], model.class_log[c])
+        n = [10 ** model.head_log[i[k]] if found[k] else counts[int(h[k : k + 1].view(np.int64)[0])] + 0.5 for k in at]
+        total = (np.exp(logs - among)[at] * n).sum()
+        # one unseen word of each ending class, in cell 0
+        classes = np.arange(32, 64)
+        place = lambda x: np.full(32, x[at[0]])
+        unseen = language_model.word_logs(model, classes, np.zeros(32, np.int64), place(language_model._contexts(c, first)), [place(f) for f in language_model._before(h, first)])
+        total += (np.exp(unseen - model.cell_log[:, 0]) * 0.5).sum()
+        assert total == pytest.approx(1, abs=1e-4)
+        assert model.u.any()
+
+
+def test_expected_counts_equal_plain_sums(spark, rows):
+    """Observed and expected counts of a weight row, word by word; both sum to the words that met it."""
+    r = np.random.default_rng(9)
+    texts = [(i, " ".join(r.choice([f"w{i}" for i in range(80)], 30))) for i in range(20)]
+    table = language_model._texts(docs(rows, texts), "doc_id", "text")
+    model, _ = language_model.fit(table, steps=1)
+    batch = pa.RecordBatch.from_arrays([pa.array([t for _, t in texts])], names=["_text"])
+    seen, expected = np.zeros((language_model.ROWS, 8)), np.zeros((language_model.ROWS, 8))
+    for _, _, _, c, _, _, cell, context, features in language_model._places(model, iter([batch])):
+        for places, node, way, z in language_model.choices(model, c, cell, context):
+            rows_of = [language_model._rows(f[places], node) for f in features]
+            for k in range(len(places)):
+                p = np.exp(z[k] + sum(model.u[x[k]] for x in rows_of).astype(np.float64))
+                for x in rows_of:
+                    seen[x[k], way[k]] += 1
+                    expected[x[k]] += p / p.sum()
+    got = pa.Table.from_batches(language_model._expected(iter([batch]), model)).to_pandas().set_index("row")
+    assert sorted(got.index) == list(np.flatnonzero(seen.sum(axis=1)))
+    assert np.allclose(got[[f"o{k}" for k in range(8)]], seen[got.index])
+    assert np.allclose(got[[f"e{k}" for k in range(8)]], expected[got.index], atol=1e-3)
