@@ -61,6 +61,9 @@ WORD_FEATURES = 2
 PSEUDO = 1.0
 #: Words whose paths are worked on at once.
 AT_ONCE = 1 << 15
+#: A task that sums counts sends up to ROWS rows, so it takes so many words at least, in more tasks than the least number.
+TASK_WORDS = 5_000_000
+LEAST_TASKS = 8
 
 
 def _with_ends(words: tokens.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -209,13 +212,28 @@ class Model:
     distinct: int
     #: class shares by context, as far as a process needed them
     tables: list[np.ndarray] = field(default_factory=list)
+    #: where the broadcast words of each first bits begin, made in each process
+    begins: list[np.ndarray] = field(default_factory=list)
 
     def known(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each word among the broadcast ones, and whether it is one."""
         if not len(self.head):
             return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-        i = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
-        return i, self.head[i] == h
+        bits = len(self.head).bit_length() + 1
+        if not self.begins:
+            sizes = np.bincount((self.head >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+            self.begins.append(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+        (begins,) = self.begins
+        slot = (h >> np.uint64(64 - bits)).astype(np.int64)
+        i = np.minimum(begins[slot], len(self.head) - 1).astype(np.int64)
+        found = self.head[i] == h
+        left = np.flatnonzero(~found)
+        left = left[begins[slot[left] + 1] - i[left] > 1]
+        while len(left):  # hashes are even: a word or two for the same first bits
+            i[left] += 1
+            found[left] = self.head[i[left]] == h[left]
+            left = left[~found[left] & (begins[slot[left] + 1] - i[left] > 1)]
+        return i, found
 
     def reference(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """By context: logs of the shares of eight groups of classes, and those of each class inside its group; filled as contexts are met."""
@@ -299,22 +317,28 @@ def word_logs(model: Model, c: np.ndarray, cell: np.ndarray, context: np.ndarray
 def _expected(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Weight rows met by a task, with the observed and expected counts of each way."""
     seen, expected = np.zeros(ROWS * WAYS), np.zeros(ROWS * WAYS)
-    sums = np.zeros(ROWS * WAYS // 2, np.complex64)  # of a block; two ways in one number, for speed
-    one, pairs, plain = np.ones(WAYS, np.float32), np.arange(WAYS // 2), not model.u.any()
+    hits = np.zeros(ROWS * WAYS, np.int32)  # of a block, like the sums
+    sums = np.zeros((ROWS, WAYS // 2), np.complex64)  # two ways in one number, for speed
+    hit, one, plain = np.int32(1), np.ones(WAYS, np.float32), not model.u.any()
+    read = replace(model, shares=[np.exp(x) for x in model.shares]) if plain else model
     for _, _, _, c, _, _, cell, context, features in _places(model, batches):
         for at in range(0, len(c), AT_ONCE):
             some = slice(at, at + AT_ONCE)
-            for places, node, way, z in choices(model, c[some], cell[some], context[some]):
+            for step, (places, node, way, z) in enumerate(choices(read, c[some], cell[some], context[some])):
                 rows = [_rows(f[some][places], node) for f in features]
-                p = np.exp(z if plain else _weighted(z, model.u, rows))
-                if not plain:
+                if plain:  # inside a class the shares were read as such
+                    p = np.exp(z) if step < 2 else z
+                else:
+                    p = np.exp(_weighted(z, model.u, rows))
                     p /= (p @ one)[:, None]
-                p = p.view(np.complex64).ravel()
+                p = p.view(np.complex64)
                 for r in rows:
-                    np.add.at(seen, r * WAYS + way, 1.0)
-                    np.add.at(sums, ((r * (WAYS // 2))[:, None] + pairs).ravel(), p)
-        expected += sums.view(np.float32)
-        sums[:] = 0
+                    np.add.at(hits, r * WAYS + way, hit)
+                    for pair in range(WAYS // 2):
+                        np.add.at(sums[:, pair], r, p[:, pair])
+        seen += hits
+        expected += sums.view(np.float32).ravel()
+        hits[:], sums[:] = 0, 0
     seen, expected = seen.reshape(ROWS, WAYS), expected.reshape(ROWS, WAYS)
     met = np.flatnonzero(expected.sum(axis=1))
     for at in range(0, len(met), 10_000):
@@ -322,9 +346,15 @@ def _expected(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(x[some, k].astype(np.float32)) for x in (seen, expected) for k in range(WAYS)]], names=["row", *[f"{x}{k}" for x in "oe" for k in range(WAYS)]])
 
 
+def in_few_tasks(training: DataFrame, words: int) -> DataFrame:
+    """The same texts in so few tasks that the rows they send stay a share of the texts."""
+    return training.coalesce(max(LEAST_TASKS, words // TASK_WORDS))
+
+
 def _scaled(training: DataFrame, model: Model, rounds: int) -> Model:
     """The model with weights of words after so many steps of iterative scaling over all training texts."""
     context = training.sparkSession.sparkContext
+    training = in_few_tasks(training, model.train_tokens)
     names = [f"{x}{k}" for x in "oe" for k in range(WAYS)]
     schema = "row bigint, " + ", ".join(f"{n} float" for n in names)
     for _ in range(rounds):
@@ -335,7 +365,7 @@ def _scaled(training: DataFrame, model: Model, rounds: int) -> Model:
         u = model.u.copy()
         for k in range(WAYS):
             u[steps["row"].to_numpy(), k] += steps[f"s{k}"].to_numpy()
-        shared.unpersist()
+        shared.destroy()
         model = replace(model, u=u)
     return model
 
@@ -352,7 +382,7 @@ def _trained(statistics: DataFrame, prior: np.ndarray, steps: int) -> np.ndarray
         g = np.zeros(w.shape)
         for r in parts.collect():  # the sums of a few tasks; the contexts are CLASSES ** 3 at most
             g += np.frombuffer(r["g"], np.float32).reshape(w.shape)
-        shared.unpersist()
+        shared.destroy()
         g = g - PRIOR * w
         m, v = 0.9 * m + 0.1 * g, 0.98 * v + 0.02 * g * g
         w = (w + RATE * 0.95**step * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.98**step)) + SLOW)).astype(np.float32)
@@ -464,6 +494,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head:
     id_type = texts.schema["_id"].dataType.simpleString()
     schema = f"_id {id_type}, held_out boolean, _key bigint, n_tokens bigint, n_known bigint, base_score double, score double, rest array<bigint>, times array<bigint>"
     rows = staged(texts.mapInArrow(lambda b: _score(b, shared.value), schema), "lm-scores")
+    shared.destroy()
     asked = rows.where(F.size("rest") > 0).dropDuplicates(["_key"]).select("_key", F.explode(F.arrays_zip("rest", "times")).alias("e")).select("_key", F.col("e.rest").alias("h"), F.col("e.times").alias("t"))
     met = asked.join(rare, "h", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     sums = met.groupBy("_key").agg(F.sum(F.col("t") * F.log10(F.col("n") + 0.5)).alias("_log"), F.sum(F.when(F.col("n") > 0, F.col("t")).otherwise(0)).alias("_more"))

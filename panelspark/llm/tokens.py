@@ -40,6 +40,10 @@ def _lower() -> np.ndarray:
 
 
 LOWER = _lower()
+#: By place in a word, up to so many: what each byte adds to the hash.
+PLACES = 32
+with np.errstate(over="ignore"):
+    _ADDED = _TABLE[:PLACES, None] * (LOWER.astype(np.uint64) + np.uint64(1))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -119,16 +123,24 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> Wor
 
 def _hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     length = ends - starts
-    out = np.zeros(len(starts), np.uint64)
     long = length > 4096
+    # longest words first, so that the words with a byte at a place come in one run
+    order = np.argsort(np.where(long, 0, length).astype(np.int16), kind="stable")[::-1]
+    n = np.where(long, 0, length)[order]
+    begin, sums = starts[order], np.zeros(len(starts), np.uint64)
+    out = np.empty(len(starts), np.uint64)
     with np.errstate(over="ignore"):
-        short = np.flatnonzero(~long)
-        if len(short):
-            n = length[short]
-            at = np.concatenate(([0], np.cumsum(n)))
-            place = np.arange(at[-1]) - np.repeat(at[:-1], n)
-            value = LOWER[data[np.repeat(starts[short], n) + place]].astype(np.uint64) + np.uint64(1)
-            out[short] = np.add.reduceat(value * _TABLE[place], at[:-1])
+        for place in range(min(PLACES, int(n[0]) if len(n) else 0)):
+            some = slice(0, int(np.searchsorted(-n, -place)))
+            sums[some] += np.take(_ADDED[place], data[begin[some] + place])
+        more = int(np.searchsorted(-n, -PLACES))
+        if more:
+            rest = n[:more] - PLACES
+            at = np.concatenate(([0], np.cumsum(rest)))
+            place = PLACES + np.arange(at[-1]) - np.repeat(at[:-1], rest)
+            value = LOWER[data[np.repeat(begin[:more], rest) + place]].astype(np.uint64) + np.uint64(1)
+            sums[:more] += np.add.reduceat(value * _TABLE[place], at[:-1])
+        out[order] = sums
         for i in np.flatnonzero(long):
             h = np.uint64(0)
             for at in range(starts[i], ends[i], 1 << 16):

@@ -679,3 +679,44 @@ def test_expected_counts_equal_plain_sums(spark, rows):
     assert sorted(got.index) == list(np.flatnonzero(seen.sum(axis=1)))
     assert np.allclose(got[[f"o{k}" for k in range(8)]], seen[got.index])
     assert np.allclose(got[[f"e{k}" for k in range(8)]], expected[got.index], atol=1e-3)
+
+
+def test_counts_are_sent_by_few_tasks(spark, rows):
+    """A task that sums counts sends almost every weight row, so small texts in many tasks must not each send them."""
+    texts = language_model._texts(docs(rows, [(i, "a b c") for i in range(300)]).repartition(100), "doc_id", "text").select("_text")
+    assert language_model.in_few_tasks(texts, 900).rdd.getNumPartitions() == language_model.LEAST_TASKS
+    assert language_model.in_few_tasks(texts, 20 * language_model.TASK_WORDS).rdd.getNumPartitions() == 20
+    assert language_model.in_few_tasks(texts, 900).count() == 300
+
+
+def test_broadcast_words_are_found_where_they_stand():
+    """Also words whose first bits are the same, and words that are not there."""
+    r = np.random.default_rng(11)
+    near = np.uint64(7) << np.uint64(60)
+    for n in (0, 1, 3, 5000):
+        head = np.unique(np.concatenate([r.integers(0, 1 << 64, n, dtype=np.uint64), near + np.arange(min(n, 40), dtype=np.uint64)]))
+        empty = np.zeros(0)
+        model = language_model.Model(empty, empty, empty, 1, [], empty, empty, empty, 0.0, head, empty, 0, 0)
+        asked = np.concatenate([head, head + np.uint64(1), r.integers(0, 1 << 64, 500, dtype=np.uint64), np.array([0, (1 << 64) - 1], np.uint64)])
+        i, found = model.known(asked)
+        assert (found == np.isin(asked, head)).all()
+        assert (head[i[found]] == asked[found]).all() and found[: len(head)].all()
+
+
+def test_word_hashes_equal_plain_sums():
+    """Words of all lengths around the bounds of the short and the long way, longest not first."""
+    words = ["a", "Bc", "x" * 31, "y" * 32, "z" * 33, "q" * 4096, "r" * 4097, "é" * 40, "b", "w" * 70_000]
+    column = pa.array([" ".join(words), "", "one"])
+    got = language_model.tokens.hashed_words(*language_model.tokens.utf8(column), language_model.tokens.space_separated()).hashes
+    t = language_model.tokens
+    for word, h in zip([*words, "one"], got, strict=True):
+        v = t.LOWER[np.frombuffer(word.encode(), np.uint8)].astype(np.uint64) + np.uint64(1)
+        with np.errstate(over="ignore"):
+            s = np.uint64(0)
+            if len(v) <= 4096:
+                s = (v * t._TABLE[: len(v)]).sum(dtype=np.uint64)
+            else:
+                for at in range(0, len(v), 1 << 16):
+                    part = v[at : at + (1 << 16)]
+                    s = t.mixed(np.array([s], np.uint64))[0] + (part * t._TABLE[: len(part)]).sum(dtype=np.uint64)
+            assert t.mixed(np.array([s + np.uint64(len(v)) * t._FOLD], np.uint64))[0] == h
