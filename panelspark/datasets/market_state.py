@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.numeric import as_col, compound, ratio
 from panelspark.operators.aggregates import average_correlation, downside_ratio, gini
-from panelspark.operators.order_stats import group_quantiles
+from panelspark.operators.order_stats import group_quantiles, listed_medians
 from panelspark.operators.windows import by_time, moving_average, rolling, trailing
 
 UNIT_BREAK, UNIT_SCALE = "2024-08-19", 1e4  # fixed values: day and factor of a source's unit change
@@ -92,22 +92,37 @@ def index_measures(index: DataFrame) -> DataFrame:
     return out.withColumns(cols).drop("_m", "_h3", "_h12")
 
 
-def member_measures(panel: DataFrame, members: DataFrame, *, few_dims: bool = True) -> DataFrame:
-    """Breadth, turnover, concentration, correlation, dispersion, valuation and flow per (month, dim)."""
+def member_rows(panel: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows of all entities that are members at any time, with returns, averages and `dims`, the dimensions of their month.
+
+    The members of an entity meet its rows as one map, by entity, so the rows keep
+    the partitioning of their windows. A repeated member is repeated in `dims`.
+    """
     w = by_time("entity", "period")
+    same = F.trunc(F.lag("period").over(w), "month") == F.trunc("period", "month")
     rows = panel.withColumns(
         {
-            "ret": ratio("close", F.lag("close").over(w)) - 1,
-            "_same": F.trunc(F.lag("period").over(w), "month") == F.trunc("period", "month"),
+            "ret": F.when(same, ratio("close", F.lag("close").over(w)) - 1),
             "ma60": moving_average("close", w, 60),
             "ma250": moving_average("close", w, 250),
             "month": F.trunc("period", "month"),
+            "_total": sum((F.coalesce(c, F.lit(0.0)) for c in FLOW_COLUMNS[1:]), F.coalesce(FLOW_COLUMNS[0], F.lit(0.0))),
+            "_big": sum((F.coalesce(c, F.lit(0.0)) for c in FLOW_COLUMNS[1:4]), F.coalesce(FLOW_COLUMNS[0], F.lit(0.0))),
         }
-    ).withColumn("ret", F.when(F.col("_same"), F.col("ret"))).drop("_same")
-    held = rows.join(members.hint("merge"), ["month", "entity"])  # stored members look small: their files are packed
+    ).drop(*FLOW_COLUMNS)
+    lists = members.where("month is not null and entity is not null").repartition("entity")
+    lists = lists.groupBy("entity", "month").agg(F.collect_list(F.struct("dim")).alias("_d"))
+    lists = lists.groupBy("entity").agg(F.map_from_entries(F.collect_list(F.struct("month", "_d"))).alias("_dims"))
+    # stored members look small: their files are packed
+    met = rows.join(lists.hint("merge"), "entity")
+    return met.withColumn("dims", F.try_element_at("_dims", F.col("month"))).drop("_dims")
+
+
+def member_measures(rows: DataFrame) -> DataFrame:
+    """Breadth, turnover, concentration, correlation, dispersion, valuation and flow per (month, dim), from `member_rows`."""
+    held = rows.withColumn("dim", F.explode("dims.dim")).drop("dims")
     keys = ["month", "dim"]
-    total = sum((F.coalesce(c, F.lit(0.0)) for c in FLOW_COLUMNS[1:]), F.coalesce(FLOW_COLUMNS[0], F.lit(0.0)))
-    big = sum((F.coalesce(c, F.lit(0.0)) for c in FLOW_COLUMNS[1:4]), F.coalesce(FLOW_COLUMNS[0], F.lit(0.0)))
+    total, big = F.col("_total"), F.col("_big")
 
     single = held.groupBy(*keys, "entity").agg(
         F.min_by("close", "period").alias("first"),
@@ -140,7 +155,7 @@ def member_measures(panel: DataFrame, members: DataFrame, *, few_dims: bool = Tr
     names = ["net_inflow_ratio", "inflow_direction_pct", "inflow_stability", "institutional_pct"]
     flow = flow.select(*keys, *[F.when(F.col("_n") >= 100, F.col(c)).alias(c) for c in names], (F.col("_n") >= 100).alias("_enough"))
     values = ["pe", "pb", "dv", "turnover"]
-    q = group_quantiles(held, keys, values, [(1, 2), (1, 4), (3, 4)])
+    q = group_quantiles(held, keys, values, [(1, 2), (1, 4), (3, 4)], few_groups=True)
     valuation = q.select(
         *keys,
         F.col("turnover_q0").alias("turnover_rate_median"),
@@ -160,16 +175,22 @@ def member_measures(panel: DataFrame, members: DataFrame, *, few_dims: bool = Tr
 def valuation_history_share(month_panel: DataFrame, members: DataFrame, current: DataFrame, months: int = 60) -> DataFrame:
     """Share of past month-end medians of today's members below the current median.
 
-    Every month looks back with its own member list, so each member row meets
-    the months of its entity that it uses; medians are taken over those pairs.
+    Every month looks back with its own member list: a row of an entity carries the
+    numbers of the (month, dim) that use it, and medians are taken over these lists.
     Members are never broadcast: the size of their files says little about them.
     """
     snaps = month_panel.withColumn("month", F.trunc("period", "month")).groupBy("month", "entity").agg(
         F.max_by("pe", "period").alias("pe"), F.max_by("pb", "period").alias("pb")
     )
-    past = snaps.withColumnRenamed("month", "past")
-    pairs = members.hint("merge").join(past, "entity").where((F.col("past") <= F.col("month")) & (F.col("past") >= F.add_months("month", 1 - months)))
-    med = group_quantiles(pairs, ["month", "dim", "past"], ["pe", "pb"], [(1, 2)])
+    # numbers of (month, dim); a table of the calendar and the dimensions
+    numbers = current.select("month", "dim").where("month is not null and dim is not null").distinct()
+    numbers = numbers.withColumn("_id", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("month", "dim")))
+    lists = members.join(F.broadcast(numbers), ["month", "dim"]).repartition("entity")
+    lists = lists.groupBy("entity").agg(F.collect_list(F.struct("month", "_id")).alias("_months"))
+    inside = F.filter("_months", lambda m: (F.col("past") <= m["month"]) & (m["month"] <= F.col("_last")))
+    past = snaps.select("entity", F.col("month").alias("past"), F.add_months("month", months - 1).alias("_last"), "pe", "pb")
+    used = past.join(lists.hint("merge"), "entity").select("past", inside["_id"].alias("_id"), "pe", "pb")
+    med = listed_medians(used, ["past"], "_id", ["pe", "pb"]).join(F.broadcast(numbers), "_id")
     rows = med.join(current.select("month", "dim", "pe_ttm_median", "pb_median"), ["month", "dim"])
     shares = rows.groupBy("month", "dim").agg(
         F.avg((F.col("pe_q0") < F.col("pe_ttm_median")).cast("double")).alias("pe_pct_5y"),
@@ -200,10 +221,11 @@ def market_state(
 ) -> DataFrame:
     """36 measures per (month, dim). north, margin and limits feed the whole-market row only."""
     stage = stage or (lambda d, name: d)
-    panel, members = stage(panel, "panel"), stage(members, "members")
+    members = stage(members, "members")
+    rows = stage(member_rows(panel, members), "rows")
     idx = index_measures(index).join(F.broadcast(mapping), "index_key")
-    mem = stage(member_measures(panel, members), "measures")
-    val = valuation_history_share(panel, members, mem)
+    mem = stage(member_measures(rows), "measures")
+    val = valuation_history_share(rows, members, mem)
     out = idx.join(mem, ["month", "dim"], "left").join(val, ["month", "dim"], "left")
     single = F.col("dim") == whole_market
 

@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 # About 0.1 percent of relative width per slice; at most ~100k slices a group.
 SLICES_PER_E_FOLD = 1024.0
 SMALLEST_SCALE = 1e6
+# Fine slices that quantiles count as one; fewer cells are shuffled, and only the slices of the wanted positions are read closely.
+WIDE = 16
+# Pieces of about equal size into which the values of a group of `listed_medians` are dealt.
+PIECES = 64
 # Values of a slice above which it is cut again into pieces of about so many.
 FEW = 2000
 
@@ -53,10 +57,11 @@ def _offsets(counts: DataFrame, by: Sequence[str], order: Sequence[str] = ("_s",
 def attach(df: DataFrame, stats: DataFrame, by: Sequence[str], few_groups: bool) -> DataFrame:
     """Left join per-group values to rows.
 
-    The join is left to adaptive execution, which checks the real size; few_groups
-    only tells the reader that the table has one row per calendar period.
+    few_groups says that the table has one row per calendar period: it is broadcast,
+    and the rows stay where they are. Other joins are left to adaptive execution,
+    which checks the real size but only after the rows have been shuffled.
     """
-    return df.join(stats, list(by), "left")
+    return df.join(F.broadcast(stats) if few_groups else stats, list(by), "left")
 
 
 def group_quantiles(
@@ -70,15 +75,18 @@ def group_quantiles(
     """Linear-interpolated quantiles of several columns, one row per group.
 
     probs are fractions (1, 2) = median. Columns are named ``{value}_q{i}`` in
-    the order of probs, plus ``{value}_n``, the count of non-null values.
+    the order of probs, plus ``{value}_n``, the count of non-null values. With
+    few_groups (calendar periods) the wanted slices are broadcast and the rows are
+    not shuffled, but for those in such a slice.
     """
     by = list(by)
+    small = F.broadcast if few_groups else (lambda df: df)
     keys = [*by, "_c"]
     pairs = ", ".join(f"struct({i} as _c, cast({v} as double) as _v)" for i, v in enumerate(values))
     rows = (
         df.select(*by, F.expr(f"inline(array({pairs}))"))
         .where("_v is not null and not isnan(_v)")
-        .withColumn("_s", value_slice(F.col("_v")))
+        .withColumn("_s", F.floor(value_slice(F.col("_v")) / F.lit(WIDE)).cast("long"))
     )
     sizes = [F.count("*").alias("_cnt"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
     hist = _offsets(rows.groupBy(*keys, "_s").agg(*sizes), keys)
@@ -90,13 +98,13 @@ def group_quantiles(
     positions = dict.fromkeys([*low, *high])
     wanted = " or ".join(f"({p} >= _below and {p} < _below + _cnt)" for p in positions)
     targets = hist.where(wanted).select(*keys, "_s", "_below", "_n", "_lo", "_hi", F.col("_cnt").alias("_k"))
-    picked = rows.join(targets, [*keys, "_s"]).withColumn("_f", _piece(F.col("_v"), F.col("_lo"), F.col("_hi"), F.col("_k")))
+    picked = rows.join(small(targets), [*keys, "_s"]).withColumn("_f", _piece(F.col("_v"), F.col("_lo"), F.col("_hi"), F.col("_k")))
     ties = picked.groupBy(*keys, "_s", "_f", "_v", "_below", "_n").agg(F.count("*").alias("_ties"))
     # pieces that hold a wanted position, with the rows below them
     pieces = picked.groupBy(*keys, "_s", "_f", "_n", F.col("_below").alias("_start")).agg(F.count("*").alias("_cnt"))
     lower = Window.partitionBy(*keys, "_s").orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("_below", F.col("_start") + F.coalesce(F.sum("_cnt").over(lower), F.lit(0))).where(wanted)
-    ties = ties.drop("_below", "_n").join(pieces.drop("_start", "_cnt"), [*keys, "_s", "_f"])
+    ties = ties.drop("_below", "_n").join(small(pieces.drop("_start", "_cnt")), [*keys, "_s", "_f"])
     before = Window.partitionBy(*keys, "_s", "_f").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     ranked = ties.withColumn("_less", F.col("_below") + F.coalesce(F.sum("_ties").over(before), F.lit(0)))
 
@@ -112,6 +120,52 @@ def group_quantiles(
     return ranked.groupBy(*by).agg(*[F.expr(a) for a in aggs]).selectExpr(*by, *outputs)
 
 
+def _piece_bounds(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per group: the least values of about PIECES runs of equal size, in order.
+
+    Runs end at slices; a slice with more values than a run is cut evenly between its
+    own least and largest value. The bounds follow from counts and extremes alone.
+    """
+    sliced = df.groupBy(*by, value_slice(F.col("_v")).alias("_s"))
+    cells = _offsets(sliced.agg(F.count("*").alias("_cnt"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")), by)
+    bounds = f"""if(_cnt * {PIECES} > _n and _hi > _lo,
+      transform(sequence(0L, (_cnt * {PIECES}L) div _n), i -> _lo + (_hi - _lo) * (i / ((_cnt * {PIECES}L) div _n + 1))),
+      if((_below * {PIECES}L) div _n < ((_below + _cnt) * {PIECES}L) div _n, array(_lo), array()))"""
+    return cells.groupBy(*by).agg(F.sort_array(F.flatten(F.collect_list(F.expr(bounds)))).alias("_bounds"))
+
+
+def listed_medians(df: DataFrame, by: Sequence[str], ids: str, values: Sequence[str]) -> DataFrame:
+    """Exact medians of several columns per (id, group) for rows that count for every id of a list.
+
+    One row per (id, group) with ``{value}_q0``, as ``group_quantiles`` gives for the
+    rows copied to the ids of their list. The copies are never shuffled: the lists of a
+    group are dealt by runs of values, copies are counted where they lie, and only the
+    runs in the middle of an id are looked at closely, in the same place. ``by`` is
+    bounded by the calendar, like the bounds that are broadcast; an id is a number.
+    """
+    by = list(by)
+    keys, place = [*by, "_c"], [*by, "_c", "_p"]
+    pairs = ", ".join(f"struct({i} as _c, cast({v} as double) as _v)" for i, v in enumerate(values))
+    rows = df.select(*by, F.col(ids).alias("_ids"), F.expr(f"inline(array({pairs}))")).where("_v is not null and not isnan(_v)")
+    bounds = F.broadcast(_piece_bounds(rows.drop("_ids"), keys))
+    dealt = rows.where(F.size("_ids") > 0).join(bounds, keys).withColumn("_p", F.size(F.filter("_bounds", lambda b: b <= F.col("_v"))))
+    dealt = dealt.drop("_bounds").repartition(*place)
+    # both passes read the same columns, so that the rows are dealt once
+    cells = dealt.select(*place, "_v", F.explode("_ids").alias("_id")).groupBy(*place, "_id").agg(F.count("_v").alias("_cnt"))
+    wanted = " or ".join(f"({p} >= _below and {p} < _below + _cnt)" for p in ("((_n - 1) div 2)", "(_n div 2)"))
+    middle = _offsets(cells, [*keys, "_id"], ("_p",)).where(wanted)
+    middle = middle.groupBy(*place).agg(F.map_from_entries(F.collect_list(F.struct("_id", F.struct("_below", "_n")))).alias("_want"))
+    near = dealt.join(middle.hint("shuffle_hash"), place).select(*place, "_v", "_want", F.explode("_ids").alias("_id"))
+    near = near.select(*place, "_id", "_v", F.try_element_at("_want", F.col("_id")).alias("_at")).where("_at is not null")
+    ties = near.select(*place, "_id", "_v", "_at.*").groupBy(*place, "_id", "_v", "_below", "_n").agg(F.count("*").alias("_ties"))
+    before = Window.partitionBy(*place, "_id").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = ties.withColumn("_less", F.col("_below") + F.coalesce(F.sum("_ties").over(before), F.lit(0)))
+    at = lambda c, p: f"max(if(_c = {c} and {p} >= _less and {p} < _less + _ties, _v, null))"
+    aggs = [F.expr(f"{at(c, p)} as _{c}_{tag}") for c in range(len(values)) for tag, p in (("lo", "((_n - 1) div 2)"), ("hi", "(_n div 2)"))]
+    found = ranked.groupBy(F.col("_id").alias(ids), *by).agg(*aggs)
+    return found.selectExpr(ids, *by, *[f"_{c}_lo + (_{c}_hi - _{c}_lo) * 0.5D as {v}_q0" for c, v in enumerate(values)])
+
+
 def value_ranks(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """One row per (group, distinct value): rows strictly below, ties and group size."""
     by = list(by)

@@ -117,8 +117,8 @@ def dataset_market_state(spark, sf_dir):
         "entity", "period", "close", "amount", ratio("close", "vol").alias("pe"), (ratio("amount", "vol") / 100).alias("pb"), F.col("vol").alias("dv"),
         F.col("vol").alias("turnover"), (buys - sells).alias("net_amount"), *FLOW_AMOUNTS,
     )
-    panel = staged(panel, "panel")
-    seen = panel.select("entity", month_start("period").alias("month")).distinct()
+    # the entities and months of the panel, read from the lines: the panel itself is made once
+    seen = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("entity"), month_start(F.col("l_shipdate").cast("date")).alias("month")).distinct()
     regions = seen.join(supplier_region(spark, sf_dir).where("grp < 2"), "entity")
     members = seen.select("month", F.lit("all").alias("dim"), "entity").unionByName(
         regions.select("month", F.concat(F.lit("g"), "grp").alias("dim"), "entity")

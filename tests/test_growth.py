@@ -15,6 +15,7 @@ from panelspark.datasets import statements as FS
 from panelspark.datasets import stock_factors as SF
 from panelspark.datasets.valuation import valuation_history
 from panelspark.operators import windows as W
+from panelspark.operators.order_stats import group_quantiles, listed_medians
 from panelspark.sources.sinks import staged
 
 
@@ -158,3 +159,52 @@ def test_rank_share_puts_rows_without_a_period_last(spark):
     out = W.rolling_rank_share(spark.createDataFrame(rows, "entity long, period date, v double"), "entity", "period", ["v"], {"w": 3}, min_rows=2)
     found = {r["period"] and r["period"].day: r["v_tsrank_w"] for r in out.collect()}
     assert found == {1: None, 2: 1.0, 3: 1.0, None: 1.0} and "FlatMapGroups" not in plan_of(out)
+
+
+def test_listed_medians_equal_medians_of_copies(spark, monkeypatch):
+    """Rows that count for many groups: nulls, NaN, infinity, ties, narrow values, repeated numbers and empty lists."""
+    import panelspark.operators.order_stats as O
+
+    monkeypatch.setattr(O, "PIECES", 8)
+    rng = np.random.default_rng(4)
+    n = 900
+    a = np.where(np.arange(n) < 300, np.round(rng.normal(0, 3, n), 1), 1e6 * (1 + 1e-6 * rng.standard_normal(n)))
+    pdf = pd.DataFrame({"past": np.where(np.arange(n) % 3 == 0, 1, 2), "a": a, "b": rng.integers(1, 4, n).astype(float)})
+    pdf.loc[5, "a"], pdf.loc[8, "b"] = np.inf, -np.inf
+    pdf["ids"] = [[int(x) for x in rng.integers(0, 7, k)] for k in rng.integers(0, 6, n)]
+    df = spark.createDataFrame(pdf).withColumns({"a": F.when(F.col("b") == 3, F.lit(math.nan)).when(F.col("b") > 1, F.col("a"))})
+    out = listed_medians(df, ["past"], "ids", ["a", "b"])
+    found = {(r["ids"], r["past"]): (r["a_q0"], r["b_q0"]) for r in out.collect()}
+    copies = df.toPandas().explode("ids").dropna(subset=["ids"])
+    want = {k: (g["a"].median(), g["b"].median()) for k, g in copies.groupby(["ids", "past"])}
+    assert found.keys() == want.keys()
+    for k, pair in want.items():
+        np.testing.assert_allclose(found[k], pair, rtol=1e-12)
+    # lists are dealt, copies are not: nothing is exploded below the shuffle by runs
+    dealt = plan_of(out).split("REPARTITION_BY_COL")
+    assert len(dealt) > 1 and not any("explode(_ids" in x.split("Exchange")[0] for x in dealt[1:])
+
+
+def test_quantiles_of_dates_leave_the_rows_where_they_are(spark):
+    df = spark.range(400).selectExpr("id % 4 as d", "cast(id * 7 % 101 as double) as v")
+    few, many = (group_quantiles(df, ["d"], ["v"], [(1, 2), (1, 4)], few_groups=k) for k in (True, False))
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+    assert "BroadcastHashJoin [d" in plan_of(few) and "SortMergeJoin" not in plan_of(few)
+
+
+def test_market_members_meet_their_rows_by_entity(spark):
+    days = [date(2020, 1, 1), date(2020, 1, 2), date(2020, 2, 3)]
+    values = [(e, d, float((e or 9) + i), 1.0, *[1.0] * 13) for e in (1, 2, 3, None) for i, d in enumerate(days)]
+    names = ["close", "amount", "pe", "pb", "dv", "turnover", "net_amount", *ST.FLOW_COLUMNS]
+    panel = spark.createDataFrame(values, "entity long, period date, " + ", ".join(f"{c} double" for c in names)).withColumn("turnover", F.col("close"))
+    months = [date(2020, 1, 1), date(2020, 2, 1)]
+    held = [(months[0], "all", e) for e in (1, 2, 2, None)] + [(months[1], "all", 3), (months[0], "g", 1), (None, "g", 1)]
+    members = staged(spark.createDataFrame(held, "month date, dim string, entity long"), "members")
+    rows = ST.member_rows(panel, members)
+    plan = plan_of(rows)
+    assert "SortMergeJoin [entity" in plan and "month" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+    found = {(r["month"], r["dim"]): r for r in ST.member_measures(rows).collect()}
+    assert found.keys() == {(months[0], "all"), (months[0], "g"), (months[1], "all")}
+    # closes 1, 2 of entity 1 and twice 2, 3 of entity 2
+    assert found[months[0], "all"]["turnover_rate_median"] == 2.0 and found[months[0], "g"]["turnover_rate_median"] == 1.5
+    assert found[months[1], "all"]["pct_above_ma60"] is None and found[months[0], "all"]["profit_ratio"] == 1.0
