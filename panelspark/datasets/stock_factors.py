@@ -56,13 +56,20 @@ def bar_features(df: DataFrame) -> DataFrame:
 
 
 def u_turn(df: DataFrame, period: str, deviation: str, mean: str, out: str) -> DataFrame:
-    """Rank of the deviation averaged with half the rank of the mean, reversed in the calm half."""
-    ranked = rank_factor(df, [period], deviation, "_sr", few_groups=True)
+    """Rank of the deviation averaged with half the rank of the mean, reversed in the calm half.
+
+    Ranks are made on the three columns they come from and meet the rows once, however
+    wide these are: rows that are alike in them have one result.
+    """
+    ranked = rank_factor(df.select(period, deviation, mean), [period], deviation, "_sr", few_groups=True)
     halves = ranked.withColumn("_half", F.when(F.col("_sr") < 0.5, 0).when(F.col("_sr") >= 0.5, 1).otherwise(2))
-    halves = rank_factor(halves, [period, "_half"], mean, "_mr")
+    halves = rank_factor(halves, [period, "_half"], mean, "_mr", few_groups=True)
     part = F.when(F.col("_half") == 0, (1 - F.col("_mr")) * 0.5).when(F.col("_half") == 1, F.col("_mr") * 0.5)
     both = F.when(part.isNull(), F.col("_sr")).when(F.col("_sr").isNull(), part).otherwise((F.col("_sr") + part) / 2)
-    return halves.withColumn(out, both).drop("_sr", "_mr", "_half")
+    keys = {period: "_ud", deviation: "_us", mean: "_um"}
+    found = halves.groupBy(*[F.col(c).alias(k) for c, k in keys.items()]).agg(F.first(both).alias(out))
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()]
+    return df.join(found, same, "left").drop(*keys.values())
 
 
 def _stats(name: str, c: str, f, ratio_too: bool = True) -> dict[str, Column]:
@@ -92,15 +99,15 @@ def price_volume_pack(df: DataFrame, *, stage=None) -> DataFrame:
     """42 features over the last 20 rows, for every date with a complete window.
 
     ``stage`` may write an intermediate table and read it back (see
-    ``sources.sinks.staged``), which cuts the lineage between the per-date
-    regressions and the windows.
+    ``sources.sinks.staged``): the features, the windows, and the statistics of
+    the dates, which are broadcast to them.
     """
     stage = stage or as_is
     w = by_time("entity", "period")
     rows = bar_features(df).withColumn("tvr_chg", ratio("turnover", F.lag("turnover").over(w)) - 1)
     rows = stage(nullify_non_finite(rows.select("entity", "period", *PACKED)), "features")
     rows = neutralize(rows, "period", {"turnover": "tvr_ne", "plus": "plus_ne"}, "size", "grp", stage=stage)
-    rows = stage(winsorize_mad(rows, ["period"], ["turnover", "plus"], few_groups=True, stage=stage), "clean")
+    rows = winsorize_mad(rows, ["period"], ["turnover", "plus"], few_groups=True, stage=stage)
     rows = orthogonalize_pairs(rows, "period", PURE)
     f = trailing(w, WINDOW)
     cols = {
@@ -124,13 +131,13 @@ def price_volume_pack(df: DataFrame, *, stage=None) -> DataFrame:
     }
     out = rows.select("entity", "period", *[c.alias(n) for n, c in cols.items()]).where(F.col("_rows") == WINDOW).drop("_rows")
     out = stage(out, "windows")
-    out = u_turn(out, "period", "tvr_std_20", "tvr_mean_20", "utr")
+    names = out.columns
     pairs = {}
     for side in ("sm", "elg"):
         pairs[f"{side}_imba_deret"] = (f"{side}_imba_norm", "ret_20")
         pairs[f"ret_de_{side}_imba"] = ("ret_20", f"{side}_imba_norm")
-    out = orthogonalize_pairs(stage(out, "packed"), "period", pairs)
-    return nullify_non_finite(out)
+    out = u_turn(orthogonalize_pairs(out, "period", pairs), "period", "tvr_std_20", "tvr_mean_20", "utr")
+    return nullify_non_finite(out.select(*names, "utr", *pairs))
 
 
 def _traded(df: DataFrame, history: list[str]) -> DataFrame:

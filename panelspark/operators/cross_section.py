@@ -20,6 +20,9 @@ MEDIAN = [(1, 2)]
 
 # Several passes read the same rows. A stage may store them and read them back
 # (``sources.sinks.staged``), so that the passes do not repeat the work before.
+# Where the statistics of a pass have one row per date, they are stored instead:
+# they are broadcast to the rows, which are read again and never shuffled. The
+# caller hands over rows that are cheap to read, a stored table for instance.
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
@@ -72,11 +75,14 @@ def winsorize_mad(
     """Clip to median +- n * MAD; a MAD of 0 leaves the values as they are."""
     centre = group_quantiles(df, by, values, MEDIAN, few_groups=few_groups)
     centre = centre.select(*by, *[F.col(f"{v}_q0").alias(f"_med_{v}") for v in values])
-    centred = stage(attach(df, centre, by, few_groups), "centred")
+    if few_groups:
+        centred = attach(df, stage(centre, "centre"), by, True)
+    else:
+        centred = stage(attach(df, centre, by, False), "centred")
     gaps = centred.select(*by, *[F.abs(F.col(v) - F.col(f"_med_{v}")).alias(f"_gap_{v}") for v in values])
     spread = group_quantiles(gaps, by, [f"_gap_{v}" for v in values], MEDIAN, few_groups=few_groups)
     spread = spread.select(*by, *[F.col(f"_gap_{v}_q0").alias(f"_mad_{v}") for v in values])
-    joined = attach(centred, spread, by, few_groups)
+    joined = attach(centred, stage(spread, "spread") if few_groups else spread, by, few_groups)
     out = {}
     for v in values:
         med, mad = F.col(f"_med_{v}"), F.col(f"_mad_{v}")
@@ -219,7 +225,7 @@ def neutralize(
     rows = clean.withColumns(base)
     sound = F.col("_x").isNotNull() & F.col("_w").isNotNull() & F.col("_g").isNotNull()
     rows = rows.withColumns({f"_y{i}": F.when(sound, F.col(f"{f}_clean")) for i, f in enumerate(factors)})
-    rows = stage(rows.drop(*[f"{c}_clean" for c in [*factors, size]]), "regression")
+    rows = rows.drop(*[f"{c}_clean" for c in [*factors, size]])
     many = range(len(factors))
     sums, centres, totals, slopes, scales = [], [], [], [], []
     for i in many:
@@ -236,12 +242,12 @@ def neutralize(
         # size that does not vary inside the groups leaves nothing to fit
         slopes += [f"_rows{i}", f"if(_cxx{i} <= _scale{i} * 1e-12D, 0D, try_divide(_cxy{i}, _cxx{i})) as _slope{i}"]
         scales += [f"avg(_e{i}) as _em{i}", f"stddev_samp(_e{i}) as _es{i}"]
-    cells = rows.where("_g is not null").groupBy(period, "_g").agg(*[F.expr(e) for e in sums])
+    cells = stage(rows.where("_g is not null").groupBy(period, "_g").agg(*[F.expr(e) for e in sums]), "regression")
     dates = cells.groupBy(period).agg(*[F.expr(e) for e in totals]).selectExpr(period, *slopes)
     joined = attach(attach(rows, dates, [period], True), cells.selectExpr(period, "_g", *centres), [period, "_g"], False)
     residuals = {f"_e{i}": F.expr(f"(_y{i} - _my{i}) - _slope{i} * (_x - _mx{i})") for i in many}
-    joined = stage(joined.withColumns(residuals), "residual")
-    scale = joined.groupBy(period).agg(*[F.expr(e) for e in scales])
+    joined = joined.withColumns(residuals)
+    scale = stage(joined.groupBy(period).agg(*[F.expr(e) for e in scales]), "residual")
     outputs = {
         out: F.expr(f"case when _y{i} is null then null when _rows{i} < {min_rows} then _y{i} else try_divide(_e{i} - _em{i}, _es{i}) end")
         for i, out in enumerate(factors.values())

@@ -174,7 +174,7 @@ SQL_NEUTRAL = {
 )
 def section_neutralize(spark, sf_dir):
     f = factors(spark, sf_dir).select("entity", "grp", "period", "mom", "amount")
-    out = X.neutralize(f, "period", {"mom": "neutral"}, "amount", "grp", stage=staged)
+    out = X.neutralize(staged(f, "factors"), "period", {"mom": "neutral"}, "amount", "grp", stage=staged)
     return rcols(out, ["entity", "period"], ["neutral"], 5)
 
 

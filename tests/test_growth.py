@@ -208,3 +208,38 @@ def test_market_members_meet_their_rows_by_entity(spark):
     # closes 1, 2 of entity 1 and twice 2, 3 of entity 2
     assert found[months[0], "all"]["turnover_rate_median"] == 2.0 and found[months[0], "g"]["turnover_rate_median"] == 1.5
     assert found[months[1], "all"]["pct_above_ma60"] is None and found[months[0], "all"]["profit_ratio"] == 1.0
+
+
+def test_price_volume_pack_stores_rows_twice(spark):
+    """The features and the windows; everything else that is stored has one row per date or cell."""
+    rng = np.random.default_rng(6)
+    rows = [(e, date(2020, 1, 1 + i), e % 2, *map(float, rng.uniform(1, 9, 12))) for e in range(40) for i in range(22)]
+    flows = [f"{s}_{b}_vol" for s in ("buy", "sell") for b in ("sm", "elg")]
+    numbers = ["open", "high", "low", "close", "pre_close", "vol", "amount", "size", *flows]
+    df = spark.createDataFrame(rows, f"entity long, period date, grp int, {', '.join(f'{c} double' for c in numbers)}")
+    df = df.withColumns({"pct_chg": F.col("close") - 5, "log_return": F.log("close"), "turnover": F.col("vol") / 50})
+    stored = {}
+
+    def kept(d, name):
+        out = staged(d, name)
+        stored[name] = out.count()
+        return out
+
+    out = SF.price_volume_pack(df, stage=kept)
+    assert {n for n, rows in stored.items() if rows > 2 * 22} == {"features", "windows"} and out.count() == 40 * 3
+
+
+def test_u_turn_of_repeated_and_missing_values(spark):
+    s = [1.0, 1.0, 2.0, None, 4.0, 3.0, 3.0, math.nan]
+    m = [5.0, 5.0, None, 1.0, 2.0, 8.0, 7.0, 3.0]
+    df = spark.createDataFrame([(i, date(2020, 1, 1), a, b) for i, (a, b) in enumerate(zip(s, m))], "i int, d date, s double, m double")
+    out = SF.u_turn(df, "d", "s", "m", "u")
+    found = {r["i"]: r["u"] for r in out.collect()}
+    # ranks of s over 8 rows: 1.5 1.5 3 - 6 4.5 4.5 -; the calm half is 0, 1, 2 with m 5 5 -
+    sr = {i: (k - 1) / 7 for i, k in enumerate([1.5, 1.5, 3, None, 6, 4.5, 4.5, None]) if k}
+    mr = {0: 0.25, 1: 0.25, 4: 0.0, 5: 1.0, 6: 0.5}
+    half = {0: (1 - 0.25) * 0.5, 1: (1 - 0.25) * 0.5, 4: 0.0, 5: 0.5, 6: 0.25}
+    assert out.columns == ["i", "d", "s", "m", "u"] and len(found) == 8 and found[3] is None and found[7] is None
+    for i in mr:
+        assert math.isclose(found[i], (sr[i] + half[i]) / 2), i
+    assert math.isclose(found[2], sr[2])
