@@ -243,3 +243,37 @@ def test_u_turn_of_repeated_and_missing_values(spark):
     for i in mr:
         assert math.isclose(found[i], (sr[i] + half[i]) / 2), i
     assert math.isclose(found[2], sr[2])
+
+
+def test_statements_that_no_snapshot_sees_stay_out_of_the_shuffle(spark):
+    day = date.fromisoformat
+    rows = [
+        (1, day("2019-12-31"), day("2020-03-01"), day("2020-03-01"), "0", 10_000.0),
+        (1, day("2019-12-31"), day("2020-03-01"), day("2020-09-01"), "0", 90_000.0),  # published after the last snapshot
+        (1, day("2014-12-31"), day("2015-03-01"), day("2015-03-01"), "0", 80_000.0),  # too old for all of them
+        (1, day("2020-03-31"), day("2020-04-20"), day("2020-04-20"), "0", 40_000.0),  # replaced between two snapshots
+        (1, day("2020-03-31"), day("2020-04-20"), day("2020-04-25"), "0", 50_000.0),
+    ]
+    kinds = "entity long, end_date date, ann_date date, f_ann_date date, update_flag string"
+    income = spark.createDataFrame(rows, f"{kinds}, revenue double")
+    none = income.where("false").drop("revenue")
+    shown = [(1, r[1], r[2], r[2], r[2], None) for r in (rows[0], rows[3])]
+    disclosure = spark.createDataFrame(shown, "entity long, end_date date, ann_date date, pre_date date, actual_date date, modify_date date")
+    dividends = spark.createDataFrame([], "entity long, end_date date, ex_date date, div_proc string, update_flag string, cash_div double, base_share double")
+    size = spark.createDataFrame([], "entity long, period date, total_share double, float_share double, total_mv double, circ_mv double")
+    snaps = spark.createDataFrame([(day("2020-03-31"),), (day("2020-04-30"),)], "snapshot_date date")
+    out = FS.statements_snapshot(disclosure, none, income, none, dividends, size, snaps, parts=3)
+    found = sorted((r["snapshot_date"].month, r["end_date"].month, r["revenue"]) for r in out.collect())
+    assert found == [(3, 12, 1.0), (4, 3, 5.0), (4, 12, 1.0)]
+    plan = plan_of(out)
+    assert "hashpartitioning(entity" in plan and "3), REPARTITION_BY_NUM" in plan
+    # below the one wide shuffle, versions are asked for a snapshot of their span
+    assert "filter(_all" in plan.split("REPARTITION_BY_NUM")[1]
+
+
+def test_parts_of_statements_follow_the_orders(spark, tmp_path, monkeypatch):
+    from panelspark.plans import dataset_queries as Q
+
+    spark.range(1000).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(Q, "ORDERS_A_PART", 10)
+    assert Q.statement_parts(spark, str(tmp_path)) == 100
